@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tetraframe.llm.fingerprints import op1_fingerprints
+from tetraframe.llm.packing import op10_packing
+from tetraframe.llm.token_counts import op9_token_counts
 
-QUERIES = {"op1_fingerprints": op1_fingerprints}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing}
 ORACLES: dict[str, str] = {}
