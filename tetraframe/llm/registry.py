@@ -5,6 +5,14 @@ from __future__ import annotations
 from tetraframe.llm.fingerprints import op1_fingerprints
 from tetraframe.llm.packing import op10_packing
 from tetraframe.llm.token_counts import op9_token_counts
+from tetraframe.llm.topk import OP5_SQL, op5_topk_search
+from tetraframe.llm.toxicity import op2_toxicity
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_toxicity": op2_toxicity,
+    "op5_topk_search": op5_topk_search,
+    "op9_token_counts": op9_token_counts,
+    "op10_packing": op10_packing,
+}
+ORACLES: dict[str, str] = {"op5_topk_search": OP5_SQL}
