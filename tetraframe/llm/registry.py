@@ -5,6 +5,7 @@ from __future__ import annotations
 from tetraframe.llm.fingerprints import op1_fingerprints
 from tetraframe.llm.langid import op6_language_id
 from tetraframe.llm.mixing import op8_mixing
+from tetraframe.llm.near_dedup import op7_near_dedup
 from tetraframe.llm.packing import op10_packing
 from tetraframe.llm.token_counts import op9_token_counts
 from tetraframe.llm.topk import OP5_SQL, op5_topk_search
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op5_topk_search": op5_topk_search,
     "op6_language_id": op6_language_id,
+    "op7_near_dedup": op7_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
