@@ -302,6 +302,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     return out
 
 
+def deduplicated(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """docs with one row of each component, that of the smallest doc_id; rows with a null doc_id stay."""
+    kept = near_duplicates(docs, width, num, den).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents alike to 0.85 or more on three-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, num=85)
