@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from corpus_pipeline import ORACLE_SQL, run
 from tetraframe.llm.fingerprints import op1_fingerprints
+from tetraframe.llm.katz import op3_katz
 from tetraframe.llm.langid import op6_language_id
 from tetraframe.llm.long_matches import op4_suffix_dedup
 from tetraframe.llm.mixing import op8_mixing
@@ -16,6 +17,7 @@ from tetraframe.llm.toxicity import op2_toxicity
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
+    "op3_katz": op3_katz,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_topk_search": op5_topk_search,
     "op6_language_id": op6_language_id,
