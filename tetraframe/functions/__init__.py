@@ -1 +1 @@
-"""Subpackage of tetraframe."""
+"""Column functions."""

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tetraframe.plans import image_queries, report_queries, source_queries, spot_queries, surface_queries, volume_queries
+from tetraframe.plans.spot_queries import flagship
 
-from pyspark.sql import DataFrame, SparkSession
+_ALL = (spot_queries, surface_queries, image_queries, volume_queries, report_queries, source_queries)
+QUERIES = {k: q for m in _ALL for k, q in m.BOOK.queries.items()}
+ORACLES = {k: q for m in _ALL for k, q in m.BOOK.oracles.items()}
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spots of the events table."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+__all__ = ["ORACLES", "QUERIES", "flagship"]
