@@ -1,4 +1,114 @@
-"""Queries."""
-from tetraframe.plans.book import Book
+"""Queries over point clouds: coordinates, surfaces, spheres, scalar functions."""
 
-BOOK = Book()
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from tetraframe.functions import scalars as sc
+from tetraframe.operators import geometry as geo
+from tetraframe.operators import kinematics as kin
+from tetraframe.plans import fixtures as fx
+from tetraframe.plans.book import Book, r, rounded
+
+CENTER, RADIUS = (0.1, -0.05, 0.02), 0.3
+POLE, DORSAL = (0.5, 1.0, 0.2), (1.0, 0.1, -0.3)
+D = [f"(position_{a} - {c})" for a, c in zip("xyz", CENTER)]
+DIST = f"sqrt({' + '.join(f'{d} * {d}' for d in D)})"
+BOOK = Book(
+    cloud=fx.CLOUD, spots=fx.SPOTS, voxels=fx.VOXELS,
+    polar=f"polar AS (SELECT id, {DIST} AS radial_dist, degrees(acos(least(greatest(-{D[1]} / greatest({DIST}, 1e-10), -1.0), 1.0))) AS theta_deg, degrees(atan2({D[2]}, {D[0]})) AS phi_deg FROM cloud)",
+)
+a = BOOK.add
+
+
+def polar(s, f):
+    """The cloud with spherical coordinates."""
+    return geo.spherical_coordinates(fx.cloud(s, f), CENTER, RADIUS)
+
+
+a("sc1_spherical_coords", lambda s, f: rounded(polar(s, f).select("id", "radial_dist", "spherical_depth", "spherical_depth_norm", "theta_deg", "phi_deg")),
+  f"SELECT id, {r('radial_dist', f'{RADIUS} - radial_dist AS spherical_depth', f'({RADIUS} - radial_dist) / {RADIUS} AS spherical_depth_norm', 'theta_deg', 'phi_deg')} FROM polar", "cloud", "polar")
+LAND = "landmarks AS (SELECT * FROM (VALUES ('animal_pole', 0.0, -3.0, 0.5), ('dorsal', 2.0, 0.0, 0.0), ('margin', 1.0, 0.2, -2.0)) v(landmark, x, y, z))"
+BOOK.views["landmarks"] = LAND
+
+
+def landmarks(s, f):
+    """Angles of a few landmarks about the origin."""
+    rows = s.createDataFrame([("animal_pole", 0.0, -3.0, 0.5), ("dorsal", 2.0, 0.0, 0.0), ("margin", 1.0, 0.2, -2.0)], "landmark string, x double, y double, z double")
+    return rounded(rows.withColumns({k: v for k, v in sc.spherical(F.col("x"), F.col("y"), F.col("z"), F.lit(1.0)).items() if k.endswith("deg")}))
+
+
+a("sc2_landmark_angles", landmarks, f"SELECT landmark, x::DOUBLE AS x, y::DOUBLE AS y, z::DOUBLE AS z, {r('degrees(acos(-y / sqrt(x * x + y * y + z * z))) AS theta_deg', 'degrees(atan2(z, x)) AS phi_deg')} FROM landmarks", "landmarks")
+_R1, _R2 = geo.orientation((0.0, 0.0, 0.0), POLE, DORSAL)
+_R = _R2 @ _R1
+
+
+def turned(s, f):
+    """The cloud turned about its mean by fixed landmarks relative to it."""
+    d = fx.cloud(s, f)
+    return rounded(geo.rotated(d, _R, geo.mean_position(d)), 5)
+
+
+a("sc4_orient", turned, "SELECT id, frame, " + ", ".join(f"round({' + '.join(f'({float(_R[i, k])!r}) * (position_{c} - m{c})' for k, c in enumerate('xyz'))}, 5) + 0.0 AS position_{n}" for i, n in enumerate("xyz")) + " FROM cloud, (SELECT avg(position_x) AS mx, avg(position_y) AS my, avg(position_z) AS mz FROM cloud)", "cloud")
+a("sc3_rotation_matrix", lambda s, f: s.createDataFrame([(i, j, float(geo.rotation_matrix(POLE, (0, -1, 0))[i, j])) for i in range(3) for j in range(3)], "i int, j int, value double"))
+a("sc5_orient_affine_zyx", lambda s, f: s.createDataFrame([(i, j, float(geo.oriented_affine(_R)[i, j])) for i in range(4) for j in range(4)], "i int, j int, value double"))
+SURF = """box AS (SELECT min(u) AS lou, max(u) AS hiu, min(v) AS lov, max(v) AS hiv FROM uvw),
+cells AS (SELECT u, v, w, least(floor((u - lou) / ((hiu - lou) / 6)), 5)::INTEGER AS i, least(floor((v - lov) / ((hiv - lov) / 6)), 5)::INTEGER AS j FROM uvw, box),
+cuts AS (SELECT i, j, quantile_cont(w, 0.75) AS up, quantile_cont(w, 0.25) AS down FROM cells GROUP BY ALL HAVING count(*) >= 3),
+surf AS (SELECT 'upper' AS side, i, j, avg(u) AS u, avg(v) AS v, avg(w) AS w FROM cells JOIN cuts USING (i, j) WHERE w >= up GROUP BY i, j UNION ALL SELECT 'lower', i, j, avg(u), avg(v), avg(w) FROM cells JOIN cuts USING (i, j) WHERE w <= down GROUP BY i, j)"""
+BOOK.views["surface"] = "uvw AS (SELECT position_x AS u, position_y AS v, position_z AS w FROM cloud), " + SURF
+a("fit1_extract_surface", lambda s, f: rounded(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), f"SELECT side, i, j, {r('u', 'v', 'w')} FROM surf", "cloud", "surface")
+a("fit2_cap_guess", lambda s, f: rounded(geo.cap_guess(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), 4),
+  f"SELECT side, {r('r AS radius', chr(39).join(['CASE WHEN side = ', 'upper', ' THEN hi - r ELSE lo + r END AS center_w']), 'h AS cap_height', 'a AS cap_base_radius', digits=4)} FROM (SELECT *, (a * a + h * h) / (2 * h) AS r FROM (SELECT side, max(w) AS hi, min(w) AS lo, greatest(max(w) - min(w), 1.0) AS h, (max(u) - min(u) + max(v) - min(v)) / 4 AS a FROM surf GROUP BY side))", "cloud", "surface")
+
+
+def ball(s, f):
+    """The cloud's directions on a sphere of radius 50 about (10, 20, 30)."""
+    d = fx.cloud(s, f).withColumn("_r", sc.norm(*(F.col(c) for c in geo.XYZ)))
+    return d.withColumns({c: m + 50.0 * F.col(c) / F.col("_r") for c, m in zip(geo.XYZ, (10.0, 20.0, 30.0))}).drop("_r")
+
+
+a("fit4_fit_sphere", lambda s, f: geo.fit_sphere(ball(s, f), 0.9125))
+a("fit3_sphere_nls", lambda s, f: geo.fit_sphere(ball(s, f), 0.95).select("center_x", "center_y", "center_z", "radius", "rmse"))
+a("agg27_sphere_coverage", lambda s, f: rounded(geo.sphere_coverage(fx.cloud(s, f), CENTER, RADIUS)),
+  f"SELECT {r('CASE WHEN count(*) > 10 THEN count(DISTINCT (floor(theta_deg / 15), floor((phi_deg + 180.0) / 15))) / 288.0::DOUBLE ELSE 0.0 END AS coverage')} FROM polar WHERE radial_dist BETWEEN {0.5 * RADIUS} AND {1.5 * RADIUS}", "cloud", "polar")
+a("agg28_manual_sphere", lambda s, f: rounded(geo.manual_sphere(fx.cloud(s, f), CENTER)), f"SELECT {r('any_value(m) AS radius', 'sqrt(avg(pow(radial_dist - m, 2))) AS rmse')} FROM polar, (SELECT median(radial_dist) AS m FROM polar)", "cloud", "polar")
+for _mode, _lo, _hi in (("minmax", "lo", "hi"), ("symmetric", "-greatest(abs(q02), abs(q98))", "greatest(abs(q02), abs(q98))"), ("cap", "0.0", "q98")):
+    a(f"sc10_color_value_{_mode}", lambda s, f, m=_mode: rounded(geo.color_values(fx.cloud(s, f), "position_x", m)),
+      f"SELECT id, {r(f'CASE WHEN {_hi} > {_lo} THEN least(greatest((position_x - ({_lo})) / ({_hi} - ({_lo})), 0.0), 1.0) ELSE 0.5 END AS value')} FROM cloud, (SELECT min(position_x) AS lo, max(position_x) AS hi, quantile_cont(position_x, 0.02) AS q02, quantile_cont(position_x, 0.98) AS q98 FROM cloud)", "cloud")
+a("sc6_saturating_cast", lambda s, f: fx.spots(s, f).select("id", sc.saturating_uint16(F.col("position_x") * 300 - 1000).alias("v")), "SELECT id, trunc(least(greatest(position_x * 300 - 1000, 0), 65535))::INTEGER AS v FROM spots", "spots")
+a("sc7_minmax_stretch", lambda s, f: rounded(fx.spots(s, f).crossJoin(F.broadcast(fx.spots(s, f).agg(F.min("position_x").alias("lo"), F.max("position_x").alias("hi")))).select("id", sc.minmax_stretch(F.col("position_x"), F.col("lo"), F.col("hi"), 0.0, 255.0).alias("v"))),
+  f"SELECT id, {r('(position_x - lo) * 255.0 / (hi - lo) AS v')} FROM spots, (SELECT min(position_x) AS lo, max(position_x) AS hi FROM spots)", "spots")
+a("sc8_percentile_window", lambda s, f: rounded(fx.spots(s, f).crossJoin(F.broadcast(fx.spots(s, f).agg(F.percentile("position_x", F.lit([0.02, 0.98])).alias("q")))).select("id", sc.percentile_window(F.col("position_x"), F.col("q")[0], F.col("q")[1]).alias("v"))),
+  f"SELECT id, {r('greatest(least(position_x, h) - l, 0.0) AS v')} FROM spots, (SELECT quantile_cont(position_x, 0.02) AS l, quantile_cont(position_x, 0.98) AS h FROM spots)", "spots")
+a("sc9_hash_color", lambda s, f: fx.spots(s, f).select("id", sc.hash_color(F.col("id") * 5_000_001).alias("color")), "SELECT id, ((id * 5000001)::HUGEINT * 2654435761 % 251 + 5)::INTEGER AS color FROM spots", "spots")
+a("sc11_lut_scale", lambda s, f: fx.spots(s, f).select("id", sc.lut_value(F.when(F.col("id") % 7 > 0, F.col("position_x")), F.lit(50.0), F.lit(400.0)).alias("lut"), sc.lut_flag(F.col("id") % 3 == 0).alias("flag")),
+  "SELECT id, CASE WHEN id % 7 = 0 THEN 20 ELSE round_even(5 + 250 * least(greatest((position_x - 50) / 350, 0.0), 1.0), 0) END::INTEGER AS lut, CASE WHEN id % 3 = 0 THEN 240 ELSE 20 END AS flag FROM spots", "spots")
+a("sc12_slider_bounds", lambda s, f: rounded(fx.spots(s, f).select("id", sc.slider_top(F.col("position_x") / 4).alias("top"))), f"SELECT id, {r('CASE WHEN position_x / 4 <= 5 THEN ceil(position_x / 4 * 10) / 10 WHEN position_x / 4 <= 50 THEN ceil(position_x / 4) ELSE ceil(position_x / 4 / 10) * 10 END AS top')} FROM spots", "spots")
+a("sc14_format_tp", lambda s, f: fx.spots(s, f).select("frame").distinct().select("frame", sc.timepoint_name(F.col("frame")).alias("name")), "SELECT DISTINCT frame, printf('t%04d', frame) AS name FROM spots", "spots")
+a("sc15_sanitize_path", lambda s, f: s.createDataFrame([("a\\b/c//",), ("/x/y",), ("z/",)], "path string").select("path", sc.sanitize_path(F.col("path")).alias("clean")), "SELECT path, regexp_replace(replace(path, chr(92), ''), '/+$', '') AS clean FROM (VALUES ('a' || chr(92) || 'b/c//'), ('/x/y'), ('z/')) v(path)")
+UNITS = [(748.0, "nm"), (0.002, "mm"), (3.0, "um"), (400000.0, "pm")]
+a("sc16_unit_convert", lambda s, f: rounded(s.createDataFrame(UNITS, "size double, unit string").select("size", "unit", sc.micrometres(F.col("size"), F.col("unit")).alias("um"))),
+  f"SELECT size::DOUBLE AS size, unit, {r(chr(39).join(['CASE unit WHEN ', 'nm', ' THEN size * 1e-3 WHEN ', 'mm', ' THEN size * 1e3 WHEN ', 'pm', ' THEN size * 1e-6 ELSE size END AS um']))} FROM (VALUES {', '.join(f'({x}::DOUBLE, {chr(39)}{u}{chr(39)})' for x, u in UNITS)}) v(size, unit)")
+a("sc16_resolution_convert", lambda s, f: rounded(s.createDataFrame([(67933.6, "inch"), (26737.9, "cm"), (0.0, "cm")], "res double, unit string").select("res", "unit", sc.resolution_to_micrometres(F.col("res"), F.col("unit")).alias("um"))),
+  f"SELECT res::DOUBLE AS res, unit, {r(chr(39).join(['CASE WHEN res > 0 THEN CASE WHEN unit = ', 'inch', ' THEN 25400.0 ELSE 10000.0 END / res END AS um']))} FROM (VALUES (67933.6::DOUBLE, 'inch'), (26737.9, 'cm'), (0.0, 'cm')) v(res, unit)")
+a("sc17_safe_ratio", lambda s, f: rounded(fx.spots(s, f).select("id", sc.safe_ratio(F.col("position_x"), F.col("position_z")).alias("ratio"))), f"SELECT id, {r('CASE WHEN position_z <> 0 THEN position_x / position_z ELSE 0.0 END AS ratio')} FROM spots", "spots")
+a("sc18_voxel_scale", lambda s, f: rounded(fx.spots(s, f).where("position_z > 0").select("id", sc.scaled_voxel(F.lit(0.374), F.col("position_z")).alias("size"))), f"SELECT id, {r('0.374::DOUBLE / position_z AS size')} FROM spots WHERE position_z > 0", "spots")
+a("sc19_frame_to_index", lambda s, f: fx.spots(s, f).select("id", sc.frame_to_index(F.col("frame"), 100, 300).alias("i")), "SELECT id, least(greatest(frame - 100, 0), 299)::INTEGER AS i FROM spots", "spots")
+
+
+def section(s, f):
+    """Circles that planes cut from a sphere of radius 10."""
+    rows = s.createDataFrame([(0.0,), (6.0,), (10.0,)], "d double").withColumn("rad", sc.section_radius(10.0, F.col("d"))).where("rad IS NOT NULL").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(199))))
+    x, y = sc.section_point(F.col("rad"), F.col("k"))
+    return rounded(rows.select("d", "k", x.alias("x"), y.alias("y")))
+
+
+a("sc20_sphere_section", section, f"SELECT d::DOUBLE AS d, k::INTEGER AS k, {r(f'sqrt(100 - d * d) * cos(k * {2 * math.pi / 199!r}) AS x', f'sqrt(100 - d * d) * sin(k * {2 * math.pi / 199!r}) AS y')} FROM (VALUES (0.0), (6.0), (10.0)) v(d), range(200) r(k) WHERE abs(d) < 10")
+a("sc21_cap_mesh", lambda s, f: rounded(geo.cap_mesh(polar(s, f).select("theta_deg"), CENTER, RADIUS, 5, 8)),
+  f"SELECT i::INTEGER AS i, j::INTEGER AS j, {r(f'{CENTER[0]} + {RADIUS} * sin(top * i / 4.0) * cos(j * {2 * math.pi / 8!r}) AS x', f'({CENTER[1]}) - {RADIUS} * cos(top * i / 4.0) AS y', f'{CENTER[2]} + {RADIUS} * sin(top * i / 4.0) * sin(j * {2 * math.pi / 8!r}) AS z')} FROM (SELECT radians(quantile_cont(theta_deg, 0.95)) AS top FROM polar), range(5) a(i), range(8) b(j)", "cloud", "polar")
+a("sc21_cap_triangles", lambda s, f: geo.cap_triangles(s, 3, 4), "SELECT i * 4 + j AS a, (i + 1) * 4 + j AS b, i * 4 + (j + 1) % 4 AS c FROM range(2) x(i), range(4) y(j) UNION ALL SELECT i * 4 + (j + 1) % 4, (i + 1) * 4 + j, (i + 1) * 4 + (j + 1) % 4 FROM range(2) x(i), range(4) y(j)")
+a("flt18_sane_voxel", lambda s, f: rounded(fx.spots(s, f).select("id", sc.sane_voxel(F.col("position_x") / 3, 0.374).alias("v"))), f"SELECT id, {r('CASE WHEN position_x / 3 > 0.05 AND position_x / 3 < 100 THEN position_x / 3 ELSE 0.374 END AS v')} FROM spots", "spots")
+a("jn7_label_lut_colors", lambda s, f: kin.first_point(fx.spots(s, f)).select("track_id", sc.hash_color(F.col("track_id")).alias("color")), "SELECT DISTINCT track_id, (track_id::HUGEINT * 2654435761 % 251 + 5)::INTEGER AS color FROM spots WHERE track_id IS NOT NULL", "spots")
