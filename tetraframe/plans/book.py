@@ -20,7 +20,10 @@ class Book:
         """Register a query; sql may use the views named."""
         self.queries[name] = query
         if sql is not None:
-            self.oracles[name] = ("WITH RECURSIVE " + ", ".join(self.views[v] for v in views) + ("\n" if sql.lstrip().startswith(",") else "\n") + sql.strip()) if views else sql.strip()
+            sql, front = sql.strip(), ", ".join(self.views[v] for v in views)
+            if front:
+                sql = f"WITH {front}, {sql[5:]}" if sql.startswith("WITH ") else f"WITH {front}\n{sql}"
+            self.oracles[name] = sql
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -1,4 +1,54 @@
-"""Queries."""
-from tetraframe.plans.book import Book
+"""Queries over volume transforms."""
 
-BOOK = Book()
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tetraframe.operators import volumes as vo
+from tetraframe.operators.geometry import rotation_matrix
+from tetraframe.plans import fixtures as fx
+from tetraframe.plans.book import Book, r, rounded
+
+SHAPE = (fx.NZ, fx.NY, fx.NX)
+LEVELS = """levels AS (SELECT t, z, greatest({level}, 1e-6) AS level FROM voxels GROUP BY 1, 2),
+smooth AS (SELECT a.t, a.z, avg(b.level) AS level FROM (SELECT t, z, least(greatest(z + d, 0), 15) AS s FROM levels, range(-{p}, {q}) w(d)) a JOIN levels b ON a.t = b.t AND a.s = b.z GROUP BY 1, 2),
+target AS (SELECT t, median(level) AS m FROM smooth GROUP BY 1)"""
+BOOK = Book(voxels=fx.VOXELS, p99=LEVELS.format(level="quantile_cont(value, 0.99)", p=4, q=5), mean=LEVELS.format(level="avg(value)", p=4, q=5))
+a = BOOK.add
+
+
+def on(f):
+    """A query that applies f to the voxels."""
+    return lambda s, sf: f(fx.voxels(s, sf))
+
+
+CUT = "trunc(least(greatest({x}, 0), 65535))::INTEGER"
+a("vol1_depth_correction", on(lambda v: vo.depth_correction(v).select("t", "z", "y", "x", "corrected")), "SELECT t, z, y, x, " + CUT.format(x="value * least(greatest(m / level, 0.25), 4.0)") + " AS corrected FROM voxels JOIN smooth USING (t, z) JOIN target USING (t)", "voxels", "p99")
+a("vol1_depth_scale_mean", on(lambda v: rounded(vo.depth_correction(v, None, 8).select("t", "z", "scale").distinct())), f"SELECT t, z, {r('least(greatest(m / level, 0.25), 4.0) AS scale')} FROM smooth JOIN target USING (t)", "voxels", "mean")
+a("vol10_z_corr_diag", on(lambda v: rounded(vo.depth_correction_damped(v, 3000.0))), f"SELECT t, z, {r('1 + (least(m / level, 4.0) - 1) * least(level / 3000.0, 1.0) AS scale')} FROM smooth JOIN target USING (t)", "voxels", "mean")
+a("win21_z_level_smooth", on(lambda v: rounded(vo.z_level_smooth(v.groupBy("t", "z").agg(F.avg("value").alias("level")), 8))), f"SELECT t, z, {r('level')} FROM smooth", "voxels", "mean")
+a("vol2_planar_correction", on(lambda v: vo.planar_correction(v, 4.0).select("t", "z", "y", "x", "corrected")))
+a("vol9_shading_diag", on(lambda v: vo.shading_field(v, 4.0)))
+TAPS = "taps AS (SELECT i, s, least(floor(s), 14)::INTEGER AS lo FROM (SELECT i, least(greatest({s}, 0.0), 15.0) AS s FROM range({n}) q(i))), mixed AS (SELECT i, lo AS z, 1 - (s - lo) AS w FROM taps UNION ALL SELECT i, lo + 1, s - lo FROM taps)"
+BOOK.views["taps_iso"] = TAPS.format(s="(i + 0.5) * 0.5::DOUBLE - 0.5", n=32)
+BOOK.views["taps_corner"] = TAPS.format(s="i * 15.0::DOUBLE / 23", n=24)
+LINEAR = f"SELECT t, i::INTEGER AS z, y, x, {r('sum(value * w) AS value')} FROM voxels JOIN mixed USING (z) GROUP BY t, i, y, x"
+a("vol3_isotropic_order1", on(lambda v: rounded(vo.isotropic(v, SHAPE, (0.748, 0.374, 0.374), 0.374, 1))), LINEAR, "voxels", "taps_iso")
+a("vol3_isotropic_cubic", on(lambda v: vo.isotropic(v.where("t = 1"), SHAPE, (0.748, 0.374, 0.374), 0.5, 3)))
+a("vol4_reslice_linear_z", on(lambda v: rounded(vo.resliced_linear(v, fx.NZ, 24))), LINEAR, "voxels", "taps_corner")
+a("vol5_downscale_xy", on(lambda v: vo.rescaled_xy(v, fx.NY, fx.NX, 0.5)))
+a("vol6_export_raw_iso", on(lambda v: vo.raw_isotropic(v.where("t = 1"), SHAPE, 0.5, 20)))
+a("vol8_camera_bg_subtract", on(lambda v: rounded(vo.camera_background_subtract(v.withColumn("value", F.col("value") + F.col("x")), 0.3).select("t", "z", "y", "x", "corrected"))),
+  f"WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) SELECT t, z, y, x, {r('greatest(value - q, 0.0) AS corrected')} FROM v2 JOIN (SELECT t, z, quantile_cont(value, 0.3) AS q FROM v2 GROUP BY 1, 2) USING (t, z)", "voxels")
+a("vol11_local_noise", on(lambda v: vo.local_noise(v)))
+a("vol12_slab_projection_max", on(lambda v: vo.slab_projection(v, "z", 4, 9)), "SELECT t, y, x, max(value) AS value FROM voxels WHERE z BETWEEN 4 AND 9 GROUP BY 1, 2, 3", "voxels")
+a("vol12_slab_projection_mean", on(lambda v: rounded(vo.slab_projection(v, "y", 4, 9, "mean"))), f"SELECT t, z, x, {r('avg(value) AS value')} FROM voxels WHERE y BETWEEN 4 AND 9 GROUP BY 1, 2, 3", "voxels")
+_R = rotation_matrix((1.0, 0.2, 0.1), (1.0, 0.0, 0.0))
+_L = ("((k - 1.0) * {0} + (i - 7.5) * {1} + (j - 7.5) * {2} + {3})").format
+_AT = [f"round_even({_L(*(repr(float(v)) for v in _R.T[row]), c)}, 0)::INTEGER AS {n}" for row, (c, n) in enumerate(zip((8.0, 12.0, 12.0), "zyx"))]
+a("vol13_oriented_slab", on(lambda v: vo.oriented_slab(v, _R, (8.0, 12.0, 12.0), 16, 3)), f"SELECT t, i::INTEGER AS i, j::INTEGER AS j, max(value) AS value FROM voxels JOIN (SELECT i, j, {', '.join(_AT)} FROM range(3) a(k), range(16) b(i), range(16) c(j)) USING (z, y, x) GROUP BY t, i, j", "voxels")
+a("vol19_convert_uint8", on(lambda v: vo.as_uint8(v).select("t", "z", "y", "x", "byte")), "SELECT t, z, y, x, trunc(least(greatest((value - l) * 255.0 / greatest(h - l, 1e-9), 0), 255))::INTEGER AS byte FROM voxels JOIN (SELECT t, quantile_cont(value, 0.01) AS l, quantile_cont(value, 0.99) AS h FROM voxels GROUP BY 1) USING (t)", "voxels")
+a("vol21_normalise_p999", on(lambda v: rounded(vo.normalised(v).select("t", "z", "y", "x", "norm"))), f"SELECT t, z, y, x, {r('least(greatest(value / q, 0.0), 1.0) AS norm')} FROM voxels JOIN (SELECT t, quantile_cont(value, 0.999) FILTER (WHERE value > 0) AS q FROM voxels GROUP BY 1) USING (t)", "voxels")
+a("snk4_write_hyperstack", on(lambda v: vo.padded_hyperstack(v.where("z < 16 - t"), True)), "SELECT s.t, s.z, 23 - s.y AS y, s.x, CASE WHEN s.z < 16 - s.t THEN s.value ELSE 0 END AS value FROM voxels s WHERE s.z < 15", "voxels")
+a("snk5_write_bdv", on(vo.pyramid), " UNION ALL ".join(f"SELECT {k} AS level, t, z // {f} AS z, y // {f} AS y, x // {f} AS x, value FROM voxels WHERE z % {f} = 0 AND y % {f} = 0 AND x % {f} = 0" for k, f in enumerate((1, 2, 4))), "voxels")
+a("win22_cells_along_z", on(lambda v: v.where("label > 0").groupBy("t").agg(*(F.count_if(c).alias(n) for n, c in (("shallow", F.col("z") < 4), ("mid", F.col("z").between(4, 11)), ("deep", F.col("z") >= 12))))), "SELECT t, count(*) FILTER (WHERE z < 4) AS shallow, count(*) FILTER (WHERE z BETWEEN 4 AND 11) AS mid, count(*) FILTER (WHERE z >= 12) AS deep FROM voxels WHERE label > 0 GROUP BY 1", "voxels")
