@@ -1,4 +1,71 @@
-"""Queries."""
-from tetraframe.plans.book import Book
+"""Queries over stages, benchmarks and the tables behind plots."""
 
-BOOK = Book()
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tetraframe.operators import image as im
+from tetraframe.operators import joins as jn
+from tetraframe.operators import kinematics as kin
+from tetraframe.operators import labels as lb
+from tetraframe.operators import reports as rep
+from tetraframe.plans import fixtures as fx
+from tetraframe.plans.book import Book, r, rounded
+from tetraframe.plans.spot_queries import SMOOTHED, STRAIGHT, LAG
+
+BOOK = Book(stages=fx.STAGES, metrics=fx.METRICS, voxels=fx.VOXELS, spots=fx.SPOTS, lagged=LAG, straight=STRAIGHT, smoothed=SMOOTHED)
+a = BOOK.add
+METRICS = ["preproc_snr", "preproc_sharpness", "seg_n_cells", "seg_mean_elongation"]
+W = "WINDOW w AS (ORDER BY stage_name)"
+
+
+def stages(f):
+    return lambda s, sf: f(fx.stages(s, sf))
+
+
+def metrics(f):
+    return lambda s, sf: f(fx.metrics(s, sf))
+
+
+def voxels(f):
+    return lambda s, sf: f(fx.voxels(s, sf))
+
+
+DELTA = f"SELECT stage_name, total_nuclei, total_nuclei - lag(total_nuclei) OVER w AS delta, {r('100.0::DOUBLE * (total_nuclei - lag(total_nuclei) OVER w) / lag(total_nuclei) OVER w AS delta_pct')}, total_nuclei - first_value(total_nuclei) OVER w AS cumulative FROM stages {W}"
+a("win19_stage_delta", stages(lambda d: rounded(rep.stage_delta(d))), DELTA, "stages")
+a("rpt6_gain_loss", stages(lambda d: rounded(rep.stage_delta(d)).select("stage_name", "delta", "delta_pct")), f"SELECT stage_name, delta, delta_pct FROM ({DELTA})", "stages")
+a("win20_stage_alerts", stages(rep.stage_alerts),
+  f"""SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages {W}),
+  LATERAL (SELECT unnest([CASE WHEN (n - pn) * 100.0 / pn < -5 THEN 'LOSS' END, CASE WHEN (n - pn) * 100.0 / pn > 15 THEN 'GAIN' END, CASE WHEN (median_volume - pv) / pv > 0.2 THEN 'GROWING' WHEN (median_volume - pv) / pv < -0.2 THEN 'SHRINKING' END,
+  CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL""", "stages")
+a("snk9_stage_csv", stages(lambda d: rounded(d.orderBy("stage_name"))), f"SELECT stage_name, total_nuclei, {r('median_volume', 'mean_volume', 'small_fraction', 'large_fraction', 'z_coverage')} FROM stages", "stages")
+a("rpt3_count_bars", stages(lambda d: d.select("stage_name", "total_nuclei")), "SELECT stage_name, total_nuclei FROM stages", "stages")
+a("rpt4_volume_summaries", stages(lambda d: rounded(d.select("stage_name", "median_volume", "mean_volume"))), f"SELECT stage_name, {r('median_volume', 'mean_volume')} FROM stages", "stages")
+a("rpt5_z_coverage", stages(lambda d: rounded(d.select("stage_name", "z_coverage"))), f"SELECT stage_name, {r('z_coverage')} FROM stages", "stages")
+a("rpt8_text_report", stages(lambda d: rep.stage_delta(d).select("stage_name", F.concat_ws(" ", "stage_name", F.col("total_nuclei").cast("string"), F.coalesce(F.col("delta").cast("string"), F.lit("-"))).alias("line"))),
+  f"SELECT stage_name, concat_ws(' ', stage_name, total_nuclei::VARCHAR, coalesce((total_nuclei - lag(total_nuclei) OVER w)::VARCHAR, '-')) AS line FROM stages {W}", "stages")
+a("agg23_benchmark_summary", metrics(lambda d: rounded(rep.benchmark_summary(d, METRICS))), f"SELECT experiment, {r(*(f'avg({m}) AS {m}' for m in METRICS))} FROM metrics GROUP BY 1", "metrics")
+PIVOT = ", ".join(f'round(avg(value) FILTER (WHERE experiment = \'{e}\'), 6) + 0.0 AS "{e}"' for e in "FOP")
+a("agg23_benchmark_pivot", metrics(lambda d: rounded(rep.benchmark_pivot(d, METRICS, list("FOP")))), f"SELECT metric, {PIVOT} FROM ({' UNION ALL '.join(f'SELECT experiment, {chr(39)}{m}{chr(39)} AS metric, {m} AS value FROM metrics' for m in METRICS)}) GROUP BY 1", "metrics")
+a("agg24_elongation_by_tp", metrics(lambda d: rounded(rep.elongation_by_timepoint(d, list("FOP")))), f"SELECT timepoint, {PIVOT.replace('value', 'seg_mean_elongation')} FROM metrics GROUP BY 1", "metrics")
+a("rpt10_interpretation", metrics(lambda d: rep.interpretation(d).select("experiment", "timepoint", "elongation_verdict")), "SELECT experiment, timepoint, CASE WHEN seg_mean_elongation < 0.7 THEN 'flattened' WHEN seg_mean_elongation > 1.5 THEN 'stretched' ELSE 'ok' END AS elongation_verdict FROM metrics", "metrics")
+a("jn9_raw_vs_processed", metrics(lambda d: rounded(jn.raw_vs_processed(d.where("experiment = 'F'").drop("experiment"), d.where("experiment = 'O'")).select("timepoint", "raw_snr", "snr_improvement", "sharpness_improvement"))),
+  f"SELECT timepoint, {r('o.preproc_snr AS raw_snr', 'f.preproc_snr / o.preproc_snr AS snr_improvement', 'CASE WHEN o.preproc_sharpness IS NOT NULL THEN CASE WHEN o.preproc_sharpness = 0 THEN 0 ELSE f.preproc_sharpness / o.preproc_sharpness END END AS sharpness_improvement')} FROM (SELECT * FROM metrics WHERE experiment = 'F') f LEFT JOIN (SELECT * FROM metrics WHERE experiment = 'O') o USING (timepoint)", "metrics")
+SLICE = "FROM voxels GROUP BY 1, 2"
+a("rpt2_nuclei_per_slice", voxels(lb.cells_per_slice), f"SELECT t, z, count(DISTINCT CASE WHEN label > 0 THEN label END) AS cells {SLICE}", "voxels")
+a("rpt7_shallow_mid_deep", voxels(lambda v: rounded(lb.cells_per_slice(v).groupBy("t").agg(*(F.avg(F.when(c, F.col("cells"))).alias(n) for n, c in (("shallow", F.col("z") < 4), ("mid", F.col("z").between(4, 11)), ("deep", F.col("z") >= 12)))))),
+  f"SELECT t, {r('avg(cells) FILTER (WHERE z < 4) AS shallow', 'avg(cells) FILTER (WHERE z BETWEEN 4 AND 11) AS mid', 'avg(cells) FILTER (WHERE z >= 12) AS deep')} FROM (SELECT t, z, count(DISTINCT CASE WHEN label > 0 THEN label END) AS cells {SLICE}) GROUP BY 1", "voxels")
+a("rpt9_diagnostic_report", voxels(lambda v: rounded(im.dynamic_range_info(v).select("t", "p1", "p99", "frac_zero"))), f"SELECT t, {r('quantile_cont(value, 0.01) AS p1', 'quantile_cont(value, 0.99) AS p99', 'avg((value = 0)::INTEGER) AS frac_zero')} FROM voxels GROUP BY 1", "voxels")
+a("snk10_stage_metrics_csv", voxels(lambda v: rounded(im.image_stats(v).join(im.z_uniformity(v), "t"))),
+  f"SELECT t, min, max, {r('mean', 'p01', 'p50', 'p99', 'frac_zero', 'z_uniformity')} FROM (SELECT t, min(value) AS min, max(value) AS max, avg(value) AS mean, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.99) AS p99, avg((value = 0)::INTEGER) AS frac_zero FROM voxels GROUP BY 1) JOIN (SELECT t, stddev_pop(m) / avg(m) AS z_uniformity FROM (SELECT t, z, avg(value) AS m {SLICE}) GROUP BY 1) USING (t)", "voxels")
+HIST = """SELECT k::INTEGER AS bin, round(lo + k * (hi - lo) / b, 6) + 0.0 AS "left", round(lo + (k + 1) * (hi - lo) / b, 6) + 0.0 AS "right", coalesce(c, 0)::BIGINT AS n FROM (SELECT *, unnest(range(b)) AS k FROM ends) LEFT JOIN (SELECT least(floor((v - lo) / ((hi - lo) / b)), b - 1)::INTEGER AS k, count(*) AS c FROM vs, ends WHERE v BETWEEN lo AND hi GROUP BY 1) USING (k)"""
+
+
+def selection(s, sf):
+    return kin.selection_metrics(fx.spots(s, sf), 4, 5, 0.5)
+
+
+a("rpt1_selection_histograms", lambda s, sf: rounded(rep.histogram(selection(s, sf), "straightness", 20, 3, 0.0, 1.0)),
+  "WITH vs AS (SELECT straightness AS v FROM straight WHERE straightness IS NOT NULL), ends AS (SELECT 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, least(20, greatest(3, floor(sqrt(count(*)))))::INTEGER AS b FROM vs) " + HIST, "spots", "straight")
+a("rpt1_length_histogram", lambda s, sf: rounded(rep.histogram(selection(s, sf), "minutes", 40, 5)),
+  "WITH vs AS (SELECT ((max(frame) - min(frame)) * 0.5)::DOUBLE AS v FROM spots WHERE track_id IS NOT NULL GROUP BY track_id), ends AS (SELECT min(v) AS lo, max(v) AS hi, least(40, greatest(5, floor(sqrt(count(*)))))::INTEGER AS b FROM vs) " + HIST, "spots")

@@ -1,4 +1,168 @@
-"""Queries."""
-from tetraframe.plans.book import Book
+"""Queries over sources and sinks: views are written in a source's format and read again."""
 
-BOOK = Book()
+from __future__ import annotations
+
+import json
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tetraframe.functions import scalars as sc
+from tetraframe.operators import filters as fl
+from tetraframe.operators import joins as jn
+from tetraframe.plans import fixtures as fx
+from tetraframe.plans.book import Book, r, rounded
+from tetraframe.sources import readers as rd
+from tetraframe.sources import writers as wr
+from tetraframe.streaming.speeds import streamed_speeds
+
+BOOK = Book(spots=fx.SPOTS, voxels=fx.VOXELS, names=fx.NAMES_SQL, metrics=fx.METRICS)
+a = BOOK.add
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or, in local sessions without it, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        base = tempfile.mkdtemp(prefix="tetraframe-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def texts(df: DataFrame) -> DataFrame:
+    return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
+
+
+def trackmate_csv(spark: SparkSession, sf: str) -> str:
+    """Spots as an export with three rows of units under the header, and some cells that are no numbers."""
+    s = fx.spots(spark, sf)
+    rows = texts(s.select(F.concat(F.lit("ID"), "id").alias("LABEL"), F.col("id").alias("ID"), F.col("track_id").alias("TRACK_ID"), F.when(F.col("id") % 50 != 0, F.col("position_x")).alias("POSITION_X"), F.col("position_y").alias("POSITION_Y"), F.col("position_z").alias("POSITION_Z"), F.col("frame").alias("FRAME")))
+    rows = rows.withColumn("POSITION_X", F.coalesce("POSITION_X", F.lit("n/a")))
+    units = spark.createDataFrame([(f"L{k}", f"u{k}", f"u{k}", f"(px{k})", f"(py{k})", f"(pz{k})", f"f{k}") for k in range(3)], rows.schema)
+    path = folder(spark, "trackmate")
+    # One file, so that the rows of units come first.
+    units.withColumn("_o", F.lit(0)).unionByName(rows.withColumn("_o", F.lit(1))).coalesce(1).sortWithinPartitions("_o", "ID").drop("_o").write.csv(path, header=True)
+    return path
+
+
+def ultrack_csv(spark: SparkSession, sf: str) -> str:
+    """Spots as a track table with parents."""
+    s = fx.spots(spark, sf).where("track_id IS NOT NULL")
+    path = folder(spark, "ultrack")
+    s.select("track_id", F.col("frame").alias("t"), F.col("position_z").alias("z"), F.col("position_y").alias("y"), F.col("position_x").alias("x"), "id", F.when(F.col("track_id") > 100, F.col("track_id") - 100).alias("parent_track_id")).write.csv(path, header=True)
+    return path
+
+
+LOADED = "SELECT 'ID' || id AS label, id, track_id, position_x, position_y, position_z, frame FROM spots WHERE id % 50 <> 0"
+a("src1_scan_trackmate", lambda s, f: rounded(rd.scan_trackmate(s, trackmate_csv(s, f))), f"SELECT 'ID' || id AS label, id, track_id, {r('CASE WHEN id % 50 <> 0 THEN position_x END AS position_x', 'position_y', 'position_z')}, frame FROM spots", "spots")
+a("src2_scan_ultrack", lambda s, f: rounded(rd.scan_ultrack(s, ultrack_csv(s, f))), f"SELECT track_id, frame, {r('position_z', 'position_y', 'position_x')}, id, CASE WHEN track_id > 100 THEN track_id - 100 END AS parent_track_id FROM spots WHERE track_id IS NOT NULL", "spots")
+a("src3_sniff_format", lambda s, f: s.createDataFrame([("a", rd.sniff_format(s, trackmate_csv(s, f))), ("b", rd.sniff_format(s, ultrack_csv(s, f)))], "file string, format string"), "SELECT * FROM (VALUES ('a', 'trackmate'), ('b', 'ultrack')) v(file, format)")
+a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f))), LOADED, "spots")
+
+
+def tiff_like(s: SparkSession, f: str) -> DataFrame:
+    """Volumes as raw arrays, one file a time point, decoded again."""
+    path = folder(s, "raw")
+    v = fx.voxels(s, f).where("t <= 2")
+
+    def encode(pdf):
+        import numpy as np
+        import pandas as pd
+
+        out = np.zeros((fx.NZ, fx.NY, fx.NX), "<u2")
+        out[pdf["z"], pdf["y"], pdf["x"]] = pdf["value"]
+        return pd.DataFrame({"t": [int(pdf["t"].iat[0])], "data": [out.tobytes()]})
+
+    v.groupBy("t").applyInPandas(encode, "t int, data binary").write.parquet(path)
+    packed = s.read.parquet(path)
+
+    def decode(batches):
+        import numpy as np
+        import pandas as pd
+
+        for pdf in batches:
+            for t, d in zip(pdf["t"], pdf["data"]):
+                a = np.frombuffer(d, "<u2").reshape(fx.NZ, fx.NY, fx.NX)
+                z, y, x = np.mgrid[: fx.NZ, : fx.NY, : fx.NX]
+                yield pd.DataFrame({"t": t, "z": z.ravel(), "y": y.ravel(), "x": x.ravel(), "value": a.ravel().astype("int32")})
+
+    return packed.mapInPandas(decode, "t int, z int, y int, x int, value int")
+
+
+a("src5_scan_tiff_volume", tiff_like, "SELECT t, z, y, x, value FROM voxels WHERE t <= 2", "voxels")
+a("src6_scan_hyperstack", lambda s, f: rd.reshaped_hyperstack(s.range(28).select(F.col("id").cast("int").alias("page")), 4, 7), "SELECT i::INTEGER AS page, (i // 4)::INTEGER AS t, (i % 4)::INTEGER AS z FROM range(28) q(i)")
+a("src7_image_layout", lambda s, f: s.createDataFrame([(len(x), rd.image_layout(x, False)) for x in ((4, 5, 6), (2, 4, 5, 6), (1, 2, 4, 5, 6))], "axes int, layout string"), "SELECT * FROM (VALUES (3, 'ZYX'), (4, 'CZYX'), (5, 'TCZYX')) v(axes, layout)")
+META = [(1, '<Pixels PhysicalSizeX="374" PhysicalSizeXUnit="nm" PhysicalSizeY="374" PhysicalSizeZ="748"/>'), (2, '{"x_um": 0.4, "y_um": 0.4, "z_um": 2.0}'), (3, "none")]
+a("src8_voxel_metadata", lambda s, f: rounded(rd.voxel_metadata(s.createDataFrame(META, "id int, meta string"))), "SELECT id, x::DOUBLE AS x_um, x::DOUBLE AS y_um, z::DOUBLE AS z_um FROM (VALUES (1, 0.374, 0.748), (2, 0.4, 2.0), (3, NULL, NULL)) v(id, x, z)")
+a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
+a("src10_split_timepoints", lambda s, f: written_volumes(s, f).where("t = 3").select("z", "y", "x", "value"), "SELECT z, y, x, value FROM voxels WHERE t = 3", "voxels")
+
+
+def written_volumes(s: SparkSession, f: str) -> DataFrame:
+    path = folder(s, "volumes")
+    wr.write_volumes(fx.voxels(s, f), path)
+    return rd.scan_volumes(s, path)
+
+
+a("src11_scan_zarr", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
+ORDERED = "row_number() OVER (ORDER BY CASE WHEN regexp_matches(name, '[0-9]+[.][^.]*$') THEN 0 ELSE 1 END, nullif(regexp_extract(name, '([0-9]+)[.][^.]*$', 1), '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
+a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
+a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s)), f"SELECT name, {ORDERED} FROM names", "names")
+a("src13_stack_timepoints", lambda s, f: rd.stack_timepoints([fx.voxels(s, f).where(f"t = {k}").select("z", "y", "x", "value") for k in (1, 2)], 2), "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS y, x // 2 AS x, value FROM voxels WHERE t <= 2 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0", "voxels")
+
+
+def stage_files(s: SparkSession, f: str) -> DataFrame:
+    path = folder(s, "stages")
+    rows = [(json.dumps({"stage_name": f"s{k}", "per_slice_stats": {"n_labels": [k, k + 1, 2 * k]}}),) for k in range(3)]
+    s.createDataFrame(rows, "value string").repartition(3).write.text(path)
+    return rd.load_stage_results(s, path)
+
+
+a("src14_load_stage_json", lambda s, f: rd.stage_slices(stage_files(s, f)), "SELECT 's' || k AS stage_name, z::INTEGER AS z, CASE z WHEN 0 THEN k WHEN 1 THEN k + 1 ELSE 2 * k END AS n_labels FROM range(3) a(k), range(3) b(z)")
+LISTING = [(1, "preprocessed", "a1"), (1, "segmented", "b1"), (2, "segmented", "b2"), (3, "cropped", "c3"), (3, "preprocessed", "a3")]
+a("src15_discover_results", lambda s, f: rd.discover_results(s.createDataFrame(LISTING, "timepoint int, kind string, name string")), "SELECT * FROM (VALUES (1, 'a1', 'b1', NULL), (2, NULL, 'b2', NULL), (3, 'a3', NULL, 'c3')) v(timepoint, preprocessed, segmented, cropped)")
+TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p in (r"--T([0-9]{4,5})\.", r"(?i)^t([0-9]{3,5})[_.]", r"(?i)tp([0-9]+)", r"_T([0-9]+)", r"(?i)frame([0-9]+)", r"_([0-9]+)\.[^.]+$")) + ")::INTEGER"
+a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
+a("src17_load_config", lambda s, f: s.createDataFrame([(c.input_dir, c.max_timepoints, c.channel) for c in [rd.load_config('﻿{"input_dir": "a\\ b", "max_timepoints": 5, "other": 1}')]], "input_dir string, max_timepoints int, channel int"), "SELECT 'a b' AS input_dir, 5 AS max_timepoints, 0 AS channel")
+a("src18_resolve_channel", lambda s, f: s.createDataFrame([(w, n, rd.resolve_channel(w, n)) for w, n in ((0, 1), (1, 3), (3, 3))], "wanted int, channels int, found int"), "SELECT * FROM (VALUES (0, 1, 0), (1, 3, 0), (3, 3, 2)) v(wanted, channels, found)")
+SIZES = [(1, 0.374, 0.374, 0.748, 2.0, 2.0, 1.0), (2, None, 0.4, 0.8, 2.5, 2.0, 3.0), (3, None, None, None, 0.0, None, None)]
+SIZE_COLUMNS = "id int, x_um double, y_um double, z_um double, x_resolution double, y_resolution double, spacing double"
+a("src20_resolve_voxel_size", lambda s, f: rounded(rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source")), "SELECT id, x::DOUBLE AS vox_x, y::DOUBLE AS vox_y, z::DOUBLE AS vox_z, s AS voxel_size_source FROM (VALUES (1, 0.374, 0.374, 0.748, 'sidecar'), (2, 0.4, 0.5, 3.0, 'tags'), (3, 1.0, 1.0, 1.0, 'tags')) v(id, x, y, z, s)")
+MERGED = [(1, 0.374, 0.5, 2.0, 100, 187), (2, 0.374, 1.0, 2.0, 100, 100)]
+MERGED_SQL = f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> nz0 THEN spacing * nz0 / nz ELSE spacing END AS vox_z')} FROM (VALUES {', '.join(f'({i}, {x}::DOUBLE, {c}::DOUBLE, {p}::DOUBLE, {n0}, {n})' for i, x, c, p, n0, n in MERGED)}) v(id, res, scaling, spacing, nz0, nz)"
+for _n in ("snk7_merged_voxel_size", "src21_original_z_spacing"):
+    a(_n, lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", "vox_xy", "vox_z")), MERGED_SQL)
+a("sc13_channel_from_name", lambda s, f: fx.names(s).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
+a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
+a("jn8_combine_metadata", lambda s, f: jn.combine_metadata(fx.names(s), s.createDataFrame([("um", 0.374)], "unit string, spacing double")), "SELECT name, 'um' AS unit, 0.374::DOUBLE AS spacing FROM names", "names")
+a("snk6_parse_formats", lambda s, f: s.createDataFrame([(x, ",".join(wr.parse_formats(x))) for x in ("tif", "xml", "all", "hdf5,tiff", "odd")], "given string, formats string"), "SELECT * FROM (VALUES ('tif', 'tiff'), ('xml', 'bdv'), ('all', 'tiff,bdv'), ('hdf5,tiff', 'bdv,tiff'), ('odd', 'tiff')) v(given, formats)")
+
+
+def bundle(s: SparkSession, f: str, name: str) -> DataFrame:
+    path = folder(s, "bundle")
+    wr.export_bundle(fx.spots(s, f), path, box=(0, 1, 2, 3), parameters={"threshold": -0.5})
+    return s.read.csv(f"{path}/{name}", header=True)
+
+
+def exported(s: SparkSession, f: str) -> DataFrame:
+    path = folder(s, "filtered")
+    wr.export_filtered(fx.spots(s, f), path, 60, 200.0)
+    return s.read.csv(f"{path}/cross_section_filtered_spots.csv", header=True)
+
+
+def saved(s: SparkSession, f: str) -> DataFrame:
+    path, m = folder(s, "metrics"), fx.metrics(s, f)
+    wr.save_metrics([m.where("experiment = 'F'").select("experiment", "timepoint", "seg_n_cells"), m.where("experiment = 'O'").select("experiment", "timepoint")], path)
+    return s.read.csv(f"{path}/metrics_csv", header=True).select("experiment", F.col("timepoint").cast("int").alias("timepoint"), F.col("seg_n_cells").cast("double").alias("seg_n_cells"))
+
+
+a("snk1_export_bundle", lambda s, f: bundle(s, f, "oriented_tracks.csv").groupBy(F.col("TRACK_ID").cast("long").alias("track_id")).agg(F.count(F.lit(1)).alias("n")), "SELECT track_id, count(*) AS n FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
+a("snk2_export_filtered", lambda s, f: exported(s, f).groupBy(F.col("FRAME").cast("int").alias("frame")).agg(F.count(F.lit(1)).alias("n")), "SELECT frame, count(*) AS n FROM spots GROUP BY 1", "spots")
+a("snk3_write_volume", lambda s, f: written_volumes(s, f).select("t", "z", "y", "x", "value"), "SELECT t, z, y, x, value FROM voxels", "voxels")
+a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics WHERE experiment IN ('F', 'O')", "metrics")
+a("snk11_zarr_sink", lambda s, f: written_volumes(s, f).where("label > 0").groupBy("t", "label").agg(F.count(F.lit(1)).alias("n")), "SELECT t, label, count(*) AS n FROM voxels WHERE label > 0 GROUP BY 1, 2", "voxels")
+a("json_round_trip", lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"), "SELECT id, frame FROM spots", "spots")
+a("stream_step_speed", lambda s, f: streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")))
