@@ -7,9 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tetraframe.operators.kinematics import step_speed
-
-BY_TRACK = Window.partitionBy("track_id")
+from tetraframe.operators.kinematics import by_track, step_speed
 
 
 def tracked_only(df: DataFrame) -> DataFrame:
@@ -61,12 +59,12 @@ def slab_project(df: DataFrame, axis: str) -> DataFrame:
 
 def min_track_length(df: DataFrame, n: int) -> DataFrame:
     """Rows of tracks with at least n rows in df."""
-    return df.withColumn("_n", F.count("frame").over(BY_TRACK)).where(F.col("_n") >= n).drop("_n")
+    return df.withColumn("_n", F.count("frame").over(by_track())).where(F.col("_n") >= n).drop("_n")
 
 
 def max_speed(df: DataFrame, limit: float, null_speed: str = "drop") -> DataFrame:
     """Rows of tracks whose fastest step is within a limit; a track without a step is dropped, or counts as speed 0."""
-    fastest = F.max("step_speed").over(BY_TRACK)
+    fastest = F.max("step_speed").over(by_track())
     if null_speed == "zero":
         fastest = F.coalesce(fastest, F.lit(0.0))
     return step_speed(df).withColumn("_max", fastest).where(F.col("_max") <= limit).drop("_max", "step_speed")
@@ -79,7 +77,7 @@ def track_set(df: DataFrame, ids: DataFrame) -> DataFrame:
 
 def tracks_where(df: DataFrame, condition: Column) -> DataFrame:
     """All rows of tracks with at least one row where the condition holds."""
-    return df.where("track_id IS NOT NULL").withColumn("_any", F.bool_or(F.coalesce(condition, F.lit(False))).over(BY_TRACK)).where("_any").drop("_any")
+    return df.where("track_id IS NOT NULL").withColumn("_any", F.bool_or(F.coalesce(condition, F.lit(False))).over(by_track())).where("_any").drop("_any")
 
 
 def tracks_touching_roi(df: DataFrame, *box: float) -> DataFrame:
@@ -120,8 +118,8 @@ def kept_dropped_ids(df: DataFrame, min_length: int, speed: float) -> DataFrame:
 def filter_flags(df: DataFrame, min_length: int, speed: float, unnamed_length: bool = False) -> DataFrame:
     """Add filtered_out and filter_reason to every row; untracked rows pass. unnamed_length: a failure of length alone has no reason."""
     rows = step_speed(df)
-    short = F.count("frame").over(BY_TRACK) < min_length
-    fast = ~F.coalesce(F.max("step_speed").over(BY_TRACK) <= speed, F.lit(False))
+    short = F.count("frame").over(by_track()) < min_length
+    fast = ~F.coalesce(F.max("step_speed").over(by_track()) <= speed, F.lit(False))
     tracked = F.col("track_id").isNotNull()
     rows = rows.withColumns({"_short": tracked & short, "_fast": tracked & fast})
     reason = F.when(F.col("_short") & F.col("_fast"), "min_length+max_speed").when(F.col("_fast"), "max_speed").when(F.col("_short"), "" if unnamed_length else "min_length").otherwise("")
@@ -156,7 +154,7 @@ def stride_downsample(voxels: DataFrame, n: int) -> DataFrame:
 
 def selected_tracks(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of chosen tracks with drawable: whether the track has two rows or more."""
-    return track_set(df, ids).withColumn("drawable", F.count("frame").over(BY_TRACK) >= 2)
+    return track_set(df, ids).withColumn("drawable", F.count("frame").over(by_track()) >= 2)
 
 
 def sort_track_frame(df: DataFrame) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clip
-from tetraframe.operators.kinematics import BY_TRACK, WHOLE, W
+from tetraframe.operators.kinematics import along_track, by_track, whole_track
 
 
 def net_radial_displacement(df: DataFrame) -> DataFrame:
     """Add track_net_radial_disp: last less first known distance of the track."""
     r = "radial_dist_to_center"
-    return df.withColumn("track_net_radial_disp", F.when(F.col("track_id").isNotNull(), F.last(r, True).over(WHOLE) - F.first(r, True).over(WHOLE)))
+    return df.withColumn("track_net_radial_disp", F.when(F.col("track_id").isNotNull(), F.last(r, True).over(whole_track()) - F.first(r, True).over(whole_track())))
 
 
 def inward_runs(df: DataFrame, velocity: str = "radial_velocity_smooth") -> DataFrame:
@@ -22,21 +22,21 @@ def inward_runs(df: DataFrame, velocity: str = "radial_velocity_smooth") -> Data
     after the last reset.
     """
     inward = F.coalesce(F.col(velocity) < 0, F.lit(False))
-    rows = df.withColumn("_in", inward).withColumn("_island", F.sum((~F.col("_in")).cast("int")).over(W.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = df.withColumn("_in", inward).withColumn("_island", F.sum((~F.col("_in")).cast("int")).over(along_track().rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy("track_id", "_island").orderBy("frame", "id")
     rows = rows.withColumn("_run", F.when(F.col("_in"), F.sum(F.col("_in").cast("int")).over(run.rowsBetween(Window.unboundedPreceding, 0))).otherwise(0))
-    rows = rows.withColumn("_reset", (~F.col("_in") & (F.coalesce(F.lag("_run").over(W), F.lit(0)) < 3)).cast("int"))
-    rows = rows.withColumn("_epoch", F.sum("_reset").over(W.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_last", F.max("_epoch").over(BY_TRACK))
+    rows = rows.withColumn("_reset", (~F.col("_in") & (F.coalesce(F.lag("_run").over(along_track()), F.lit(0)) < 3)).cast("int"))
+    rows = rows.withColumn("_epoch", F.sum("_reset").over(along_track().rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_last", F.max("_epoch").over(by_track()))
     tracked = F.col("track_id").isNotNull()
-    onset = F.min(F.when(F.col("_in") & (F.col("_epoch") == F.col("_last")), F.col("frame"))).over(BY_TRACK)
-    out = rows.withColumns({"track_sustained_inward": F.when(tracked, F.max("_run").over(BY_TRACK)).cast("long"), "ingression_onset_frame": F.when(tracked, onset)})
+    onset = F.min(F.when(F.col("_in") & (F.col("_epoch") == F.col("_last")), F.col("frame"))).over(by_track())
+    out = rows.withColumns({"track_sustained_inward": F.when(tracked, F.max("_run").over(by_track())).cast("long"), "ingression_onset_frame": F.when(tracked, onset)})
     return out.drop("_in", "_island", "_run", "_reset", "_epoch", "_last")
 
 
 def flag_ingressing(df: DataFrame, threshold: float = -0.5, min_frames: int = 5, min_inward: float = 0.5) -> DataFrame:
     """Add ingressing and ingression_score; needs the radial columns. Untracked rows are not flagged and score 0."""
-    rows = inward_runs(net_radial_displacement(df)).withColumn("_n", F.count("frame").over(BY_TRACK))
+    rows = inward_runs(net_radial_displacement(df)).withColumn("_n", F.count("frame").over(by_track()))
     v = F.coalesce("track_median_radial_vel", "track_mean_radial_vel")
     need = F.greatest(F.lit(3), F.floor(F.col("_n") * 0.15))
     ok = (F.col("_n") >= min_frames) & v.isNotNull() & (v <= threshold) & (F.col("track_inward_fraction") >= min_inward)
@@ -51,9 +51,9 @@ def flag_ingressing(df: DataFrame, threshold: float = -0.5, min_frames: int = 5,
 
 def roi_restrict(df: DataFrame, y_max: float | None = None) -> DataFrame:
     """Unflag tracks that are never in the region (in_roi), and those that ever exceed y_max."""
-    keep = F.bool_or("in_roi").over(BY_TRACK)
+    keep = F.bool_or("in_roi").over(by_track())
     if y_max is not None:
-        keep &= F.max("position_y").over(BY_TRACK) <= y_max
+        keep &= F.max("position_y").over(by_track()) <= y_max
     return df.withColumn("ingressing", F.col("ingressing") & F.coalesce(keep, F.lit(False)))
 
 

@@ -4,19 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tetraframe.functions.scalars import norm
 
-BY_TRACK = Window.partitionBy("track_id")
-W = BY_TRACK.orderBy("frame", "id")
-WHOLE = W.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 AXES = ("x", "y", "z")
 
 
+def by_track() -> WindowSpec:
+    """All rows of a track."""
+    return Window.partitionBy("track_id")
+
+
+def along_track() -> WindowSpec:
+    """A track in time order."""
+    return by_track().orderBy("frame", "id")
+
+
+def whole_track() -> WindowSpec:
+    """A track in time order, all of it in view."""
+    return along_track().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def _step(scale: float = 1.0, lag: int = 1) -> tuple[Column, Column]:
     """Displacement over `lag` rows, and frames between."""
-    moved = norm(*((F.col(f"position_{a}") - F.lag(f"position_{a}", lag).over(W)) * scale for a in AXES))
-    return moved, F.col("frame") - F.lag("frame", lag).over(W)
+    moved = norm(*((F.col(f"position_{a}") - F.lag(f"position_{a}", lag).over(along_track())) * scale for a in AXES))
+    return moved, F.col("frame") - F.lag("frame", lag).over(along_track())
 
 
 def step_speed(df: DataFrame) -> DataFrame:
@@ -32,15 +45,15 @@ def radial_distance(df: DataFrame, center: tuple[float, float, float]) -> DataFr
 
 def radial_velocity(df: DataFrame) -> DataFrame:
     """Add radial_velocity from radial_dist_to_center."""
-    frames = F.col("frame") - F.lag("frame").over(W)
-    change = F.col("radial_dist_to_center") - F.lag("radial_dist_to_center").over(W)
+    frames = F.col("frame") - F.lag("frame").over(along_track())
+    change = F.col("radial_dist_to_center") - F.lag("radial_dist_to_center").over(along_track())
     return df.withColumn("radial_velocity", F.when(F.col("track_id").isNotNull() & (frames > 0), change / frames))
 
 
 def smooth_radial_velocity(df: DataFrame, window: int = 5) -> DataFrame:
     """Add radial_velocity_smooth: centred mean over an odd window of at least 3 rows, nulls skipped."""
     h = (max(3, window | 1) - 1) // 2
-    return df.withColumn("radial_velocity_smooth", F.when(F.col("track_id").isNotNull(), F.avg("radial_velocity").over(W.rowsBetween(-h, h))))
+    return df.withColumn("radial_velocity_smooth", F.when(F.col("track_id").isNotNull(), F.avg("radial_velocity").over(along_track().rowsBetween(-h, h))))
 
 
 def track_velocity_stats(df: DataFrame) -> DataFrame:
@@ -48,8 +61,8 @@ def track_velocity_stats(df: DataFrame) -> DataFrame:
     v = F.col("radial_velocity_smooth")
     tracked = F.col("track_id").isNotNull()
     return df.withColumns({
-        "track_median_radial_vel": F.when(tracked, F.median(v).over(BY_TRACK)), "track_mean_radial_vel": F.when(tracked, F.avg(v).over(BY_TRACK)),
-        "track_inward_fraction": F.when(tracked, F.avg((v < 0).cast("double")).over(BY_TRACK)), "track_max_inward_vel": F.when(tracked, F.min(v).over(BY_TRACK)),
+        "track_median_radial_vel": F.when(tracked, F.median(v).over(by_track())), "track_mean_radial_vel": F.when(tracked, F.avg(v).over(by_track())),
+        "track_inward_fraction": F.when(tracked, F.avg((v < 0).cast("double")).over(by_track())), "track_max_inward_vel": F.when(tracked, F.min(v).over(by_track())),
     })
 
 
@@ -93,7 +106,7 @@ def straightness(df: DataFrame) -> DataFrame:
 
 def selection_metrics(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float = 1.0, interval_s: float = 30.0) -> DataFrame:
     """(track_id, n_points, minutes, straightness, mean_speed, n_speeds): speeds over the lag, smoothed along the track."""
-    rows = lag_speed(df.where("track_id IS NOT NULL"), lag, scale, interval_s).withColumn("_i", F.row_number().over(W))
+    rows = lag_speed(df.where("track_id IS NOT NULL"), lag, scale, interval_s).withColumn("_i", F.row_number().over(along_track()))
     lists = rows.groupBy("track_id").agg(
         F.count(F.lit(1)).alias("n_points"), ((F.max("frame") - F.min("frame")) * (interval_s / 60)).alias("minutes"),
         F.array_sort(F.collect_list(F.when(F.col("_i") > lag, F.struct("_i", "lag_speed")))).alias("_s"),
@@ -107,7 +120,7 @@ def selection_metrics(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float
 def last_point_extension(df: DataFrame) -> DataFrame:
     """df with a copy of each track's last row at the table's last frame, where the track ends before it."""
     end = df.agg(F.max("frame").alias("_end"))
-    last = df.where("track_id IS NOT NULL").withColumn("_r", F.row_number().over(BY_TRACK.orderBy(F.desc("frame"), F.desc("id")))).where("_r = 1").drop("_r")
+    last = df.where("track_id IS NOT NULL").withColumn("_r", F.row_number().over(by_track().orderBy(F.desc("frame"), F.desc("id")))).where("_r = 1").drop("_r")
     more = last.crossJoin(F.broadcast(end)).where("frame < _end").withColumn("frame", F.col("_end")).drop("_end")
     return df.unionByName(more)
 

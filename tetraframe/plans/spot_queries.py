@@ -148,7 +148,7 @@ SMOOTHED = """arr AS (SELECT track_id, count(*) AS n_points, (max(frame) - min(f
 outs AS (SELECT track_id, unnest(range(0, greatest(len(a), 5))) AS i, a, len(a) AS n, (least(len(a), 5) - 1) // 2 AS s FROM arr WHERE len(a) > 0),
 vals AS (SELECT track_id, i, list_avg(list_filter(list_slice(a, greatest(i + s - 4, 0) + 1, least(i + s, n - 1) + 1), lambda x: x IS NOT NULL)) AS v FROM outs)"""
 BOOK.views["smoothed"] = SMOOTHED
-a("win14_smooth_speed", on(lambda d: rounded(kin.lag_speed(fl.tracked_only(d), 4, 0.5).withColumn("i", F.row_number().over(kin.W)).groupBy("track_id").agg(F.array_sort(F.collect_list(F.when(F.col("i") > 4, F.struct("i", "lag_speed")))).alias("a"))
+a("win14_smooth_speed", on(lambda d: rounded(kin.lag_speed(fl.tracked_only(d), 4, 0.5).withColumn("i", F.row_number().over(kin.along_track())).groupBy("track_id").agg(F.array_sort(F.collect_list(F.when(F.col("i") > 4, F.struct("i", "lag_speed")))).alias("a"))
   .select("track_id", F.posexplode(kin.smooth_array(F.transform("a", lambda x: x["lag_speed"]), 5)).alias("i", "speed")))), f"SELECT track_id, i::INTEGER AS i, {r('v AS speed')} FROM vals", "spots", "lagged", "smoothed")
 a("win16_selection_metrics", on(lambda d: rounded(kin.selection_metrics(d, 4, 5, 0.5).select("track_id", "n_points", "minutes", "straightness", "mean_speed", "n_speeds"))),
   f"SELECT track_id, n_points, {r('minutes', 'straightness', 'mean_speed')}, n_speeds::INTEGER AS n_speeds FROM arr JOIN straight USING (track_id) LEFT JOIN (SELECT track_id, avg(v) AS mean_speed, count(*) AS c FROM vals GROUP BY 1) USING (track_id), LATERAL (SELECT coalesce(c, 0) AS n_speeds)", "spots", "lagged", "straight", "smoothed")
