@@ -31,7 +31,7 @@ REPETITION = 1.5
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    return scored(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(*docs.columns)
+    return scored(docs, table(spark, sf_dir, "labels")).where("_toxic = 0").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages; what was empty before stays."""
-    rows = removed(docs).where("kept_text <> '' OR n_removed = 0").withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
-    return rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    rows = removed(docs).where("_kept_text <> '' OR _n_removed = 0").withColumn("text", F.when(F.col("_n_removed") > 0, F.col("_kept_text")).otherwise(F.col("text")))
+    return rows.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def running_before(blocks: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | None = 2.0, budget: float | None = None, slots: int = 1000, seed: int = 17, by: str = "source") -> DataFrame:
-    """Rows of docs as often as the mixture shows them, with pass (from 0), slot of the sequence, order inside the slot, weight."""
+    """Rows of docs as often as the mixture shows them, with mix_pass (from 0), mix_slot of the sequence, mix_order inside the slot, mix_weight, mix_exponent."""
     names = docs.columns
     kept = [n for n in names]
     rows = docs.select(*(F.col(n).alias(f"_c{i}") for i, n in enumerate(kept)))
@@ -106,13 +106,13 @@ def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | Non
     inside = Window.partitionBy("_source", "_block").orderBy(F.xxhash64(F.col("_key"), F.col("_full"), F.lit(1)), c["doc_id"]).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_used", F.col("_before") + F.coalesce(F.sum("_tokens").over(inside), F.lit(0)))
     shown = F.col("_full") + (F.col("_used") < (F.col("passes") - F.col("_full")) * F.col("tokens") - 1e-6).cast("int")
-    rows = rows.withColumn("_n", shown).where("_n > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    part = (F.col("pass") + (block(F.col("pass")) + 0.5) / F.col("_blocks")) / F.col("passes")
-    rows = rows.withColumns({"slot": F.floor(F.least(part, F.lit(0.999999)) * slots).cast("long"), "order": F.xxhash64(F.col("_key"), F.col("pass"), F.lit(2))})
-    return rows.select(*(c[n].alias(n) for n in kept), F.col("pass").cast("int").alias("pass"), "slot", "order", "weight", "exponent")
+    rows = rows.withColumn("_n", shown).where("_n > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    part = (F.col("_pass") + (block(F.col("_pass")) + 0.5) / F.col("_blocks")) / F.col("passes")
+    rows = rows.withColumns({"_slot": F.floor(F.least(part, F.lit(0.999999)) * slots).cast("long"), "_order": F.xxhash64(F.col("_key"), F.col("_pass"), F.lit(2))})
+    return rows.select(*(c[n].alias(n) for n in kept), F.col("_pass").cast("int").alias("mix_pass"), F.col("_slot").alias("mix_slot"), F.col("_order").alias("mix_order"), F.col("weight").alias("mix_weight"), F.col("exponent").alias("mix_exponent"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' sources mixed so that the smallest is shown at most twice for one showing of the largest."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixed(docs, repetition=2.0).select("doc_id", "source", "pass", "slot", "order", "weight", "exponent")
+    return mixed(docs, repetition=2.0).select("doc_id", "source", *(F.col(f"mix_{c}").alias(c) for c in ("pass", "slot", "order", "weight", "exponent")))

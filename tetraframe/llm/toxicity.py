@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tetraframe.llm.common import crc_mod, table
 
 #: Most labelled rows of each kind that training reads.
-TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
+TOXIC_ROWS, CLEAN_ROWS = 1_500, 3_000
 
 #: Stems that each toxic training text asks for.
 COVER = 6
@@ -240,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """docs with score and predicted (1 from the threshold on), learned from labels."""
+    """docs with _toxic_score and _toxic (1 from the threshold on), learned from labels."""
     model = train(docs, labels)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,13 +251,13 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
             for x in batch.column("text"):
                 f = grammar.features(x.as_py())
                 out.append(float(1 / (1 + np.exp(-np.clip(f @ w[:-1] + w[-1], -30, 30)))) if f.any() else base)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "_toxic_score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(score, f"{schema}, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.mapInArrow(score, f"{schema}, _toxic_score double").withColumn("_toxic", (F.col("_toxic_score") >= threshold).cast("int"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), F.col("_toxic_score").alias("score"), F.col("_toxic").alias("predicted"))
