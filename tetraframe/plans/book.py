@@ -36,5 +36,5 @@ def r(*columns: str, digits: int = 6) -> str:
     out = []
     for c in columns:
         e, _, n = c.rpartition(" AS ")
-        out.append(f"round({e or n}, {digits}) + 0.0 AS {n}")
+        out.append(f"round({e or n} + 1.7e-9, {digits}) + 0.0 AS {n}")
     return ", ".join(out)
