@@ -100,6 +100,7 @@ a("srt6_linspace_slices", lambda s, f: s.range(1).select(F.posexplode(fl.linspac
 a("smp1_subsample_tracks", on(lambda d: fl.subsample_tracks(d, 20)))
 a("smp2_subsample_points", on(lambda d: fl.subsample_points(d, 5.0, 100)))
 a("smp3_sample_spots", on(lambda d: fl.subsample_points(d, 0.0, 500, 42)))
+a("smp6_fit_subsample", lambda s, f: fl.subsample_points(fx.cloud(s, f), 0.0, 300, 42))
 a("smp4_sample_without_repeat", lambda s, f: fl.sample_without_repeat(fx.spots(s, f), fx.tracks(s, f).select("track_id").distinct(), 25))
 a("set2_id_difference", lambda s, f: fl.id_difference(fx.spots(s, f).select("track_id").distinct(), fx.tracks(s, f).select("track_id").distinct()).where("track_id IS NOT NULL"), "SELECT DISTINCT track_id FROM spots WHERE track_id % 3 <> 0", "spots")
 a("set3_toggle_selection", lambda s, f: fl.toggle_selection(*(fx.spots(s, f).where(f"track_id % {k} = 0").select("track_id").distinct() for k in (2, 3))),
