@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -10,8 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a batch that Spark hands to Python, unless the session asks for fewer: documents are long.
+BATCH_ROWS = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables, as Spark reads it."""
+    """One of the input tables, as Spark reads it; Python workers of the session get small batches."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -46,6 +53,7 @@ def discard(spark: SparkSession, *places: str) -> None:
     for place in places:
         path = _path(spark, place)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
     spark._jvm.System.gc()
 
 

@@ -7,9 +7,10 @@ chunk is listed once for each place where that error may stand. That finds all p
 sets with integers, and confirmed links are closed to components.
 
 Groups are never expanded into all pairs: equal sets become one node; in each list the smallest node is tried with the others;
-what is left are lists that still span several components, and there each node proposes its nearest signatures of other
-components, more in every round, until no pair within t across components is untried. Long lists are cut into pieces that meet
-pairwise in separate tasks.
+what is left are lists that still span several components. Lists of the same nodes become one, nodes get a second, longer
+signature with a bound of its own (missed again with a chance below 1e-7), and each node proposes its nearest nodes of other
+components, more and farther ones in every round, until no pair within both bounds across components is untried. Long lists are
+cut into pieces that meet pairwise in separate tasks.
 
 Defined cases: null or empty text, or text without words, is the empty set and linked with nothing; a text with fewer words than
 a shingle is one shingle; rows that share a doc_id are one node; a null doc_id is linked with nothing and kept; an empty table
@@ -32,12 +33,16 @@ from tetraframe.llm.common import chunks, discard, mix, stored, table, words
 
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
+#: Symbols of the longer signature (8 bits each).
+LONG = 400
 #: Nodes of a piece of a long list, and nearest signatures that a node proposes in the first round.
-PIECE, NEAREST = 1_024, 8
+PIECE, NEAREST = 1_024, 2
+#: Most ids that are sent to all executors; more are joined by a shuffle.
+SENT_IDS = 500_000
 
 _rng = np.random.default_rng(20240517)
-_ODD = _rng.integers(1, 1 << 63, K // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(1, 1 << 63, K // 2, dtype=np.uint64)
+_ODD = _rng.integers(1, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(1, 1 << 63, LONG, dtype=np.uint64)
 
 
 @functools.lru_cache
@@ -80,18 +85,28 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np
     return out
 
 
-def signature(sets: list[np.ndarray]) -> np.ndarray:
-    """K symbols of 16 bits for each set; none may be empty."""
+def _least(sets: list[np.ndarray], k: int, first: int = 0) -> np.ndarray:
+    """The least of k hash functions over each set; none may be empty."""
     h = np.concatenate(sets)
     at = np.cumsum([0, *map(len, sets[:-1])])
-    least = np.empty((len(sets), K), np.uint32)
-    for i in range(K // 2):
-        v = (h ^ _XOR[i]) * _ODD[i]
+    least = np.empty((len(sets), k), np.uint32)
+    for i in range(k // 2):
+        v = (h ^ _XOR[first + i]) * _ODD[first + i]
         v ^= v >> np.uint64(32)
         v *= _ODD[-1 - i]
         least[:, 2 * i] = np.minimum.reduceat((v >> np.uint64(32)).astype(np.uint32), at)
         least[:, 2 * i + 1] = np.minimum.reduceat((v ^ (v >> np.uint64(29))).astype(np.uint32), at)
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
+    return least * np.uint32(0x9E3779B1)
+
+
+def signature(sets: list[np.ndarray]) -> np.ndarray:
+    """K symbols of 16 bits for each set."""
+    return (_least(sets, K) >> np.uint32(16)).astype(np.uint16)
+
+
+def long_signature(sets: list[np.ndarray]) -> np.ndarray:
+    """LONG symbols of 8 bits for each set, of other hash functions."""
+    return (_least(sets, LONG, K) >> np.uint32(24)).astype(np.uint8)
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
@@ -101,7 +116,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in batches:
                 n, h1, h2, sig = [], [], [], []
-                for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 21):
+                for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
                     sets = shingle_hashes(data, offsets, width)
                     full = [x for x in sets if len(x)]
                     rows = iter(signature(full)) if full else iter(())
@@ -161,16 +176,34 @@ def near_pairs(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
     return both.select("a", "b", "_sa", "_sb").mapInArrow(near, "a long, b long")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, s): the full sets of some documents, 8 bytes a shingle."""
+def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents with these ids; ids: stored, distinct."""
+    few = ids.count() <= SENT_IDS
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _derived(texts: DataFrame, width: int, name: str, make) -> DataFrame:
+    """(id, name): bytes made of the shingle sets of documents, one row an id."""
+
+    def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                sets = [x.tobytes() for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 21) for x in shingle_hashes(data, offsets, width)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "s"])
+                out = []
+                for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
+                    out += make(shingle_hashes(data, offsets, width))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", name])
+
+    return texts.mapInArrow(derive, f"id long, {name} binary").dropDuplicates(["id"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi").mapInArrow(collect, "id long, s binary").dropDuplicates(["id"])
+
+def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, s): the full sets of some documents, 8 bytes a shingle."""
+    return _derived(_some(docs, ids), width, "s", lambda sets: [x.tobytes() for x in sets])
+
+
+def long_signatures(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, long): the longer signatures of some documents; none of their sets is empty."""
+    return _derived(_some(docs, ids), width, "long", lambda sets: [x.tobytes() for x in long_signature(sets)])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -212,27 +245,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _proposals(pdf: pd.DataFrame, t: int, nearest: int) -> pd.DataFrame:
-    """Pairs across components of one part of the lists: for each node its nearest signatures within t."""
+def _proposals(pdf: pd.DataFrame, t: int, far: int, nearest: int) -> pd.DataFrame:
+    """Pairs across components of one part of the lists: for each node its nearest within both bounds."""
     order = np.lexsort((pdf["id"].to_numpy(), pdf["key"].to_numpy()))
     key, ids, comp, side = (pdf[c].to_numpy()[order] for c in ("key", "id", "component", "side"))
     sig = _symbols([pdf["sig"].iat[i] for i in order])
+    long = np.frombuffer(b"".join(pdf["long"].iat[i] for i in order), np.uint8).reshape(-1, LONG)
     cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist() + [len(key)]
     a, b = [], []
     for lo, hi in zip(cuts[:-1], cuts[1:]):
         if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
             continue
-        for at in range(lo, hi, 256):
-            end = min(at + 256, hi)
+        cross = side[lo:hi].any()
+        for at in range(lo, hi, 64):
+            end = min(at + 64, hi)
             ok = comp[at:end, None] != comp[None, lo:hi]
-            cross = side[lo:hi].any()
             if cross:  # a piece of a long list against another: only pairs between the two
                 ok &= side[at:end, None] != side[None, lo:hi]
             i, j = np.nonzero(ok)
+            near = (sig[at + i] != sig[lo + j]).sum(1) <= t
+            i, j = i[near], j[near]
             if not len(i):
                 continue
-            d = (sig[at + i] != sig[lo + j]).sum(1)
-            near = d <= t
+            d = (long[at + i] != long[lo + j]).sum(1)
+            near = d <= far
             i, j, d = i[near], j[near], d[near]
             rank = np.lexsort((ids[lo + j], d, i))
             i, j = i[rank], j[rank]
@@ -243,19 +279,24 @@ def _proposals(pdf: pd.DataFrame, t: int, nearest: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
-def proposals(lists: DataFrame, nodes: DataFrame, labels: DataFrame, tried: DataFrame, t: int, nearest: int) -> DataFrame:
-    """Untried pairs (a, b) within t across components, each node's nearest in every list that spans components."""
-    at = lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_lists = at.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("_n")).where("_lo <> _hi AND _n > 2").select("key", "_n")
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, component, n): lists of more than two nodes that span components; of lists of the same nodes only one."""
+    at = lists.select("key", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    same = at.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("_x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("_y"))
+    one = same.where("_lo <> _hi AND n > 2").groupBy("n", "_x", "_y").agg(F.min("key").alias("key"))
+    return at.join(one.select("key", "n"), "key").select("key", "id", "component", "n")
+
+
+def proposals(rows: DataFrame, tried: DataFrame, t: int, far: int, nearest: int) -> DataFrame:
+    """Untried pairs (a, b) within both bounds across components. rows: open lists with the nodes' signatures."""
     # Of a component that a list holds more than once every node may be the one that links, so all stay.
-    rows = at.join(open_lists, "key").withColumn("_pieces", F.ceil(F.col("_n") / PIECE).cast("int"))
+    rows = rows.withColumn("_pieces", F.ceil(F.col("n") / PIECE).cast("int"))
     rows = rows.withColumn("_piece", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("_pieces") - 1), lambda o: F.struct(F.least(o, F.col("_piece")).alias("x"), F.greatest(o, F.col("_piece")).alias("y"), (F.col("_piece") > o).cast("int").alias("side")))
-    rows = rows.select("key", "id", "component", F.explode(meets).alias("_m")).select("key", "id", "component", "_m.x", "_m.y", "_m.side")
-    rows = rows.join(nodes.select("id", "sig"), "id").withColumn("_part", F.pmod(F.xxhash64("key", "x", "y"), F.lit(max(64, 4 * int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
     # A list and its two pieces stay together: the pieces' numbers join the key.
-    rows = rows.withColumn("key", F.xxhash64("key", "x", "y"))
-    found = rows.groupBy("_part").applyInPandas(lambda pdf: _proposals(pdf, t, nearest), "a long, b long").distinct()
+    rows = rows.select("key", "id", "component", "sig", "long", F.explode(meets).alias("_m")).select(F.xxhash64("key", "_m.x", "_m.y").alias("key"), "id", "component", "sig", "long", "_m.side")
+    rows = rows.withColumn("_part", F.pmod(F.col("key"), F.lit(max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    found = rows.groupBy("_part").applyInPandas(lambda pdf: _proposals(pdf, t, far, nearest), "a long, b long").distinct()
     return found.join(tried, ["a", "b"], "left_anti")
 
 
@@ -275,24 +316,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     tried, tried_at = stored(near_pairs(first, nodes, t), "tried")
     places, links, nearest = [marks_at, nodes_at, lists_at, tried_at], None, NEAREST
     new = tried
-    # The sets of all nodes that share a list with another: every later proposal is among them.
-    sets, sets_at = stored(full_sets(docs, tried.select(F.col("a").alias("id")).union(tried.select("b")).distinct(), width), "sets")
-    places.append(sets_at)
+    discard(spark)
+    sets = longs = None
+    bound = most_different(num, den, LONG)
+    usual = (1 - num / den) * LONG
+    step = 0
     while True:
-        good, at = stored(confirmed(new, sets, num, den), "links")
-        places.append(at)
+        ids = new.select(F.col("a").alias("id")).union(new.select("b")).distinct()
+        ids, at = stored(ids if sets is None else ids.join(sets.select("id"), "id", "left_anti"), "ids")
+        more, where = stored(full_sets(docs, ids, width), "sets")
+        sets = more if sets is None else sets.unionByName(more)
+        good, link_at = stored(confirmed(new, sets, num, den), "links")
+        places += [at, where, link_at]
         links = good if links is None else links.unionByName(good)
         labels = components(links)
-        new, at = stored(proposals(lists, nodes, labels, tried, t, nearest), "proposed")
+        rows, at = stored(open_lists(lists, labels), "open")
         places.append(at)
-        if not new.take(1):
+        if not rows.take(1):
             break
-        missing = new.select(F.col("a").alias("id")).union(new.select("b")).distinct().join(sets.select("id"), "id", "left_anti")
-        if missing.take(1):
-            more, at = stored(full_sets(docs, missing, width), "sets")
+        ids = rows.select("id").distinct()
+        ids, at = stored(ids if longs is None else ids.join(longs.select("id"), "id", "left_anti"), "ids")
+        places.append(at)
+        if ids.take(1):
+            more, at = stored(long_signatures(docs, ids, width), "long")
             places.append(at)
-            sets = sets.unionByName(more)
-        tried, nearest = tried.unionByName(new), nearest * 8
+            longs = more if longs is None else longs.unionByName(more)
+        while True:
+            # From the usual distance of the least similarity up to the bound, each time with more pairs of a node.
+            far = min(bound, int(usual + (bound - usual) * (step + 1) / 4))
+            new, at = stored(proposals(rows.join(nodes, "id").join(longs, "id"), tried, t, far, nearest), "proposed")
+            places.append(at)
+            last = far >= bound and nearest >= PIECE  # nothing was left out
+            step, nearest = step + 1, nearest * 8
+            if new.take(1):
+                break
+            if last:
+                new = None
+                break
+        if new is None:
+            break
+        tried = tried.unionByName(new)
     nodes_of = same.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("_own"))
     rows = marks.select("doc_id", "n_shingles", "h1", "h2")
     found = rows.join(nodes_of, (rows["h1"] == nodes_of["h1"]) & (rows["h2"] == nodes_of["h2"]) & (rows["n_shingles"] == nodes_of["_n"]) & rows["doc_id"].isNotNull(), "left")
