@@ -8,6 +8,7 @@ Goal: all bytes covered by a string of `length` bytes that also starts elsewhere
 2. Equal segments are one, with a multiplicity. The distinct segments of a bucket form a text; its suffixes are sorted by prefix
    doubling, which gives the Burrows-Wheeler transform. It is kept as runs. At each run's start the suffix and its common prefix
    with the one before it are sampled, at each run's end those with the one after it.
+   Samples shorter than `length` are kept as 0, since no value that follows from them reaches it.
 3. Matching statistics stream over the text: inside a run the common prefix of position i is that of i - 1 less one, so every
    value follows from the last sample. Positions whose longest match with another suffix reaches `length`, and those of segments
    of multiplicity two or more, start repeated windows.
@@ -35,11 +36,11 @@ from pyspark.sql import functions as F
 from tetraframe.llm.common import chunks, discard, prefix_hash, span_hash, stored, table
 
 #: Bytes of the strings that deal windows out, distinct segments of a bucket, and of a choice that is cut to windows.
-K, BUCKET, HOT = 80, 3_000, 1_000
+K, BUCKET, HOT = 80, 3_000, 4_000
 _PLACE = np.uint64((1 << 28) - 1)
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int = K) -> tuple[np.ndarray, ...]:
+def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
     """Segments of joined texts: document, first window (inside the document), number of windows, hash of choice, hash of content."""
     n, w = len(data), length - k + 1
     if n < length:
@@ -79,7 +80,7 @@ def sort_suffixes(data: np.ndarray, end: np.ndarray) -> np.ndarray:
     for j in range(7):
         at = place + j
         key = key * 257 + np.where(at < end, data[np.minimum(at, n - 1)].astype(np.int64) + 1, 0)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     head = np.maximum.accumulate(np.where(new, place, 0))
@@ -88,64 +89,70 @@ def sort_suffixes(data: np.ndarray, end: np.ndarray) -> np.ndarray:
     depth = 7
     longest = int((end - place).max(initial=0))
     slots = place  # slots of the order that are still tied
-    while depth < longest:
+    while True:
         tied = np.concatenate([new[1:], [True]]) & new
         slots, head = slots[~tied], head[~tied]
         if not len(slots):
-            break
+            return order
         who = order[slots]
+        if depth >= longest:
+            break
         at = who + depth
-        second = np.where(at < end[who], rank[np.minimum(at, n - 1)], 0)
-        by = np.lexsort((who, second, head))
+        second = head * (n + 1) + np.where(at < end[who], rank[np.minimum(at, n - 1)], 0)
+        by = np.argsort(second)
         who, second, head = who[by], second[by], head[by]
         order[slots] = who
-        new = np.concatenate([[True], (head[1:] != head[:-1]) | (second[1:] != second[:-1])])
+        new = np.concatenate([[True], second[1:] != second[:-1]])
         head = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
         rank[who] = head + 1
         depth *= 2
+    order[slots] = who[np.lexsort((who, head))]
     return order
 
 
-def common_prefix(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of suffixes a and b, at most `most`, by binary search over hashes."""
-    lo, hi = np.zeros(len(a), np.int64), most.astype(np.int64)
+def common_prefix(prefix: np.ndarray, a: np.ndarray, b: np.ndarray, least: int, most: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of suffixes a and b, at most `most`, by binary search over hashes; 0 if below `least`."""
+    out = np.zeros(len(a), np.int64)
+    can = np.flatnonzero(most >= least)
+    can = can[span_hash(prefix, a[can], a[can] + least) == span_hash(prefix, b[can], b[can] + least)]
+    a, b, lo, hi = a[can], b[can], np.full(len(can), least, np.int64), most[can].astype(np.int64)
     while (lo < hi).any():
         mid = (lo + hi + 1) >> 1
         same = span_hash(prefix, a, a + mid) == span_hash(prefix, b, b + mid)
         lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-    return lo
+    out[can] = lo
+    return out
 
 
 class RunLengthIndex:
     """Runs of the Burrows-Wheeler transform of joined segments, with samples at run starts and ends."""
 
-    def __init__(self, raw: list[bytes]):
+    def __init__(self, raw: list[bytes], length: int):
         size = np.array([len(r) for r in raw], np.int64)
         self.begin = np.concatenate([[0], np.cumsum(size)])
         self.data = np.frombuffer(b"".join(raw), np.uint8)
-        self.end = np.repeat(self.begin[1:], size)
-        order = sort_suffixes(self.data, self.end)
+        end = np.repeat(self.begin[1:], size)
+        order = sort_suffixes(self.data, end)
         # The byte before each suffix; none before a segment's first, which never extends a run.
         before = np.where(order > np.repeat(self.begin[:-1], size)[order], self.data[order - 1].astype(np.int16), -1)
         change = (before[1:] != before[:-1]) | (before[1:] < 0) | (before[:-1] < 0)
-        starts = np.concatenate([[True], change]) if len(order) else np.zeros(0, bool)
-        ends = np.concatenate([change, [True]]) if len(order) else np.zeros(0, bool)
-        self.runs = int(starts.sum())
-        prefix = prefix_hash(self.data)
-        self.above = self._samples(order, np.flatnonzero(starts), -1, prefix)
-        self.below = self._samples(order, np.flatnonzero(ends), 1, prefix)
-
-    def _samples(self, order: np.ndarray, slots: np.ndarray, step: int, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, common prefix with the neighbour in order), by place."""
-        here, there = order[slots], slots + step
-        ok = (there >= 0) & (there < len(order))
-        other = order[np.where(ok, there, slots)]
-        value = np.where(ok, common_prefix(prefix, here, other, np.where(ok, np.minimum(self.end[here] - here, self.end[other] - other), 0)), 0)
+        self.runs = int(change.sum()) + bool(len(order))
+        # Common prefixes of neighbours in order, where a run ends at the first and another starts at the second.
+        at = np.flatnonzero(change)
+        a, b = order[at], order[at + 1]
+        value = common_prefix(prefix_hash(self.data), a, b, length, np.minimum(end[a] - a, end[b] - b))
+        first, last = (order[:1], order[-1:])
+        self.above = self._by_place(np.concatenate([first, b]), np.concatenate([[0][: len(first)], value]))
+        self.below = self._by_place(np.concatenate([a, last]), np.concatenate([value, [0][: len(last)]]))
+
+    @staticmethod
+    def _by_place(here: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Samples by place."""
         by = np.argsort(here)
         return here[by], value[by]
 
     def matching_statistics(self) -> np.ndarray:
-        """Longest match of each place with any other suffix, streamed from the samples."""
+        """Longest match of each place with any other suffix, streamed from the samples; right where it reaches `length`."""
         place = np.arange(len(self.data))
         out = np.zeros(len(self.data), np.int64)
         for at, value in (self.above, self.below):
@@ -163,7 +170,7 @@ def _runs(mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _match(pdf: pd.DataFrame, length: int) -> pd.DataFrame:
     """Repeated windows of a bucket's segments: (h, g, lo, hi), offsets in the segment, hi excluded."""
     raw = pdf["bytes"].tolist()
-    index = RunLengthIndex(raw)
+    index = RunLengthIndex(raw, length)
     long = index.matching_statistics() >= length
     seg, lo, hi = [], [], []
     a, b = _runs(long)
@@ -181,14 +188,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_k1": F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text")), "_k2": F.xxhash64(F.lit(2), F.col("text"), F.col("doc_id"))})
 
 
-def occurrences(docs: DataFrame, length: int) -> DataFrame:
+def occurrences(docs: DataFrame, length: int, k: int) -> DataFrame:
     """(_k1, _k2, s, n, h, g): all segments of all documents."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                for first, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 21):
-                    doc, s, n, h, g = segments(data, offsets, length)
+                for first, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
+                    doc, s, n, h, g = segments(data, offsets, length, k)
                     rows = pa.array(doc + first)
                     yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in _KEYS), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64))], [*_KEYS, "s", "n", "h", "g"])
 
@@ -196,9 +203,9 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, length: int = 200, hot: int = HOT) -> DataFrame:
-    """(_k1, _k2, marks): for each document key the runs [lo, hi) of starts of repeated windows, as an array."""
+    """(_k1, _k2, _marks): for each document key the runs [lo, hi) of starts of repeated windows, as an array."""
     spark = docs.sparkSession
-    found, found_at = stored(occurrences(docs, length), "segments")
+    found, found_at = stored(occurrences(docs, length, min(K, 2 * length // 5)), "segments")
     twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
     same, same_at = stored(found.join(twice, "h", "left_semi"), "repeated")
     discard(spark, found_at)
@@ -232,7 +239,7 @@ def repeated_windows(docs: DataFrame, length: int = 200, hot: int = HOT) -> Data
                         for k in ("h", "g", "c"):
                             out[k] += [x[k]] * x["n"]
                         out["bytes"] += [None] * x["n"]
-                    if size > 1 << 24 or len(out["h"]) > 100_000:
+                    if size > 1 << 22 or len(out["h"]) > 20_000:
                         yield _batch(out)
                         out, size = {k: [] for k in out}, 0
                 yield _batch(out)
@@ -248,7 +255,7 @@ def repeated_windows(docs: DataFrame, length: int = 200, hot: int = HOT) -> Data
     whole = kinds.where("c > 1").select("h", "g", F.lit(0).alias("lo"), F.col("n").alias("hi"))
     all_marks = whole.unionByName(marks).unionByName(more).groupBy("h", "g").agg(F.collect_set(F.struct("lo", "hi")).alias("_m"))  # at most a segment's windows
     back = same.join(all_marks, ["h", "g"]).select(*_KEYS, F.transform("_m", lambda x: F.struct((F.col("s") + x["lo"]).alias("lo"), (F.col("s") + x["hi"]).alias("hi"))).alias("_m"))
-    out, _ = stored(back.groupBy(*_KEYS).agg(F.flatten(F.collect_set("_m")).alias("marks")), "marks")
+    out, _ = stored(back.groupBy(*_KEYS).agg(F.flatten(F.collect_set("_m")).alias("_marks")), "marks")
     discard(spark, same_at, kinds_at, parts_at)
     return out
 
@@ -270,7 +277,7 @@ def covered(marks: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
 
 
 def with_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """docs with _spans, the runs [lo, hi) of bytes to remove (null: none)."""
+    """docs with _marks, the runs [lo, hi) of starts of repeated windows (null: none)."""
     marks = repeated_windows(docs, length)
     return _keyed(docs).join(marks, list(_KEYS), "left").drop(*_KEYS)
 
@@ -285,26 +292,26 @@ def cut_out(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def removed(docs: DataFrame, length: int = 200) -> DataFrame:
-    """docs with the kept bytes, their text without characters that a cut went through, n_bytes, n_removed and n_spans."""
+    """docs with _kept (bytes), _kept_text without characters that a cut went through, _n_bytes, _n_removed and _n_spans."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("marks")
+            at = batch.schema.get_field_index("_marks")
             kept, size, gone, spans = [], [], [], []
-            for text, marks in zip(batch.column("text"), batch.column("marks")):
+            for text, marks in zip(batch.column("text"), batch.column("_marks")):
                 raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 own = covered([(m["lo"], m["hi"]) for m in marks.as_py() or ()], length)
                 kept.append(cut_out(raw, own))
                 size.append(len(raw))
                 spans.append(len(own))
                 gone.append(len(raw) - len(kept[-1]))
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), *(pa.array(x, pa.int64()) for x in (size, gone, spans))], [*(n for n in batch.schema.names if n != "marks"), "kept", "kept_text", "n_bytes", "n_removed", "n_spans"])
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), *(pa.array(x, pa.int64()) for x in (size, gone, spans))], [*(n for n in batch.schema.names if n != "_marks"), "_kept", "_kept_text", "_n_bytes", "_n_removed", "_n_spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return with_repeats(docs, length).select(*docs.columns, "marks").mapInArrow(cut, f"{schema}, kept binary, kept_text string, n_bytes long, n_removed long, n_spans long")
+    return with_repeats(docs, length).select(*docs.columns, "_marks").mapInArrow(cut, f"{schema}, _kept binary, _kept_text string, _n_bytes long, _n_removed long, _n_spans long")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without bytes covered by repeated strings of 200 bytes."""
     rows = removed(table(spark, sf_dir, "documents").select("doc_id", "text"), 200)
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")), F.sha2("_kept", 256).alias("kept_sha256"))
