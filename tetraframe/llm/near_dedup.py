@@ -34,9 +34,11 @@ from tetraframe.llm.common import chunks, discard, mix, stored, table, words
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
 #: Symbols of the longer signature (8 bits each).
-LONG = 400
+LONG = 1_000
 #: Nodes of a piece of a long list, and nearest signatures that a node proposes in the first round.
 PIECE, NEAREST = 1_024, 2
+#: Parts over which the lists of one first node are spread.
+TOGETHER = 4
 #: Most ids that are sent to all executors; more are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -280,11 +282,11 @@ def _proposals(pdf: pd.DataFrame, t: int, far: int, nearest: int) -> pd.DataFram
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component, n): lists of more than two nodes that span components; of lists of the same nodes only one."""
-    at = lists.select("key", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    """(key, id, component, n, pivot): lists of more than two nodes that span components; of lists of the same nodes only one."""
+    at = lists.select("key", "id", "pivot").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     same = at.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("_x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("_y"))
     one = same.where("_lo <> _hi AND n > 2").groupBy("n", "_x", "_y").agg(F.min("key").alias("key"))
-    return at.join(one.select("key", "n"), "key").select("key", "id", "component", "n")
+    return at.join(one.select("key", "n"), "key").select("key", "id", "component", "n", "pivot")
 
 
 def proposals(rows: DataFrame, tried: DataFrame, t: int, far: int, nearest: int) -> DataFrame:
@@ -294,9 +296,11 @@ def proposals(rows: DataFrame, tried: DataFrame, t: int, far: int, nearest: int)
     rows = rows.withColumn("_piece", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("_pieces") - 1), lambda o: F.struct(F.least(o, F.col("_piece")).alias("x"), F.greatest(o, F.col("_piece")).alias("y"), (F.col("_piece") > o).cast("int").alias("side")))
     # A list and its two pieces stay together: the pieces' numbers join the key.
-    rows = rows.select("key", "id", "component", "sig", "long", F.explode(meets).alias("_m")).select(F.xxhash64("key", "_m.x", "_m.y").alias("key"), "id", "component", "sig", "long", "_m.side")
-    rows = rows.withColumn("_part", F.pmod(F.col("key"), F.lit(max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
-    found = rows.groupBy("_part").applyInPandas(lambda pdf: _proposals(pdf, t, far, nearest), "a long, b long").distinct()
+    rows = rows.withColumn("_near", F.xxhash64("pivot", F.pmod("key", F.lit(TOGETHER)))).select("key", "id", "component", "sig", "long", "_near", F.explode(meets).alias("_m"))
+    rows = rows.select(F.xxhash64("key", "_m.x", "_m.y").alias("key"), "id", "component", "sig", "long", "_m.side", F.xxhash64("_near", "_m.x", "_m.y").alias("_near"))
+    # Lists of one first node hold much the same pairs, so they meet in few parts, which give each pair once.
+    rows = rows.withColumn("_part", F.pmod(F.col("_near"), F.lit(max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
+    found = rows.drop("_near").groupBy("_part").applyInPandas(lambda pdf: _proposals(pdf, t, far, nearest), "a long, b long").distinct()
     return found.join(tried, ["a", "b"], "left_anti")
 
 
