@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -53,8 +54,10 @@ def discard(spark: SparkSession, *places: str) -> None:
     for place in places:
         path = _path(spark, place)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first lets go of plans, the second of what they held
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def crc_mod(column: str, n: int) -> Column:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tetraframe.llm.common import chunks, crc_mod, discard, mix, stored, table, words
 
 #: Bytes of a block's texts, pairs of a bucket, largest count that is discounted.
-BLOCK, PAIRS, MOST = 8 << 20, 1 << 20, 5
+BLOCK, PAIRS, MOST = 4 << 20, 1 << 18, 5
 END = np.uint64(0x51ED270B35AE1F1D)
 
 
@@ -57,37 +57,51 @@ def _uncounts(raw: bytes) -> np.ndarray:
     return _unpack(raw[1:], {1: np.uint8, 4: np.uint32, 8: np.uint64}[raw[0]]).astype(np.int64)
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """A row a block: ids and training flags of documents, tokens of each, distinct words, texts as numbers of words.
+def _hashed(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """Words of joined texts and their number by document, hashed some documents at a time."""
+    h, n, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(offsets) - 1:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        with np.errstate(over="ignore"):
+            own, count, _ = words(data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at])
+        h.append(own)
+        n.append(count)
+        at = end
+    return np.concatenate(h), np.concatenate(n)
+
+
+def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Blocks of a scan of (doc_id, text, held_out): number, tokens of each document, distinct words, texts as numbers of words."""
+    from pyspark import TaskContext
+
+    part, number = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        for lo, hi, data, offsets in chunks(batch.column("text").to_pylist(), BLOCK):
+            h, n = _hashed(data, offsets)
+            # An end after each document's words.
+            at = np.cumsum(n + 1) - 1
+            tokens = np.empty(len(h) + len(n), np.uint64)
+            inside = np.ones(len(tokens), bool)
+            inside[at] = False
+            tokens[inside], tokens[at] = h, END
+            vocab, codes = np.unique(tokens, return_inverse=True)
+            own = batch.slice(lo, hi - lo)
+            held = own.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            yield {"block": (part << 32) + number, "sizes": n + 1, "vocab": vocab, "codes": codes.astype(np.uint32), "held": held, "ids": own.column("doc_id")}
+            number += 1
 
-    docs: doc_id, text, held_out.
-    """
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """A row a block, packed: ids and held-out flags of documents, tokens of each, distinct words, texts as numbers of words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for lo, hi, data, offsets in chunks(batch.column("text").to_pylist(), BLOCK):
-                with np.errstate(over="ignore"):
-                    h, n, doc = words(data, offsets)
-                # An end after each document's words.
-                at = np.cumsum(n + 1) - 1
-                tokens = np.empty(len(h) + len(n), np.uint64)
-                inside = np.ones(len(tokens), bool)
-                inside[at] = False
-                tokens[inside], tokens[at] = h, END
-                vocab, codes = np.unique(tokens, return_inverse=True)
-                out = [(part << 32) + number], [_pack(n + 1)], [_pack(vocab)], [_pack(codes.astype(np.uint32))], [len(tokens)]
-                own = batch.slice(lo, hi - lo)
-                ids = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), own.column("doc_id"))
-                held = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), own.column("held_out"))
-                number += 1
-                kinds = pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(out, kinds)), ids, held], ["block", "sizes", "vocab", "codes", "tokens", "ids", "held"])
-
-    return docs.select("doc_id", "text", "held_out").mapInArrow(build, f"block long, sizes binary, vocab binary, codes binary, tokens long, ids array<{kind}>, held array<boolean>")
+        for x in _built(batches):
+            size = pa.array([0, len(x["ids"])], pa.int32())
+            ids, held = pa.ListArray.from_arrays(size, x["ids"]), pa.ListArray.from_arrays(size, pa.array(x["held"]))
+            yield pa.RecordBatch.from_arrays([pa.array([x["block"]], pa.int64()), *(pa.array([_pack(x[k])], pa.binary()) for k in ("sizes", "vocab", "codes")), ids, held], ["block", "sizes", "vocab", "codes", "ids", "held"])
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(build, f"block long, sizes binary, vocab binary, codes binary, ids array<{kind}>, held array<boolean>")
 
 
 def block_pairs(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -137,40 +151,38 @@ def _load(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return _unpack(row["vocab"], np.uint64), _unpack(row["codes"], np.uint32), _unpack(row["sizes"], np.int64), np.array(row["held"], bool)
 
 
-def crowded(kept: DataFrame, share: float) -> DataFrame:
+def crowded(docs: DataFrame, share: float) -> DataFrame:
     """(word, pairs): words that hold at least `share` of some block's distinct pairs, with their pairs over these blocks."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                vocab, codes, sizes, held = _load(row)
-                _, word, _, _ = block_pairs(vocab, codes, sizes, held)
-                n = np.bincount(word, minlength=len(vocab))
-                big = np.flatnonzero(n >= max(64, share * len(word)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(vocab[big], np.uint64(0)).view(np.int64)), pa.array(np.append(n[big], len(word)))], ["word", "pairs"])
+        for row in _built(batches):
+            vocab, codes, sizes, held = row["vocab"], row["codes"], row["sizes"], row["held"]
+            _, word, _, _ = block_pairs(vocab, codes, sizes, held)
+            n = np.bincount(word, minlength=len(vocab))
+            big = np.flatnonzero(n >= max(64, share * len(word)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(vocab[big], np.uint64(0)).view(np.int64)), pa.array(np.append(n[big], len(word)))], ["word", "pairs"])
 
-    return kept.select("sizes", "vocab", "codes", "held").mapInArrow(find, "word long, pairs long").groupBy("word").agg(F.sum("pairs").alias("pairs"))
+    return docs.select("doc_id", "text", "held_out").mapInArrow(find, "word long, pairs long").groupBy("word").agg(F.sum("pairs").alias("pairs"))
 
 
-def requests(kept: DataFrame, x: Exchange) -> DataFrame:
+def requests(docs: DataFrame, x: Exchange) -> DataFrame:
     """(bucket, block, payload...): a block's distinct pairs for each bucket: words, contexts of each, training counts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                vocab, codes, sizes, held = _load(row)
-                context, word, count, _ = block_pairs(vocab, codes, sizes, held)
-                order, cuts = x.layout(vocab, context, word)
-                context, word, count = context[order], word[order], count[order]
-                out = [[], [], [], [], [], []]
-                for b in np.flatnonzero(np.diff(cuts)):
-                    lo, hi = cuts[b], cuts[b + 1]
-                    first = np.flatnonzero(np.concatenate([[True], word[lo + 1 : hi] != word[lo : hi - 1]]))
-                    for k, v in enumerate((int(b), row["block"], vocab[word[lo:hi][first]].tobytes(), _counts(np.diff(np.append(first, hi - lo))), vocab[context[lo:hi]].tobytes(), _counts(count[lo:hi]))):
-                        out[k].append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "runs", "contexts", "counts"])
-
-    return kept.select("block", "sizes", "vocab", "codes", "held").mapInArrow(ask, "bucket long, block long, words binary, runs binary, contexts binary, counts binary")
+        for row in _built(batches):
+            vocab, codes, sizes, held = row["vocab"], row["codes"], row["sizes"], row["held"]
+            context, word, count, _ = block_pairs(vocab, codes, sizes, held)
+            order, cuts = x.layout(vocab, context, word)
+            context, word, count = context[order], word[order], count[order]
+            out = [[], [], [], [], [], []]
+            for b in np.flatnonzero(np.diff(cuts)):
+                lo, hi = cuts[b], cuts[b + 1]
+                first = np.flatnonzero(np.concatenate([[True], word[lo + 1 : hi] != word[lo : hi - 1]]))
+                for k, v in enumerate((int(b), row["block"], vocab[word[lo:hi][first]].tobytes(), _counts(np.diff(np.append(first, hi - lo))), vocab[context[lo:hi]].tobytes(), _counts(count[lo:hi]))):
+                    out[k].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "runs", "contexts", "counts"])
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(ask, "bucket long, block long, words binary, runs binary, contexts binary, counts binary")
 
 
 def _answer(pdf: pd.DataFrame, x: Exchange) -> pd.DataFrame:
@@ -321,18 +333,17 @@ def _alphas(sums: pd.DataFrame, asked: pd.DataFrame, model: Model) -> pd.DataFra
     return pd.DataFrame(rows, columns=["block", "bucket", "x", "y"])
 
 
-def context_requests(kept: DataFrame, x: Exchange) -> DataFrame:
+def context_requests(docs: DataFrame, x: Exchange) -> DataFrame:
     """(bucket, block, words): a block's distinct words as contexts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                vocab = _unpack(row["vocab"], np.uint64)
-                order, cuts = x.context_layout(vocab)
-                full = np.flatnonzero(np.diff(cuts))
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([row["block"]] * len(full), pa.int64()), pa.array([vocab[order[cuts[b] : cuts[b + 1]]].tobytes() for b in full], pa.binary())], ["bucket", "block", "words"])
+        for row in _built(batches):
+            vocab = row["vocab"]
+            order, cuts = x.context_layout(vocab)
+            full = np.flatnonzero(np.diff(cuts))
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([row["block"]] * len(full), pa.int64()), pa.array([vocab[order[cuts[b] : cuts[b + 1]]].tobytes() for b in full], pa.binary())], ["bucket", "block", "words"])
 
-    return kept.select("block", "vocab").mapInArrow(ask, "bucket long, block long, words binary")
+    return docs.select("doc_id", "text", "held_out").mapInArrow(ask, "bucket long, block long, words binary")
 
 
 def _evaluate(row, answers: dict[int, tuple[bytes, bytes]], contexts: dict[int, tuple[bytes, bytes]], x: Exchange, model: Model) -> list[np.ndarray]:
@@ -370,12 +381,13 @@ def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); docs: doc_id, text, held_out."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    kept, kept_at = stored(blocks(docs), "blocks")
+    # Blocks are formed anew in each scan rather than stored: a stored copy would be as large as the texts. They are the same each
+    # time, since a scan's partitions and their order are.
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    if not kept.take(1):
+    if not docs.take(1):
         return spark.createDataFrame([], schema)
     # Crowded words: at most 1 / share words a block, and few of them are hot in the corpus.
-    heavy = crowded(kept, 1 / 512).orderBy(F.desc("pairs"))
+    heavy = crowded(docs, 1 / 512).orderBy(F.desc("pairs"))
     total = heavy.where("word = 0").first()["pairs"]
     buckets = max(8, math.ceil(total / PAIRS))
     limit = total / buckets / 4
@@ -383,7 +395,8 @@ def scored(docs: DataFrame) -> DataFrame:
     hot = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(hot)
     x = Exchange(buckets, hot[order], np.array([math.ceil(r["pairs"] / limit) * 2 for r in rows], np.int64)[order] if rows else np.zeros(0, np.int64))
-    answers, answers_at = stored(requests(kept, x).groupBy("bucket").applyInPandas(lambda pdf: _answer(pdf, x), "kind string, block long, bucket long, x binary, y binary, z binary"), "counts", ["kind"])
+    answers, answers_at = stored(requests(docs, x).groupBy("bucket").applyInPandas(lambda pdf: _answer(pdf, x), "kind string, block long, bucket long, x binary, y binary, z binary"), "counts", ["kind"])
+    discard(spark)
     totals = np.zeros(2 * MOST + 4, np.int64)
     for r in answers.where("kind = 't'").select("x").collect():  # a row a bucket
         totals += np.frombuffer(r["x"], np.int64)
@@ -393,7 +406,7 @@ def scored(docs: DataFrame) -> DataFrame:
             sums[w] = sums.get(w, 0) + n
     model = Model(totals, np.array(sorted(sums), np.uint64), np.array([sums[w] for w in sorted(sums)], np.int64))
     parts = answers.where("kind = 'c'").select("bucket", "x", "y", "z")
-    asked = context_requests(kept, x)
+    asked = context_requests(docs, x)
     alphas = parts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(lambda a, b: _alphas(a, b, model), "block long, bucket long, x binary, y binary")
     alphas, alphas_at = stored(alphas, "contexts")
     discard(spark)
@@ -409,9 +422,9 @@ def scored(docs: DataFrame) -> DataFrame:
         n, known, base, score = _evaluate(row, got[0], got[1], x, model)
         return pd.DataFrame({"ids": list(row["ids"]), "held": list(row["held"]), "n": n, "known": known, "base": base, "score": score})
 
-    out = kept.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(evaluate, f"ids {kind}, held boolean, n long, known long, base double, score double")
+    out = blocks(docs).groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(evaluate, f"ids {kind}, held boolean, n long, known long, base double, score double")
     out, _ = stored(out.select(F.col("ids").alias("doc_id"), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score"), "scores")
-    discard(spark, kept_at, answers_at, alphas_at)
+    discard(spark, answers_at, alphas_at)
     return out
 
 
