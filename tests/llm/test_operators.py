@@ -296,6 +296,33 @@ def test_toxicity_learns_held_out_rows(spark, tmp_path):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_toxicity_bounds_keep_the_shares(spark):
+    import random
+
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(2400):
+        toxic = int(i % 9 == 0)
+        w = [f"wort{rng.randrange(500)}" for _ in range(30)]
+        if rng.random() < (0.7 if toxic else 0.05):
+            w[3] = "schuftig"
+        rows.append((i, " ".join(w)))
+        labels.append((i, toxic))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def scores(**bounds):
+        stems, w = toxicity.train(docs, known, **bounds)
+        g = toxicity.Grammar(stems)
+        return [float(1 / (1 + np.exp(-(g.features(t) @ w[:-1] + w[-1])))) for t in ("wort1 wort2", "wort1 schuftig wort2")]
+
+    # 1:8 among all rows, 1:2 among the rows read: the scores are those of all rows.
+    (clean, toxic), (few_clean, few_toxic) = scores(), scores(toxic_rows=120, clean_rows=240)
+    assert abs(few_clean - clean) < 0.02 and abs(few_toxic - toxic) < 0.15
+    x, y = np.array([[0.0], [1.0], [1.0], [0.0]]), np.array([0.0, 1.0, 0.0, 1.0])
+    n = np.array([3, 2, 1, 1])
+    assert np.allclose(toxicity.fit_logistic(x, y, counts=n.astype(float)), toxicity.fit_logistic(np.repeat(x, n, 0), np.repeat(y, n)))
+
+
 def test_toxicity_of_nulls(spark, folder, rows):
     assert len(toxicity.op2_toxicity(spark, folder).collect()) == len(rows)
 

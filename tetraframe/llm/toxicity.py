@@ -8,7 +8,8 @@ into a score from 0 to 1. Threats, targets, negations and reporting words are fi
 words or word beginnings that stand in toxic training texts far more often than in others.
 
 Training reads at most `toxic_rows` and `clean_rows` labelled rows (the smallest hashes of doc_id; documented bounds), never
-rows held out. Scores see the text only.
+rows held out. A row read stands for all / read rows of its kind, so scores follow the kinds' shares among all training rows,
+whether the bounds bind or not. Scores see the text only.
 
 Defined cases: null and empty text have no clause and get the model's base score; texts of any length are read whole;
 labels without a document, or with a null label, are ignored; with no training row of one kind no stem is learned and the
@@ -203,14 +204,15 @@ def learn_stems(texts: list[str], toxic: np.ndarray, least: int = 3, most: int =
     return chosen
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
-    """Weights and, last, the bias: ridge logistic regression by Newton's method."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50, counts: np.ndarray | None = None) -> np.ndarray:
+    """Weights and, last, the bias: ridge logistic regression by Newton's method; a row counts `counts` times, once without them."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge * max(1, len(x)) / 100)
+    n = np.ones(len(x)) if counts is None else counts
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge * max(1, n.sum()) / 100)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + np.diag(penalty + 1e-9), x.T @ (n * (p - y)) + penalty * w)
         w -= np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-6:
             break
@@ -236,7 +238,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
         return {}, UNTRAINED
     stems = learn_stems(texts, y)
     grammar = Grammar(stems)
-    return stems, fit_logistic(np.stack([grammar.features(t) for t in texts]), y)
+    every = {int(r["toxic"]): r["count"] for r in own.groupBy("toxic").count().collect()}
+    share = np.array([every[k] / min(every[k], n) for k, n in ((0, clean_rows), (1, toxic_rows))])
+    return stems, fit_logistic(np.stack([grammar.features(t) for t in texts]), y, counts=share[y.astype(int)])
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
