@@ -34,10 +34,10 @@ BOOK.views["taps_iso"] = TAPS.format(s="(i + 0.5) * 0.5::DOUBLE - 0.5", n=32)
 BOOK.views["taps_corner"] = TAPS.format(s="i * 15.0::DOUBLE / 23", n=24)
 LINEAR = f"SELECT t, i::INTEGER AS z, y, x, {r('sum(value * w) AS value')} FROM voxels JOIN mixed USING (z) GROUP BY t, i, y, x"
 a("vol3_isotropic_order1", on(lambda v: rounded(vo.isotropic(v, SHAPE, (0.748, 0.374, 0.374), 0.374, 1))), LINEAR, "voxels", "taps_iso")
-a("vol3_isotropic_cubic", on(lambda v: vo.isotropic(v.where("t = 1"), SHAPE, (0.748, 0.374, 0.374), 0.5, 3)))
+a("vol3_isotropic_cubic", on(lambda v: vo.isotropic(v, SHAPE, (0.748, 0.374, 0.374), 0.5, 3)))
 a("vol4_reslice_linear_z", on(lambda v: rounded(vo.resliced_linear(v, fx.NZ, 24))), LINEAR, "voxels", "taps_corner")
 a("vol5_downscale_xy", on(lambda v: vo.rescaled_xy(v, fx.NY, fx.NX, 0.5)))
-a("vol6_export_raw_iso", on(lambda v: vo.raw_isotropic(v.where("t = 1"), SHAPE, 0.5, 20)))
+a("vol6_export_raw_iso", on(lambda v: vo.raw_isotropic(v, SHAPE, 0.5, 20)))
 a("vol8_camera_bg_subtract", on(lambda v: rounded(vo.camera_background_subtract(v.withColumn("value", F.col("value") + F.col("x")), 0.3).select("t", "z", "y", "x", "corrected"))),
   f"WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) SELECT t, z, y, x, {r('greatest(value - q, 0.0) AS corrected')} FROM v2 JOIN (SELECT t, z, quantile_cont(value, 0.3) AS q FROM v2 GROUP BY 1, 2) USING (t, z)", "voxels")
 a("vol11_local_noise", on(lambda v: vo.local_noise(v)))
