@@ -11,6 +11,12 @@ from tetraframe.plans import registry
 SF = "/root/testdata/sf0.001"
 
 
+def test_whole_sort(spark):
+    rows = fx.spots(spark, SF).collect()
+    found = registry.QUERIES["srt2_lexsort_whole"](spark, SF)
+    assert found.collect() == sorted(rows, key=lambda r: (r["frame"], -r["position_x"], r["id"])) and len(rows) > 100
+
+
 @pytest.fixture(scope="module")
 def volumes(spark):
     """The voxel view as one array (t, z, y, x)."""

@@ -94,6 +94,7 @@ a("flt17_column_reorder", on(lambda d: fl.column_reorder(d, ["id", "frame"])), "
 a("flt22_selected_tracks", lambda s, f: fl.selected_tracks(fx.spots(s, f), fx.tracks(s, f).where("track_id < 60")).select("track_id", "frame", "id", "drawable"),
   "SELECT track_id, frame, id, count(*) OVER (PARTITION BY track_id) >= 2 AS drawable FROM spots WHERE track_id % 3 = 0 AND track_id < 60", "spots")
 a("srt1_sort_track_frame", on(lambda d: fl.sort_track_frame(fl.tracked_only(d))), f"SELECT {COLS} FROM spots WHERE track_id IS NOT NULL ORDER BY track_id, frame, id", "spots")
+a("srt2_lexsort_whole", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id")))
 a("srt2_lexsort", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id").limit(100)), f"SELECT {COLS} FROM spots ORDER BY frame, position_x DESC, id LIMIT 100", "spots")
 a("srt4_latest_points", on(fl.latest_points), f"SELECT {COLS} FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame DESC, id DESC) AS rn FROM spots WHERE track_id IS NOT NULL) WHERE rn = 1", "spots")
 a("srt6_linspace_slices", lambda s, f: s.range(1).select(F.posexplode(fl.linspace_slices(458, 5))).select(F.col("pos").alias("k"), F.col("col").alias("z")), "SELECT k::INTEGER AS k, floor(k * 457.0 / 4)::INTEGER AS z FROM range(5) r(k)")
