@@ -79,3 +79,11 @@ def test_all_time_points_are_resampled(spark, volumes, name):
         got = np.full(want.shape, np.nan)
         got[g["z"], g["y"], g["x"]] = g["value"]
         assert np.allclose(got, want, atol=1e-6)
+
+
+def test_all_time_points_are_decoded_and_stacked(spark, volumes):
+    for name, want in (("src5_scan_tiff_volume_whole", volumes), ("src13_stack_timepoints_whole", volumes[:, ::2, ::2, ::2])):
+        p = registry.QUERIES[name](spark, SF).toPandas()
+        got = np.full(want.shape, np.nan)
+        got[p["t"] - (name[:4] == "src5"), p["z"], p["y"], p["x"]] = p["value"]
+        assert len(p) == want.size and (got == want).all()

@@ -66,7 +66,7 @@ a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f)))
 def tiff_like(s: SparkSession, f: str) -> DataFrame:
     """Volumes as raw arrays, one file a time point, decoded again."""
     path = folder(s, "raw")
-    v = fx.voxels(s, f).where("t <= 2")
+    v = fx.voxels(s, f)
 
     def encode(pdf):
         import numpy as np
@@ -92,7 +92,8 @@ def tiff_like(s: SparkSession, f: str) -> DataFrame:
     return packed.mapInPandas(decode, "t int, z int, y int, x int, value int")
 
 
-a("src5_scan_tiff_volume", tiff_like, "SELECT t, z, y, x, value FROM voxels WHERE t <= 2", "voxels")
+a("src5_scan_tiff_volume_whole", tiff_like)
+a("src5_scan_tiff_volume", lambda s, f: tiff_like(s, f).where("t <= 2"), "SELECT t, z, y, x, value FROM voxels WHERE t <= 2", "voxels")
 a("src6_scan_hyperstack", lambda s, f: rd.reshaped_hyperstack(s.range(28).select(F.col("id").cast("int").alias("page")), 4, 7), "SELECT i::INTEGER AS page, (i // 4)::INTEGER AS t, (i % 4)::INTEGER AS z FROM range(28) q(i)")
 a("src7_image_layout", lambda s, f: s.createDataFrame([(len(x), rd.image_layout(x, False)) for x in ((4, 5, 6), (2, 4, 5, 6), (1, 2, 4, 5, 6))], "axes int, layout string"), "SELECT * FROM (VALUES (3, 'ZYX'), (4, 'CZYX'), (5, 'TCZYX')) v(axes, layout)")
 META = [(1, '<Pixels PhysicalSizeX="374" PhysicalSizeXUnit="nm" PhysicalSizeY="374" PhysicalSizeZ="748"/>'), (2, '{"x_um": 0.4, "y_um": 0.4, "z_um": 2.0}'), (3, "none")]
@@ -111,7 +112,15 @@ a("src11_scan_zarr", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("
 ORDERED = "row_number() OVER (ORDER BY CASE WHEN regexp_matches(name, '[0-9]+[.][^.]*$') THEN 0 ELSE 1 END, nullif(regexp_extract(name, '([0-9]+)[.][^.]*$', 1), '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
 a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
 a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s)), f"SELECT name, {ORDERED} FROM names", "names")
-a("src13_stack_timepoints", lambda s, f: rd.stack_timepoints([fx.voxels(s, f).where(f"t = {k}").select("z", "y", "x", "value") for k in (1, 2)], 2), "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS y, x // 2 AS x, value FROM voxels WHERE t <= 2 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0", "voxels")
+
+
+def stacked(s: SparkSession, f: str) -> DataFrame:
+    """Every second voxel of all time points, stacked."""
+    return rd.stack_timepoints([fx.voxels(s, f).where(f"t = {k}").select("z", "y", "x", "value") for k in range(1, fx.NT + 1)], 2)
+
+
+a("src13_stack_timepoints_whole", stacked)
+a("src13_stack_timepoints", lambda s, f: stacked(s, f).where("t < 2"), "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS y, x // 2 AS x, value FROM voxels WHERE t <= 2 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0", "voxels")
 
 
 def stage_files(s: SparkSession, f: str) -> DataFrame:
