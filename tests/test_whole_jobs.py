@@ -87,3 +87,23 @@ def test_all_time_points_are_decoded_and_stacked(spark, volumes):
         got = np.full(want.shape, np.nan)
         got[p["t"] - (name[:4] == "src5"), p["z"], p["y"], p["x"]] = p["value"]
         assert len(p) == want.size and (got == want).all()
+
+
+def test_all_tracks_are_assigned(spark):
+    rows = fx.spots(spark, SF).collect()
+    own = {r["id"]: r["track_id"] for r in rows}
+    tracked = [t for t in own.values() if t is not None]
+    assert {r["id"]: r["track_id"] for r in registry.QUERIES["jn1_assign_by_id_whole"](spark, SF).collect()} == own
+    assert tuple(registry.QUERIES["jn1_assign_stats_whole"](spark, SF).first()) == (len(rows), len(tracked), len(set(tracked)))
+    want = dict.fromkeys(own)
+    frames = {}
+    for r in rows:
+        frames.setdefault(r["frame"], []).append(r)
+    # One spot a track and frame: its centroid is the spot, moved.
+    for r in sorted((r for r in rows if r["track_id"] is not None), key=lambda r: -r["track_id"]):
+        at = (r["position_x"] + 1.5, r["position_y"] - 1.0, r["position_z"] + 0.5)
+        near = min((math.dist(at, (s["position_x"], s["position_y"], s["position_z"])), s["id"]) for s in frames[r["frame"]])
+        if near[0] <= 60:
+            want[near[1]] = r["track_id"]
+    found = registry.QUERIES["jn2_assign_nearest_whole"](spark, SF).collect()
+    assert len(found) == len(rows) and {r["id"]: r["track_id"] for r in found} == want

@@ -37,6 +37,11 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots(spark, sf_dir).where("track_id % 3 = 0").select("track_id", "frame", "position_x", "position_y", "position_z", "id")
 
 
+def all_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tracks table: the spots of all tracks."""
+    return spots(spark, sf_dir).where("track_id IS NOT NULL").select("track_id", "frame", "position_x", "position_y", "position_z", "id")
+
+
 TRACKS = "tracks AS (SELECT * FROM spots WHERE track_id % 3 = 0)"
 
 

@@ -160,6 +160,8 @@ a("set1_union_extension", on(lambda d: kin.last_point_extension(fl.tracked_only(
 a("win18_first_point", on(kin.first_point), "SELECT track_id, frame, position_x, position_y, position_z FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame, id) AS rn FROM spots WHERE track_id IS NOT NULL) WHERE rn = 1", "spots")
 
 # Joins.
+a("jn1_assign_by_id_whole", lambda s, f: jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f)))
+a("jn1_assign_stats_whole", lambda s, f: jn.assign_stats(jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f))))
 a("jn1_assign_by_id", lambda s, f: jn.assign_by_id(fx.spots(s, f), fx.tracks(s, f)), "SELECT s.frame, s.id, s.position_x, s.position_y, s.position_z, t.track_id FROM spots s LEFT JOIN tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "tracks")
 a("jn1_assign_stats", lambda s, f: jn.assign_stats(jn.assign_by_id(fx.spots(s, f), fx.tracks(s, f))), "SELECT count(*) AS n_spots, count(t.track_id) AS n_assigned, count(DISTINCT t.track_id) AS n_tracks FROM spots s LEFT JOIN tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "tracks")
 NEAR = """cent AS (SELECT track_id, frame, avg(position_x) + 1.5 AS x, avg(position_y) - 1.0 AS y, avg(position_z) + 0.5 AS z FROM tracks GROUP BY 1, 2),
@@ -169,12 +171,13 @@ won AS (SELECT frame, id, min(track_id) AS track_id FROM near WHERE rn = 1 GROUP
 BOOK.views["near"] = NEAR
 
 
-def shifted(spark: SparkSession, sf: str) -> DataFrame:
+def shifted(tracks: DataFrame) -> DataFrame:
     """Tracks a little off their spots."""
-    return fx.tracks(spark, sf).withColumns({"position_x": F.col("position_x") + 1.5, "position_y": F.col("position_y") - 1.0, "position_z": F.col("position_z") + 0.5})
+    return tracks.withColumns({"position_x": F.col("position_x") + 1.5, "position_y": F.col("position_y") - 1.0, "position_z": F.col("position_z") + 0.5})
 
 
-a("jn2_assign_nearest", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(s, f), 60.0).select("frame", "id", "track_id"), "SELECT s.frame, s.id, w.track_id FROM spots s LEFT JOIN won w ON s.frame = w.frame AND s.id = w.id", "spots", "tracks", "near")
+a("jn2_assign_nearest_whole", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.all_tracks(s, f)), 60.0).select("frame", "id", "track_id"))
+a("jn2_assign_nearest", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.tracks(s, f)), 60.0).select("frame", "id", "track_id"), "SELECT s.frame, s.id, w.track_id FROM spots s LEFT JOIN won w ON s.frame = w.frame AND s.id = w.id", "spots", "tracks", "near")
 NN = """nn AS (SELECT a.id, min(sqrt((a.position_x - b.position_x) * (a.position_x - b.position_x) + (a.position_y - b.position_y) * (a.position_y - b.position_y) + (a.position_z - b.position_z) * (a.position_z - b.position_z))) AS d FROM cloud a JOIN cloud b ON a.id <> b.id GROUP BY 1)"""
 BOOK.views["nn"] = NN
 a("jn3_nn_tolerance", lambda s, f: rounded(jn.nn_tolerance(fx.cloud(s, f))), f"SELECT {r('greatest(1.5 * median(d), 1e-6) AS tolerance')} FROM nn", "cloud", "nn")
