@@ -7,6 +7,8 @@ import pytest
 
 from tetraframe.plans import fixtures as fx
 from tetraframe.plans import registry
+from tetraframe.plans.book import rounded
+from tetraframe.streaming.speeds import streamed_speeds
 
 SF = "/root/testdata/sf0.001"
 
@@ -107,3 +109,10 @@ def test_all_tracks_are_assigned(spark):
             want[near[1]] = r["track_id"]
     found = registry.QUERIES["jn2_assign_nearest_whole"](spark, SF).collect()
     assert len(found) == len(rows) and {r["id"]: r["track_id"] for r in found} == want
+
+
+def test_streamed_speeds_over_triggers(spark, tmp_path):
+    found = rounded(streamed_speeds(spark, fx.spots(spark, SF).where("track_id IS NOT NULL"), str(tmp_path))).collect()
+    assert len([x for x in (tmp_path / "state" / "commits").iterdir() if x.name.isdigit()]) == 3
+    want = registry.QUERIES["win1_step_speed"](spark, SF).where("track_id IS NOT NULL").collect()
+    assert len(found) == len(want) and {tuple(r) for r in found} == {tuple(r) for r in want}

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 AXES = ("x", "y", "z")
@@ -43,8 +44,13 @@ def speed_stream(stream: DataFrame) -> DataFrame:
 
 def streamed_speeds(spark: SparkSession, spots: DataFrame, folder: str, files: int = 3) -> DataFrame:
     """Write spots in frame order as files, stream them one file a trigger into a table, and read that."""
-    spots.select(*COLUMNS).repartitionByRange(files, "frame").write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(spots.select(*COLUMNS).schema).option("maxFilesPerTrigger", 1000).parquet(f"{folder}/in")
+    schema = spots.select(*COLUMNS).schema
+    spots.select(*COLUMNS).repartitionByRange(files, "frame").withColumn("_part", F.spark_partition_id()).write.partitionBy("_part").parquet(f"{folder}/parts")
+    parts = spark.read.schema(f"{schema.toDDL()}, _part int").parquet(f"{folder}/parts")
+    # One after the other: the stream takes files by age.
+    for k in range(files):
+        parts.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     query = speed_stream(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema("track_id long, frame int, id long, step_speed double").parquet(f"{folder}/out")
