@@ -132,6 +132,7 @@ def test_near_duplicates(spark, folder, rows):
 def test_chains_beyond_the_first_node_are_found(spark, monkeypatch):
     """Texts of which only neighbours are alike: no list's first node links them all."""
     monkeypatch.setattr(near_dedup, "PIECE", 4)
+    monkeypatch.setattr(near_dedup, "SET_PIECE", 3)
     w = [f"t{k}" for k in range(160)]
     rows = [(k, " ".join(w[3 * k : 3 * k + 60])) for k in range(30)] + [(100 + k, " ".join(f"u{k}x{j}" for j in range(40))) for k in range(5)]
     got = by_id(near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85))

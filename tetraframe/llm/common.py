@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Rows of a batch that Spark hands to Python, unless the session asks for fewer: documents are long.
+#: Rows that a Python worker takes at a time of the batches that Spark hands it: documents are long.
 BATCH_ROWS = 1_000
+#: Spark removes a query's shuffle files at its end; without it they stay until the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables, as Spark reads it; Python workers of the session get small batches."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """One of the input tables, as Spark reads it."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut into smaller ones, empty ones left out."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; only a local session without it gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -39,25 +46,29 @@ def _path(spark: SparkSession, place: str):
 
 
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
-    """Write df as a table in the shared folder and read it again, which cuts its lineage. Removed when the application ends."""
+    """Write df as a table in the shared folder and read it again, which cuts its lineage. Removed when the application ends.
+
+    The shuffle files of the write go with its end: what follows reads the table.
+    """
     spark = df.sparkSession
     place = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(place)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(place)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     path = _path(spark, place)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(place), place
 
 
 def discard(spark: SparkSession, *places: str) -> None:
-    """Remove tables that stored() wrote, once nothing reads them any more, and let Spark drop their shuffle files."""
+    """Remove tables that stored() wrote, once nothing reads them any more."""
     for place in places:
         path = _path(spark, place)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    for _ in range(2):  # the first lets go of plans, the second of what they held
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.2)
 
 
 def crc_mod(column: str, n: int) -> Column:

@@ -1,20 +1,26 @@
 """MinHash near-dedup by a multi-index Hamming join.
 
-Each distinct shingle set gets a signature of K symbols of b bits: the least of K hash functions over the set. Sets that are
-alike to the given degree differ in at most t symbols, but for a chance below 1e-7, which fixes t. A signature is cut into
+Each distinct shingle set is a node and gets a signature of K symbols of b bits: the least of K hash functions over the set. Sets
+that are alike to the given degree differ in at most t symbols, but for a chance below MISS, which fixes t. A signature is cut into
 t // 2 + 1 chunks, so by the pigeonhole principle two signatures within t agree in some chunk but for one symbol at most; every
-chunk is listed once for each place where that error may stand. That finds all pairs within t. Pairs are confirmed on the full
-sets with integers, and confirmed links are closed to components.
+chunk is listed once for each place where that error may stand. All pairs within t meet in a list. Links are confirmed on the full
+sets with integers and closed to components.
 
-Groups are never expanded into all pairs: equal sets become one node; in each list the smallest node is tried with the others;
-what is left are lists that still span several components. Lists of the same nodes become one, nodes get a second, longer
-signature with a bound of its own (missed again with a chance below 1e-7), and each node proposes its nearest nodes of other
-components, more and farther ones in every round, until no pair within both bounds across components is untried. Long lists are
-cut into pieces that meet pairwise in separate tasks.
+Groups are never expanded into all pairs:
+
+1. In each list the first node is tried with the others, and the components of these links are formed.
+2. A list that still spans several components says which of its nodes have a partner within t in another component. A pair is
+   looked at in the first of the lists that it shares only. Rows out: one a list and node at most.
+3. These nodes bring their full sets to the list, which counts intersections and gives the links of a spanning forest: fewer links
+   than nodes. Components are closed once more.
+
+A long list is cut into pieces that meet pairwise in separate tasks; nodes in the component of the list's first node meet the others
+only, not each other. No pair within t is left out for the size of its list; where most of a long list is alike to a degree just
+below the bound, the comparisons (not the rows) grow with the square of the list.
 
 Defined cases: null or empty text, or text without words, is the empty set and linked with nothing; a text with fewer words than
-a shingle is one shingle; rows that share a doc_id are one node; a null doc_id is linked with nothing and kept; an empty table
-gives an empty result; other columns are not read.
+a shingle is one shingle; rows of one doc_id are nodes of their own where their texts differ; a null doc_id is linked with nothing
+and kept; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,27 +30,22 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, discard, mix, stored, table, words
+from tetraframe.llm.common import chunks, discard, mix, slices, stored, table, words
 
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
-#: Symbols of the longer signature (8 bits each).
-LONG = 1_000
-#: Nodes of a piece of a long list, and nearest signatures that a node proposes in the first round.
-PIECE, NEAREST = 1_024, 2
-#: Parts over which the lists of one first node are spread.
-TOGETHER = 4
-#: Most ids that are sent to all executors; more are joined by a shuffle.
+#: Nodes of a piece of a long list where signatures meet; nodes and bytes where sets meet.
+PIECE, SET_PIECE, SET_BYTES = 4_096, 1_024, 32 << 20
+#: Most nodes whose ids are sent to all executors (40 bytes each); more are joined by a shuffle.
 SENT_IDS = 500_000
 
 _rng = np.random.default_rng(20240517)
-_ODD = _rng.integers(1, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_XOR = _rng.integers(1, 1 << 63, LONG, dtype=np.uint64)
+_ODD = _rng.integers(1, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(1, 1 << 63, K, dtype=np.uint64)
 
 
 @functools.lru_cache
@@ -87,50 +88,56 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np
     return out
 
 
-def _least(sets: list[np.ndarray], k: int, first: int = 0) -> np.ndarray:
-    """The least of k hash functions over each set; none may be empty."""
+def set_hashes(x: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two signed numbers; 0 for the empty set."""
+    if not len(x):
+        return 0, 0
+    return tuple(int(mix(x ^ np.uint64(s)).sum(dtype=np.uint64).astype(np.int64)) for s in (0, 0x5851F42D4C957F2D))
+
+
+def signature(sets: list[np.ndarray]) -> np.ndarray:
+    """K symbols of 16 bits for each set; none may be empty."""
     h = np.concatenate(sets)
     at = np.cumsum([0, *map(len, sets[:-1])])
-    least = np.empty((len(sets), k), np.uint32)
-    for i in range(k // 2):
-        v = (h ^ _XOR[first + i]) * _ODD[first + i]
+    least = np.empty((len(sets), K), np.uint32)
+    for i in range(K // 2):
+        v = (h ^ _XOR[i]) * _ODD[i]
         v ^= v >> np.uint64(32)
         v *= _ODD[-1 - i]
         least[:, 2 * i] = np.minimum.reduceat((v >> np.uint64(32)).astype(np.uint32), at)
         least[:, 2 * i + 1] = np.minimum.reduceat((v ^ (v >> np.uint64(29))).astype(np.uint32), at)
-    return least * np.uint32(0x9E3779B1)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
-def signature(sets: list[np.ndarray]) -> np.ndarray:
-    """K symbols of 16 bits for each set."""
-    return (_least(sets, K) >> np.uint32(16)).astype(np.uint16)
-
-
-def long_signature(sets: list[np.ndarray]) -> np.ndarray:
-    """LONG symbols of 8 bits for each set, of other hash functions."""
-    return (_least(sets, LONG, K) >> np.uint32(24)).astype(np.uint8)
+_MARKS = ("n_shingles", "h1", "h2", "t1", "t2")
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, sig): set size, 128-bit hash of the set, signature (null for the empty set)."""
+    """(doc_id, n_shingles, h1, h2, t1, t2, sig): set size, 128-bit hashes of the set and of the text, signature (null for the empty set)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                n, h1, h2, sig = [], [], [], []
+            for batch in slices(batches):
+                n, both, sig = [], [], []
                 for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
                     sets = shingle_hashes(data, offsets, width)
                     full = [x for x in sets if len(x)]
                     rows = iter(signature(full)) if full else iter(())
                     for x in sets:
                         n.append(len(x))
-                        h1.append(int(mix(x).sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0)
-                        h2.append(int(mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0)
+                        both.append(set_hashes(x))
                         sig.append(next(rows).tobytes() if len(x) else None)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "h1", "h2", "sig"])
+                h1, h2 = zip(*both) if both else ((), ())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), batch.column("t1"), batch.column("t2"), pa.array(sig, pa.binary())], ["doc_id", *_MARKS, "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n_shingles long, h1 long, h2 long, sig binary")
+    return docs.select("doc_id", "text", *text_hashes()).mapInArrow(sign, f"doc_id {kind}, {', '.join(f'{c} long' for c in _MARKS)}, sig binary")
+
+
+def text_hashes() -> list:
+    """128 bits of the text column, which tell rows of one doc_id apart."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return [F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text).alias("t2")]
 
 
 def _symbols(raw) -> np.ndarray:
@@ -138,15 +145,15 @@ def _symbols(raw) -> np.ndarray:
 
 
 def list_keys(s: np.ndarray, t: int) -> np.ndarray:
-    """The keys of each signature: a hash of each chunk without one of its symbols."""
+    """The keys of each signature, by the symbol left out: a hash of its chunk's other symbols, whose low 7 bits are that symbol's number."""
     out = []
-    for c, (a, b) in enumerate(chunk_bounds(t)):
+    for a, b in chunk_bounds(t):
         for gap in range(a, b):
-            key = np.full(len(s), np.uint64(c * 256 + gap + 1), np.uint64)
+            key = np.full(len(s), np.uint64(gap + 1), np.uint64)
             for j in range(a, b):
                 if j != gap:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + s[:, j])
-            out.append(key)
+            out.append((key & ~np.uint64(127)) | np.uint64(gap))
     return np.stack(out, 1).astype(np.int64)
 
 
@@ -155,11 +162,9 @@ def keyed(nodes: DataFrame, t: int) -> DataFrame:
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                for at in range(0, batch.num_rows, 2048):
-                    part = batch.slice(at, 2048)
-                    k = list_keys(_symbols(part.column("sig").to_pylist()), t)
-                    yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), part.column("id").take(pa.array(np.repeat(np.arange(len(k)), k.shape[1])))], ["key", "id"])
+            for part in slices(batches, 2048):
+                k = list_keys(_symbols(part.column("sig").to_pylist()), t)
+                yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), part.column("id").take(pa.array(np.repeat(np.arange(len(k)), k.shape[1])))], ["key", "id"])
 
     return nodes.select("id", "sig").mapInArrow(keys, "key long, id long")
 
@@ -170,42 +175,29 @@ def near_pairs(pairs: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
     both = pairs.join(sig.toDF("a", "_sa"), "a").join(sig.toDF("b", "_sb"), "b")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                d = (_symbols(batch.column("_sa").to_pylist()) != _symbols(batch.column("_sb").to_pylist())).sum(1)
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(d <= t)) for c in ("a", "b")], ["a", "b"])
+        for batch in slices(batches, 10_000):
+            d = (_symbols(batch.column("_sa").to_pylist()) != _symbols(batch.column("_sb").to_pylist())).sum(1)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(d <= t)) for c in ("a", "b")], ["a", "b"])
 
     return both.select("a", "b", "_sa", "_sb").mapInArrow(near, "a long, b long")
 
 
-def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the documents with these ids; ids: stored, distinct."""
-    few = ids.count() <= SENT_IDS
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
-
-
-def _derived(texts: DataFrame, width: int, name: str, make) -> DataFrame:
-    """(id, name): bytes made of the shingle sets of documents, one row an id."""
+def full_sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, s): the full sets of some nodes, 8 bytes a shingle. ids: stored, distinct."""
+    wanted = nodes.join(ids, "id", "left_semi").select("id", "rep", "h1", "h2")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(F.broadcast(wanted) if ids.count() <= SENT_IDS else wanted, "rep")
 
     def derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in slices(batches):
                 out = []
                 for _, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
-                    out += make(shingle_hashes(data, offsets, width))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", name])
-
-    return texts.mapInArrow(derive, f"id long, {name} binary").dropDuplicates(["id"])
-
+                    out += shingle_hashes(data, offsets, width)
+                # A doc_id may stand for several texts: only the node's own set.
+                own = [set_hashes(x) == h for x, h in zip(out, zip(batch.column("h1").to_pylist(), batch.column("h2").to_pylist()))]
+                yield pa.RecordBatch.from_arrays([batch.column("id").filter(pa.array(own, pa.bool_())), pa.array([x.tobytes() for x, o in zip(out, own) if o], pa.binary())], ["id", "s"])
 
-def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, s): the full sets of some documents, 8 bytes a shingle."""
-    return _derived(_some(docs, ids), width, "s", lambda sets: [x.tobytes() for x in sets])
-
-
-def long_signatures(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, long): the longer signatures of some documents; none of their sets is empty."""
-    return _derived(_some(docs, ids), width, "long", lambda sets: [x.tobytes() for x in long_signature(sets)])
+    return texts.select("id", "h1", "h2", "text").mapInArrow(derive, "id long, s binary").dropDuplicates(["id"])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -239,140 +231,237 @@ def components(edges: DataFrame) -> DataFrame:
         low = labels.join(near, "id").select("id", F.col("component").alias("_old"), F.least("component", "_m").alias("_new"))
         up = labels.select(F.col("id").alias("_new"), F.col("component").alias("_up"))
         new, where = stored(low.join(up, "_new").select("id", F.least("_new", "_up").alias("component"), (F.least("_new", "_up") != F.col("_old")).alias("_moved")), "labels")
-        moved = new.where("_moved").limit(1).count()
         discard(spark, last)
         labels, last = new.select("id", "component"), where
-        if not moved:
+        if not new.where("_moved").take(1):
             discard(spark, place)
             return labels
 
 
-def _proposals(pdf: pd.DataFrame, t: int, far: int, nearest: int) -> pd.DataFrame:
-    """Pairs across components of one part of the lists: for each node its nearest within both bounds."""
-    order = np.lexsort((pdf["id"].to_numpy(), pdf["key"].to_numpy()))
-    key, ids, comp, side = (pdf[c].to_numpy()[order] for c in ("key", "id", "component", "side"))
-    sig = _symbols([pdf["sig"].iat[i] for i in order])
-    long = np.frombuffer(b"".join(pdf["long"].iat[i] for i in order), np.uint8).reshape(-1, LONG)
-    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist() + [len(key)]
-    a, b = [], []
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
-        if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after more links: components of the old components are found, and every node follows its own."""
+    label = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+    ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    more = components(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("_top"))
+    every = labels.unionByName(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id", "left_anti").withColumn("component", F.col("id")))
+    return every.join(more, "component", "left").select("id", F.coalesce("_top", "component").alias("component"))
+
+
+# --- lists that span components -----------------------------------------------------------------------------------
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Rows of equal key from batches in the order of the key."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        cross = side[lo:hi].any()
-        for at in range(lo, hi, 64):
-            end = min(at + 64, hi)
-            ok = comp[at:end, None] != comp[None, lo:hi]
-            if cross:  # a piece of a long list against another: only pairs between the two
-                ok &= side[at:end, None] != side[None, lo:hi]
-            i, j = np.nonzero(ok)
-            near = (sig[at + i] != sig[lo + j]).sum(1) <= t
-            i, j = i[near], j[near]
-            if not len(i):
-                continue
-            d = (long[at + i] != long[lo + j]).sum(1)
-            near = d <= far
-            i, j, d = i[near], j[near], d[near]
-            rank = np.lexsort((ids[lo + j], d, i))
-            i, j = i[rank], j[rank]
-            best = np.arange(len(i)) - np.searchsorted(i, i) < nearest
-            a.append(ids[at + i[best]])
-            b.append(ids[lo + j[best]])
-    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        k = batch.column(key).to_numpy()
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            part = pa.Table.from_batches([batch.slice(lo, hi - lo)])
+            if held and held[0].column(key)[0].as_py() != int(k[lo]):
+                yield pa.concat_tables(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.concat_tables(held)
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component, n, pivot): lists of more than two nodes that span components; of lists of the same nodes only one."""
-    at = lists.select("key", "id", "pivot").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    same = at.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("_x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("_y"))
-    one = same.where("_lo <> _hi AND n > 2").groupBy("n", "_x", "_y").agg(F.min("key").alias("key"))
-    return at.join(one.select("key", "n"), "key").select("key", "id", "component", "n", "pivot")
-
-
-def proposals(rows: DataFrame, tried: DataFrame, t: int, far: int, nearest: int) -> DataFrame:
-    """Untried pairs (a, b) within both bounds across components. rows: open lists with the nodes' signatures."""
-    # Of a component that a list holds more than once every node may be the one that links, so all stay.
-    rows = rows.withColumn("_pieces", F.ceil(F.col("n") / PIECE).cast("int"))
-    rows = rows.withColumn("_piece", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("_pieces") - 1), lambda o: F.struct(F.least(o, F.col("_piece")).alias("x"), F.greatest(o, F.col("_piece")).alias("y"), (F.col("_piece") > o).cast("int").alias("side")))
-    # A list and its two pieces stay together: the pieces' numbers join the key.
-    rows = rows.withColumn("_near", F.xxhash64("pivot", F.pmod("key", F.lit(TOGETHER)))).select("key", "id", "component", "sig", "long", "_near", F.explode(meets).alias("_m"))
-    rows = rows.select(F.xxhash64("key", "_m.x", "_m.y").alias("key"), "id", "component", "sig", "long", "_m.side", F.xxhash64("_near", "_m.x", "_m.y").alias("_near"))
-    # Lists of one first node hold much the same pairs, so they meet in few parts, which give each pair once.
-    rows = rows.withColumn("_part", F.pmod(F.col("_near"), F.lit(max(64, 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))))
-    found = rows.drop("_near").groupBy("_part").applyInPandas(lambda pdf: _proposals(pdf, t, far, nearest), "a long, b long").distinct()
-    return found.join(tried, ["a", "b"], "left_anti")
+    """(key, id, component, own): lists of more than two nodes that span components; own: in the component of the list's first node."""
+    at = lists.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    first = F.min(F.struct("id", "component"))["component"].alias("_first")
+    span = at.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("_n"), first)
+    return at.join(span.where("_lo <> _hi AND _n > 2").select("key", "_first"), "key").select("key", "id", "component", (F.col("component") == F.col("_first")).alias("own"))
+
+
+def met(rows: DataFrame, piece: int, size: str | None = None, most: int = 1) -> DataFrame:
+    """Pieces of lists that meet: adds _meet (a number a meeting) and _side. rows: stored; key, id, component, own, ...
+
+    A short list is one meeting. A long one is cut into pieces of `piece` nodes, or of `most` of the column `size`. Its nodes that are
+    not `own` meet each other and the `own` ones; those don't meet among themselves, since they are one component.
+    """
+    number = lambda w: F.count_if(w) / piece if size is None else F.greatest(F.count_if(w) / piece, F.coalesce(F.sum(F.when(w, F.col(size))), F.lit(0)) / most)
+    many = rows.groupBy("key").agg(*(F.greatest(F.lit(1), F.ceil(number(w))).cast("int").alias(n) for n, w in (("_own", F.col("own")), ("_out", ~F.col("own")))))
+    rows = rows.join(many, "key")
+    short = rows.where("_own = 1 AND _out = 1").drop("_own", "_out").withColumns({"_meet": F.xxhash64("key"), "_side": F.lit(-1)})
+    long = rows.where("_own > 1 OR _out > 1").withColumn("_piece", F.pmod(F.xxhash64("id"), F.when(F.col("own"), F.col("_own")).otherwise(F.col("_out"))).cast("int"))
+    meeting = lambda x, y, side: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), side.cast("int").alias("side"))
+    # Meetings are (x, y): pieces x and y of the others where x <= y, or piece y of the others with piece -1 - x of the own.
+    outside = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("_out") - 1), lambda o: meeting(F.least(o, F.col("_piece")), F.greatest(o, F.col("_piece")), F.col("_piece") > o)),
+        F.transform(F.sequence(F.lit(0), F.col("_own") - 1), lambda o: meeting(-1 - o, F.col("_piece"), F.lit(1))),
+    )
+    inside = F.transform(F.sequence(F.lit(0), F.col("_out") - 1), lambda o: meeting(-1 - F.col("_piece"), o, F.lit(0)))
+    long = long.withColumn("_at", F.explode(F.when(F.col("own"), inside).otherwise(outside)))
+    long = long.withColumns({"_meet": F.xxhash64("key", "_at.x", "_at.y"), "_side": F.when(F.col("_at.x") == F.col("_at.y"), F.lit(-1)).otherwise(F.col("_at.side"))}).drop("_own", "_out", "_piece", "_at")
+    return short.unionByName(long)
+
+
+def partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, gap: int, t: int) -> np.ndarray:
+    """Which of a meeting's nodes have a partner of another component within t whose first shared list is this one, `gap`."""
+    n, bounds = len(sig), chunk_bounds(t)
+    starts = np.array([a for a, _ in bounds])
+    own = next(c for c, (a, b) in enumerate(bounds) if a <= gap < b)
+    found = np.zeros(n, bool)
+    for at in range(0, n, 32):
+        end = min(at + 32, n)
+        ok = comp[at:end, None] != comp[None, :]
+        if side[0] >= 0:
+            ok &= side[at:end, None] != side[None, :]
+        ok &= np.arange(at, end)[:, None] < np.arange(n)[None, :]
+        i, j = np.nonzero(ok)
+        for lo in range(0, len(i), 1 << 15):
+            a, b = at + i[lo : lo + (1 << 15)], j[lo : lo + (1 << 15)]
+            differ = sig[a] != sig[b]
+            near = np.flatnonzero(differ.sum(1) <= t)
+            if not len(near):
+                continue
+            by = np.add.reduceat(differ[near], starts, axis=1, dtype=np.int64)
+            # The first chunk with one error at most, and there the list of the error's place, or the first one without an error.
+            first = (by <= 1).argmax(1) == own
+            lo_, hi_ = bounds[own]
+            inside = differ[near][:, lo_:hi_]
+            first &= np.where(inside.any(1), inside.argmax(1), 0) == gap - lo_
+            keep = near[first]
+            found[a[keep]] = found[b[keep]] = True
+    return found
+
+
+def wanted(rows: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
+    """(key, id, component, own) of open lists for which the node's full set is needed. rows: stored."""
+    rows = met(rows, PIECE).join(nodes.select("id", "sig"), "id")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, n = [], 0
+        for group in groups(batches, "_meet"):
+            keep = partners(_symbols(group.column("sig").to_pylist()), group.column("component").to_numpy(), group.column("_side").to_numpy(), group.column("key")[0].as_py() & 127, t)
+            if keep.any():
+                out.append(group.select(["key", "id", "component", "own"]).filter(pa.array(keep)))
+                n += int(keep.sum())
+            if n > 50_000:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+                out, n = [], 0
+        if out:
+            yield from pa.concat_tables(out).combine_chunks().to_batches()
+
+    rows = rows.select("_meet", "_side", "key", "id", "component", "own", "sig").repartition("_meet").sortWithinPartitions("_meet")
+    return rows.mapInArrow(find, "key long, id long, component long, own boolean").distinct()
+
+
+def forest(sets: list[np.ndarray], ids: np.ndarray, comp: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links between sets of different components that are alike to num/den, as few as connect what all of them connect."""
+    size = np.array([len(s) for s in sets], np.int64)
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    column = np.cumsum(new) - 1
+    shared = np.bincount(column) > 1
+    place = np.cumsum(shared) - 1
+    pick = shared[column]
+    row, column = owner[pick], place[column[pick]]
+    both = np.zeros((len(sets), len(sets)))
+    width = 4096
+    cuts = np.searchsorted(column, np.arange(0, int(shared.sum()) + width, width))
+    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        m = np.zeros((len(sets), width), np.float32)
+        m[row[lo:hi], column[lo:hi] - k * width] = 1
+        both += m @ m.T
+    alike = den * both >= num * (size[:, None] + size[None, :] - both)
+    alike &= comp[:, None] != comp[None, :]
+    if side[0] >= 0:
+        alike &= side[:, None] != side[None, :]
+    a, b = np.nonzero(np.triu(alike, 1))
+    root = {c: c for c in set(comp.tolist())}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
 
+    out = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = top(int(comp[i])), top(int(comp[j]))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((int(ids[i]), int(ids[j])))
+    return out
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): components of documents alike to num/den or more on shingles of `width` words."""
+
+def linked(rows: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links of spanning forests over the wanted nodes of each list. rows: stored, with n_shingles."""
+    rows = met(rows, SET_PIECE, "n_shingles", SET_BYTES // 8).join(sets, "id")
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, "_meet"):
+            raw = group.column("s").combine_chunks()
+            found = forest([np.frombuffer(x.as_buffer(), np.uint64) for x in raw], group.column("id").to_numpy(), group.column("component").to_numpy(), group.column("_side").to_numpy(), num, den)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+    rows = rows.select("_meet", "_side", "id", "component", "s").repartition("_meet").sortWithinPartitions("_meet")
+    return rows.mapInArrow(link, "a long, b long")
+
+
+def _members(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame, str]:
+    """(doc_id, n_shingles, h1, h2, t1, t2, component, rep), stored: for every row its component (null: linked with nothing) and the smallest doc_id in it."""
     spark = docs.sparkSession
     t = most_different(num, den)
     marks, marks_at = stored(signed(docs, width), "signatures")
-    ids = marks.where("sig IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "h1", "h2", "n_shingles")
-    same = ids.groupBy("h1", "h2", "n_shingles").agg(F.min("id").alias("rep"))
-    chosen = same.select(F.col("rep").alias("id"), "h1", "h2")
-    nodes, nodes_at = stored(marks.where("sig IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "h1", "h2", "sig").join(chosen, ["id", "h1", "h2"]).dropDuplicates(["id"]).select("id", "sig"), "nodes")
+    some = marks.where("sig IS NOT NULL AND doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long"))
+    # Nodes are numbered when they are written; the numbers hold from then on.
+    nodes = some.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")).withColumn("id", F.monotonically_increasing_id())
+    nodes, nodes_at = stored(nodes, "nodes")
     keys = keyed(nodes, t)
-    lists = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    lists, lists_at = stored(keys.join(lists.select("key", "pivot"), "key").select("key", "id", "pivot"), "lists")
+    shared = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("key", "pivot")
+    lists, lists_at = stored(keys.join(shared, "key").select("key", "id", "pivot"), "lists")
     first = lists.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     tried, tried_at = stored(near_pairs(first, nodes, t), "tried")
-    places, links, nearest = [marks_at, nodes_at, lists_at, tried_at], None, NEAREST
-    new = tried
-    discard(spark)
-    sets = longs = None
-    bound = most_different(num, den, LONG)
-    usual = (1 - num / den) * LONG
-    step = 0
-    while True:
-        ids = new.select(F.col("a").alias("id")).union(new.select("b")).distinct()
-        ids, at = stored(ids if sets is None else ids.join(sets.select("id"), "id", "left_anti"), "ids")
-        more, where = stored(full_sets(docs, ids, width), "sets")
-        sets = more if sets is None else sets.unionByName(more)
-        good, link_at = stored(confirmed(new, sets, num, den), "links")
-        places += [at, where, link_at]
-        links = good if links is None else links.unionByName(good)
-        labels = components(links)
-        rows, at = stored(open_lists(lists, labels), "open")
-        places.append(at)
-        if not rows.take(1):
-            break
-        ids = rows.select("id").distinct()
-        ids, at = stored(ids if longs is None else ids.join(longs.select("id"), "id", "left_anti"), "ids")
-        places.append(at)
-        if ids.take(1):
-            more, at = stored(long_signatures(docs, ids, width), "long")
-            places.append(at)
-            longs = more if longs is None else longs.unionByName(more)
-        while True:
-            # From the usual distance of the least similarity up to the bound, each time with more pairs of a node.
-            far = min(bound, int(usual + (bound - usual) * (step + 1) / 4))
-            new, at = stored(proposals(rows.join(nodes, "id").join(longs, "id"), tried, t, far, nearest), "proposed")
-            places.append(at)
-            last = far >= bound and nearest >= PIECE  # nothing was left out
-            step, nearest = step + 1, nearest * 8
-            if new.take(1):
-                break
-            if last:
-                new = None
-                break
-        if new is None:
-            break
-        tried = tried.unionByName(new)
-    nodes_of = same.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", F.col("n_shingles").alias("_n"), F.coalesce("component", "rep").alias("_own"))
-    rows = marks.select("doc_id", "n_shingles", "h1", "h2")
-    found = rows.join(nodes_of, (rows["h1"] == nodes_of["h1"]) & (rows["h2"] == nodes_of["h2"]) & (rows["n_shingles"] == nodes_of["_n"]) & rows["doc_id"].isNotNull(), "left")
-    out = found.select("doc_id", rows["n_shingles"], F.when(rows["n_shingles"] == 0, F.col("doc_id").cast("long")).otherwise(F.coalesce("_own", F.col("doc_id").cast("long"))).alias("component_id"))
-    out, _ = stored(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "components")
-    discard(spark, *places)
+    ids, ids_at = stored(tried.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    sets, sets_at = stored(full_sets(docs, nodes, ids, width), "sets")
+    labels = components(confirmed(tried, sets, num, den))
+    spanning, spanning_at = stored(open_lists(lists.select("key", "id"), labels), "open")
+    discard(spark, lists_at, tried_at)
+    need, need_at = stored(wanted(spanning, nodes, t).join(nodes.select("id", "n_shingles"), "id"), "wanted")
+    rest, rest_at = stored(need.select("id").distinct().join(ids, "id", "left_anti"), "ids")
+    more, more_at = stored(full_sets(docs, nodes, rest, width), "sets")
+    links, links_at = stored(linked(need, sets.unionByName(more), num, den).distinct(), "links")
+    discard(spark, sets_at, more_at, need_at, spanning_at, ids_at, rest_at)
+    labels = relabelled(labels, links)
+    own = nodes.select("id", "h1", "h2", F.col("n_shingles").alias("_n"), "rep").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    least = own.groupBy("component").agg(F.min("rep").alias("_least"))
+    own = own.join(least, "component").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "_n", "component", F.col("_least").alias("rep"))
+    found = marks.drop("sig").join(own, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & (F.col("n_shingles") == F.col("_n")) & F.col("doc_id").isNotNull(), "left")
+    out = stored(found.select("doc_id", *_MARKS, "component", "rep"), "members")
+    discard(spark, marks_at, nodes_at, links_at)
     return out
 
 
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): components of documents alike to num/den or more on shingles of `width` words."""
+    rows, _ = _members(docs, width, num, den)
+    out = rows.select("doc_id", "n_shingles", F.coalesce("rep", F.col("doc_id").cast("long")).alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
 def deduplicated(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs with one row of each component, that of the smallest doc_id; rows with a null doc_id stay."""
-    kept = near_duplicates(docs, width, num, den).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """docs with one row of each component, of the smallest doc_id, then of the smallest hash of its text.
+
+    Rows linked with nothing stay, one for each doc_id and text; so do all rows with a null doc_id.
+    """
+    rows, _ = _members(docs, width, num, den)
+    rows = rows.where("doc_id IS NOT NULL").select("doc_id", "t1", "t2", "component")
+    best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("_b")).select("_b.*")
+    kept = best.unionByName(rows.where("component IS NULL").drop("component").distinct())
+    t1, t2 = text_hashes()
+    own = docs.where("doc_id IS NOT NULL").withColumns({"_t1": t1, "_t2": t2})
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_k1"), F.col("t2").alias("_k2"))
+    own = own.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2")), "left_semi")
+    return own.dropDuplicates(["doc_id", "_t1", "_t2"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
