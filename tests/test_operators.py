@@ -202,11 +202,84 @@ def test_local_noise_against_plain_loops(spark):
     assert all(abs(v - p[y : y + 3, x : x + 3].std()) < 1e-6 for (y, x), v in got.items())
 
 
-def test_resampling_keeps_lines_and_constants():
-    w = vo.cubic_weights(12, 30)
+def test_splines_pass_through_samples_and_keep_polynomials():
+    w = vo.spline_weights(24, 24)
+    assert np.allclose(w, np.eye(24))
+    w = vo.spline_weights(30, 75)
+    x = (np.arange(75) + 0.5) * 0.4 - 0.5
     assert np.allclose(w.sum(1), 1)
-    assert np.allclose((w @ np.arange(12))[5:-5], ((np.arange(30) + 0.5) * 0.4 - 0.5)[5:-5])
-    assert np.allclose(vo.cubic_weights(30, 10).sum(1), 1)
+    inside = slice(30, 45)  # far from the mirrored ends a cubic is kept
+    assert np.allclose((w @ (np.arange(30) ** 3 / 100))[inside], (x**3 / 100)[inside], atol=1e-3)
+    assert np.allclose(vo.spline_weights(30, 10).sum(1), 1) and np.allclose(vo.spline_weights(4, 8, 1)[0], [0.75, 0.25, 0, 0])
+
+
+def test_slices_beyond_the_ends_count_as_zero(spark):
+    v = voxels(spark, np.array([100, 200]).reshape(2, 1, 1))
+    got = {r["z"]: r["value"] for r in vo.resliced_linear(v, 2, 4, "zero").collect()}
+    assert got == {0: 75.0, 1: 125.0, 2: 175.0, 3: 150.0}
+    got = {r["z"]: r["value"] for r in vo.resliced_linear(v, 2, 4, "mirror").collect()}
+    assert got == {0: 125.0, 1: 125.0, 2: 175.0, 3: 175.0}
+
+
+def test_damped_correction_by_hand(spark):
+    # Levels 100, 100, 100, 100, 10 by slice; window 1 keeps them. Target 100, floor 25: the dim slice gets 1 + 9 * 0.4, held at 2.
+    v = voxels(spark, np.array([100, 100, 100, 100, 10]).reshape(5, 1, 1) * np.ones((5, 3, 3)))
+    got = {r["z"]: round(r["scale"], 6) for r in vo.depth_correction_damped(v, window=1, most=9.0).collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 1, 4: 4.6}
+    assert vo.depth_correction_damped(v, window=1).agg(F.max("scale")).first()[0] == 2.0
+
+
+def test_scores_of_inward_tracks_by_hand(spark):
+    cols = "track_id long, frame int, id long, radial_dist_to_center double, radial_velocity_smooth double, track_median_radial_vel double, track_mean_radial_vel double, track_inward_fraction double"
+    df = spark.createDataFrame([(1, f, f, 20.0 - f, -1.0, -1.0, -1.0, 0.9) for f in range(10)], cols)
+    r = ing.flag_ingressing(df, -0.5, 5, 0.5).first()
+    # Velocity one threshold beyond it: 0.5; inward share 0.9; run 10 of 10; 9 inward over 10 rows.
+    assert r["ingressing"] and abs(r["ingression_score"] - (0.30 * 0.5 + 0.20 * 0.9 + 0.25 * 1.0 + 0.25 * 0.9)) < 1e-12
+    few = spark.createDataFrame([(0.25,), (0.75,)], "v double")
+    assert ing.otsu_threshold(few).first()[0] == 0.5  # not held below zero
+    assert ing.otsu_threshold(few.where("v > 9")).first()[0] == -0.5
+
+
+def test_minutes_count_rows(spark):
+    df = spots(spark, [(1, f, f) for f in (0, 1, 2, 9)])
+    assert kin.selection_metrics(df, 1, 1, 1.0, 30.0).first()["minutes"] == 2.0
+    assert sorted(r["speed"] for r in kin.step_speeds(df, 1, 1, 1.0, 30.0).collect()) == [2.0, 2.0]
+
+
+def test_cap_guess_by_hand(spark):
+    s = spark.createDataFrame([("upper", 0.0, 0.0, 10.0), ("upper", 6.0, 0.0, 8.0), ("upper", 0.0, 6.0, 8.0)], "side string, u double, v double, w double")
+    r = geo.cap_guess(s).first()
+    a = (4.0**2 + 2.0**2) ** 0.5  # from the mean (2, 2)
+    assert abs(r["cap_base_radius"] - a) < 1e-9 and r["cap_height"] == 2.0 and abs(r["radius"] - (a * a + 4) / 4) < 1e-9
+    assert (r["center_u"], r["center_v"]) == (2.0, 2.0) and abs(r["center_w"] - (10 - r["radius"])) < 1e-9
+
+
+def test_time_points_and_orders_of_names(spark):
+    names = {"t0001_Channel 2.tif": 1, "T012_decon.tif": 12, "tp001.tif": 1, "run--C00--T00003.h5": 3, "embryo_001.tif": 1, "a12b7.tif": 12, "x--CT5.h5": 5, "plate3_t7.tif": 7}
+    got = {r["name"]: r["timepoint"] for r in rd.extract_timepoints(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert got == names
+    order = [r["name"] for r in fl.natural_sort_files(spark.createDataFrame([("z10.tif",), ("a2_x.tif",), ("T012_decon.tif",), ("none.tif",), ("b1c3.zarr",)], "name string")).orderBy("place").collect()]
+    assert order == ["a2_x.tif", "b1c3.zarr", "z10.tif", "T012_decon.tif", "none.tif"]
+
+
+def test_colours_and_sliders_by_hand(spark):
+    from tetraframe.functions import scalars as sc
+
+    df = spark.createDataFrame([(0.0,), (0.999,), (1.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(sc.lut_value(F.col("x"), F.lit(0.0), F.lit(1.0))).collect()] == [5, 254, 255, 20]
+    assert [r[0] for r in df.select(sc.lut_diverging(F.col("x"), F.lit(0.5))).collect()] == [130, 255, 255, 130]
+    top, step = sc.slider_bounds(F.col("x"))
+    got = spark.createDataFrame([(0.2,), (4.0,), (10.0,), (100.0,)], "x double").select(top, step).collect()
+    assert [tuple(round(v, 6) for v in r) for r in got] == [(1.1, 0.1), (4.4, 0.1), (11.0, 0.5), (120.0, 1.0)]
+
+
+def test_axes_of_an_empty_table_stay(spark):
+    assert lb.axis_fixed(voxels(spark, np.zeros((1, 1, 1))).where("z > 5")).count() == 0
+
+
+def test_depth_parts_count_centroids(spark):
+    slices = spark.createDataFrame([(1, z, n) for z, n in enumerate((1, 2, 0, 0, 3, 0, 4, 5))], "t int, z int, n_centroids long")
+    assert tuple(lb.depth_thirds(slices, 8).first()) == (1, 3, 3, 9, 15, 3.0)
 
 
 def test_shading_gain_flattens_a_gradient(spark):
@@ -218,7 +291,22 @@ def test_shading_gain_flattens_a_gradient(spark):
 
 
 def test_z_frequency_of_constant_columns_is_zero(spark):
-    assert im.z_frequency(voxels(spark, np.full((8, 3, 3), 7))).first()["z_frequency"] == 0
+    assert im.z_frequency(voxels(spark, np.full((8, 3, 3), 7)), (8, 3, 3)).first()["z_frequency"] == 0
+
+
+def test_z_frequency_keeps_the_mean_and_skips_dead_columns(spark):
+    a = np.full((8, 4, 4), 5)
+    a[:, 2, 2] = [0, 9, 0, 9, 0, 9, 0, 9]
+    power = np.abs(np.fft.rfft(a[:, 2, 2])) ** 2
+    got = im.z_frequency(voxels(spark, a), (8, 4, 4), 3).first()["z_frequency"]
+    assert abs(got - power[1:].sum() / power.sum()) < 1e-12  # a quarter of 5 frequencies is 1
+
+
+def test_contrast_spans_zeros(spark):
+    a = np.zeros((2, 4, 4), int)
+    a[0, 0, 0], a[0, 0, 2] = 256, 128
+    assert tuple(im.contrast_percentiles(voxels(spark, a)).first()) == (128.0, 255.0)
+    assert tuple(im.contrast_percentiles(voxels(spark, np.full((2, 2, 2), 9))).first()) == (9.0, 9.0)
 
 
 def test_crop_outside_is_refused(spark):
@@ -235,7 +323,8 @@ def test_samples_are_stable_and_bounded(spark):
 
 
 def test_formats_config_channels():
-    assert wr.parse_formats("bdv, tif") == ["bdv", "tiff"]
+    assert wr.parse_formats("bdv, tif") == ["tiff"] and wr.parse_formats(["bdv", " TIF", "odd"]) == ["bdv", "tiff"]
+    assert wr.parse_formats("All") == ["bdv", "tiff"] and wr.parse_formats(["odd"]) == ["tiff"] and wr.parse_formats("xml") == ["bdv"]
     with pytest.raises(ValueError):
         rd.resolve_channel(0, 2)
     with pytest.raises(ValueError):

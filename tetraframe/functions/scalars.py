@@ -54,9 +54,15 @@ def hash_color(label: Column) -> Column:
 
 
 def lut_value(x: Column, low: Column, high: Column) -> Column:
-    """Scaled to 5..255; null is 20."""
-    scaled = F.when(high > low, 5 + 250 * clip((x - low) / (high - low), 0.0, 1.0)).otherwise(F.lit(130.0))
-    return F.when(x.isNull(), F.lit(20)).otherwise(F.rint(scaled)).cast("int")
+    """Scaled from low..high to 5..255, truncated; null is 20. A flat range gives 5."""
+    scaled = (x - low) / F.greatest(high - low, F.lit(1e-10)) * 250 + 5
+    return F.when(x.isNull(), F.lit(20)).otherwise(scaled).cast("int")
+
+
+def lut_diverging(x: Column, most: Column) -> Column:
+    """Scaled from -most..most to 5..255, truncated, beyond it held; null counts as 0."""
+    v = clip(F.coalesce(x, F.lit(0.0)) / F.greatest(most, F.lit(1e-6)), -1.0, 1.0)
+    return ((v + 1) / 2 * 250 + 5).cast("int")
 
 
 def lut_flag(x: Column) -> Column:
@@ -64,9 +70,11 @@ def lut_flag(x: Column) -> Column:
     return F.when(x, 240).otherwise(20)
 
 
-def slider_top(x: Column) -> Column:
-    """A slider's upper end: whole steps above the value, by the size of the value."""
-    return F.when(x <= 5, F.ceil(x * 10) / 10).when(x <= 50, F.ceil(x).cast("double")).otherwise(F.ceil(x / 10) * 10.0)
+def slider_bounds(x: Column) -> tuple[Column, Column]:
+    """A speed slider's upper end and step: a tenth above the greatest speed (at least 1), up to a whole step of its size."""
+    v = F.greatest(x, F.lit(1.0)) * 1.1
+    top = F.when(v <= 5, F.ceil(v * 10) / 10).when(v <= 50, F.ceil(v).cast("double")).otherwise(F.ceil(v / 10) * 10.0)
+    return top, F.when(v <= 5, 0.1).when(v <= 50, 0.5).otherwise(1.0)
 
 
 def channel_of(name: Column) -> Column:

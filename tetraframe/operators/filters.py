@@ -96,13 +96,25 @@ def tracks_in_slab(df: DataFrame, axis: str, position: float, thickness: float,
     return min_track_length(track_set(inside, current_frame(inside, frame)), 2)
 
 
-def track_filter_pipeline(df: DataFrame, box: tuple[float, ...] | None = None, first: int | None = None, last: int | None = None, min_length: int = 3, speed: float | None = None) -> DataFrame:
-    """Tracks touching a box, then the frame window, then length, then speed: each on what the step before left."""
+def track_filter_pipeline(
+    df: DataFrame, box: tuple[float, ...] | None = None, first: int | None = None, last: int | None = None, min_length: int = 3, speed: float | None = None,
+    selection: DataFrame | None = None, ingressing: bool = False, most: int | None = None, seed: int = 42,
+) -> DataFrame:
+    """Chosen tracks, then those touching a box, those ingressing anywhere, the frame window, length, speed and a sample of tracks.
+
+    Each step works on what the one before left. selection: a table with track_id; ingressing needs that column; most: tracks kept.
+    """
     rows = tracked_only(df)
+    if selection is not None:
+        rows = track_set(rows, selection)
     if box is not None:
         rows = tracks_touching_roi(rows, *box)
+    if ingressing:
+        rows = tracks_ingressing(rows)
     rows = min_track_length(frame_range(rows, first, last), min_length)
-    return rows if speed is None else max_speed(rows, speed)
+    if speed is not None:
+        rows = max_speed(rows, speed)
+    return rows if most is None else subsample_tracks(rows, most, seed)
 
 
 def track_limits(df: DataFrame) -> DataFrame:
@@ -163,8 +175,9 @@ def sort_track_frame(df: DataFrame) -> DataFrame:
 
 
 def natural_sort_files(names: DataFrame) -> DataFrame:
-    """Names with their place: those with a number at the end of the stem first, by number, then by name."""
-    number = F.regexp_extract("name", r"(\d+)\.[^.]*$", 1)
+    """Names with their place: those with a number in the stem first, by the last one there, then by name."""
+    stem = F.regexp_replace("name", r"(?<=.)\.[^.]*$", "")
+    number = F.regexp_extract(stem, r"(\d+)(?!.*\d)", 1)
     key = [F.when(number == "", 1).otherwise(0), F.try_to_number(F.nullif(number, F.lit("")), F.lit("999999999999")), F.col("name")]
     # A listing of one folder.
     return names.withColumn("place", F.row_number().over(Window.orderBy(*key)))
@@ -188,23 +201,29 @@ def linspace_slices(n: int, k: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.floor(i * ((n - 1) / max(k - 1, 1))).cast("int"))
 
 
+def shuffle_key(id: Column, seed: int) -> Column:
+    """A number below 2^31 that orders ids as if at random, by arithmetic that any SQL engine has: two rounds of a linear congruence."""
+    m, step = F.lit(2147483647), lambda x, k: F.pmod(x * k + 12345 + seed, F.lit(2147483647))
+    return step(F.pmod(step(F.pmod(id.cast("long"), m), 48271) * 1103515, m) + F.pmod(F.floor(id / 65536), m), 69621)
+
+
 def subsample_tracks(df: DataFrame, most: int, seed: int = 42) -> DataFrame:
-    """Rows of at most `most` tracks, those with the smallest hash: the same for the same seed on any cluster."""
-    ids = tracked_only(df).select("track_id").distinct().orderBy(F.xxhash64("track_id", F.lit(seed)), "track_id").limit(most)
+    """Rows of at most `most` tracks, those with the smallest key: the same for the same seed on any cluster."""
+    ids = tracked_only(df).select("track_id").distinct().orderBy(shuffle_key(F.col("track_id"), seed), "track_id").limit(most)
     return track_set(df, ids)
 
 
 def subsample_points(df: DataFrame, percent: float, floor: int = 1000, seed: int = 0) -> DataFrame:
-    """A share of the rows by hash, but `floor` rows at least."""
+    """A share of the rows by shuffled id, but `floor` rows at least."""
     n = df.count()
     want = min(n, max(floor, int(n * percent / 100)))
-    return df.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(want)
+    return df.orderBy(shuffle_key(F.col("id"), seed), "id").limit(want)
 
 
 def sample_without_repeat(df: DataFrame, drawn: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n track ids that were not drawn before."""
     rest = tracked_only(df).select("track_id").distinct().join(drawn, "track_id", "left_anti")
-    return rest.orderBy(F.xxhash64("track_id", F.lit(seed)), "track_id").limit(n)
+    return rest.orderBy(shuffle_key(F.col("track_id"), seed), "track_id").limit(n)
 
 
 def toggle_selection(selected: DataFrame, clicked: DataFrame) -> DataFrame:
@@ -238,6 +257,12 @@ def dedupe_files(*listings: DataFrame) -> DataFrame:
     return first.dropDuplicates(["name"])
 
 
-def display_points(df: DataFrame, box: tuple[float, ...], first: int, last: int) -> DataFrame:
-    """Points shown: inside a box and a frame window, tracked or not."""
-    return frame_range(roi_filter(df, *box), first, last)
+def display_points(df: DataFrame, box: tuple[float, ...] | None = None, selection: DataFrame | None = None, ingressing: bool = False, percent: float = 100.0, floor: int = 1000, seed: int = 0) -> DataFrame:
+    """Points shown, tracked or not: of chosen tracks, inside a box, of tracks ingressing anywhere; below 100 percent that share, `floor` at least."""
+    rows = df if selection is None else track_set(df, selection)
+    if box is not None:
+        rows = roi_filter(rows, *box)
+    if ingressing:
+        # The tracks are those of the whole table: the point that is flagged may lie outside the box.
+        rows = track_set(rows, df.where("ingressing AND track_id IS NOT NULL").select("track_id"))
+    return rows if percent >= 100 else subsample_points(rows, percent, floor, seed)

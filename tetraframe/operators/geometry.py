@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import norm, spherical
+from tetraframe.operators.filters import shuffle_key
 
 AXES = ("x", "y", "z")
 XYZ = [f"position_{a}" for a in AXES]
@@ -91,11 +92,16 @@ def extract_surface(df: DataFrame, quantile: float = 0.95, bins: int = 40, fewes
 
 
 def cap_guess(surface: DataFrame) -> DataFrame:
-    """(side, radius, center_w, cap_height, cap_base_radius): a first guess of the sphere of which each side is a cap."""
-    e = surface.groupBy("side").agg(F.max("w").alias("hi"), F.min("w").alias("lo"), ((F.max("u") - F.min("u") + F.max("v") - F.min("v")) / 4).alias("a"))
+    """(side, radius, center_u, center_v, center_w, cap_height, cap_base_radius): a first guess of the sphere of which each side is a cap.
+
+    The base radius is the largest lateral distance from the mean, the height the range along the thin axis, at least 1.
+    """
+    mid = surface.groupBy("side").agg(F.avg("u").alias("_u"), F.avg("v").alias("_v"))  # two rows
+    far = norm(F.col("u") - F.col("_u"), F.col("v") - F.col("_v"))
+    e = surface.join(F.broadcast(mid), "side").groupBy("side").agg(F.max("w").alias("hi"), F.min("w").alias("lo"), F.max(far).alias("a"), F.first("_u").alias("center_u"), F.first("_v").alias("center_v"))
     h = F.greatest(F.col("hi") - F.col("lo"), F.lit(1.0))
     r = (F.col("a") * F.col("a") + h * h) / (2 * h)
-    return e.select("side", r.alias("radius"), F.when(F.col("side") == "upper", F.col("hi") - r).otherwise(F.col("lo") + r).alias("center_w"), h.alias("cap_height"), F.col("a").alias("cap_base_radius"))
+    return e.select("side", r.alias("radius"), "center_u", "center_v", F.when(F.col("side") == "upper", F.col("hi") - r).otherwise(F.col("lo") + r).alias("center_w"), h.alias("cap_height"), F.col("a").alias("cap_base_radius"))
 
 
 def sphere_nls(points: np.ndarray, steps: int = 100) -> tuple[np.ndarray, float, float]:
@@ -126,17 +132,28 @@ def sphere_nls(points: np.ndarray, steps: int = 100) -> tuple[np.ndarray, float,
 
 
 def sphere_coverage(df: DataFrame, center, radius: float, n_theta: int = 12, n_phi: int = 24) -> DataFrame:
-    """(coverage): share of direction bins that hold a point within half to one and a half radii; 0 with ten points or fewer."""
-    rows = spherical_coordinates(df, center, radius).where(F.col("radial_dist").between(0.5 * radius, 1.5 * radius))
+    """(coverage): share of direction bins that hold a point between half and one and a half radii; 0 with ten points or fewer."""
+    rows = spherical_coordinates(df, center, radius).where((F.col("radial_dist") > 0.5 * radius) & (F.col("radial_dist") < 1.5 * radius))
     theta, phi = F.floor(F.col("theta_deg") / (180.0 / n_theta)), F.floor((F.col("phi_deg") + 180.0) / (360.0 / n_phi))
     return rows.agg(F.when(F.count(F.lit(1)) > 10, F.count_distinct(F.struct(theta.alias("a"), phi.alias("b"))) / float(n_theta * n_phi)).otherwise(0.0).alias("coverage"))
 
 
-def fit_sphere(df: DataFrame, quantile: float = 0.9125) -> DataFrame:
+def nls_sphere(df: DataFrame, most: int = 100_000, seed: int = 42) -> DataFrame:
+    """One row: centre, radius and rmse of the least-squares sphere through at most `most` points, a documented sample that the driver reads."""
+    key = F.xxhash64(*XYZ, F.lit(seed))
+    found = df.select(*XYZ).dropna().orderBy(key).limit(most).toArrow()
+    center, radius, rmse = sphere_nls(np.stack([found[c].to_numpy() for c in XYZ], 1))
+    return df.sparkSession.createDataFrame([(*map(float, center), radius, rmse)], "center_x double, center_y double, center_z double, radius double, rmse double")
+
+
+def fit_sphere(df: DataFrame, quantile: float = 0.9125, most: int | None = None, seed: int = 42) -> DataFrame:
     """One row: centre, radius, rmse, surface_used, coverage of the better of the spheres through the upper and lower surface.
 
-    The surface has at most 2 * 40 * 40 points; only they come to the driver.
+    The surface has at most 2 * 40 * 40 points; only they come to the driver, so all points may take part. most: a sample of as many
+    points by shuffled id instead.
     """
+    if most is not None:
+        df = df.orderBy(shuffle_key(F.col("id"), seed), "id").limit(most)
     w = thin_axis(df)
     u, v = (k for k in range(3) if k != w)
     found = extract_surface(df, quantile, axis=w).collect()
@@ -161,35 +178,67 @@ def manual_sphere(df: DataFrame, center) -> DataFrame:
     return d.crossJoin(F.broadcast(m)).agg(F.first("radius").alias("radius"), F.sqrt(F.avg(F.pow(F.col("d") - F.col("radius"), 2))).alias("rmse"))
 
 
-def cap_mesh(theta: DataFrame, center, radius: float, n_lat: int = 12, n_lon: int = 24, percentile: float = 0.95) -> DataFrame:
-    """(i, j, x, y, z) vertices of the cap that holds a share of the polar angles. theta: one column theta_deg."""
-    top = theta.agg(F.radians(F.percentile("theta_deg", percentile)).alias("top"))
-    grid = top.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_lat - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_lon - 1))))
-    a, b = F.col("top") * F.col("i") / float(n_lat - 1), F.col("j") * (2 * np.pi / n_lon)
+def cap_mesh(angles: DataFrame, center, radius: float, n_lat: int = 30, n_lon: int = 60, padding: float = 10.0) -> DataFrame:
+    """(i, j, x, y, z) vertices of the part of the sphere that the points see. angles: theta_deg and phi_deg.
+
+    Both angles run from the 2nd percentile less `padding` degrees to the 98th and as much more, ends included; the polar one stays
+    within 0 and 180.
+    """
+    q = angles.agg(F.percentile("theta_deg", F.lit([0.02, 0.98])).alias("t"), F.percentile("phi_deg", F.lit([0.02, 0.98])).alias("p"))
+    ends = q.select(F.greatest(F.col("t")[0] - padding, F.lit(0.0)).alias("t0"), F.least(F.col("t")[1] + padding, F.lit(180.0)).alias("t1"), (F.col("p")[0] - padding).alias("p0"), (F.col("p")[1] + padding).alias("p1"))
+    grid = ends.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_lat - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_lon - 1))))
+    step = lambda n, k, lo, hi: F.radians(F.col(lo) + (F.col(hi) - F.col(lo)) * F.col(k) / float(n - 1))
+    a, b = step(n_lat, "i", "t0", "t1"), step(n_lon, "j", "p0", "p1")
     cx, cy, cz = center
     return grid.select("i", "j", (cx + radius * F.sin(a) * F.cos(b)).alias("x"), (cy - radius * F.cos(a)).alias("y"), (cz + radius * F.sin(a) * F.sin(b)).alias("z"))
 
 
-def cap_triangles(spark, n_lat: int = 12, n_lon: int = 24) -> DataFrame:
-    """(a, b, c) vertex numbers i * n_lon + j of the mesh's triangles, closed around."""
-    q = spark.range((n_lat - 1) * n_lon).select(F.floor(F.col("id") / n_lon).alias("i"), (F.col("id") % n_lon).alias("j"))
-    at = lambda i, j: i * n_lon + j % n_lon
+def cap_triangles(spark, n_lat: int = 30, n_lon: int = 60) -> DataFrame:
+    """(a, b, c) vertex numbers i * n_lon + j of the mesh's triangles, two a cell; the mesh has open edges."""
+    q = spark.range((n_lat - 1) * (n_lon - 1)).select(F.floor(F.col("id") / (n_lon - 1)).alias("i"), (F.col("id") % (n_lon - 1)).alias("j"))
+    at = lambda i, j: i * n_lon + j
     i, j = F.col("i"), F.col("j")
-    tri = F.array(F.struct(at(i, j).alias("a"), at(i + 1, j).alias("b"), at(i, j + 1).alias("c")), F.struct(at(i, j + 1).alias("a"), at(i + 1, j).alias("b"), at(i + 1, j + 1).alias("c")))
+    corner = lambda b, c: F.struct(at(i, j).alias("a"), b.alias("b"), c.alias("c"))
+    tri = F.array(corner(at(i, j + 1), at(i + 1, j + 1)), corner(at(i + 1, j + 1), at(i + 1, j)))
     return q.select(F.explode(tri).alias("t")).select("t.*")
 
 
 def color_values(df: DataFrame, column: str, mode: str = "minmax") -> DataFrame:
-    """(id, value 0..1): by range, symmetric about zero between the 2nd and 98th percentile, or capped at the 98th."""
+    """(id, value 0..1): by range, symmetric about zero between the 2nd and 98th percentile, capped at the 98th, or inward.
+
+    "symmetric": the greater size of the two percentiles maps to the ends, null to the middle. "cap": from 0 to the 98th percentile,
+    null stays null. "inward": sizes of negative values up to their 95th percentile, others and null 0.
+    """
     c = F.col(column)
-    e = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile(c, F.lit([0.02, 0.98])).alias("q"))
+    if mode == "inward":
+        c = F.when(F.col(column) < 0, -F.col(column))
+    e = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile(c, F.lit([0.02, 0.98, 0.95])).alias("q"))
     rows = df.select("id", c.alias("_c")).crossJoin(F.broadcast(e))  # one row
+    held = lambda x, lo, hi: F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
     if mode == "symmetric":
-        m = F.greatest(F.abs(F.col("q")[0]), F.abs(F.col("q")[1]))
-        low, high = -m, m
+        most = F.greatest(F.abs(F.col("q")[0]), F.abs(F.col("q")[1]), F.lit(1e-6))
+        value = (held(F.coalesce(F.col("_c") / most, F.lit(0.0)), -1.0, 1.0) + 1) / 2
     elif mode == "cap":
-        low, high = F.lit(0.0), F.col("q")[1]
+        value = held(F.col("_c") / F.greatest(F.col("q")[1], F.lit(1e-6)), 0.0, 1.0)
+    elif mode == "inward":
+        value = held(F.coalesce(F.col("_c"), F.lit(0.0)) / F.greatest(F.coalesce(F.col("q")[2], F.lit(1.0)), F.lit(1e-6)), 0.0, 1.0)
     else:
-        low, high = F.col("lo"), F.col("hi")
-    value = F.when(high > low, F.least(F.greatest((F.col("_c") - low) / (high - low), F.lit(0.0)), F.lit(1.0))).otherwise(0.5)
-    return rows.select("id", value.alias("value"))
+        value = (F.col("_c") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-10))
+    return rows.select("id", F.when(F.col("_c").isNull() & F.lit(mode in ("minmax", "cap")), F.lit(None)).otherwise(value).alias("value"))
+
+
+def ingression_rgba(flag: Column, inward: Column) -> list[Column]:
+    """Colour of a point by inward speed (0..1): grey without a flag, from orange to pink with it; fixed values."""
+    t = inward
+    rgba = ((0.45, 0.85 + 0.15 * t), (0.45, 0.35 * (1 - F.pow(t, 0.8))), (0.45, 0.15 + 0.70 * F.pow(t, 0.6)), (0.06, 0.65 + 0.35 * t))
+    return [F.when(flag, on).otherwise(F.lit(off)).alias(n) for n, (off, on) in zip("rgba", rgba)]
+
+
+#: Colours of points with and without a flag, by mode; fixed values.
+FLAG_RGBA = {"roi": ((1.0, 0.9, 0.0, 1.0), (0.5, 0.5, 0.5, 0.12)), "tracked": ((0.20, 0.85, 1.00, 1.00), (0.55, 0.55, 0.55, 0.18))}
+
+
+def flag_rgba(flag: Column, mode: str) -> list[Column]:
+    """Colour of a point by a flag, "roi" or "tracked"."""
+    hi, lo = FLAG_RGBA[mode]
+    return [F.when(flag, F.lit(a)).otherwise(F.lit(b)).alias(n) for n, a, b in zip("rgba", hi, lo)]

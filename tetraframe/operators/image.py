@@ -29,8 +29,16 @@ def _snr(voxels: DataFrame, keys: list[str], fewest: int) -> DataFrame:
 
 
 def robust_snr_per_slice(voxels: DataFrame) -> DataFrame:
-    """(t, z, snr) with more than 50 background voxels."""
-    return _snr(voxels, ["t", "z"], 51)
+    """(t, z, snr) with more than 50 background voxels; 0 without them or without noise."""
+    return _snr(voxels, ["t", "z"], 51).withColumn("snr", F.coalesce("snr", F.lit(0.0)))
+
+
+def noise_per_slice(voxels: DataFrame) -> DataFrame:
+    """(t, z, snr, noise_std): deviation of the values up to the 10th percentile (0 for 50 voxels or fewer), and the 95th over it (0 without noise)."""
+    cut = voxels.groupBy("t", "z").agg(F.percentile("value", F.lit([0.95, 0.1])).alias("_q"))
+    low = F.when(F.col("value") <= F.col("_q")[1], F.col("value"))
+    out = voxels.join(cut, ["t", "z"]).groupBy("t", "z").agg(F.when(F.count(low) > 50, F.stddev_pop(low)).otherwise(0.0).alias("noise_std"), F.first("_q")[0].alias("_p"))
+    return out.select("t", "z", F.when(F.col("noise_std") > 1e-10, F.col("_p") / F.col("noise_std")).otherwise(0.0).alias("snr"), "noise_std")
 
 
 def volume_snr(voxels: DataFrame) -> DataFrame:
@@ -86,36 +94,47 @@ def dynamic_range(voxels: DataFrame, top: float = 65535.0) -> DataFrame:
     return q.select("t", ((F.col("_q")[0] - F.col("_q")[1]) / top).alias("dynamic_range"))
 
 
-def z_frequency(voxels: DataFrame, grid: int = 20) -> DataFrame:
-    """(t, z_frequency): share of spectral power along z at or above a quarter of the spectrum, mean over a grid of columns."""
-    e = voxels.agg(F.max("y").alias("y"), F.max("x").alias("x")).first()
-    if e["y"] is None:
-        return voxels.groupBy("t").agg(F.lit(0.0).alias("z_frequency"))
-    ys, xs = (sorted({int(v) for v in np.linspace(0, e[a], min(grid, e[a] + 1))}) for a in "yx")
-    columns = voxels.where(F.col("y").isin(ys) & F.col("x").isin(xs)).groupBy("t", "y", "x").agg(F.array_sort(F.collect_list(F.struct("z", "value"))).alias("_c"))
-
-    def share(s: pd.Series) -> pd.Series:
-        out = []
-        for c in s:
-            a = np.array([r["value"] for r in c], float)
-            power = np.abs(np.fft.rfft(a - a.mean())) ** 2
-            total = power.sum()
-            out.append(float(power[len(power) // 4 :].sum() / total) if total > 0 else 0.0)
-        return pd.Series(out)
+def z_frequency(voxels: DataFrame, shape: tuple[int, int, int], grid: int = 20) -> DataFrame:
+    """(t, z_frequency): share of spectral power along z at or above a quarter of the spectrum, mean over columns.
 
-    return columns.select("t", F.pandas_udf(share, "double")("_c").alias("_s")).groupBy("t").agg(F.avg("_s").alias("z_frequency"))
+    The columns are those of a grid over the middle half of the plane, grid by grid of them; a column that two grid lines share counts
+    for each. Columns without variation are left out; without any other the result is 0.
+    """
+    nz, ny, nx = shape
+    ys, xs = (np.linspace(n // 4, 3 * n // 4, grid, dtype=int).tolist() for n in (ny, nx))
+    times = lambda at: {k: at.count(k) for k in sorted(set(at))}
+    weight = lambda a, at: F.create_map(*(F.lit(v) for kv in times(at).items() for v in kv))[F.col(a)]
+    picked = voxels.where(F.col("y").isin(sorted(set(ys))) & F.col("x").isin(sorted(set(xs))))
+    columns = picked.groupBy("t", "y", "x").agg(F.collect_list("z").alias("_z"), F.collect_list("value").alias("_v"))  # a column has nz voxels
+
+    def share(z: pd.Series, v: pd.Series) -> pd.Series:
+        a = np.zeros((len(z), nz))
+        a[np.repeat(np.arange(len(z)), [len(i) for i in z]), np.concatenate(z.to_numpy())] = np.concatenate(v.to_numpy())
+        power = np.abs(np.fft.rfft(a, axis=1)) ** 2
+        total = power.sum(1)
+        dead = (a.std(1) < 1e-10) | (total < 1e-20)
+        return pd.Series(np.where(dead, np.nan, power[:, power.shape[1] // 4 :].sum(1) / np.where(dead, 1, total)))
+
+    rows = columns.select("t", (weight("y", ys) * weight("x", xs)).alias("_w"), F.nanvl(F.pandas_udf(share, "double")("_z", "_v"), F.lit(None)).alias("_s"))
+    mean = F.try_divide(F.sum(F.col("_s") * F.col("_w")), F.sum(F.when(F.col("_s").isNotNull(), F.col("_w"))))
+    return rows.groupBy("t").agg(F.coalesce(mean, F.lit(0.0)).alias("z_frequency"))
 
 
 def contrast_percentiles(voxels: DataFrame, low: float = 0.5, high: float = 99.5, stride: int = 2, bins: int = 256) -> DataFrame:
-    """(lo, hi): values at two percentiles of a histogram of the strided voxels above zero."""
-    v = voxels.where(" AND ".join(f"{a} % {stride} = 0" for a in "zyx") + " AND value > 0").select("value")
-    e = v.agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    """(lo, hi): values at two percentiles of a histogram of the strided voxels above zero.
+
+    The histogram spans all strided voxels, zeros included. One value throughout gives that value, nothing above zero the least.
+    """
+    v = voxels.where(" AND ".join(f"{a} % {stride} = 0" for a in "zyx")).select("value")
+    e = v.agg(F.min("value").cast("double").alias("_lo"), F.max("value").cast("double").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
-    h = v.crossJoin(F.broadcast(e)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    h = v.where("value > 0").crossJoin(F.broadcast(e)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("c"))
     h = h.withColumns({"_up": F.sum("c").over(Window.orderBy("bin")), "_n": F.sum("c").over(Window.partitionBy())})  # 256 rows
-    at = lambda p: F.min(F.when(F.col("_up") >= F.col("_n") * (p / 100), F.col("_lo") + F.col("bin") * width))
-    return h.agg(at(low).alias("lo"), at(high).alias("hi"))
+    first = lambda p: F.min(F.when(F.col("_up") >= F.col("_n") * (p / 100), F.col("bin")))
+    at = h.agg(first(low).alias("_a"), first(high).alias("_b"))
+    place = lambda c: F.col("_lo") + F.coalesce(F.col(c), F.lit(0)) * width
+    return e.crossJoin(at).select(place("_a").alias("lo"), place("_b").alias("hi"))  # one row each
 
 
 def camera_noise_table(voxels: DataFrame) -> DataFrame:

@@ -35,16 +35,21 @@ def inward_runs(df: DataFrame, velocity: str = "radial_velocity_smooth") -> Data
 
 
 def flag_ingressing(df: DataFrame, threshold: float = -0.5, min_frames: int = 5, min_inward: float = 0.5) -> DataFrame:
-    """Add ingressing and ingression_score; needs the radial columns. Untracked rows are not flagged and score 0."""
+    """Add ingressing and ingression_score; needs the radial columns. Untracked rows are not flagged and score 0.
+
+    The score of a flagged track: 0.30 how far the velocity lies beyond the threshold (in thresholds, 2 at most, halved), 0.20 its
+    inward share, 0.25 its longest inward run over its length, 0.25 its inward displacement over its length.
+    """
     rows = inward_runs(net_radial_displacement(df)).withColumn("_n", F.count("frame").over(by_track()))
     v = F.coalesce("track_median_radial_vel", "track_mean_radial_vel")
     need = F.greatest(F.lit(3), F.floor(F.col("_n") * 0.15))
     ok = (F.col("_n") >= min_frames) & v.isNotNull() & (v <= threshold) & (F.col("track_inward_fraction") >= min_inward)
     ok &= (F.col("track_net_radial_disp").isNull() | (F.col("track_net_radial_disp") < -0.5)) & (F.col("track_sustained_inward") >= need)
     flag = F.coalesce(F.col("track_id").isNotNull() & ok, F.lit(False))
+    length = F.greatest(F.col("_n"), F.lit(1))
     score = (
-        0.30 * clip(F.abs(v) / max(abs(threshold) * 3, 1e-9), 0.0, 1.0) + 0.20 * clip(F.col("track_inward_fraction"), 0.0, 1.0)
-        + 0.25 * clip(F.col("track_sustained_inward") / F.greatest(F.col("_n"), F.lit(1)), 0.0, 1.0) + 0.25 * clip(F.coalesce(-F.col("track_net_radial_disp"), F.lit(0.0)) / 10, 0.0, 1.0)
+        0.30 * F.coalesce(clip((threshold - v) / max(abs(threshold), 0.01), 0.0, 2.0) / 2, F.lit(0.0)) + 0.20 * clip(F.col("track_inward_fraction"), 0.0, 1.0)
+        + 0.25 * clip(F.col("track_sustained_inward") / length, 0.0, 1.0) + 0.25 * clip(F.coalesce(-F.col("track_net_radial_disp"), F.lit(0.0)) / length, 0.0, 1.0)
     )
     return rows.withColumn("ingressing", flag).withColumn("ingression_score", F.when(F.col("ingressing"), F.coalesce(score, F.lit(0.0))).otherwise(0.0)).drop("_n")
 
@@ -58,7 +63,7 @@ def roi_restrict(df: DataFrame, y_max: float | None = None) -> DataFrame:
 
 
 def otsu_threshold(df: DataFrame, bins: int = 200, fewest: int = 20, highest: float = -0.005, fallback: float = -0.5) -> DataFrame:
-    """(threshold): Otsu's split of the tracks' median velocities, at most `highest`; with few tracks their median, or the fallback.
+    """(threshold): Otsu's split of the tracks' median velocities, at most `highest`; with few tracks their median as it is, or the fallback.
 
     df: one row a track with v. Only the histogram of `bins` rows meets in one task.
     """
@@ -74,4 +79,6 @@ def otsu_threshold(df: DataFrame, bins: int = 200, fewest: int = 20, highest: fl
     between = F.col("w0") * w1 * F.pow(F.col("s0") / F.col("w0") - (F.col("s") - F.col("s0")) / w1, 2)
     best = hist.where(F.col("n") > F.col("w0")).agg(F.max_by(center, F.struct(F.round(between, 6), -F.col("bin"))).alias("split"))
     few = F.coalesce("mid", F.lit(fallback))
-    return ends.crossJoin(best).select(F.least(F.when((F.col("n") < fewest) | F.col("split").isNull(), few).otherwise(F.col("split")), F.lit(highest)).alias("threshold"))
+    # One value only: the first of the 200 centres about it, as for a histogram of width 1.
+    split = F.coalesce("split", F.col("lo") - 0.5 + 0.5 / bins)
+    return ends.crossJoin(best).select(F.when(F.col("n") < fewest, few).otherwise(F.least(split, F.lit(highest))).alias("threshold"))

@@ -108,11 +108,17 @@ def combine_metadata(files: DataFrame, metadata: DataFrame) -> DataFrame:
     return files.crossJoin(F.broadcast(metadata.limit(1)))
 
 
-def raw_vs_processed(processed: DataFrame, raw: DataFrame) -> DataFrame:
-    """Processed rows with the raw metrics of the same time point and the ratios; 0 where a ratio is not defined."""
+def raw_vs_processed(processed: DataFrame, raw: DataFrame, other: DataFrame | None = None) -> DataFrame:
+    """Processed rows with the raw metrics of the same time point and the ratios; 0 where the raw metric is not above 0.
+
+    other: a second source of raw metrics for time points that the first has not.
+    """
     own = raw.select("timepoint", F.col("preproc_snr").alias("raw_snr"), F.col("preproc_sharpness").alias("raw_sharpness"))
+    if other is not None:
+        more = other.select("timepoint", F.col("preproc_snr").alias("raw_snr"), F.col("preproc_sharpness").alias("raw_sharpness"))
+        own = own.unionByName(more.join(own.select("timepoint"), "timepoint", "left_anti"))
     both = processed.join(own, "timepoint", "left")
-    ratio = lambda a, b: F.when(F.col(b).isNotNull(), F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0)))
+    ratio = lambda a, b: F.when(F.col(b).isNotNull(), F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0))
     return both.withColumns({"snr_improvement": ratio("preproc_snr", "raw_snr"), "sharpness_improvement": ratio("preproc_sharpness", "raw_sharpness")})
 
 

@@ -104,14 +104,27 @@ def straightness(df: DataFrame) -> DataFrame:
     return ends.select("track_id", F.when(F.col("path") > 0, net / F.col("path")).alias("straightness"))
 
 
-def selection_metrics(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float = 1.0, interval_s: float = 30.0) -> DataFrame:
-    """(track_id, n_points, minutes, straightness, mean_speed, n_speeds): speeds over the lag, smoothed along the track."""
+def smoothed_speeds(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float = 1.0, interval_s: float = 30.0) -> DataFrame:
+    """(track_id, n_points, minutes, _v): speeds over the lag of each track, in order, smoothed; null where no row of the window has one."""
     rows = lag_speed(df.where("track_id IS NOT NULL"), lag, scale, interval_s).withColumn("_i", F.row_number().over(along_track()))
     lists = rows.groupBy("track_id").agg(
-        F.count(F.lit(1)).alias("n_points"), ((F.max("frame") - F.min("frame")) * (interval_s / 60)).alias("minutes"),
+        F.count(F.lit(1)).alias("n_points"), (F.count(F.lit(1)) * (interval_s / 60)).alias("minutes"),
         F.array_sort(F.collect_list(F.when(F.col("_i") > lag, F.struct("_i", "lag_speed")))).alias("_s"),
     )
-    lists = lists.withColumn("_v", smooth_array(F.transform("_s", lambda x: x["lag_speed"]), smooth))
+    return lists.withColumn("_v", smooth_array(F.transform("_s", lambda x: x["lag_speed"]), smooth)).drop("_s")
+
+
+def step_speeds(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float = 1.0, interval_s: float = 30.0) -> DataFrame:
+    """(track_id, speed): a row for every known smoothed speed of every track."""
+    return smoothed_speeds(df, lag, smooth, scale, interval_s).select("track_id", F.explode("_v").alias("speed")).where("speed IS NOT NULL")
+
+
+def selection_metrics(df: DataFrame, lag: int = 4, smooth: int = 5, scale: float = 1.0, interval_s: float = 30.0) -> DataFrame:
+    """(track_id, n_points, minutes, straightness, mean_speed, n_speeds): speeds over the lag, smoothed along the track.
+
+    minutes: rows times the interval. See also step_speeds for the speeds themselves.
+    """
+    lists = smoothed_speeds(df, lag, smooth, scale, interval_s)
     known = F.filter("_v", lambda v: v.isNotNull())
     mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda t, v: t + v) / F.size(known))
     return lists.select("track_id", "n_points", "minutes", F.size("_v").alias("n_speeds"), mean.alias("mean_speed")).join(straightness(df), "track_id")

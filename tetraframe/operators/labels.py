@@ -86,6 +86,18 @@ def per_slice_labels(voxels: DataFrame) -> DataFrame:
     return out
 
 
+def depth_thirds(slices: DataFrame, nz: int, keys: tuple[str, ...] = ("t",), column: str = "n_centroids") -> DataFrame:
+    """Centroids in the first quarter of the slices, the middle half and the last quarter, their sum, and deep over shallow (0 without shallow).
+
+    slices: a row a slice, as per_slice_labels gives them; nz: slices of a volume.
+    """
+    q1, q3 = nz // 4, 3 * nz // 4
+    part = lambda c: F.coalesce(F.sum(F.when(c, F.col(column))), F.lit(0)).cast("long")
+    z = F.col("z")
+    out = slices.groupBy(*keys).agg(part(z < q1).alias("shallow"), part((z >= q1) & (z < q3)).alias("mid"), part(z >= q3).alias("deep"), part(F.lit(True)).alias("total"))
+    return out.withColumn("deep_over_shallow", F.coalesce(F.try_divide("deep", "shallow"), F.lit(0.0)))
+
+
 def intensity_in_labels(voxels: DataFrame) -> DataFrame:
     """A row a t: statistics of the labels' mean values, and mean inside over deviation outside (0 with 100 outside voxels or fewer)."""
     means = per_label(voxels).groupBy("t").agg(F.avg("mean_value").alias("mean"), F.stddev_pop("mean_value").alias("std"), F.min("mean_value").alias("min"), F.max("mean_value").alias("max"))
@@ -138,7 +150,7 @@ def thinnest_axis_first(nz: int, ny: int, nx: int) -> tuple[int, int, int]:
 
 def axis_fixed(voxels: DataFrame) -> DataFrame:
     """Voxels with z as the strictly smallest axis."""
-    e = voxels.agg(*(F.max(a).alias(a) for a in "zyx")).first()
+    e = voxels.agg(*(F.coalesce(F.max(a), F.lit(0)).alias(a) for a in "zyx")).first()  # an empty table keeps its axes
     order = thinnest_axis_first(*(int(e[a]) + 1 for a in "zyx"))
     return voxels.select("t", *(F.col("zyx"[k]).alias(a) for a, k in zip("zyx", order)), *(c for c in voxels.columns if c not in "tzyx"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tetraframe.functions.scalars import clean
 from tetraframe.operators.filters import track_limits
 from tetraframe.operators.kinematics import step_speed
 
@@ -147,7 +148,67 @@ def histogram(df: DataFrame, column: str, most: int, fewest: int, low: float | N
 
 
 def interpretation(metrics: DataFrame) -> DataFrame:
-    """Verdicts on a benchmark row: border brightness and elongation."""
+    """Verdicts on a benchmark row: elongation, and bright borders where the table has an edge ratio."""
     e = F.col("seg_mean_elongation")
-    verdict = F.when(e < 0.7, "flattened").when(e > 1.5, "stretched").otherwise("ok")
-    return metrics.withColumn("elongation_verdict", verdict)
+    out = metrics.withColumn("elongation_verdict", F.when(e < 0.7, "flattened").when(e > 1.5, "stretched").otherwise("ok"))
+    return out.withColumn("edge_verdict", F.when(F.col("preproc_edge_ratio") > 1.5, "bright").otherwise("ok")) if "preproc_edge_ratio" in metrics.columns else out
+
+
+#: Columns of the table of stages, in order; fixed values.
+STAGE_COLUMNS = (
+    "stage_name", "n_nuclei_3d", "median_volume_px", "mean_volume_px", "std_volume_px", "volume_cv", "mean_z_extent", "mean_xy_extent", "small_fraction", "large_fraction",
+    "z_coverage", "cells_per_z_mean", "cells_per_z_std", "snr_in_nuclei", "mean_intensity", "std_intensity",
+)
+
+
+def stage_table(stats: DataFrame, intensity: DataFrame, key: str = "t") -> DataFrame:
+    """A row a stage with the 16 columns of the stage table, from label_stats and intensity_in_labels by the same key."""
+    renamed = {"n_cells": "n_nuclei_3d", "median_volume": "median_volume_px", "mean_volume": "mean_volume_px", "std_volume": "std_volume_px"}
+    own = stats.withColumnsRenamed(renamed).withColumn("stage_name", F.col(key).cast("string"))
+    means = intensity.select(key, F.col("snr").alias("snr_in_nuclei"), F.col("mean").alias("mean_intensity"), F.col("std").alias("std_intensity"))
+    return own.join(means, key).select(*STAGE_COLUMNS)
+
+
+def diagnostic_table(ranges: DataFrame, noise: DataFrame, key: str = "t") -> DataFrame:
+    """A row a stage with the 13 columns of the diagnosis: dynamic_range_info by key, and the slices' SNR and noise. noise: (key, z, snr, noise_std)."""
+    per = noise.groupBy(key).agg(F.median("snr").alias("snr_median"), F.min("snr").alias("snr_min"), F.median("noise_std").alias("noise_std_median"))
+    return ranges.join(per, key).select(
+        F.col(key).cast("string").alias("name"), "min", "max", F.col("p1").alias("p01"), "p99", "p999", "mean", "std", "frac_zero", F.col("frac_sat").alias("frac_saturated"),
+        "snr_median", "snr_min", "noise_std_median",
+    )
+
+
+def diagnostic_findings(voxels: DataFrame, scales: DataFrame, table: DataFrame, camera_percentile: float = 0.02, least_scale: float = 1.5) -> DataFrame:
+    """(t, finding, value): the diagnosis of each volume as rows.
+
+    Background (values below the 30th percentile): mean, deviation, what the camera's percentile takes off and what remains, and
+    whether more than the deviation remains. Corrections (t, z, scale): the greatest and how many slices exceed `least_scale`. The
+    share of zeros, and the 1st and 99th percentile with and without them. table: diagnostic_table, for the noise.
+    """
+    v = F.col("value")
+    cut = voxels.groupBy("t").agg(F.percentile(v, F.lit([0.3, camera_percentile, 0.01, 0.99])).alias("_q"), F.percentile(F.when(v > 0, v), F.lit([0.01, 0.99])).alias("_p"), F.avg((v == 0).cast("double")).alias("zeros"))
+    dark = voxels.join(cut.select("t", F.col("_q")[0].alias("_c")), "t").where(v < F.col("_c")).groupBy("t").agg(F.avg(v).alias("bg_mean"), F.stddev_pop(v).alias("bg_std"))
+    steep = scales.groupBy("t").agg(F.max("scale").alias("max_scale"), F.count_if(F.col("scale") > least_scale).cast("double").alias("n_high_scale"))
+    noise = table.select(F.col("name").cast("int").alias("t"), "noise_std_median", "snr_median")
+    rows = cut.join(dark, "t", "left").join(steep, "t", "left").join(noise, "t", "left").withColumn("residual", F.col("bg_mean") - F.col("_q")[1])
+    found = {
+        "background_mean": F.col("bg_mean"), "background_std": F.col("bg_std"), "camera_level": F.col("_q")[1], "residual": F.col("residual"), "residual_problem": (F.col("residual") > F.col("bg_std")).cast("double"),
+        "max_scale": F.col("max_scale"), "n_high_scale": F.col("n_high_scale"), "noise_std": F.col("noise_std_median"), "snr": F.col("snr_median"), "zero_share": F.col("zeros"),
+        "p1": F.col("_q")[2], "p1_tissue": F.col("_p")[0], "p99": F.col("_q")[3], "p99_tissue": F.col("_p")[1],
+    }
+    return rows.select("t", F.explode(F.array(*(F.struct(F.lit(n).alias("finding"), c.cast("double").alias("value")) for n, c in found.items()))).alias("_f")).select("t", "_f.*")
+
+
+def noise_amplification(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(name, amplification): noise after a step over noise before it, the latter at least 0.01. Both: diagnostic_table."""
+    own = before.select("name", F.col("noise_std_median").alias("_b"))
+    return after.join(own, "name").select("name", (F.col("noise_std_median") / F.greatest("_b", F.lit(0.01))).alias("amplification"))
+
+
+def report_lines(stages: DataFrame) -> DataFrame:
+    """(section, stage_name, line): the table of stages with changes, then the alerts, in words. A table of stages is small."""
+    shown = lambda x: clean(x, 1).cast("string")
+    d = stage_delta(stages).join(stages.select("stage_name", "median_volume", "z_coverage"), "stage_name")
+    head = d.select(F.lit("table").alias("section"), "stage_name", F.format_string("%s %d %+d %s%% %s %s%%", "stage_name", "total_nuclei", F.coalesce("delta", F.lit(0)), shown(F.coalesce("delta_pct", F.lit(0.0))), shown(F.col("median_volume")), shown(F.col("z_coverage") * 100)).alias("line"))
+    alerts = stage_alerts(stages).select(F.lit("alerts").alias("section"), "stage_name", F.concat_ws(" ", "alert", "stage_name").alias("line"))
+    return head.unionByName(alerts)

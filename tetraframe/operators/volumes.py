@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clip
+from tetraframe.operators.image import contrast_percentiles
 
 TYPE_MAX = 65535
 
@@ -45,14 +46,14 @@ def depth_correction(voxels: DataFrame, percentile: float | None = 0.99, window:
     return voxels.join(scale, ["t", "z"]).withColumn("corrected", as_uint16(F.col("value") * F.col("scale")))
 
 
-def depth_correction_damped(voxels: DataFrame, floor_level: float, window: int = 9, most: float = 4.0) -> DataFrame:
-    """(t, z, scale): as depth_correction by the mean, but slices under a signal floor are scaled less, in proportion."""
-    levels = voxels.groupBy("t", "z").agg(F.greatest(F.avg("value"), F.lit(1e-6)).alias("level"))
+def depth_correction_damped(voxels: DataFrame, percentile: float = 0.5, window: int = 11, most: float = 2.0, floor_share: float = 0.25) -> DataFrame:
+    """(t, z, scale): to the median of the smoothed slice levels; below a share of it a slice is scaled less, in proportion; then held to `most`."""
+    levels = voxels.groupBy("t", "z").agg(F.greatest(F.percentile("value", percentile), F.lit(1e-8)).alias("level"))
     smooth = z_level_smooth(levels, window)
     target = smooth.groupBy("t").agg(F.median("level").alias("_t"))
-    full = F.least(F.col("_t") / F.col("level"), F.lit(most))
-    damp = F.least(F.col("level") / floor_level, F.lit(1.0))
-    return smooth.join(target, "t").select("t", "z", (1 + (full - 1) * damp).alias("scale"))
+    full, floor = F.col("_t") / F.col("level"), F.col("_t") * floor_share
+    damped = F.when(F.col("level") < floor, 1 + (full - 1) * F.col("level") / (floor + 1e-8)).otherwise(full)
+    return smooth.join(target, "t").select("t", "z", F.least(damped, F.lit(most)).alias("scale"))
 
 
 def camera_background_subtract(voxels: DataFrame, percentile: float = 0.02) -> DataFrame:
@@ -95,13 +96,13 @@ def _plane(pdf: pd.DataFrame, column: str = "value") -> np.ndarray:
     return out
 
 
-def shading_field(voxels: DataFrame, sigma: float = 64.0) -> DataFrame:
-    """(t, y, x, gain): mean over the smoothed projection of the mean over z. One plane a t is in a task."""
+def shading_field(voxels: DataFrame, sigma: float = 64.0, least: float = 1e-8) -> DataFrame:
+    """(t, y, x, gain): mean over the smoothed projection of the mean over z, the projection held at `least`. One plane a t is in a task."""
     mean = voxels.groupBy("t", "y", "x").agg(F.avg("value").alias("value"))
 
     def gain(pdf: pd.DataFrame) -> pd.DataFrame:
-        field = smooth_plane(_plane(pdf), sigma)
-        g = field.mean() / np.maximum(field, 1e-6)
+        field = np.maximum(smooth_plane(_plane(pdf), sigma), least)
+        g = field.mean() / field
         return pdf[["t", "y", "x"]].assign(gain=g[pdf["y"], pdf["x"]])
 
     return mean.groupBy("t").applyInPandas(gain, "t int, y int, x int, gain double")
@@ -114,6 +115,11 @@ def planar_correction(voxels: DataFrame, sigma: float = 64.0, most: float | None
     return voxels.join(field, ["t", "y", "x"]).withColumn("corrected", as_uint16(F.col("value") * gain)).drop("gain")
 
 
+def shading_diagnosis(voxels: DataFrame, sigma: float = 96.0) -> DataFrame:
+    """Add gain and corrected: voxels times the shading gain, neither capped nor rounded."""
+    return voxels.join(shading_field(voxels, sigma, 1e-6), ["t", "y", "x"]).withColumn("corrected", F.col("value") * F.col("gain"))
+
+
 def local_noise(voxels: DataFrame, size: int = 7) -> DataFrame:
     """Add noise: the deviation in a square around each voxel of its plane, edges mirrored."""
     r = size // 2
@@ -132,100 +138,130 @@ def local_noise(voxels: DataFrame, size: int = 7) -> DataFrame:
     return voxels.select("t", "z", "y", "x", "value").groupBy("t", "z").applyInPandas(noise, "t int, z int, y int, x int, noise double")
 
 
-def resliced_linear(voxels: DataFrame, nz: int, new_nz: int, centered: bool = False) -> DataFrame:
+def _reflected(i: Column, n: int) -> Column:
+    """Indices up to one period outside 0..n-1, mirrored about the end samples."""
+    return F.when(i < 0, -i).when(i > n - 1, 2 * (n - 1) - i).otherwise(i) if n > 1 else F.lit(0)
+
+
+def resliced_linear(voxels: DataFrame, nz: int, new_nz: int, edge: str = "corners") -> DataFrame:
     """(t, z, y, x, value): linear interpolation along z to another number of slices.
 
-    Corners meet by default: source i * (nz - 1) / (new_nz - 1); centered: pixel centres do, and beyond the ends the end slice holds.
+    edge "corners": end slices meet, source i * (nz - 1) / (new_nz - 1). Otherwise pixel centres do, and beyond the end slices stand
+    "mirror" their mirror image or "zero" nothing.
     """
     if new_nz == nz:
         return voxels.select("t", "z", "y", "x", F.col("value").cast("double").alias("value"))
     i = F.col("_i")
-    src = (i + 0.5) * (nz / new_nz) - 0.5 if centered else i * ((nz - 1) / max(new_nz - 1, 1))
-    src = clip(src, 0.0, float(nz - 1))
-    low = F.least(F.floor(src), F.lit(max(nz - 2, 0))).cast("int")
-    plan = voxels.sparkSession.range(new_nz).select(F.col("id").cast("int").alias("_i")).select("_i", low.alias("_lo"), (src - low).alias("_w"))  # one row a new slice
-    taps = plan.withColumn("_tap", F.explode(F.array(F.struct(F.col("_lo").alias("z"), (1 - F.col("_w")).alias("w")), F.struct(F.least(F.col("_lo") + 1, F.lit(nz - 1)).alias("z"), F.col("_w").alias("w")))))
-    taps = F.broadcast(taps.select("_i", "_tap.z", "_tap.w"))
-    return voxels.join(taps, "z").groupBy("t", "_i", "y", "x").agg(F.sum(F.col("value") * F.col("w")).alias("value")).select("t", F.col("_i").alias("z"), "y", "x", "value")
+    src = i * ((nz - 1) / max(new_nz - 1, 1)) if edge == "corners" else (i + 0.5) * (nz / new_nz) - 0.5
+    plan = voxels.sparkSession.range(new_nz).select(F.col("id").cast("int").alias("_i")).select("_i", src.alias("_s"))  # one row a new slice
+    low = F.floor("_s").cast("int")
+    tap = lambda k: F.struct((low + k).alias("z"), (F.col("_s") - low if k else 1 - (F.col("_s") - low)).alias("w"))
+    taps = plan.select("_i", F.explode(F.array(tap(0), tap(1))).alias("_t")).select("_i", "_t.z", "_t.w").where("w > 0")
+    taps = taps.where(F.col("z").between(0, nz - 1)) if edge == "zero" else taps.withColumn("z", _reflected(F.col("z"), nz))
+    return voxels.join(F.broadcast(taps), "z").groupBy("t", "_i", "y", "x").agg(F.sum(F.col("value") * F.col("w")).alias("value")).select("t", F.col("_i").alias("z"), "y", "x", "value")
+
+
+def _mirror(i: np.ndarray, n: int) -> np.ndarray:
+    """Any indices mirrored about the end samples, which are not doubled."""
+    if n == 1:
+        return np.zeros_like(i)
+    i = np.abs(i) % (2 * n - 2)
+    return np.where(i < n, i, 2 * n - 2 - i)
 
 
-def cubic_weights(n: int, m: int, antialias: bool = True) -> np.ndarray:
-    """Matrix (m, n) that resamples n samples to m by cubic convolution at pixel centres, edges mirrored; smoothed first if m < n."""
+def spline_weights(n: int, m: int, order: int = 3, antialias: bool = True) -> np.ndarray:
+    """Matrix (m, n) that resamples n samples to m at pixel centres by a spline, linear or cubic, through the samples, ends mirrored.
+
+    Cubic: the coefficients solve the B-spline's equations at the samples. Shrinking axes are smoothed first by a Gaussian of
+    deviation (n / m - 1) / 2.
+    """
     x = (np.arange(m) + 0.5) * (n / m) - 0.5
     base = np.floor(x).astype(int)
-    out = np.zeros((m, n))
-    for k in range(-1, 3):
-        d = np.abs(x - (base + k))
-        w = np.where(d <= 1, 1.5 * d**3 - 2.5 * d**2 + 1, np.where(d < 2, -0.5 * d**3 + 2.5 * d**2 - 4 * d + 2, 0))
-        i = (base + k) % (2 * n)
-        np.add.at(out, (np.arange(m), np.where(i < n, i, 2 * n - 1 - i)), w)
+    rows, out = np.arange(m), np.zeros((m, n))
+    if order <= 1:
+        for k in (0, 1):
+            np.add.at(out, (rows, _mirror(base + k, n)), np.abs(1 - k - (x - base)))
+    else:
+        basis = lambda d: np.where(d < 1, 2 / 3 - d * d + d**3 / 2, np.where(d < 2, (2 - d) ** 3 / 6, 0))
+        for k in range(-1, 3):
+            np.add.at(out, (rows, _mirror(base + k, n)), basis(np.abs(x - (base + k))))
+        at = np.zeros((n, n))
+        for k, w in ((-1, 1 / 6), (0, 2 / 3), (1, 1 / 6)):
+            np.add.at(at, (np.arange(n), _mirror(np.arange(n) + k, n)), w)
+        out = np.linalg.solve(at.T, out.T).T
     if antialias and m < n:
-        k = gaussian_kernel(max((n / m - 1) / 2, 1e-3))
-        r = len(k) // 2
-        blur = np.zeros((n, n))
-        at = _mirrored(n, r)
-        for i in range(n):
-            np.add.at(blur[i], at[i : i + 2 * r + 1], k)
+        k = gaussian_kernel((n / m - 1) / 2)
+        blur, r = np.zeros((n, n)), len(k) // 2
+        for j, w in enumerate(k):
+            np.add.at(blur, (np.arange(n), _mirror(np.arange(n) + j - r, n)), w)
         out = out @ blur
     return out
 
 
-def rescaled_xy(voxels: DataFrame, ny: int, nx: int, factor: float) -> DataFrame:
-    """(t, z, y, x, value): planes rescaled by cubic convolution, held inside the plane's range."""
-    my, mx = max(1, round(ny * factor)), max(1, round(nx * factor))
-    a, b = cubic_weights(ny, my), cubic_weights(nx, mx)
+def _planes(voxels: DataFrame, ny: int, nx: int, my: int, mx: int, order: int = 3) -> DataFrame:
+    """Every plane resampled in y and x."""
+    a, b = spline_weights(ny, my, order), spline_weights(nx, mx, order)
 
     def scale(pdf: pd.DataFrame) -> pd.DataFrame:
         p = np.zeros((ny, nx))
         p[pdf["y"], pdf["x"]] = pdf["value"]
-        q = np.clip(a @ p @ b.T, p.min(), p.max())
         y, x = np.mgrid[:my, :mx]
-        return pd.DataFrame({"t": int(pdf["t"].iat[0]), "z": int(pdf["z"].iat[0]), "y": y.ravel(), "x": x.ravel(), "value": q.ravel()})
+        return pd.DataFrame({"t": int(pdf["t"].iat[0]), "z": int(pdf["z"].iat[0]), "y": y.ravel(), "x": x.ravel(), "value": (a @ p @ b.T).ravel()})
 
     return voxels.select("t", "z", "y", "x", "value").groupBy("t", "z").applyInPandas(scale, "t int, z int, y int, x int, value double")
 
 
-def _along_z(voxels: DataFrame, nz: int, mz: int) -> DataFrame:
-    """Columns resampled by cubic convolution, held inside the column's range."""
-    w = cubic_weights(nz, mz)
+def _along_z(voxels: DataFrame, nz: int, mz: int, order: int = 3) -> DataFrame:
+    """Every column resampled in z."""
+    w = spline_weights(nz, mz, order)
+
+    def one(z: pd.Series, v: pd.Series) -> pd.Series:
+        a = np.zeros((len(z), nz))
+        a[np.repeat(np.arange(len(z)), [len(i) for i in z]), np.concatenate(z.to_numpy())] = np.concatenate(v.to_numpy())
+        return pd.Series(list(a @ w.T))
+
+    columns = voxels.groupBy("t", "y", "x").agg(F.collect_list("z").alias("_z"), F.collect_list("value").alias("_v"))  # a column has nz voxels
+    return columns.select("t", "y", "x", F.posexplode(F.pandas_udf(one, "array<double>")("_z", "_v")).alias("z", "value")).select("t", "z", "y", "x", "value")
 
-    def one(s: pd.Series) -> pd.Series:
-        out = []
-        for c in s:
-            v = np.zeros(nz)
-            for r in c:
-                v[r["z"]] = r["value"]
-            out.append(np.clip(w @ v, v.min(), v.max()).tolist())
-        return pd.Series(out)
 
-    columns = voxels.groupBy("t", "y", "x").agg(F.collect_list(F.struct("z", "value")).alias("_c"))  # a column has nz voxels
-    return columns.select("t", "y", "x", F.posexplode(F.pandas_udf(one, "array<double>")("_c")).alias("z", "value")).select("t", "z", "y", "x", "value")
+def within_range(resampled: DataFrame, source: DataFrame) -> DataFrame:
+    """Values held inside the range of the source volume of each t, which a spline overshoots."""
+    e = source.groupBy("t").agg(F.min("value").cast("double").alias("_lo"), F.max("value").cast("double").alias("_hi"))  # a row a t
+    return resampled.join(e, "t").withColumn("value", F.least(F.greatest("value", "_lo"), F.col("_hi"))).drop("_lo", "_hi")
+
+
+def truncated(x: Column) -> Column:
+    """The whole part; sums that miss a whole number by rounding alone count as it."""
+    return F.round(x, 6).cast("int")
+
+
+def rescaled_xy(voxels: DataFrame, ny: int, nx: int, factor: float) -> DataFrame:
+    """(t, z, y, x, value): planes rescaled by a cubic spline, smoothed first when they shrink, held inside the volume's range."""
+    return within_range(_planes(voxels, ny, nx, max(1, round(ny * factor)), max(1, round(nx * factor))), voxels)
 
 
 def isotropic(voxels: DataFrame, shape: tuple[int, int, int], spacing: tuple[float, float, float], target: float, order: int = 3) -> DataFrame:
-    """All three axes resampled to one voxel size; order 1 is linear along z, 3 cubic with smoothing on shrinking axes."""
+    """All three axes resampled to one voxel size by a linear (order 1) or cubic spline, smoothed first on shrinking axes.
+
+    Values are held inside the volume's range and truncated to whole numbers; a volume of that size already stays as it is.
+    """
     new = [max(1, round(n * s / target)) for n, s in zip(shape, spacing)]
+    out = voxels.select("t", "z", "y", "x", "value")
     if list(shape) == new:
-        return voxels.select("t", "z", "y", "x", F.col("value").cast("double").alias("value"))
-    out = voxels
-    if new[1:] != list(shape[1:]):
-        a, b = cubic_weights(shape[1], new[1]), cubic_weights(shape[2], new[2])
-
-        def scale(pdf: pd.DataFrame) -> pd.DataFrame:
-            p = np.zeros(shape[1:])
-            p[pdf["y"], pdf["x"]] = pdf["value"]
-            y, x = np.mgrid[: new[1], : new[2]]
-            return pd.DataFrame({"t": int(pdf["t"].iat[0]), "z": int(pdf["z"].iat[0]), "y": y.ravel(), "x": x.ravel(), "value": np.clip(a @ p @ b.T, p.min(), p.max()).ravel()})
-
-        out = out.select("t", "z", "y", "x", "value").groupBy("t", "z").applyInPandas(scale, "t int, z int, y int, x int, value double")
-    if new[0] == shape[0]:
         return out
-    return resliced_linear(out, shape[0], new[0], centered=True) if order <= 1 else _along_z(out, shape[0], new[0])
+    if new[1:] != list(shape[1:]):
+        out = _planes(out, *shape[1:], *new[1:], order)
+    if new[0] != shape[0]:
+        linear = order <= 1 and new[0] > shape[0]
+        out = resliced_linear(out, shape[0], new[0], "mirror") if linear else _along_z(out, shape[0], new[0], order)
+    return within_range(out, voxels).withColumn("value", truncated(F.col("value")))
 
 
 def raw_isotropic(voxels: DataFrame, shape: tuple[int, int, int], factor: float, new_nz: int) -> DataFrame:
-    """Planes rescaled, then slices interpolated at pixel centres."""
-    return resliced_linear(rescaled_xy(voxels, shape[1], shape[2], factor), shape[0], new_nz, centered=True)
+    """Planes rescaled by a cubic spline, then slices interpolated linearly at pixel centres with nothing beyond the ends; whole numbers."""
+    planes = rescaled_xy(voxels, shape[1], shape[2], factor)
+    out = planes if new_nz == shape[0] else within_range(resliced_linear(planes, shape[0], new_nz, "zero"), planes)
+    return out.withColumn("value", as_uint16(F.round("value", 6)))
 
 
 def slab_projection(voxels: DataFrame, axis: str, low: int, high: int, how: str = "max") -> DataFrame:
@@ -253,11 +289,11 @@ def oriented_slab(voxels: DataFrame, rotation: np.ndarray, center: tuple[float,
     return voxels.join(F.broadcast(grid), ["z", "y", "x"]).groupBy("t", "i", "j").agg(f("value").alias("value"))
 
 
-def as_uint8(voxels: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Add byte: the window between two percentiles mapped to 0..255."""
-    q = voxels.groupBy("t").agg(F.percentile("value", F.lit([low, high])).alias("_q"))
-    v = (F.col("value") - F.col("_q")[0]) * 255.0 / F.greatest(F.col("_q")[1] - F.col("_q")[0], F.lit(1e-9))
-    return voxels.join(q, "t").withColumn("byte", clip(v, 0, 255).cast("int")).drop("_q")
+def as_uint8(voxels: DataFrame, low: float = 0.5, high: float = 99.5, stride: int = 2) -> DataFrame:
+    """Add byte: the contrast window of all time points mapped to 0..255."""
+    window = contrast_percentiles(voxels, low, high, stride).select(F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))  # one row
+    v = (F.col("value") - F.col("_lo")) * (255.0 / F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-10)))
+    return voxels.crossJoin(F.broadcast(window)).withColumn("byte", clip(v, 0, 255).cast("int")).drop("_lo", "_hi")
 
 
 def normalised(voxels: DataFrame, percentile: float = 0.999) -> DataFrame:

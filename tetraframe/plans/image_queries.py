@@ -50,28 +50,37 @@ a("agg12_intensity_in_nuclei", on(lambda v: rounded(lb.intensity_in_labels(v))),
   (SELECT t, CASE WHEN count(*) FILTER (WHERE label = 0) > 100 AND stddev_pop(value) FILTER (WHERE label = 0) > 1e-8 THEN avg(value) FILTER (WHERE label > 0) / stddev_pop(value) FILTER (WHERE label = 0) ELSE 0.0 END AS snr FROM voxels GROUP BY 1) USING (t)""", "voxels", "labels")
 Q = lambda p, n: f"quantile_cont(value, {p}) AS {n}"
 a("agg13_per_slice_stats", on(lambda v: rounded(im.per_slice_stats(v))), f"SELECT t, z, {r('avg(value) AS mean', 'stddev_pop(value) AS std', *(Q(p / 100, f'p{p}') for p in im.PERCENTS))}, max(value) AS max, min(value) AS min, count(*) FILTER (WHERE value = 0) AS n_zero, count(*) FILTER (WHERE value >= 65535) AS n_sat FROM voxels GROUP BY 1, 2", "voxels")
-SNR = "SELECT {k}, round(CASE WHEN count(*) FILTER (WHERE value <= q) >= {n} AND stddev_pop(value) FILTER (WHERE value <= q) >= 1e-10 THEN any_value(p) / stddev_pop(value) FILTER (WHERE value <= q) END, 6) + 0.0 AS snr FROM voxels JOIN (SELECT {k}, quantile_cont(value, 0.1) AS q, quantile_cont(value, 0.95) AS p FROM voxels GROUP BY ALL) USING ({k}) GROUP BY {k}"
-a("agg14_robust_snr_per_slice", on(lambda v: rounded(im.robust_snr_per_slice(v.withColumn("value", F.col("value") + F.col("x"))))), "WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) " + SNR.format(k="t, z", n=51).replace("FROM voxels", "FROM v2"), "voxels")
-a("agg16_snr", on(lambda v: rounded(im.volume_snr(v.withColumn("value", F.col("value") + F.col("x"))))), "WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) " + SNR.format(k="t", n=100).replace("FROM voxels", "FROM v2"), "voxels")
+SNR = "SELECT {k}, " + r("CASE WHEN count(*) FILTER (WHERE value <= q) >= {n} AND stddev_pop(value) FILTER (WHERE value <= q) >= 1e-10 THEN any_value(p) / stddev_pop(value) FILTER (WHERE value <= q) {e} END AS snr") + " FROM voxels JOIN (SELECT {k}, quantile_cont(value, 0.1) AS q, quantile_cont(value, 0.95) AS p FROM voxels GROUP BY ALL) USING ({k}) GROUP BY {k}"
+a("agg14_robust_snr_per_slice", on(lambda v: rounded(im.robust_snr_per_slice(v.withColumn("value", F.col("value") + F.col("x"))))), "WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) " + SNR.format(k="t, z", n=51, e="ELSE 0.0").replace("FROM voxels", "FROM v2"), "voxels")
+a("agg16_snr", on(lambda v: rounded(im.volume_snr(v.withColumn("value", F.col("value") + F.col("x"))))), "WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels) " + SNR.format(k="t", n=100, e="").replace("FROM voxels", "FROM v2"), "voxels")
 a("agg15_dynamic_range_info", on(lambda v: rounded(im.dynamic_range_info(v))), f"SELECT t, min(value) AS min, max(value) AS max, {r(Q(0.01, 'p1'), Q(0.99, 'p99'), Q(0.999, 'p999'), 'avg((value = 0)::INTEGER) AS frac_zero', 'avg((value >= 65535)::INTEGER) AS frac_sat', 'avg(value) AS mean', 'stddev_pop(value) AS std')} FROM voxels GROUP BY 1", "voxels")
 a("agg17_edge_ratio", on(lambda v: rounded(im.edge_ratio(v, SHAPE, 3))), f"SELECT t, {r('avg(value) FILTER (WHERE NOT i) / avg(value) FILTER (WHERE i) AS edge_ratio')} FROM (SELECT *, z BETWEEN 3 AND 12 AND y BETWEEN 3 AND 20 AND x BETWEEN 3 AND 20 AS i FROM voxels) GROUP BY 1", "voxels")
 a("agg18_z_uniformity", on(lambda v: rounded(im.z_uniformity(v))), f"SELECT t, {r('stddev_pop(m) / avg(m) AS z_uniformity')} FROM (SELECT t, z, avg(value) AS m FROM voxels GROUP BY 1, 2) GROUP BY 1", "voxels")
 a("agg19_sharpness", on(lambda v: rounded(im.sharpness(v, SHAPE), 3)),
-  f"""SELECT t, round(avg(s), 3) + 0.0 AS sharpness FROM (SELECT t, z, var_pop(l) AS s FROM (SELECT t, z, coalesce(lag(value) OVER wx, value) + coalesce(lead(value) OVER wx, value) + coalesce(lag(value) OVER wy, value) + coalesce(lead(value) OVER wy, value) - 4 * value AS l FROM voxels
+  f"""SELECT t, {r('avg(s) AS sharpness', digits=3)} FROM (SELECT t, z, var_pop(l) AS s FROM (SELECT t, z, coalesce(lag(value) OVER wx, value) + coalesce(lead(value) OVER wx, value) + coalesce(lag(value) OVER wy, value) + coalesce(lead(value) OVER wy, value) - 4 * value AS l FROM voxels
   WHERE z IN (0, 3, 7, 11, 15) WINDOW wx AS (PARTITION BY t, z, y ORDER BY x), wy AS (PARTITION BY t, z, x ORDER BY y)) GROUP BY 1, 2) GROUP BY 1""", "voxels")
 a("agg20_dynamic_range", on(lambda v: rounded(im.dynamic_range(v))), f"SELECT t, {r('(quantile_cont(value, 0.999) - quantile_cont(value, 0.001)) / 65535.0 AS dynamic_range')} FROM voxels GROUP BY 1", "voxels")
-a("agg21_z_frequency", on(im.z_frequency))
+GRID = [int(4 + (18 - 6) * i / 19 + 2) for i in range(20)]  # 20 places from 6 to 18, truncated
+AT = "(VALUES " + ", ".join(f"({v})" for v in GRID) + ")"
+a("agg21_z_frequency", on(lambda v: rounded(im.z_frequency(v, SHAPE))),
+  f"""WITH cols AS (SELECT v.*, g.y AS gy FROM voxels v JOIN {AT} g(y) ON v.y = g.y JOIN {AT} h(x) ON v.x = h.x),
+  one AS (SELECT t, y, x, count(*) / {fx.NZ} AS w, stddev_pop(value) AS s FROM cols GROUP BY 1, 2, 3),
+  spectrum AS (SELECT t, y, x, k, pow(sum(value * cos(2 * pi() * k * z / {fx.NZ})), 2) + pow(sum(value * sin(2 * pi() * k * z / {fx.NZ})), 2) AS p FROM (SELECT v.* FROM voxels v JOIN one USING (t, y, x)), range({fx.NZ // 2 + 1}) q(k) GROUP BY 1, 2, 3, 4),
+  share AS (SELECT t, y, x, sum(p) FILTER (WHERE k >= {(fx.NZ // 2 + 1) // 4}) / sum(p) AS f FROM spectrum GROUP BY 1, 2, 3)
+  SELECT t, {r('coalesce(sum(f * w) FILTER (WHERE s >= 1e-10) / sum(w) FILTER (WHERE s >= 1e-10), 0.0) AS z_frequency')} FROM one JOIN share USING (t, y, x) GROUP BY 1""", "voxels")
 a("agg22_image_stats", on(lambda v: rounded(im.image_stats(v))), f"SELECT t, min(value) AS min, max(value) AS max, {r('avg(value) AS mean', Q(0.01, 'p01'), Q(0.5, 'p50'), Q(0.99, 'p99'), 'avg((value = 0)::INTEGER) AS frac_zero')} FROM voxels GROUP BY 1", "voxels")
-a("agg25_contrast_percentiles", on(lambda v: rounded(im.contrast_percentiles(v))),
-  f"""SELECT {r('min(lo + bin * (hi - lo) / 256) FILTER (WHERE up >= n * 0.005) AS lo', 'min(lo + bin * (hi - lo) / 256) FILTER (WHERE up >= n * 0.995) AS hi')} FROM (SELECT *, sum(c) OVER (ORDER BY bin) AS up, sum(c) OVER () AS n FROM
-  (SELECT least(floor((value - lo) / ((hi - lo) / 256)), 255) AS bin, count(*) AS c, any_value(lo) AS lo, any_value(hi) AS hi FROM v2, (SELECT min(value)::DOUBLE AS lo, max(value)::DOUBLE AS hi FROM v2) GROUP BY 1))""".replace("SELECT round", "WITH v2 AS (SELECT value FROM voxels WHERE z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0 AND value > 0) SELECT round", 1), "voxels")
+WINDOW = """strided AS (SELECT value FROM voxels WHERE z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0), span AS (SELECT min(value)::DOUBLE AS lo, max(value)::DOUBLE AS hi FROM strided),
+heights AS (SELECT CASE WHEN hi > lo THEN least(floor((value - lo) / ((hi - lo) / 256)), 255) ELSE 0 END AS bin, count(*) AS c FROM strided, span WHERE value > 0 GROUP BY 1),
+contrast AS (SELECT lo + coalesce(a, 0) * (hi - lo) / 256 AS lo, lo + coalesce(b, 0) * (hi - lo) / 256 AS hi FROM span, (SELECT min(bin) FILTER (WHERE up >= n * 0.005) AS a, min(bin) FILTER (WHERE up >= n * 0.995) AS b FROM (SELECT *, sum(c) OVER (ORDER BY bin) AS up, sum(c) OVER () AS n FROM heights)))"""
+BOOK.views["contrast"] = WINDOW
+a("agg25_contrast_percentiles", on(lambda v: rounded(im.contrast_percentiles(v))), f"SELECT {r('lo', 'hi')} FROM contrast", "voxels", "contrast")
 a("agg31_shape_histogram", on(lambda v: v.groupBy("t").agg((F.max(F.when(F.col("label") > 0, F.col("z"))) + 1).alias("nz")).groupBy("nz").agg(F.count(F.lit(1)).alias("n"))), "SELECT nz, count(*) AS n FROM (SELECT t, max(z) FILTER (WHERE label > 0) + 1 AS nz FROM voxels GROUP BY 1) GROUP BY 1", "voxels")
 a("agg32_camera_noise_table", on(lambda v: rounded(im.camera_noise_table(v.withColumn("value", F.col("value") + F.col("x"))))),
   f"""WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels), c AS (SELECT t, quantile_cont(value, 0.3) AS c FROM v2 GROUP BY 1), b AS (SELECT t, avg(value) + 3 * stddev_pop(value) AS b FROM v2 JOIN c USING (t) WHERE value < c GROUP BY 1),
   q AS (SELECT t, z, quantile_cont(value, 0.02) AS p2, quantile_cont(value, 0.05) AS p5, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.995) - quantile_cont(value, 0.005) AS contrast, quantile_cont(value, 0.9) AS p90 FROM v2 GROUP BY 1, 2)
   SELECT t, z, {r('any_value(p2) AS p2', 'any_value(p5) AS p5', 'any_value(p50) AS p50', 'any_value(contrast) AS contrast', 'avg((value < b)::INTEGER) AS bg_share', 'avg((value > p90)::INTEGER) AS bright_share')} FROM v2 JOIN q USING (t, z) JOIN b USING (t) GROUP BY t, z""", "voxels")
-a("agg33_slice_contrast", on(lambda v: im.slice_contrast(v.where("z = 8").groupBy("y", "x").agg(F.max("value").alias("value")))),
-  "SELECT coalesce(floor(l), 0)::INTEGER AS lo, coalesce(greatest(floor(h), floor(l) + 1), 255)::INTEGER AS hi FROM (SELECT quantile_cont(value, 0.01) AS l, quantile_cont(value, 0.995) AS h FROM (SELECT y, x, max(value) AS value FROM voxels WHERE z = 8 GROUP BY 1, 2) WHERE value > 0)", "voxels")
+a("agg33_slice_contrast", on(lambda v: im.slice_contrast(v.groupBy("y", "x").agg(F.max("value").alias("value")))),
+  "SELECT coalesce(floor(l), 0)::INTEGER AS lo, coalesce(greatest(floor(h), floor(l) + 1), 255)::INTEGER AS hi FROM (SELECT quantile_cont(value, 0.01) AS l, quantile_cont(value, 0.995) AS h FROM (SELECT y, x, max(value) AS value FROM voxels GROUP BY 1, 2) WHERE value > 0)", "voxels")
 a("jn7_label_lut", on(lambda v: jn.label_lut(v, v.where("label % 2 = 1").select("label").distinct().withColumn("lut", F.col("label") % 251)).select("t", "z", "y", "x", "lut")), "SELECT t, z, y, x, CASE WHEN label % 2 = 1 THEN label % 251 ELSE 0 END AS lut FROM voxels", "voxels")
 a("vol17_relabel_contiguous", on(lambda v: lb.relabelled(v).select("t", "z", "y", "x", "dense")), "SELECT t, z, y, x, coalesce(d, 0)::INTEGER AS dense FROM voxels LEFT JOIN (SELECT t, label, dense_rank() OVER (PARTITION BY t ORDER BY label) AS d FROM labels) USING (t, label)", "voxels", "labels")
 BOUND = """near AS (SELECT t, z, y, x, min(o) AS lo, max(o) AS hi FROM (SELECT t, z + d.a AS z, y + d.b AS y, x + d.c AS x, label AS o FROM voxels, (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(a, b, c) WHERE label > 0) GROUP BY 1, 2, 3, 4),

@@ -92,8 +92,7 @@ def tiff_like(s: SparkSession, f: str) -> DataFrame:
     return packed.mapInPandas(decode, "t int, z int, y int, x int, value int")
 
 
-a("src5_scan_tiff_volume_whole", tiff_like)
-a("src5_scan_tiff_volume", lambda s, f: tiff_like(s, f).where("t <= 2"), "SELECT t, z, y, x, value FROM voxels WHERE t <= 2", "voxels")
+a("src5_scan_tiff_volume", tiff_like, "SELECT t, z, y, x, value FROM voxels", "voxels")
 a("src6_scan_hyperstack", lambda s, f: rd.reshaped_hyperstack(s.range(28).select(F.col("id").cast("int").alias("page")), 4, 7), "SELECT i::INTEGER AS page, (i // 4)::INTEGER AS t, (i % 4)::INTEGER AS z FROM range(28) q(i)")
 a("src7_image_layout", lambda s, f: s.createDataFrame([(len(x), rd.image_layout(x, False)) for x in ((4, 5, 6), (2, 4, 5, 6), (1, 2, 4, 5, 6))], "axes int, layout string"), "SELECT * FROM (VALUES (3, 'ZYX'), (4, 'CZYX'), (5, 'TCZYX')) v(axes, layout)")
 META = [(1, '<Pixels PhysicalSizeX="374" PhysicalSizeXUnit="nm" PhysicalSizeY="374" PhysicalSizeZ="748"/>'), (2, '{"x_um": 0.4, "y_um": 0.4, "z_um": 2.0}'), (3, "none")]
@@ -109,7 +108,8 @@ def written_volumes(s: SparkSession, f: str) -> DataFrame:
 
 
 a("src11_scan_zarr", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
-ORDERED = "row_number() OVER (ORDER BY CASE WHEN regexp_matches(name, '[0-9]+[.][^.]*$') THEN 0 ELSE 1 END, nullif(regexp_extract(name, '([0-9]+)[.][^.]*$', 1), '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
+STEM = "regexp_extract(regexp_replace(name, '(.)[.][^.]*$', '\\1'), '([0-9]+)[^0-9]*$', 1)"
+ORDERED = f"row_number() OVER (ORDER BY CASE WHEN {STEM} <> '' THEN 0 ELSE 1 END, nullif({STEM}, '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
 a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
 a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s)), f"SELECT name, {ORDERED} FROM names", "names")
 
@@ -119,8 +119,7 @@ def stacked(s: SparkSession, f: str) -> DataFrame:
     return rd.stack_timepoints([fx.voxels(s, f).where(f"t = {k}").select("z", "y", "x", "value") for k in range(1, fx.NT + 1)], 2)
 
 
-a("src13_stack_timepoints_whole", stacked)
-a("src13_stack_timepoints", lambda s, f: stacked(s, f).where("t < 2"), "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS y, x // 2 AS x, value FROM voxels WHERE t <= 2 AND z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0", "voxels")
+a("src13_stack_timepoints", stacked, "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS y, x // 2 AS x, value FROM voxels WHERE z % 2 = 0 AND y % 2 = 0 AND x % 2 = 0", "voxels")
 
 
 def stage_files(s: SparkSession, f: str) -> DataFrame:
@@ -133,7 +132,7 @@ def stage_files(s: SparkSession, f: str) -> DataFrame:
 a("src14_load_stage_json", lambda s, f: rd.stage_slices(stage_files(s, f)), "SELECT 's' || k AS stage_name, z::INTEGER AS z, CASE z WHEN 0 THEN k WHEN 1 THEN k + 1 ELSE 2 * k END AS n_labels FROM range(3) a(k), range(3) b(z)")
 LISTING = [(1, "preprocessed", "a1"), (1, "segmented", "b1"), (2, "segmented", "b2"), (3, "cropped", "c3"), (3, "preprocessed", "a3")]
 a("src15_discover_results", lambda s, f: rd.discover_results(s.createDataFrame(LISTING, "timepoint int, kind string, name string")), "SELECT * FROM (VALUES (1, 'a1', 'b1', NULL), (2, NULL, 'b2', NULL), (3, 'a3', NULL, 'c3')) v(timepoint, preprocessed, segmented, cropped)")
-TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p in (r"--T([0-9]{4,5})\.", r"(?i)^t([0-9]{3,5})[_.]", r"(?i)tp([0-9]+)", r"_T([0-9]+)", r"(?i)frame([0-9]+)", r"_([0-9]+)\.[^.]+$")) + ")::INTEGER"
+TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p in (r"(?i)t([0-9]+)_channel", r"(?i)(?:^|[^a-z])t([0-9]+)", r"(?i)tp([0-9]+)", r"(?i)--[a-z]*t([0-9]+)", r"(?i)[_ -]([0-9]+)\.(?:tiff?|h5|hdf5)$", r"([0-9]+)")) + ")::INTEGER"
 a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
 a("src17_load_config", lambda s, f: s.createDataFrame([(c.input_dir, c.max_timepoints, c.channel) for c in [rd.load_config('﻿{"input_dir": "a\\ b", "max_timepoints": 5, "other": 1}')]], "input_dir string, max_timepoints int, channel int"), "SELECT 'a b' AS input_dir, 5 AS max_timepoints, 0 AS channel")
 a("src18_resolve_channel", lambda s, f: s.createDataFrame([(w, n, rd.resolve_channel(w, n)) for w, n in ((0, 1), (1, 3), (3, 3))], "wanted int, channels int, found int"), "SELECT * FROM (VALUES (0, 1, 0), (1, 3, 0), (3, 3, 2)) v(wanted, channels, found)")
@@ -147,7 +146,9 @@ for _n in ("snk7_merged_voxel_size", "src21_original_z_spacing"):
 a("sc13_channel_from_name", lambda s, f: fx.names(s).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
 a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
 a("jn8_combine_metadata", lambda s, f: jn.combine_metadata(fx.names(s), s.createDataFrame([("um", 0.374)], "unit string, spacing double")), "SELECT name, 'um' AS unit, 0.374::DOUBLE AS spacing FROM names", "names")
-a("snk6_parse_formats", lambda s, f: s.createDataFrame([(x, ",".join(wr.parse_formats(x))) for x in ("tif", "xml", "all", "hdf5,tiff", "odd")], "given string, formats string"), "SELECT * FROM (VALUES ('tif', 'tiff'), ('xml', 'bdv'), ('all', 'tiff,bdv'), ('hdf5,tiff', 'bdv,tiff'), ('odd', 'tiff')) v(given, formats)")
+FORMATS = ["tif", " XML ", "all", "hdf5,tiff", "odd", ["bdv", "odd"], ["odd"], ["xml", "tif"], []]
+a("snk6_parse_formats", lambda s, f: s.createDataFrame([(str(x), ",".join(wr.parse_formats(x))) for x in FORMATS], "given string, formats string"),
+  """SELECT * FROM (VALUES ('tif', 'tiff'), (' XML ', 'bdv'), ('all', 'bdv,tiff'), ('hdf5,tiff', 'tiff'), ('odd', 'tiff'), ('[''bdv'', ''odd'']', 'bdv'), ('[''odd'']', 'tiff'), ('[''xml'', ''tif'']', 'bdv,tiff'), ('[]', 'tiff')) v(given, formats)""")
 
 
 def bundle(s: SparkSession, f: str, name: str) -> DataFrame:
@@ -164,14 +165,14 @@ def exported(s: SparkSession, f: str) -> DataFrame:
 
 def saved(s: SparkSession, f: str) -> DataFrame:
     path, m = folder(s, "metrics"), fx.metrics(s, f)
-    wr.save_metrics([m.where("experiment = 'F'").select("experiment", "timepoint", "seg_n_cells"), m.where("experiment = 'O'").select("experiment", "timepoint")], path)
+    wr.save_metrics([m.where("experiment = 'F'").select("experiment", "timepoint", "seg_n_cells"), m.where("experiment <> 'F'").select("experiment", "timepoint")], path)
     return s.read.csv(f"{path}/metrics_csv", header=True).select("experiment", F.col("timepoint").cast("int").alias("timepoint"), F.col("seg_n_cells").cast("double").alias("seg_n_cells"))
 
 
 a("snk1_export_bundle", lambda s, f: bundle(s, f, "oriented_tracks.csv").groupBy(F.col("TRACK_ID").cast("long").alias("track_id")).agg(F.count(F.lit(1)).alias("n")), "SELECT track_id, count(*) AS n FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
 a("snk2_export_filtered", lambda s, f: exported(s, f).groupBy(F.col("FRAME").cast("int").alias("frame")).agg(F.count(F.lit(1)).alias("n")), "SELECT frame, count(*) AS n FROM spots GROUP BY 1", "spots")
 a("snk3_write_volume", lambda s, f: written_volumes(s, f).select("t", "z", "y", "x", "value"), "SELECT t, z, y, x, value FROM voxels", "voxels")
-a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics WHERE experiment IN ('F', 'O')", "metrics")
+a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics", "metrics")
 a("snk11_zarr_sink", lambda s, f: written_volumes(s, f).where("label > 0").groupBy("t", "label").agg(F.count(F.lit(1)).alias("n")), "SELECT t, label, count(*) AS n FROM voxels WHERE label > 0 GROUP BY 1, 2", "voxels")
 a("json_round_trip", lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"), "SELECT id, frame FROM spots", "spots")
 a("stream_step_speed", lambda s, f: streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")))

@@ -33,7 +33,7 @@ tops AS (SELECT track_id, max(epoch) AS top, max(run) AS sustained, arg_max(radi
 onsets AS (SELECT e.track_id, any_value(t.sustained)::BIGINT AS sustained, any_value(t.disp) AS disp, min(e.frame) FILTER (WHERE inw AND epoch = top) AS onset FROM epochs e JOIN tops t USING (track_id) GROUP BY e.track_id)"""
 FLAGS = """flags AS (SELECT s.track_id, s.n, s.med, s.inward, o.sustained, o.disp, o.onset,
   coalesce(s.n >= 5 AND s.med <= -0.5 AND s.inward >= 0.3 AND (o.disp IS NULL OR o.disp < -0.5) AND o.sustained >= greatest(3, floor(s.n * 0.15)), false) AS ingressing,
-  0.30 * least(greatest(abs(s.med) / 1.5, 0.0), 1.0) + 0.20 * least(greatest(s.inward, 0.0), 1.0) + 0.25 * least(greatest(o.sustained::DOUBLE / greatest(s.n, 1), 0.0), 1.0) + 0.25 * least(greatest(coalesce(-o.disp, 0.0) / 10, 0.0), 1.0) AS score
+  0.30 * least(greatest((-0.5 - s.med) / 0.5, 0.0), 2.0) / 2 + 0.20 * least(greatest(s.inward, 0.0), 1.0) + 0.25 * least(greatest(o.sustained::DOUBLE / greatest(s.n, 1), 0.0), 1.0) + 0.25 * least(greatest(coalesce(-o.disp, 0.0) / greatest(s.n, 1), 0.0), 1.0) AS score
   FROM vstats s JOIN onsets o USING (track_id))"""
 
 BOOK = Book(spots=fx.SPOTS, tracks=fx.TRACKS, speeds=STEP, limits=LIMITS, radial=RADIAL, smooth=SMOOTH, vstats=VSTATS, runs=RUNS, flags=FLAGS, cloud=fx.CLOUD)
@@ -83,7 +83,22 @@ long AS (SELECT * FROM base WHERE track_id IN (SELECT track_id FROM base GROUP B
 sp AS (SELECT *, CASE WHEN frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS s FROM long WINDOW w AS (PARTITION BY track_id ORDER BY frame, id))"""
 BOOK.views["pipe"] = PIPE
 a("flt13_track_filter_pipeline", on(lambda d: fl.track_filter_pipeline(d, BOX, 50, 600, 10, 250.0)), f"SELECT {COLS} FROM sp WHERE track_id IN (SELECT track_id FROM sp GROUP BY 1 HAVING max(s) <= 250)", "spots", "pipe")
-a("flt14_display_points", on(lambda d: fl.display_points(d, BOX, 100, 300)), f"SELECT {COLS} FROM spots WHERE {IN_BOX} AND frame BETWEEN 100 AND 300", "spots")
+KEY = "((((id % 2147483647) * 48271 + 12345 + {s}) % 2147483647 * 1103515) % 2147483647 + (id // 65536) % 2147483647) * 69621 + 12345 + {s}"
+
+
+def key(seed: int, id: str = "id") -> str:
+    """The order of a seeded sample as SQL."""
+    return f"({KEY.format(s=seed)}) % 2147483647, id".replace("id", id)
+
+
+a("flt13_track_filter_all_steps", lambda s, f: fl.track_filter_pipeline(flagged(s, f), (0.0, 400.0, 0.0, 200.0), 20, 700, 5, 600.0, selection=fx.tracks(s, f).select("track_id"), ingressing=True, most=3).select("track_id", "frame", "id"),
+  f"""WITH chosen AS (SELECT * FROM spots WHERE track_id IN (SELECT track_id FROM tracks) AND track_id IN (SELECT track_id FROM spots WHERE position_x BETWEEN 0.0 AND 400.0 AND position_y BETWEEN 0.0 AND 200.0) AND track_id IN (SELECT track_id FROM flags WHERE ingressing) AND frame BETWEEN 20 AND 700),
+  enough AS (SELECT * FROM chosen WHERE track_id IN (SELECT track_id FROM chosen GROUP BY 1 HAVING count(*) >= 5)),
+  moved AS (SELECT *, CASE WHEN frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS s FROM enough WINDOW w AS (PARTITION BY track_id ORDER BY frame, id)),
+  slow AS (SELECT track_id FROM moved GROUP BY 1 HAVING max(s) <= 600) SELECT track_id, frame, id FROM moved WHERE track_id IN (SELECT track_id FROM slow ORDER BY {key(42, 'track_id')} LIMIT 3)""", "spots", "tracks", "radial", "smooth", "vstats", "runs", "flags")
+a("flt14_display_points", lambda s, f: fl.display_points(flagged(s, f), BOX, None, True).select("track_id", "frame", "id"), f"SELECT track_id, frame, id FROM spots WHERE {IN_BOX} AND track_id IN (SELECT track_id FROM flags WHERE ingressing)", *KIN)
+a("flt14_display_share", lambda s, f: fl.display_points(fx.spots(s, f), BOX, fx.tracks(s, f).select("track_id"), False, 40.0, 50).select("track_id", "frame", "id"),
+  f"WITH shown AS (SELECT * FROM spots WHERE {IN_BOX} AND track_id IN (SELECT track_id FROM tracks)) SELECT track_id, frame, id FROM (SELECT *, row_number() OVER (ORDER BY {key(0)}) AS rn, count(*) OVER () AS n FROM shown) WHERE rn <= greatest(50, floor(n * 40.0 / 100))", "spots", "tracks")
 a("flt15_kept_dropped_ids", on(lambda d: fl.kept_dropped_ids(d, LENGTH, SPEED)), f"SELECT track_id, length >= {LENGTH} AND coalesce(max_speed, 0) <= {SPEED} AS kept FROM limits", "spots", "speeds", "limits")
 FLAGSQL = f"""SELECT s.track_id, s.frame, s.id, coalesce(s.track_id IS NOT NULL AND (l.length < {LENGTH} OR NOT coalesce(l.max_speed <= {SPEED}, false)), false) AS filtered_out,
   CASE WHEN s.track_id IS NULL THEN '' WHEN l.length < {LENGTH} AND NOT coalesce(l.max_speed <= {SPEED}, false) THEN 'min_length+max_speed' WHEN NOT coalesce(l.max_speed <= {SPEED}, false) THEN 'max_speed'
@@ -94,21 +109,20 @@ a("flt17_column_reorder", on(lambda d: fl.column_reorder(d, ["id", "frame"])), "
 a("flt22_selected_tracks", lambda s, f: fl.selected_tracks(fx.spots(s, f), fx.tracks(s, f).where("track_id < 60")).select("track_id", "frame", "id", "drawable"),
   "SELECT track_id, frame, id, count(*) OVER (PARTITION BY track_id) >= 2 AS drawable FROM spots WHERE track_id % 3 = 0 AND track_id < 60", "spots")
 a("srt1_sort_track_frame", on(lambda d: fl.sort_track_frame(fl.tracked_only(d))), f"SELECT {COLS} FROM spots WHERE track_id IS NOT NULL ORDER BY track_id, frame, id", "spots")
-a("srt2_lexsort_whole", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id")))
-a("srt2_lexsort", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id").limit(100)), f"SELECT {COLS} FROM spots ORDER BY frame, position_x DESC, id LIMIT 100", "spots")
+a("srt2_lexsort", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id")), f"SELECT {COLS} FROM spots ORDER BY frame, position_x DESC, id", "spots")
 a("srt4_latest_points", on(fl.latest_points), f"SELECT {COLS} FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame DESC, id DESC) AS rn FROM spots WHERE track_id IS NOT NULL) WHERE rn = 1", "spots")
 a("srt6_linspace_slices", lambda s, f: s.range(1).select(F.posexplode(fl.linspace_slices(458, 5))).select(F.col("pos").alias("k"), F.col("col").alias("z")), "SELECT k::INTEGER AS k, floor(k * 457.0 / 4)::INTEGER AS z FROM range(5) r(k)")
-a("smp1_subsample_tracks", on(lambda d: fl.subsample_tracks(d, 20)))
-a("smp2_subsample_points", on(lambda d: fl.subsample_points(d, 5.0, 100)))
-a("smp3_sample_spots", on(lambda d: fl.subsample_points(d, 0.0, 500, 42)))
-a("smp6_fit_subsample", lambda s, f: fl.subsample_points(fx.cloud(s, f), 0.0, 300, 42))
-a("smp4_sample_without_repeat", lambda s, f: fl.sample_without_repeat(fx.spots(s, f), fx.tracks(s, f).select("track_id").distinct(), 25))
+a("smp1_subsample_tracks", on(lambda d: fl.subsample_tracks(d, 20)), f"SELECT {COLS} FROM spots WHERE track_id IN (SELECT track_id FROM (SELECT DISTINCT track_id FROM spots WHERE track_id IS NOT NULL) ORDER BY {key(42, 'track_id')} LIMIT 20)", "spots")
+a("smp2_subsample_points", on(lambda d: fl.subsample_points(d, 5.0, 100)), f"SELECT {COLS} FROM (SELECT *, row_number() OVER (ORDER BY {key(0)}) AS rn, count(*) OVER () AS n FROM spots) WHERE rn <= greatest(100, floor(n * 5 / 100))", "spots")
+a("smp3_sample_spots", on(lambda d: fl.subsample_points(d, 0.0, 500, 42)), f"SELECT {COLS} FROM spots ORDER BY {key(42)} LIMIT 500", "spots")
+a("smp6_fit_subsample", lambda s, f: fl.subsample_points(fx.cloud(s, f), 0.0, 300, 42), f"SELECT id, frame, position_x, position_y, position_z FROM cloud ORDER BY {key(42)} LIMIT 300", "cloud")
+a("smp4_sample_without_repeat", lambda s, f: fl.sample_without_repeat(fx.spots(s, f), fx.tracks(s, f).select("track_id").distinct(), 25), f"SELECT track_id FROM (SELECT DISTINCT track_id FROM spots WHERE track_id % 3 <> 0) ORDER BY {key(0, 'track_id')} LIMIT 25", "spots")
 a("set2_id_difference", lambda s, f: fl.id_difference(fx.spots(s, f).select("track_id").distinct(), fx.tracks(s, f).select("track_id").distinct()).where("track_id IS NOT NULL"), "SELECT DISTINCT track_id FROM spots WHERE track_id % 3 <> 0", "spots")
 a("set3_toggle_selection", lambda s, f: fl.toggle_selection(*(fx.spots(s, f).where(f"track_id % {k} = 0").select("track_id").distinct() for k in (2, 3))),
   "SELECT DISTINCT track_id FROM spots WHERE (track_id % 2 = 0) <> (track_id % 3 = 0)", "spots")
 a("set4_id_intersection", lambda s, f: fl.id_intersection(*(fx.spots(s, f).where(f"track_id % {k} = 0").select("track_id") for k in (2, 3))), "SELECT DISTINCT track_id FROM spots WHERE track_id % 6 = 0", "spots")
-a("set5_union_of_columns", lambda s, f: fl.union_of_columns([fx.spots(s, f).where("frame < 20").select("id", "frame"), fx.spots(s, f).where("frame < 10").select("id", "track_id")]),
-  "SELECT id, frame, NULL::BIGINT AS track_id FROM spots WHERE frame < 20 UNION ALL SELECT id, NULL, track_id FROM spots WHERE frame < 10", "spots")
+a("set5_union_of_columns", lambda s, f: fl.union_of_columns([fx.spots(s, f).select("id", "frame"), fx.spots(s, f).select("id", "track_id")]),
+  "SELECT id, frame, NULL::BIGINT AS track_id FROM spots UNION ALL SELECT id, NULL, track_id FROM spots", "spots")
 
 # Kinematics.
 a("win1_step_speed", on(lambda d: rounded(kin.step_speed(d).select("track_id", "frame", "id", "step_speed"))), f"SELECT track_id, frame, id, {r('step_speed')} FROM speeds", "spots", "speeds")
@@ -136,8 +150,8 @@ def medians(spark: SparkSession, sf: str) -> DataFrame:
     return motion(spark, sf).where("track_id IS NOT NULL").groupBy("track_id").agg(F.median("radial_velocity_smooth").alias("v"))
 
 
-a("win12_otsu_threshold", lambda s, f: rounded(ing.otsu_threshold(medians(s, f))), f"SELECT {r('least(CASE WHEN n < 20 OR (SELECT center FROM best) IS NULL THEN coalesce(mid, -0.5) ELSE (SELECT center FROM best) END, -0.005) AS threshold')} FROM ends", "spots", "radial", "smooth", "vstats", "otsu")
-a("fit5_otsu_few_tracks", lambda s, f: rounded(ing.otsu_threshold(medians(s, f), fewest=10**9)), f"SELECT {r('least(mid, -0.005) AS threshold')} FROM ends", "spots", "radial", "smooth", "vstats", "otsu")
+a("win12_otsu_threshold", lambda s, f: rounded(ing.otsu_threshold(medians(s, f))), f"SELECT {r('CASE WHEN n < 20 THEN coalesce(mid, -0.5) ELSE least(coalesce((SELECT center FROM best), lo - 0.4975), -0.005) END AS threshold')} FROM ends", "spots", "radial", "smooth", "vstats", "otsu")
+a("fit5_otsu_few_tracks", lambda s, f: rounded(ing.otsu_threshold(medians(s, f).withColumn("v", F.abs("v")), fewest=10**9)), f"SELECT {r('median(abs(med)) AS threshold')} FROM vstats", "spots", "radial", "smooth", "vstats")
 LAG = """lagged AS (SELECT *, row_number() OVER w AS i, CASE WHEN frame - lag(frame, 4) OVER w = 4 THEN sqrt(pow((position_x - lag(position_x, 4) OVER w) * 0.5, 2) + pow((position_y - lag(position_y, 4) OVER w) * 0.5, 2) + pow((position_z - lag(position_z, 4) OVER w) * 0.5, 2)) / (4 * 30.0 / 60) END AS lag_speed
   FROM spots WHERE track_id IS NOT NULL WINDOW w AS (PARTITION BY track_id ORDER BY frame, id))"""
 BOOK.views["lagged"] = LAG
@@ -146,7 +160,7 @@ STRAIGHT = """moves AS (SELECT *, sqrt(pow(position_x - lag(position_x) OVER w,
 straight AS (SELECT track_id, CASE WHEN sum(m) > 0 THEN sqrt(pow(arg_max(position_x, frame) - arg_min(position_x, frame), 2) + pow(arg_max(position_y, frame) - arg_min(position_y, frame), 2) + pow(arg_max(position_z, frame) - arg_min(position_z, frame), 2)) / sum(m) END AS straightness FROM moves GROUP BY 1)"""
 BOOK.views["straight"] = STRAIGHT
 a("win15_straightness", on(lambda d: rounded(kin.straightness(d))), f"SELECT track_id, {r('straightness')} FROM straight", "spots", "straight")
-SMOOTHED = """arr AS (SELECT track_id, count(*) AS n_points, (max(frame) - min(frame)) * 0.5::DOUBLE AS minutes, coalesce(list(lag_speed ORDER BY i) FILTER (WHERE i > 4), []) AS a FROM lagged GROUP BY 1),
+SMOOTHED = """arr AS (SELECT track_id, count(*) AS n_points, count(*) * 0.5::DOUBLE AS minutes, coalesce(list(lag_speed ORDER BY i) FILTER (WHERE i > 4), []) AS a FROM lagged GROUP BY 1),
 outs AS (SELECT track_id, unnest(range(0, greatest(len(a), 5))) AS i, a, len(a) AS n, (least(len(a), 5) - 1) // 2 AS s FROM arr WHERE len(a) > 0),
 vals AS (SELECT track_id, i, list_avg(list_filter(list_slice(a, greatest(i + s - 4, 0) + 1, least(i + s, n - 1) + 1), lambda x: x IS NOT NULL)) AS v FROM outs)"""
 BOOK.views["smoothed"] = SMOOTHED
@@ -160,11 +174,10 @@ a("set1_union_extension", on(lambda d: kin.last_point_extension(fl.tracked_only(
 a("win18_first_point", on(kin.first_point), "SELECT track_id, frame, position_x, position_y, position_z FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame, id) AS rn FROM spots WHERE track_id IS NOT NULL) WHERE rn = 1", "spots")
 
 # Joins.
-a("jn1_assign_by_id_whole", lambda s, f: jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f)))
-a("jn1_assign_stats_whole", lambda s, f: jn.assign_stats(jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f))))
-a("jn1_assign_by_id", lambda s, f: jn.assign_by_id(fx.spots(s, f), fx.tracks(s, f)), "SELECT s.frame, s.id, s.position_x, s.position_y, s.position_z, t.track_id FROM spots s LEFT JOIN tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "tracks")
-a("jn1_assign_stats", lambda s, f: jn.assign_stats(jn.assign_by_id(fx.spots(s, f), fx.tracks(s, f))), "SELECT count(*) AS n_spots, count(t.track_id) AS n_assigned, count(DISTINCT t.track_id) AS n_tracks FROM spots s LEFT JOIN tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "tracks")
-NEAR = """cent AS (SELECT track_id, frame, avg(position_x) + 1.5 AS x, avg(position_y) - 1.0 AS y, avg(position_z) + 0.5 AS z FROM tracks GROUP BY 1, 2),
+BOOK.views["all_tracks"] = "all_tracks AS (SELECT * FROM spots WHERE track_id IS NOT NULL)"
+a("jn1_assign_by_id", lambda s, f: jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f)), "SELECT s.frame, s.id, s.position_x, s.position_y, s.position_z, t.track_id FROM spots s LEFT JOIN all_tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "all_tracks")
+a("jn1_assign_stats", lambda s, f: jn.assign_stats(jn.assign_by_id(fx.spots(s, f), fx.all_tracks(s, f))), "SELECT count(*) AS n_spots, count(t.track_id) AS n_assigned, count(DISTINCT t.track_id) AS n_tracks FROM spots s LEFT JOIN all_tracks t ON s.frame = t.frame AND s.id = t.id", "spots", "all_tracks")
+NEAR = """cent AS (SELECT track_id, frame, avg(position_x) + 1.5 AS x, avg(position_y) - 1.0 AS y, avg(position_z) + 0.5 AS z FROM all_tracks GROUP BY 1, 2),
 pairs AS (SELECT c.track_id, c.frame, s.id, sqrt((s.position_x - c.x) * (s.position_x - c.x) + (s.position_y - c.y) * (s.position_y - c.y) + (s.position_z - c.z) * (s.position_z - c.z)) AS d FROM cent c JOIN spots s USING (frame)),
 near AS (SELECT *, row_number() OVER (PARTITION BY track_id, frame ORDER BY d, id) AS rn FROM pairs WHERE d <= 60.0),
 won AS (SELECT frame, id, min(track_id) AS track_id FROM near WHERE rn = 1 GROUP BY 1, 2)"""
@@ -176,8 +189,7 @@ def shifted(tracks: DataFrame) -> DataFrame:
     return tracks.withColumns({"position_x": F.col("position_x") + 1.5, "position_y": F.col("position_y") - 1.0, "position_z": F.col("position_z") + 0.5})
 
 
-a("jn2_assign_nearest_whole", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.all_tracks(s, f)), 60.0).select("frame", "id", "track_id"))
-a("jn2_assign_nearest", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.tracks(s, f)), 60.0).select("frame", "id", "track_id"), "SELECT s.frame, s.id, w.track_id FROM spots s LEFT JOIN won w ON s.frame = w.frame AND s.id = w.id", "spots", "tracks", "near")
+a("jn2_assign_nearest", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.all_tracks(s, f)), 60.0).select("frame", "id", "track_id"), "SELECT s.frame, s.id, w.track_id FROM spots s LEFT JOIN won w ON s.frame = w.frame AND s.id = w.id", "spots", "all_tracks", "near")
 NN = """nn AS (SELECT a.id, min(sqrt((a.position_x - b.position_x) * (a.position_x - b.position_x) + (a.position_y - b.position_y) * (a.position_y - b.position_y) + (a.position_z - b.position_z) * (a.position_z - b.position_z))) AS d FROM cloud a JOIN cloud b ON a.id <> b.id GROUP BY 1)"""
 BOOK.views["nn"] = NN
 a("jn3_nn_tolerance", lambda s, f: rounded(jn.nn_tolerance(fx.cloud(s, f))), f"SELECT {r('greatest(1.5 * median(d), 1e-6) AS tolerance')} FROM nn", "cloud", "nn")

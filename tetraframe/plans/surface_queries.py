@@ -51,9 +51,15 @@ def turned(s, f):
     return rounded(geo.rotated(d, _R, geo.mean_position(d)), 5)
 
 
-a("sc4_orient", turned, "SELECT id, frame, " + ", ".join(f"round({' + '.join(f'({float(_R[i, k])!r}) * (position_{c} - m{c})' for k, c in enumerate('xyz'))}, 5) + 0.0 AS position_{n}" for i, n in enumerate("xyz")) + " FROM cloud, (SELECT avg(position_x) AS mx, avg(position_y) AS my, avg(position_z) AS mz FROM cloud)", "cloud")
-a("sc3_rotation_matrix", lambda s, f: s.createDataFrame([(i, j, float(geo.rotation_matrix(POLE, (0, -1, 0))[i, j])) for i in range(3) for j in range(3)], "i int, j int, value double"))
-a("sc5_orient_affine_zyx", lambda s, f: s.createDataFrame([(i, j, float(geo.oriented_affine(_R)[i, j])) for i in range(4) for j in range(4)], "i int, j int, value double"))
+a("sc4_orient", turned, "SELECT id, frame, " + r(*(f"{' + '.join(f'({float(_R[i, k])!r}) * (position_{c} - m{c})' for k, c in enumerate('xyz'))} AS position_{n}" for i, n in enumerate("xyz")), digits=5) + " FROM cloud, (SELECT avg(position_x) AS mx, avg(position_y) AS my, avg(position_z) AS mz FROM cloud)", "cloud")
+# Rodrigues' formula for the turn of u to v: R = cos I + [w] + w w' / (1 + cos), w = u x v.
+ROTATION = f"""WITH raw AS (SELECT {POLE[0]}::DOUBLE AS a, {POLE[1]}::DOUBLE AS b, {POLE[2]}::DOUBLE AS c), u AS (SELECT a / n AS a, b / n AS b, c / n AS c FROM raw, LATERAL (SELECT sqrt(a * a + b * b + c * c) AS n)),
+  w AS (SELECT -b AS k, [c, 0.0, -a] AS w FROM u), cell AS (SELECT i, j, k, w, CASE WHEN i = j THEN 0.0 WHEN (j - i + 3) % 3 = 1 THEN -w[(i + 2) % 3 + 1] ELSE w[(i + 1) % 3 + 1] END AS skew FROM w, range(3) x(i), range(3) y(j))
+  SELECT i::INTEGER AS i, j::INTEGER AS j, {r('k * (i = j)::INTEGER + skew + w[i + 1] * w[j + 1] / (1 + k) AS value')} FROM cell"""
+# The rotation of XYZ with both axes reversed, for ZYX, in a 4 x 4 frame.
+AFFINE = f"WITH m AS (SELECT * FROM (VALUES {', '.join(f'({i}, {j}, {float(_R[i, j])!r}::DOUBLE)' for i in range(3) for j in range(3))}) v(i, j, x)) SELECT i::INTEGER AS i, j::INTEGER AS j, {r('CASE WHEN i < 3 AND j < 3 THEN (SELECT x FROM m WHERE m.i = 2 - p.i AND m.j = 2 - q.j) WHEN i = j THEN 1.0 ELSE 0.0 END AS value')} FROM range(4) p(i), range(4) q(j)"
+a("sc3_rotation_matrix", lambda s, f: s.createDataFrame([(i, j, float(geo.rotation_matrix(POLE, (0, -1, 0))[i, j])) for i in range(3) for j in range(3)], "i int, j int, value double").transform(rounded), ROTATION)
+a("sc5_orient_affine_zyx", lambda s, f: s.createDataFrame([(i, j, float(geo.oriented_affine(_R)[i, j])) for i in range(4) for j in range(4)], "i int, j int, value double").transform(rounded), AFFINE)
 SURF = """box AS (SELECT min(u) AS lou, max(u) AS hiu, min(v) AS lov, max(v) AS hiv FROM uvw),
 cells AS (SELECT u, v, w, least(floor((u - lou) / ((hiu - lou) / 6)), 5)::INTEGER AS i, least(floor((v - lov) / ((hiv - lov) / 6)), 5)::INTEGER AS j FROM uvw, box),
 cuts AS (SELECT i, j, quantile_cont(w, 0.75) AS up, quantile_cont(w, 0.25) AS down FROM cells GROUP BY ALL HAVING count(*) >= 3),
@@ -61,7 +67,7 @@ surf AS (SELECT 'upper' AS side, i, j, avg(u) AS u, avg(v) AS v, avg(w) AS w FRO
 BOOK.views["surface"] = "uvw AS (SELECT position_x AS u, position_y AS v, position_z AS w FROM cloud), " + SURF
 a("fit1_extract_surface", lambda s, f: rounded(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), f"SELECT side, i, j, {r('u', 'v', 'w')} FROM surf", "cloud", "surface")
 a("fit2_cap_guess", lambda s, f: rounded(geo.cap_guess(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), 4),
-  f"SELECT side, {r('r AS radius', chr(39).join(['CASE WHEN side = ', 'upper', ' THEN hi - r ELSE lo + r END AS center_w']), 'h AS cap_height', 'a AS cap_base_radius', digits=4)} FROM (SELECT *, (a * a + h * h) / (2 * h) AS r FROM (SELECT side, max(w) AS hi, min(w) AS lo, greatest(max(w) - min(w), 1.0) AS h, (max(u) - min(u) + max(v) - min(v)) / 4 AS a FROM surf GROUP BY side))", "cloud", "surface")
+  f"SELECT side, {r('r AS radius', 'mu AS center_u', 'mv AS center_v', chr(39).join(['CASE WHEN side = ', 'upper', ' THEN hi - r ELSE lo + r END AS center_w']), 'h AS cap_height', 'a AS cap_base_radius', digits=4)} FROM (SELECT *, (a * a + h * h) / (2 * h) AS r FROM (SELECT side, max(w) AS hi, min(w) AS lo, greatest(max(w) - min(w), 1.0) AS h, max(sqrt(pow(u - mu, 2) + pow(v - mv, 2))) AS a, any_value(mu) AS mu, any_value(mv) AS mv FROM surf JOIN (SELECT side, avg(u) AS mu, avg(v) AS mv FROM surf GROUP BY side) USING (side) GROUP BY side))", "cloud", "surface")
 
 
 def ball(s, f):
@@ -70,23 +76,38 @@ def ball(s, f):
     return d.withColumns({c: m + 50.0 * F.col(c) / F.col("_r") for c, m in zip(geo.XYZ, (10.0, 20.0, 30.0))}).drop("_r")
 
 
-a("fit4_fit_sphere", lambda s, f: geo.fit_sphere(ball(s, f), 0.9125))
-a("fit3_sphere_nls", lambda s, f: geo.fit_sphere(ball(s, f), 0.95).select("center_x", "center_y", "center_z", "radius", "rmse"))
+def sphere_points(s, f):
+    """Points on a sphere of radius 40 about (3, -7, 11), in the directions of the cloud: the least-squares sphere is known."""
+    d = fx.cloud(s, f).withColumn("_r", sc.norm(*(F.col(c) for c in geo.XYZ))).where("_r > 0")
+    return d.select(*((m + 40.0 * F.col(c) / F.col("_r")).alias(c) for c, m in zip(geo.XYZ, (3.0, -7.0, 11.0))))
+
+
+a("fit4_fit_sphere", lambda s, f: geo.fit_sphere(ball(s, f), 0.9125).select(F.round("center_x", 0).alias("center_x"), F.round("center_y", 0).alias("center_y"), (F.abs(F.col("center_z") - 30) < 15).alias("center_near"), (F.abs(F.col("radius") - 50) < 15).alias("radius_near"), (F.col("rmse") < 5).alias("close")),
+  "SELECT 10.0::DOUBLE AS center_x, 20.0::DOUBLE AS center_y, true AS center_near, true AS radius_near, true AS close")
+a("fit3_sphere_nls", lambda s, f: rounded(geo.nls_sphere(sphere_points(s, f)), 4), "SELECT 3.0::DOUBLE AS center_x, -7.0::DOUBLE AS center_y, 11.0::DOUBLE AS center_z, 40.0::DOUBLE AS radius, 0.0::DOUBLE AS rmse")
 a("agg27_sphere_coverage", lambda s, f: rounded(geo.sphere_coverage(fx.cloud(s, f), CENTER, RADIUS)),
-  f"SELECT {r('CASE WHEN count(*) > 10 THEN count(DISTINCT (floor(theta_deg / 15), floor((phi_deg + 180.0) / 15))) / 288.0::DOUBLE ELSE 0.0 END AS coverage')} FROM polar WHERE radial_dist BETWEEN {0.5 * RADIUS} AND {1.5 * RADIUS}", "cloud", "polar")
+  f"SELECT {r('CASE WHEN count(*) > 10 THEN count(DISTINCT (floor(theta_deg / 15), floor((phi_deg + 180.0) / 15))) / 288.0::DOUBLE ELSE 0.0 END AS coverage')} FROM polar WHERE radial_dist > {0.5 * RADIUS} AND radial_dist < {1.5 * RADIUS}", "cloud", "polar")
 a("agg28_manual_sphere", lambda s, f: rounded(geo.manual_sphere(fx.cloud(s, f), CENTER)), f"SELECT {r('any_value(m) AS radius', 'sqrt(avg(pow(radial_dist - m, 2))) AS rmse')} FROM polar, (SELECT median(radial_dist) AS m FROM polar)", "cloud", "polar")
-for _mode, _lo, _hi in (("minmax", "lo", "hi"), ("symmetric", "-greatest(abs(q02), abs(q98))", "greatest(abs(q02), abs(q98))"), ("cap", "0.0", "q98")):
+COLOR = {
+    "minmax": "(position_x - lo) / greatest(hi - lo, 1e-10)", "symmetric": "(least(greatest(position_x / greatest(abs(q02), abs(q98), 1e-6), -1.0), 1.0) + 1) / 2",
+    "cap": "least(greatest(position_x / greatest(q98, 1e-6), 0.0), 1.0)", "inward": "least(greatest(greatest(-position_x, 0.0) / greatest(coalesce(n95, 1.0), 1e-6), 0.0), 1.0)",
+}
+for _mode, _sql in COLOR.items():
     a(f"sc10_color_value_{_mode}", lambda s, f, m=_mode: rounded(geo.color_values(fx.cloud(s, f), "position_x", m)),
-      f"SELECT id, {r(f'CASE WHEN {_hi} > {_lo} THEN least(greatest((position_x - ({_lo})) / ({_hi} - ({_lo})), 0.0), 1.0) ELSE 0.5 END AS value')} FROM cloud, (SELECT min(position_x) AS lo, max(position_x) AS hi, quantile_cont(position_x, 0.02) AS q02, quantile_cont(position_x, 0.98) AS q98 FROM cloud)", "cloud")
+      f"SELECT id, {r(f'{_sql} AS value')} FROM cloud, (SELECT min(position_x) AS lo, max(position_x) AS hi, quantile_cont(position_x, 0.02) AS q02, quantile_cont(position_x, 0.98) AS q98, quantile_cont(-position_x, 0.95) FILTER (WHERE position_x < 0) AS n95 FROM cloud)", "cloud")
+a("sc10_ingression_rgba", lambda s, f: rounded(geo.color_values(fx.cloud(s, f), "position_x", "inward").select("id", *geo.ingression_rgba(F.col("id") % 2 == 0, F.col("value")))),
+  f"SELECT id, {', '.join(r(f'CASE WHEN id % 2 = 0 THEN {on} ELSE {off} END AS {n}') for n, on, off in (('r', '0.85 + 0.15 * v', 0.45), ('g', '0.35 * (1 - pow(v, 0.8))', 0.45), ('b', '0.15 + 0.70 * pow(v, 0.6)', 0.45), ('a', '0.65 + 0.35 * v', 0.06)))} FROM (SELECT id, {COLOR['inward']} AS v FROM cloud, (SELECT quantile_cont(-position_x, 0.95) FILTER (WHERE position_x < 0) AS n95 FROM cloud))", "cloud")
+a("sc10_flag_rgba", lambda s, f: rounded(fx.spots(s, f).select("id", *geo.flag_rgba(F.col("track_id").isNotNull(), "tracked"))), "SELECT id, CASE WHEN k THEN 0.2 ELSE 0.55 END::DOUBLE AS r, CASE WHEN k THEN 0.85 ELSE 0.55 END::DOUBLE AS g, CASE WHEN k THEN 1.0 ELSE 0.55 END::DOUBLE AS b, CASE WHEN k THEN 1.0 ELSE 0.18 END::DOUBLE AS a FROM (SELECT id, track_id IS NOT NULL AS k FROM spots)", "spots")
 a("sc6_saturating_cast", lambda s, f: fx.spots(s, f).select("id", sc.saturating_uint16(F.col("position_x") * 300 - 1000).alias("v")), "SELECT id, trunc(least(greatest(position_x * 300 - 1000, 0), 65535))::INTEGER AS v FROM spots", "spots")
 a("sc7_minmax_stretch", lambda s, f: rounded(fx.spots(s, f).crossJoin(F.broadcast(fx.spots(s, f).agg(F.min("position_x").alias("lo"), F.max("position_x").alias("hi")))).select("id", sc.minmax_stretch(F.col("position_x"), F.col("lo"), F.col("hi"), 0.0, 255.0).alias("v"))),
   f"SELECT id, {r('(position_x - lo) * 255.0 / (hi - lo) AS v')} FROM spots, (SELECT min(position_x) AS lo, max(position_x) AS hi FROM spots)", "spots")
 a("sc8_percentile_window", lambda s, f: rounded(fx.spots(s, f).crossJoin(F.broadcast(fx.spots(s, f).agg(F.percentile("position_x", F.lit([0.02, 0.98])).alias("q")))).select("id", sc.percentile_window(F.col("position_x"), F.col("q")[0], F.col("q")[1]).alias("v"))),
   f"SELECT id, {r('greatest(least(position_x, h) - l, 0.0) AS v')} FROM spots, (SELECT quantile_cont(position_x, 0.02) AS l, quantile_cont(position_x, 0.98) AS h FROM spots)", "spots")
 a("sc9_hash_color", lambda s, f: fx.spots(s, f).select("id", sc.hash_color(F.col("id") * 5_000_001).alias("color")), "SELECT id, ((id * 5000001)::HUGEINT * 2654435761 % 251 + 5)::INTEGER AS color FROM spots", "spots")
-a("sc11_lut_scale", lambda s, f: fx.spots(s, f).select("id", sc.lut_value(F.when(F.col("id") % 7 > 0, F.col("position_x")), F.lit(50.0), F.lit(400.0)).alias("lut"), sc.lut_flag(F.col("id") % 3 == 0).alias("flag")),
-  "SELECT id, CASE WHEN id % 7 = 0 THEN 20 ELSE round_even(5 + 250 * least(greatest((position_x - 50) / 350, 0.0), 1.0), 0) END::INTEGER AS lut, CASE WHEN id % 3 = 0 THEN 240 ELSE 20 END AS flag FROM spots", "spots")
-a("sc12_slider_bounds", lambda s, f: rounded(fx.spots(s, f).select("id", sc.slider_top(F.col("position_x") / 4).alias("top"))), f"SELECT id, {r('CASE WHEN position_x / 4 <= 5 THEN ceil(position_x / 4 * 10) / 10 WHEN position_x / 4 <= 50 THEN ceil(position_x / 4) ELSE ceil(position_x / 4 / 10) * 10 END AS top')} FROM spots", "spots")
+a("sc11_lut_scale", lambda s, f: fx.spots(s, f).select("id", sc.lut_value(F.when(F.col("id") % 7 > 0, F.floor(F.col("position_x") * 2) / 2), F.lit(0.0), F.lit(450.0)).alias("lut"), sc.lut_flag(F.col("id") % 3 == 0).alias("flag"), sc.lut_diverging(F.floor(F.col("position_x") * 2) / 2 - 200, F.lit(150.0)).alias("diverging")),
+  "SELECT id, CASE WHEN id % 7 = 0 THEN 20 ELSE trunc(v / 450 * 250 + 5) END::INTEGER AS lut, CASE WHEN id % 3 = 0 THEN 240 ELSE 20 END AS flag, trunc((least(greatest((v - 200) / 150, -1.0), 1.0) + 1) / 2 * 250 + 5)::INTEGER AS diverging FROM (SELECT id, floor(position_x * 2) / 2 AS v FROM spots)", "spots")
+a("sc12_slider_bounds", lambda s, f: rounded(fx.spots(s, f).select("id", *(c.alias(n) for n, c in zip(("top", "step"), sc.slider_bounds(F.col("position_x") / 4))))),
+  f"SELECT id, {r('CASE WHEN v <= 5 THEN ceil(v * 10) / 10 WHEN v <= 50 THEN ceil(v) ELSE ceil(v / 10) * 10 END AS top', 'CASE WHEN v <= 5 THEN 0.1 WHEN v <= 50 THEN 0.5 ELSE 1.0 END AS step')} FROM (SELECT id, greatest(position_x / 4, 1.0) * 1.1::DOUBLE AS v FROM spots)", "spots")
 a("sc14_format_tp", lambda s, f: fx.spots(s, f).select("frame").distinct().select("frame", sc.timepoint_name(F.col("frame")).alias("name")), "SELECT DISTINCT frame, printf('t%04d', frame) AS name FROM spots", "spots")
 a("sc15_sanitize_path", lambda s, f: s.createDataFrame([("a\\b/c//",), ("/x/y",), ("z/",)], "path string").select("path", sc.sanitize_path(F.col("path")).alias("clean")), "SELECT path, regexp_replace(replace(path, chr(92), ''), '/+$', '') AS clean FROM (VALUES ('a' || chr(92) || 'b/c//'), ('/x/y'), ('z/')) v(path)")
 UNITS = [(748.0, "nm"), (0.002, "mm"), (3.0, "um"), (400000.0, "pm")]
@@ -107,8 +128,8 @@ def section(s, f):
 
 
 a("sc20_sphere_section", section, f"SELECT d::DOUBLE AS d, k::INTEGER AS k, {r(f'sqrt(100 - d * d) * cos(k * {2 * math.pi / 199!r}) AS x', f'sqrt(100 - d * d) * sin(k * {2 * math.pi / 199!r}) AS y')} FROM (VALUES (0.0), (6.0), (10.0)) v(d), range(200) r(k) WHERE abs(d) < 10")
-a("sc21_cap_mesh", lambda s, f: rounded(geo.cap_mesh(polar(s, f).select("theta_deg"), CENTER, RADIUS, 5, 8)),
-  f"SELECT i::INTEGER AS i, j::INTEGER AS j, {r(f'{CENTER[0]} + {RADIUS} * sin(top * i / 4.0) * cos(j * {2 * math.pi / 8!r}) AS x', f'({CENTER[1]}) - {RADIUS} * cos(top * i / 4.0) AS y', f'{CENTER[2]} + {RADIUS} * sin(top * i / 4.0) * sin(j * {2 * math.pi / 8!r}) AS z')} FROM (SELECT radians(quantile_cont(theta_deg, 0.95)) AS top FROM polar), range(5) a(i), range(8) b(j)", "cloud", "polar")
-a("sc21_cap_triangles", lambda s, f: geo.cap_triangles(s, 3, 4), "SELECT i * 4 + j AS a, (i + 1) * 4 + j AS b, i * 4 + (j + 1) % 4 AS c FROM range(2) x(i), range(4) y(j) UNION ALL SELECT i * 4 + (j + 1) % 4, (i + 1) * 4 + j, (i + 1) * 4 + (j + 1) % 4 FROM range(2) x(i), range(4) y(j)")
+a("sc21_cap_mesh", lambda s, f: rounded(geo.cap_mesh(polar(s, f), CENTER, RADIUS, 5, 8)),
+  f"SELECT i, j, {r(f'{CENTER[0]} + {RADIUS} * sin(a) * cos(b) AS x', f'({CENTER[1]}) - {RADIUS} * cos(a) AS y', f'{CENTER[2]} + {RADIUS} * sin(a) * sin(b) AS z')} FROM (SELECT i::INTEGER AS i, j::INTEGER AS j, radians(t0 + (t1 - t0) * i / 4.0) AS a, radians(p0 + (p1 - p0) * j / 7.0) AS b FROM (SELECT greatest(quantile_cont(theta_deg, 0.02) - 10, 0.0) AS t0, least(quantile_cont(theta_deg, 0.98) + 10, 180.0) AS t1, quantile_cont(phi_deg, 0.02) - 10 AS p0, quantile_cont(phi_deg, 0.98) + 10 AS p1 FROM polar), range(5) u(i), range(8) v(j))", "cloud", "polar")
+a("sc21_cap_triangles", lambda s, f: geo.cap_triangles(s, 3, 4), "SELECT i * 4 + j AS a, i * 4 + j + 1 AS b, (i + 1) * 4 + j + 1 AS c FROM range(2) x(i), range(3) y(j) UNION ALL SELECT i * 4 + j, (i + 1) * 4 + j + 1, (i + 1) * 4 + j FROM range(2) x(i), range(3) y(j)")
 a("flt18_sane_voxel", lambda s, f: rounded(fx.spots(s, f).select("id", sc.sane_voxel(F.col("position_x") / 3, 0.374).alias("v"))), f"SELECT id, {r('CASE WHEN position_x / 3 > 0.05 AND position_x / 3 < 100 THEN position_x / 3 ELSE 0.374 END AS v')} FROM spots", "spots")
 a("jn7_label_lut_colors", lambda s, f: kin.first_point(fx.spots(s, f)).select("track_id", sc.hash_color(F.col("track_id")).alias("color")), "SELECT DISTINCT track_id, (track_id::HUGEINT * 2654435761 % 251 + 5)::INTEGER AS color FROM spots WHERE track_id IS NOT NULL", "spots")

@@ -84,8 +84,8 @@ def load_spots(spark: SparkSession, path: str) -> DataFrame:
     return df.dropna(subset=list(CORE)).withColumn("frame", F.col("frame").cast("int"))
 
 
-#: Number patterns of file names, in order.
-TIMEPOINT_PATTERNS = (r"--T(\d{4,5})\.", r"(?i)^t(\d{3,5})[_.]", r"(?i)tp(\d+)", r"_T(\d+)", r"(?i)frame(\d+)", r"_(\d+)\.[^.]+$")
+#: Number patterns of file names, in order; fixed values.
+TIMEPOINT_PATTERNS = (r"(?i)t(\d+)_Channel", r"(?i)(?:^|[^a-z])t(\d+)", r"(?i)tp(\d+)", r"(?i)--[A-Za-z]*T(\d+)", r"[_\-\s](\d+)\.(?:[tT][iI][fF]{1,2}|[hH]5|[hH][dD][fF]5)$", r"(\d+)")
 
 
 def extract_timepoints(names: DataFrame) -> DataFrame:

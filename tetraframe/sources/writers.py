@@ -17,6 +17,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.toDF(*(c.upper() for c in df.columns)).write.mode("overwrite").csv(path, header=True)
 
 
+def write_table(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with the headers as they are."""
+    df.write.mode("overwrite").csv(path, header=True)
+
+
 def export_filtered(spots: DataFrame, path: str, min_length: int, speed: float) -> None:
     """Flagged spots, the tracks that pass, their summary, and a JSON row of counts."""
     flagged = fl.column_reorder(fl.filter_flags(spots, min_length, speed), FRONT)
@@ -64,15 +69,16 @@ def write_stack(voxels: DataFrame, path: str, formats: list[str], flip_y: bool =
         pyramid(dense).write.mode("overwrite").partitionBy("level", "t").parquet(f"{path}/pyramid")
 
 
-def parse_formats(text: str | list[str]) -> list[str]:
-    """Output formats by any of their names; unknown ones are the plain stack."""
-    parts = text if isinstance(text, list) else text.replace(";", ",").split(",")
-    out: list[str] = []
-    for p in (p.strip().lower() for p in parts):
-        for f in {"both": ("tiff", "bdv"), "all": ("tiff", "bdv"), "bdv": ("bdv",), "hdf5": ("bdv",), "xml": ("bdv",)}.get(p, ("tiff",)):
-            if f not in out:
-                out.append(f)
-    return out
+#: Names of the two output formats; fixed values.
+FORMAT_NAMES = {"tiff": "tiff", "tif": "tiff", "bdv": "bdv", "hdf5": "bdv", "xml": "bdv"}
+
+
+def parse_formats(given: str | list[str]) -> list[str]:
+    """Output formats, sorted: of a list the known names (the plain stack if none is), of one text that format, "both" or "all" both, else the plain stack."""
+    if isinstance(given, list):
+        return sorted({FORMAT_NAMES[n] for x in given if (n := x.lower().strip()) in FORMAT_NAMES}) or ["tiff"]
+    name = given.lower().strip()
+    return ["bdv", "tiff"] if name in ("both", "all") else [FORMAT_NAMES.get(name, "tiff")]
 
 
 def merged_voxel_size(rows: DataFrame) -> DataFrame:
