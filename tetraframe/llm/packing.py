@@ -12,6 +12,7 @@ table gives an empty result; a null doc_id is carried along; other columns are n
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 import math
 import zlib
@@ -26,13 +27,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import stored, table
+from tetraframe.llm.common import slices, stored, table
 from tetraframe.llm.token_counts import vocabulary
 
 #: Pieces of a shard on average.
 SHARD = 40_000
-#: Distinct strings whose ids a worker keeps.
-KEPT = 250_000
+#: Distinct strings whose ids a worker keeps between batches and tasks.
+KEPT = 600_000
 
 _PLAIN = regex.compile(r"[!-~À-ÖØ-öø-įı-ɏ]+")
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -45,11 +46,24 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: A place below 0x61 for the last byte of a word: a-z to 0x40-0x59, continuation bytes to 0x00-0x3F.
+_MOVED = [bytes([b - 0x21 if 0x61 <= b < 0x80 else b & 0x3F]) for b in range(256)]
+#: Marks that stand alone beside a word.
+_MARKS = frozenset(b'.,;:!?()"-')
+
+
+@functools.lru_cache(maxsize=2)
+def word_ids(file: str) -> WordIds:
+    """One encoder a worker process: its tables and known words serve all tasks of the worker."""
+    return WordIds(file)
+
+
 class WordIds:
     """Ids of the words of a lower-casing BPE file with word-end symbols, each distinct word encoded once.
 
     Words of Latin letters go through a rank encoder: no byte below 0x61 occurs in them, so the last byte of a word is moved
-    there, which makes word-end symbols single bytes. All else goes through the library itself.
+    there, which makes word-end symbols single bytes. All else goes through the library itself. Strings between white space that are
+    a word of a-z, or one with a mark before or behind it, are told by their bytes; others are cut by the vocabulary's pattern.
     """
 
     def __init__(self, file: str, kept: int = KEPT):
@@ -64,31 +78,45 @@ class WordIds:
             end = token.endswith("</w>") and token != "</w>"
             raw = bytes(letters[c] for c in (token[:-4] if end else token))
             if all(b >= 0x80 or 0x61 <= b <= 0x7A for b in raw) and not (end and raw[-1] > 0xBF):
-                ranks[raw[:-1] + bytes([self._moved(raw[-1])]) if end else raw] = i
+                ranks[raw[:-1] + _MOVED[raw[-1]] if end else raw] = i
         spare = max(vocab.values()) + 1
         missing = [bytes([b]) for b in range(256) if bytes([b]) not in ranks]
         ranks |= {b: spare + k for k, b in enumerate(missing)}  # never met, but the encoder wants every byte
         self.core = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.kept, self.chunks, self.others = kept, {}, {}
 
-    @staticmethod
-    def _moved(b: int) -> int:
-        """A place below 0x61 for the last byte of a word: a-z to 0x40-0x59, continuation bytes to 0x00-0x3F."""
-        return b - 0x21 if b < 0x80 else b & 0x3F
-
     def _library(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _word(self, raw: bytes) -> bytes:
+        """Ids of a word that ends in a-z or in a continuation byte."""
+        return array("I", self.core.encode_single_piece(raw[:-1] + _MOVED[raw[-1]])).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        low = chunk.lower()  # A-Z only
+        if low.isalpha():  # a-z only
+            return self._word(low)
+        if len(low) > 1 and low[:-1].isalpha() and low[-1] in _MARKS:
+            return self._known(low[:-1]) + self._known(low[-1:])
+        if len(low) > 1 and low[1:].isalpha() and low[0] in _MARKS:
+            return self._known(low[:1]) + self._known(low[1:])
+        return self._text(chunk.decode("utf-8", "surrogatepass"))
+
+    def _known(self, chunk: bytes) -> bytes:
+        have = self.chunks.get(chunk)
+        if have is None:
+            have = self.chunks[chunk] = self._word(chunk) if chunk.isalpha() else self._library(chunk.decode())
+        return have
+
+    def _text(self, chunk: str) -> bytes:
         if "<|" in chunk or not _PLAIN.fullmatch(chunk):
             return self._library(chunk)
         out = []
         for word in _PRE.findall(chunk.lower()):
             if word[0].isalpha():
-                raw = bytearray(word.encode("utf-8"))
+                raw = word.encode("utf-8")
                 if 0x61 <= raw[-1] <= 0x7A or 0x80 <= raw[-1] <= 0xBF:
-                    raw[-1] = self._moved(raw[-1])
-                    out.append(array("I", self.core.encode_single_piece(bytes(raw))).tobytes())
+                    out.append(self._word(raw))
                     continue
             have = self.others.get(word)
             if have is None:
@@ -113,7 +141,7 @@ class WordIds:
                     c = chunks[i]
                     x = known.get(c)
                     if x is None:
-                        x = known[c] = self._chunk(c.decode("utf-8", "surrogatepass"))
+                        x = known[c] = self._chunk(c)
                     out[i] = x
         return b"".join(out)
 
@@ -123,8 +151,8 @@ def pieces(docs: DataFrame, file: str, capacity: int, end_id: int = 0) -> DataFr
     end = array("I", [end_id]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, step = WordIds(file), 4 * capacity
-        for batch in batches:
+        words, step = word_ids(file), 4 * capacity
+        for batch in slices(batches):
             rows, piece, start, length, crc = [], [], [], [], []
             for i, x in enumerate(batch.column("text")):
                 ids = memoryview(words.ids(x.as_py()) + end)
@@ -221,10 +249,8 @@ def pack(parts: DataFrame, capacity: int, shards: int) -> DataFrame:
 
 def packed(docs: DataFrame, file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Documents as pieces packed into sequences of at most `capacity` tokens."""
-    shards = max(1, math.ceil(docs.count() / SHARD))
-    parts = pieces(docs, file, capacity, end_id)
-    parts, _ = stored(parts, "pieces")
-    return pack(parts, capacity, shards)
+    parts, _ = stored(pieces(docs, file, capacity, end_id), "pieces")
+    return pack(parts, capacity, max(1, math.ceil(parts.where(F.col("length") < capacity).count() / SHARD)))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
