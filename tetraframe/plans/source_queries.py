@@ -6,6 +6,7 @@ import json
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tetraframe.operators import filters as fl
 from tetraframe.operators import joins as jn
 from tetraframe.plans import fixtures as fx
 from tetraframe.plans.book import Book, r, rounded
+from tetraframe.sources import images as im
 from tetraframe.sources import readers as rd
 from tetraframe.sources import writers as wr
 from tetraframe.streaming.speeds import streamed_speeds
@@ -24,7 +26,7 @@ a = BOOK.add
 
 def folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share: under spark.checkpoint.dir, or, in local sessions without it, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
@@ -63,38 +65,52 @@ a("src3_sniff_format", lambda s, f: s.createDataFrame([("a", rd.sniff_format(s,
 a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f))), LOADED, "spots")
 
 
-def tiff_like(s: SparkSession, f: str) -> DataFrame:
-    """Volumes as raw arrays, one file a time point, decoded again."""
-    path = folder(s, "raw")
-    v = fx.voxels(s, f)
+def put(s: SparkSession, path: str, data: bytes) -> None:
+    """A small file of a fixture, through the file system that Spark uses."""
+    place = s._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(s._jsc.hadoopConfiguration()).create(place, True)
+    out.write(data)
+    out.close()
 
-    def encode(pdf):
-        import numpy as np
-        import pandas as pd
 
-        out = np.zeros((fx.NZ, fx.NY, fx.NX), "<u2")
-        out[pdf["z"], pdf["y"], pdf["x"]] = pdf["value"]
-        return pd.DataFrame({"t": [int(pdf["t"].iat[0])], "data": [out.tobytes()]})
+def tiff_files(s: SparkSession, f: str) -> str:
+    """Every volume of the view as a file of its own, named by its time point; every second one deflated."""
+    path = folder(s, "tiff")
+    rows = fx.voxels(s, f).groupBy("t").agg(F.array_sort(F.collect_list(F.struct("z", "y", "x", "value"))).alias("v")).select("t", F.transform("v", lambda x: x["value"]).alias("v"))
+    for r in rows.collect():  # a row a time point, 9,216 voxels each
+        text = f"ImageJ=1.11a\nimages={fx.NZ}\nslices={fx.NZ}\nspacing={0.5 + r['t']}\nunit=um\n" + (f"x_resolution_um=0.374\ny_resolution_um=0.{r['t']}\n" if r["t"] % 2 else "")
+        put(s, f"{path}/t{r['t']:04d}_Channel 1.tif", im.tiff_bytes(np.array(r["v"], "<u2").reshape(fx.NZ, fx.NY, fx.NX), text, (26738, 1), 2 if r["t"] == 2 else 3, r["t"] % 2 == 0))
+    return path
+
+
+a("src5_scan_tiff_volume", lambda s, f: im.scan_tiff_volumes(s, tiff_files(s, f)).withColumn("value", F.col("value").cast("int")), "SELECT t, z, y, x, value FROM voxels", "voxels")
+a("src5_tiff_voxel_size", lambda s, f: rounded(im.tiff_voxel_size(im.scan_tiff_tags(s, tiff_files(s, f))).select("pages", "vox_x", "vox_y", "vox_z", "recovered")),
+  f"SELECT {fx.NZ}::INTEGER AS pages, {r('CASE WHEN t % 2 = 1 THEN 0.374 WHEN t = 2 THEN 25400.0 / 26738 ELSE 10000.0 / 26738 END AS vox_x', 'CASE WHEN t % 2 = 1 THEN t / 10.0 WHEN t = 2 THEN 25400.0 / 26738 ELSE 10000.0 / 26738 END AS vox_y', '0.5::DOUBLE + t AS vox_z')}, true AS recovered FROM range(1, 8) q(t)")
+
+
+def hyperstack(s: SparkSession, f: str, frames: int) -> DataFrame:
+    """A stack of 12 pages, page k filled with 10 k + column, described as 4 slices and some frames."""
+    path = folder(s, "stack")
+    put(s, f"{path}/stack.tif", im.tiff_bytes(10 * np.arange(12)[:, None, None] + np.arange(3)[None, None, :] + np.zeros((12, 2, 3)), f"ImageJ=1.11a\nslices=4\nframes={frames}\n"))
+    return im.scan_hyperstack(s, path).select("t", "z", "y", "x", F.col("value").cast("int").alias("value"))
 
-    v.groupBy("t").applyInPandas(encode, "t int, data binary").write.parquet(path)
-    packed = s.read.parquet(path)
 
-    def decode(batches):
-        import numpy as np
-        import pandas as pd
+a("src6_scan_hyperstack", lambda s, f: hyperstack(s, f, 3), "SELECT (p // 4)::INTEGER AS t, (p % 4)::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (10 * p + x)::INTEGER AS value FROM range(12) a(p), range(2) b(y), range(3) c(x)")
+a("src6_hyperstack_inconsistent", lambda s, f: hyperstack(s, f, 5), "SELECT 0 AS t, p::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (10 * p + x)::INTEGER AS value FROM range(12) a(p), range(2) b(y), range(3) c(x)")
+DATASETS = [("a.ims", f"DataSet/ResolutionLevel {k}/TimePoint {t}/Channel {c}/Data", [1, 1, 8, 16, 16]) for k in (0, 1) for t in (0, 2, 10) for c in (0, 1)]
+DATASETS += [("b.h5", "Data", [2, 8, 16, 16]), ("c.h5", "image", [40, 2, 8, 16, 16]), ("d.h5", "/data", [3, 2, 8, 16, 16]), ("d.h5", "image", [1, 2, 3, 4]), ("e.h5", "other", [2, 2, 2, 2])]
 
-        for pdf in batches:
-            for t, d in zip(pdf["t"], pdf["data"]):
-                a = np.frombuffer(d, "<u2").reshape(fx.NZ, fx.NY, fx.NX)
-                z, y, x = np.mgrid[: fx.NZ, : fx.NY, : fx.NX]
-                yield pd.DataFrame({"t": t, "z": z.ravel(), "y": y.ravel(), "x": x.ravel(), "value": a.ravel().astype("int32")})
 
-    return packed.mapInPandas(decode, "t int, z int, y int, x int, value int")
+def datasets(s: SparkSession) -> DataFrame:
+    """The datasets of some container files."""
+    return s.createDataFrame(DATASETS, "file string, dataset string, shape array<int>")
 
 
-a("src5_scan_tiff_volume", tiff_like, "SELECT t, z, y, x, value FROM voxels", "voxels")
-a("src6_scan_hyperstack", lambda s, f: rd.reshaped_hyperstack(s.range(28).select(F.col("id").cast("int").alias("page")), 4, 7), "SELECT i::INTEGER AS page, (i // 4)::INTEGER AS t, (i % 4)::INTEGER AS z FROM range(28) q(i)")
+a("src7_container_layout", lambda s, f: im.container_layout(datasets(s)), "SELECT * FROM (VALUES ('a.ims', 'imaris', 3::BIGINT, 2::BIGINT, 8, 16, 16), ('b.h5', 'flat', 1, 2, 8, 16, 16), ('d.h5', 'flat', 3, 2, 8, 16, 16)) v(file, mode, n_t, n_c, n_z, n_y, n_x)")
+a("src7_container_slices", lambda s, f: im.container_slices(datasets(s)), "SELECT 'a.ims' AS file, t::INTEGER AS t, c::INTEGER AS c, 'DataSet/ResolutionLevel 0/TimePoint ' || [0, 2, 10][t + 1] || '/Channel ' || c || '/Data' AS dataset FROM range(3) a(t), range(2) b(c)")
 a("src7_image_layout", lambda s, f: s.createDataFrame([(len(x), rd.image_layout(x, False)) for x in ((4, 5, 6), (2, 4, 5, 6), (1, 2, 4, 5, 6))], "axes int, layout string"), "SELECT * FROM (VALUES (3, 'ZYX'), (4, 'CZYX'), (5, 'TCZYX')) v(axes, layout)")
+a("src19_legacy_voxel_size", lambda s, f: rounded(im.legacy_voxel_size(s.createDataFrame([("tif", 2.0, 4.0, 0.5, None), ("tif", None, 0.0, None, None), ("nd2", None, None, None, 0.3)], "kind string, x_resolution double, y_resolution double, spacing double, pixel_microns double")).select("kind", "vox_x", "vox_y", "vox_z")),
+  "SELECT * FROM (VALUES ('tif', 0.5::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE), ('tif', 1.0, 1.0, 1.0), ('nd2', 0.3, 0.3, 3.0)) v(kind, vox_x, vox_y, vox_z)")
 META = [(1, '<Pixels PhysicalSizeX="374" PhysicalSizeXUnit="nm" PhysicalSizeY="374" PhysicalSizeZ="748"/>'), (2, '{"x_um": 0.4, "y_um": 0.4, "z_um": 2.0}'), (3, "none")]
 a("src8_voxel_metadata", lambda s, f: rounded(rd.voxel_metadata(s.createDataFrame(META, "id int, meta string"))), "SELECT id, x::DOUBLE AS x_um, x::DOUBLE AS y_um, z::DOUBLE AS z_um FROM (VALUES (1, 0.374, 0.748), (2, 0.4, 2.0), (3, NULL, NULL)) v(id, x, z)")
 a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
@@ -107,7 +123,32 @@ def written_volumes(s: SparkSession, f: str) -> DataFrame:
     return rd.scan_volumes(s, path)
 
 
-a("src11_scan_zarr", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
+def array_store(s: SparkSession, f: str, layout: str) -> DataFrame:
+    """Small arrays in one of three layouts: value 1000 t + 100 z + 10 y + x; time points 2 and 10 where they have names."""
+    path = folder(s, layout)
+    v = (np.array([2, 10])[:, None, None, None] * 1000 + np.arange(3)[:, None, None] * 100 + np.arange(4)[:, None] * 10 + np.arange(5)).astype("<u2")
+
+    def write(at: str, a: np.ndarray, chunk: tuple[int, ...]) -> None:
+        put(s, f"{at}/zarr.json", im.array_metadata(a.shape, chunk).encode())
+        for k in np.ndindex(*(-(-n // c) for n, c in zip(a.shape, chunk))):
+            block = np.zeros(chunk, "<u2")
+            part = a[tuple(slice(i * c, (i + 1) * c) for i, c in zip(k, chunk))]
+            block[tuple(map(slice, part.shape))] = part
+            put(s, f"{at}/c/{'/'.join(map(str, k))}", block.tobytes())
+
+    if layout == "array":
+        write(path, v, (1, 2, 4, 5))
+    else:
+        if layout == "group":
+            put(s, f"{path}/zarr.json", b'{"zarr_format": 3, "node_type": "group"}')
+        for name, a in zip(("2", "10"), v):
+            write(f"{path}/{name}", a, (2, 3, 5))
+    return im.scan_array_store(s, path)
+
+
+for _layout in ("array", "group", "folder"):
+    a(f"src11_scan_zarr_{_layout}", lambda s, f, k=_layout: array_store(s, f, k), "SELECT t::INTEGER AS t, z::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (CASE t WHEN 0 THEN 2000 ELSE 10000 END + 100 * z + 10 * y + x)::BIGINT AS value FROM range(2) a(t), range(3) b(z), range(4) c(y), range(5) d(x)")
+a("src11_scan_volumes", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
 STEM = "regexp_extract(regexp_replace(name, '(.)[.][^.]*$', '\\1'), '([0-9]+)[^0-9]*$', 1)"
 ORDERED = f"row_number() OVER (ORDER BY CASE WHEN {STEM} <> '' THEN 0 ELSE 1 END, nullif({STEM}, '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
 a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
@@ -136,13 +177,14 @@ TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p
 a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
 a("src17_load_config", lambda s, f: s.createDataFrame([(c.input_dir, c.max_timepoints, c.channel) for c in [rd.load_config('﻿{"input_dir": "a\\ b", "max_timepoints": 5, "other": 1}')]], "input_dir string, max_timepoints int, channel int"), "SELECT 'a b' AS input_dir, 5 AS max_timepoints, 0 AS channel")
 a("src18_resolve_channel", lambda s, f: s.createDataFrame([(w, n, rd.resolve_channel(w, n)) for w, n in ((0, 1), (1, 3), (3, 3))], "wanted int, channels int, found int"), "SELECT * FROM (VALUES (0, 1, 0), (1, 3, 0), (3, 3, 2)) v(wanted, channels, found)")
-SIZES = [(1, 0.374, 0.374, 0.748, 2.0, 2.0, 1.0), (2, None, 0.4, 0.8, 2.5, 2.0, 3.0), (3, None, None, None, 0.0, None, None)]
-SIZE_COLUMNS = "id int, x_um double, y_um double, z_um double, x_resolution double, y_resolution double, spacing double"
-a("src20_resolve_voxel_size", lambda s, f: rounded(rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source")), "SELECT id, x::DOUBLE AS vox_x, y::DOUBLE AS vox_y, z::DOUBLE AS vox_z, s AS voxel_size_source FROM (VALUES (1, 0.374, 0.374, 0.748, 'sidecar'), (2, 0.4, 0.5, 3.0, 'tags'), (3, 1.0, 1.0, 1.0, 'tags')) v(id, x, y, z, s)")
+SIZES = [(1, 0.374, 0.374, 0.748, "h5", 2.0, 2.0, 3, 1.0), (2, None, 0.4, 0.8, None, 25000.0, 20000.0, 3, 3.0), (3, None, None, None, None, 0.0, None, None, None), (4, None, None, None, None, 50800.0, 25400.0, 2, 2.0)]
+SIZE_COLUMNS = "id int, x_um double, y_um double, z_um double, source string, x_resolution double, y_resolution double, resolution_unit int, spacing double"
+a("src20_resolve_voxel_size", lambda s, f: rounded(rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source")), "SELECT id, x::DOUBLE AS vox_x, y::DOUBLE AS vox_y, z::DOUBLE AS vox_z, s AS voxel_size_source FROM (VALUES (1, 0.374, 0.374, 0.748, 'sidecar_imaris (h5)'), (2, 0.4, 0.5, 3.0, 'auto_detected'), (3, 1.0, 1.0, 1.0, 'auto_detected'), (4, 0.5, 1.0, 2.0, 'auto_detected')) v(id, x, y, z, s)")
+a("src20_manual_voxel_size", lambda s, f: rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS), (0.3, 0.3, 2.0)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source"), "SELECT id::INTEGER AS id, 0.3::DOUBLE AS vox_x, 0.3::DOUBLE AS vox_y, 2.0::DOUBLE AS vox_z, 'manual_override' AS voxel_size_source FROM range(1, 5) q(id)")
 MERGED = [(1, 0.374, 0.5, 2.0, 100, 187), (2, 0.374, 1.0, 2.0, 100, 100)]
 MERGED_SQL = f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> nz0 THEN spacing * nz0 / nz ELSE spacing END AS vox_z')} FROM (VALUES {', '.join(f'({i}, {x}::DOUBLE, {c}::DOUBLE, {p}::DOUBLE, {n0}, {n})' for i, x, c, p, n0, n in MERGED)}) v(id, res, scaling, spacing, nz0, nz)"
-for _n in ("snk7_merged_voxel_size", "src21_original_z_spacing"):
-    a(_n, lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", "vox_xy", "vox_z")), MERGED_SQL)
+a("snk7_merged_voxel_size", lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", "vox_xy", "vox_z")), MERGED_SQL)
+a("src21_original_z_spacing", lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", (F.col("vox_z") * F.col("nz") / F.col("nz0")).alias("original"))), "SELECT id, 2.0::DOUBLE AS original FROM (VALUES (1), (2)) v(id)")
 a("sc13_channel_from_name", lambda s, f: fx.names(s).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
 a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
 a("jn8_combine_metadata", lambda s, f: jn.combine_metadata(fx.names(s), s.createDataFrame([("um", 0.374)], "unit string, spacing double")), "SELECT name, 'um' AS unit, 0.374::DOUBLE AS spacing FROM names", "names")
@@ -169,8 +211,29 @@ def saved(s: SparkSession, f: str) -> DataFrame:
     return s.read.csv(f"{path}/metrics_csv", header=True).select("experiment", F.col("timepoint").cast("int").alias("timepoint"), F.col("seg_n_cells").cast("double").alias("seg_n_cells"))
 
 
-a("snk1_export_bundle", lambda s, f: bundle(s, f, "oriented_tracks.csv").groupBy(F.col("TRACK_ID").cast("long").alias("track_id")).agg(F.count(F.lit(1)).alias("n")), "SELECT track_id, count(*) AS n FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
-a("snk2_export_filtered", lambda s, f: exported(s, f).groupBy(F.col("FRAME").cast("int").alias("frame")).agg(F.count(F.lit(1)).alias("n")), "SELECT frame, count(*) AS n FROM spots GROUP BY 1", "spots")
+def bundle_counts(s: SparkSession, f: str) -> DataFrame:
+    """(name, n, n_columns) of every table of an export with all its parts."""
+    path, spots = folder(s, "bundle"), fx.spots(s, f)
+    sphere = s.createDataFrame([(1.0, 2.0, 3.0, 50.0)], "center_x double, center_y double, center_z double, radius double")
+    marks = s.createDataFrame([("dorsal", 1.0, 0.0, 0.0), ("animal_pole", 0.0, -1.0, 0.0)], "landmark string, x double, y double, z double")
+    wr.export_bundle(spots, path, sphere, (0, 1, 2, 3), marks, {"threshold": -0.5, "min_frames": 5})
+    names = ("oriented_spots", "oriented_tracks", "track_summary", "sphere_params", "roi_bounds", "gastrulation_landmarks", "ingression_params")
+    tables = [(n, s.read.csv(f"{path}/{n}.csv", header=True)) for n in names] + [("analysis_metadata", s.read.json(f"{path}/analysis_metadata.json"))]
+    out = None
+    for n, t in tables:
+        row = t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n", F.lit(len(t.columns)).alias("n_columns"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+a("snk1_export_bundle", bundle_counts, """SELECT * FROM (SELECT 'oriented_spots' AS name, count(*) AS n, 6 AS n_columns FROM spots UNION ALL SELECT 'oriented_tracks', count(track_id), 6 FROM spots UNION ALL SELECT 'track_summary', count(DISTINCT track_id), 7 FROM spots
+  UNION ALL SELECT * FROM (VALUES ('sphere_params', 4, 2), ('roi_bounds', 1, 4), ('gastrulation_landmarks', 2, 4), ('ingression_params', 2, 2), ('analysis_metadata', 1, 3)) v(name, n, n_columns))""", "spots")
+a("snk1_exported_summary", lambda s, f: rounded(bundle(s, f, "track_summary.csv").select(F.col("TRACK_ID").cast("long").alias("track_id"), F.col("N_SPOTS").cast("long").alias("n_spots"), F.col("FRAME_START").cast("int").alias("frame_start"), F.col("MEAN_X").cast("double").alias("mean_x"))),
+  f"SELECT track_id, count(*) AS n_spots, min(frame) AS frame_start, {r('avg(position_x) AS mean_x')} FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
+a("snk2_export_filtered", lambda s, f: exported(s, f).select(F.col("ID").cast("long").alias("id"), F.col("TRACK_ID").cast("long").alias("track_id"), F.col("FILTERED_OUT").cast("boolean").alias("filtered_out"), F.coalesce("FILTER_REASON", F.lit("")).alias("filter_reason")),
+  """WITH steps AS (SELECT *, CASE WHEN track_id IS NOT NULL AND frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS v FROM spots WINDOW w AS (PARTITION BY track_id ORDER BY frame, id)),
+  lim AS (SELECT track_id, count(*) < 60 AS short, NOT coalesce(max(v) <= 200.0, false) AS fast FROM steps WHERE track_id IS NOT NULL GROUP BY 1)
+  SELECT id, track_id, coalesce(short OR fast, false) AS filtered_out, CASE WHEN short AND fast THEN 'min_length+max_speed' WHEN fast THEN 'max_speed' WHEN short THEN 'min_length' ELSE '' END AS filter_reason FROM spots LEFT JOIN lim USING (track_id)""", "spots")
 a("snk3_write_volume", lambda s, f: written_volumes(s, f).select("t", "z", "y", "x", "value"), "SELECT t, z, y, x, value FROM voxels", "voxels")
 a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics", "metrics")
 a("snk11_zarr_sink", lambda s, f: written_volumes(s, f).where("label > 0").groupBy("t", "label").agg(F.count(F.lit(1)).alias("n")), "SELECT t, label, count(*) AS n FROM voxels WHERE label > 0 GROUP BY 1, 2", "voxels")

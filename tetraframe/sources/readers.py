@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tetraframe.sources.images import micrometres_a_pixel
+
 CORE = ("position_x", "position_y", "position_z", "frame")
 TRACK_TABLE = {"track_id", "t", "z", "y", "x"}
 #: Columns that are numbers besides those whose name holds POSITION.
@@ -134,13 +136,18 @@ def voxel_metadata(raw: DataFrame) -> DataFrame:
 
 
 def resolved_voxel_size(rows: DataFrame, manual: tuple[float, float, float] | None = None) -> DataFrame:
-    """Add vox_x, vox_y, vox_z and voxel_size_source: configured, else the sidecar's three sizes, else spacing and resolution, else 1."""
+    """Add vox_x, vox_y, vox_z and voxel_size_source: configured, else the sidecar's three sizes, else spacing and resolution, else 1.
+
+    Resolutions are pixels a unit: inches for unit code 2, else centimetres. rows: x_um, y_um, z_um and source of the sidecar,
+    x_resolution, y_resolution, resolution_unit and spacing of the image.
+    """
     if manual is not None:
-        return rows.withColumns({f"vox_{a}": F.lit(v) for a, v in zip("xyz", manual)} | {"voxel_size_source": F.lit("config")})
+        return rows.withColumns({f"vox_{a}": F.lit(v) for a, v in zip("xyz", manual)} | {"voxel_size_source": F.lit("manual_override")})
     side = F.col("x_um").isNotNull() & F.col("y_um").isNotNull() & F.col("z_um").isNotNull()
-    per = {"x": F.try_divide(F.lit(1.0), F.col("x_resolution")), "y": F.try_divide(F.lit(1.0), F.col("y_resolution")), "z": F.col("spacing")}
+    per = {a: micrometres_a_pixel(F.col(f"{a}_resolution"), F.col("resolution_unit")) for a in "xy"} | {"z": F.col("spacing")}
     out = {f"vox_{a}": F.when(side, F.col(f"{a}_um")).otherwise(F.coalesce(per[a], F.lit(1.0))) for a in "xyz"}
-    return rows.withColumns(out | {"voxel_size_source": F.when(side, "sidecar").otherwise("tags")})
+    named = F.concat(F.lit("sidecar_imaris ("), F.coalesce("source", F.lit("unknown source")), F.lit(")"))
+    return rows.withColumns(out | {"voxel_size_source": F.when(side, named).otherwise("auto_detected")})
 
 
 def load_stage_results(spark: SparkSession, pattern: str) -> DataFrame:
@@ -178,14 +185,6 @@ def stack_timepoints(parts: list[DataFrame], stride: int = 1) -> DataFrame:
     return out if stride == 1 else stride_downsample(out, stride)
 
 
-def reshaped_hyperstack(pages: DataFrame, slices: int | None, frames: int | None) -> DataFrame:
-    """Pages numbered in file order as (t, z): by slices and frames where they fit the number of pages, else one time point."""
-    n = pages.count()
-    fits = slices and frames and slices * frames == n
-    k = slices if fits else max(n, 1)
-    return pages.withColumns({"t": F.floor(F.col("page") / k).cast("int"), "z": (F.col("page") % k).cast("int")})
-
-
 def image_layout(shape: tuple[int, ...], grouped: bool) -> str:
     """Layout of an array file: grouped by resolution level, or a flat array of 3 to 5 axes; a flat first axis above 32 is refused."""
     if grouped:
@@ -197,23 +196,6 @@ def image_layout(shape: tuple[int, ...], grouped: bool) -> str:
     return {3: "ZYX", 4: "CZYX", 5: "TCZYX"}[len(shape)]
 
 
-def scan_binary_volumes(spark: SparkSession, path: str, shape: tuple[int, int, int], kind: str = "<u2") -> DataFrame:
-    """Raw ZYX arrays, one file a time point, as voxels; each file is decoded in one task."""
-    import numpy as np
-    import pandas as pd
-
-    def decode(batches):
-        for pdf in batches:
-            for name, content in zip(pdf["path"], pdf["content"]):
-                v = np.frombuffer(content, kind).reshape(shape)
-                t = int((re.search(r"t(\d+)", name.rsplit("/", 1)[-1]) or [0, 0])[1])
-                for z in range(shape[0]):
-                    y, x = np.mgrid[: shape[1], : shape[2]]
-                    yield pd.DataFrame({"t": t, "z": z, "y": y.ravel(), "x": x.ravel(), "value": v[z].ravel().astype("int32")})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(decode, "t int, z int, y int, x int, value int")
-
-
 @dataclass
 class Config:
     """Settings of a run with their defaults."""
