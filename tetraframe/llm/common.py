@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,6 +77,16 @@ def crc_mod(column: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed byte by byte."""
+    return zlib.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    """The numbers that planes() packed."""
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 # --- byte-level hashing in numpy -------------------------------------------------------------------------------
 
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -126,9 +137,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def chunks(texts: list[str | None], most: int = 1 << 22):
+def chunks(texts: list[str | bytes | None], most: int = 1 << 22):
     """Cut a batch into runs of documents of about `most` bytes: (first, after last, bytes of all, offsets)."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
     first = size = 0
     for i, x in enumerate(raw):
         if size and size + len(x) > most:
