@@ -342,3 +342,34 @@ def test_missing_core_column_is_an_error(spark, tmp_path):
 def test_radial_windows_share_one_exchange(spark):
     plan = kin.radial_motion(fl.tracked_only(spots(spark, [(1, 0, 0)])), (0, 0, 0))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(track_id") <= 2
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e3, 1e3)), max_size=30), st.lists(st.floats(0, 1), min_size=1, max_size=3))
+def test_quantiles_are_exact(spark, values, shares):
+    from tetraframe.functions.quantiles import exact_quantiles
+
+    got = exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", shares).first()
+    known = [v for v in values if v is not None]
+    assert got["n"] == len(known)
+    want = np.quantile(known, shares) if known else [None] * len(shares)
+    assert got["q"] == want if not known else np.allclose(got["q"], want, atol=1e-9)
+
+
+def test_quantiles_beyond_the_sketch(spark):
+    from tetraframe.functions.quantiles import exact_quantiles
+
+    df = spark.range(60_000).select((F.pmod(F.col("id") * 7919, F.lit(60_013)) / 7.0).alias("v")).unionByName(spark.range(30_000).select(F.lit(100.0).alias("v")))
+    shares = [0.0, 0.001, 0.25, 0.5, 0.9999, 1.0]
+    want = np.quantile(df.toPandas()["v"], shares)
+    assert np.allclose(exact_quantiles(df, "v", shares, 200).first()["q"], want, rtol=0, atol=1e-9)
+
+
+def test_nearest_in_a_dense_cluster_and_a_wide_cloud(spark):
+    rng = np.random.default_rng(5)
+    p = np.vstack([rng.normal(0, 1e-3, (300, 3)), rng.uniform(-1e3, 1e3, (60, 3)), np.zeros((3, 3))])
+    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(p)], "id long, position_x double, position_y double, position_z double")
+    d = np.linalg.norm(p[:, None] - p[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    got = {r["id"]: r["distance"] for r in jn.nearest_distance(df).collect()}
+    assert len(got) == len(p) and np.allclose([got[i] for i in range(len(p))], d.min(1))

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tetraframe.functions.quantiles import exact_quantiles
 from tetraframe.functions.scalars import norm, spherical
 from tetraframe.operators.filters import shuffle_key
 
@@ -174,7 +175,7 @@ def fit_sphere(df: DataFrame, quantile: float = 0.9125, most: int | None = None,
 def manual_sphere(df: DataFrame, center) -> DataFrame:
     """(radius, rmse) about a chosen centre: the median distance and the spread about it."""
     d = df.select(norm(*(F.col(c) - float(v) for c, v in zip(XYZ, center))).alias("d"))
-    m = d.agg(F.median("d").alias("radius"))
+    m = exact_quantiles(d, "d", [0.5]).select(F.col("q")[0].alias("radius"))
     return d.crossJoin(F.broadcast(m)).agg(F.first("radius").alias("radius"), F.sqrt(F.avg(F.pow(F.col("d") - F.col("radius"), 2))).alias("rmse"))
 
 
@@ -184,7 +185,8 @@ def cap_mesh(angles: DataFrame, center, radius: float, n_lat: int = 30, n_lon: i
     Both angles run from the 2nd percentile less `padding` degrees to the 98th and as much more, ends included; the polar one stays
     within 0 and 180.
     """
-    q = angles.agg(F.percentile("theta_deg", F.lit([0.02, 0.98])).alias("t"), F.percentile("phi_deg", F.lit([0.02, 0.98])).alias("p"))
+    two = lambda c, n: exact_quantiles(angles, c, [0.02, 0.98]).select(F.col("q").alias(n))
+    q = two("theta_deg", "t").crossJoin(two("phi_deg", "p"))  # one row each
     ends = q.select(F.greatest(F.col("t")[0] - padding, F.lit(0.0)).alias("t0"), F.least(F.col("t")[1] + padding, F.lit(180.0)).alias("t1"), (F.col("p")[0] - padding).alias("p0"), (F.col("p")[1] + padding).alias("p1"))
     grid = ends.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n_lat - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n_lon - 1))))
     step = lambda n, k, lo, hi: F.radians(F.col(lo) + (F.col(hi) - F.col(lo)) * F.col(k) / float(n - 1))
@@ -212,7 +214,7 @@ def color_values(df: DataFrame, column: str, mode: str = "minmax") -> DataFrame:
     c = F.col(column)
     if mode == "inward":
         c = F.when(F.col(column) < 0, -F.col(column))
-    e = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile(c, F.lit([0.02, 0.98, 0.95])).alias("q"))
+    e = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).crossJoin(exact_quantiles(df, c, [0.02, 0.98, 0.95]).select("q"))  # one row each
     rows = df.select("id", c.alias("_c")).crossJoin(F.broadcast(e))  # one row
     held = lambda x, lo, hi: F.least(F.greatest(x, F.lit(lo)), F.lit(hi))
     if mode == "symmetric":

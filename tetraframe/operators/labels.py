@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clip
+from tetraframe.operators.tables import kept_table
+from tetraframe.operators.volumes import gaussian_kernel, smooth_plane
 
 
 def per_label(voxels: DataFrame) -> DataFrame:
@@ -49,13 +51,48 @@ def label_stats(voxels: DataFrame) -> DataFrame:
     return both.select("t", *(F.coalesce(c, F.lit(0)).alias(c) if c in counts else _zero(F.col(c)).alias(c) for c in both.columns if c != "t"))
 
 
-def neighbours(voxels: DataFrame) -> DataFrame:
-    """(t, label, other): pairs of different labels that share a face, each both ways."""
-    v = voxels.where("label > 0").select("t", "z", "y", "x", "label")
-    steps = F.array(*(F.struct(*(F.lit(d).alias(a) for a, d in zip("zyx", s))) for s in ((1, 0, 0), (0, 1, 0), (0, 0, 1))))
-    moved = v.withColumn("_s", F.explode(steps)).select("t", *((F.col(a) + F.col(f"_s.{a}")).alias(a) for a in "zyx"), F.col("label").alias("other"))
-    pairs = v.join(moved, ["t", "z", "y", "x"]).where("label <> other").select("t", "label", "other").distinct()
-    return pairs.union(pairs.select("t", "other", "label")).distinct()
+def slabs(voxels: DataFrame, size: int, before: int, after: int, *columns: str) -> DataFrame:
+    """(t, z, y, x, columns, _slab): each voxel in the slab of `size` slices that owns it and in those that see it as a halo."""
+    lo, hi = F.floor((F.col("z") - after) / size), F.floor((F.col("z") + before) / size)
+    return voxels.select("t", "z", "y", "x", *columns, F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("_slab")).where("_slab >= 0")
+
+
+def _block(pdf: pd.DataFrame, column: str = "label") -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """A slab's column as an array from its first slice on, and where each row stands in it."""
+    at = tuple(pdf[a].to_numpy() for a in "zyx")
+    at = (at[0] - at[0].min(), *at[1:])
+    out = np.zeros(tuple(int(i.max()) + 1 for i in at), pdf[column].dtype)
+    out[at] = pdf[column]
+    return out, at
+
+
+def _shifted(a: np.ndarray, step: tuple[int, int, int], outside: int) -> np.ndarray:
+    """The neighbour of every element at a step."""
+    out = np.full_like(a, outside)
+    to = tuple(slice(max(-d, 0), n - max(d, 0)) for d, n in zip(step, a.shape))
+    of = tuple(slice(max(d, 0), n - max(-d, 0)) for d, n in zip(step, a.shape))
+    out[to] = a[of]
+    return out
+
+
+FACES = ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))
+
+
+def neighbours(voxels: DataFrame, size: int = 4) -> DataFrame:
+    """(t, label, other): pairs of different labels that share a face, each both ways. Slabs see one slice more."""
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, _ = _block(pdf)
+        found = []
+        for step in ((1, 0, 0), (0, 1, 0), (0, 0, 1)):
+            b = _shifted(a, step, 0)
+            both = (a > 0) & (b > 0) & (a != b)
+            found.append(np.stack([a[both], b[both]], 1))
+        p = np.unique(np.concatenate(found), axis=0)
+        return pd.DataFrame({"t": int(pdf["t"].iat[0]), "label": p[:, 0], "other": p[:, 1]})
+
+    found = slabs(voxels, size, 0, 1, "label").groupBy("t", "_slab").applyInPandas(pairs, "t int, label int, other int")
+    return found.union(found.select("t", "other", "label")).distinct()
 
 
 def touching_fraction(voxels: DataFrame) -> DataFrame:
@@ -108,26 +145,70 @@ def intensity_in_labels(voxels: DataFrame) -> DataFrame:
 
 def relabelled(voxels: DataFrame, cap: int = 65535) -> DataFrame:
     """Voxels with labels renumbered from 1 without gaps within each t, ascending, at most cap."""
-    from pyspark.sql import Window
-
     ids = voxels.where("label > 0").select("t", "label").distinct()
     new = ids.withColumn("dense", F.least(F.dense_rank().over(Window.partitionBy("t").orderBy("label")), F.lit(cap)))
     return voxels.join(new, ["t", "label"], "left").withColumn("dense", F.coalesce("dense", F.lit(0)))
 
 
-def outer_boundary(voxels: DataFrame) -> DataFrame:
-    """Voxels with boundary: background that shares a face with a label, or a label with another one."""
-    v = voxels.select("t", "z", "y", "x", "label")
-    steps = F.array(*(F.struct(*(F.lit(d).alias(a) for a, d in zip("zyx", s))) for s in ((1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1))))
-    near = v.where("label > 0").withColumn("_s", F.explode(steps)).select("t", *((F.col(a) + F.col(f"_s.{a}")).alias(a) for a in "zyx"), F.col("label").alias("_o"))
-    near = near.groupBy("t", "z", "y", "x").agg(F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-    out = voxels.join(near, ["t", "z", "y", "x"], "left")
-    return out.withColumn("boundary", F.coalesce((F.col("_lo") != F.col("label")) | (F.col("_hi") != F.col("label")), F.lit(False)) & (F.col("_lo").isNotNull())).drop("_lo", "_hi")
+def boundaries(labels: np.ndarray, width: int = 1) -> np.ndarray:
+    """Outer boundaries of a label array: background that shares a face with a label, and labelled elements that share a face with
+    anything else and touch another label, by a corner at least. Dilated by faces to a width."""
+    top = np.iinfo(labels.dtype).max
+    low, high = labels.copy(), labels.copy()
+    for step in FACES:
+        high = np.maximum(high, _shifted(labels, step, 0))
+        low = np.minimum(low, _shifted(labels, step, top))
+    filled = np.where(labels == 0, top, labels)
+    near, far = filled.copy(), labels.copy()
+    for step in np.ndindex(3, 3, 3):
+        step = tuple(d - 1 for d in step)
+        near = np.minimum(near, _shifted(filled, step, top))
+        far = np.maximum(far, _shifted(labels, step, 0))
+    out = (low != high) & ((labels == 0) | (near != far))
+    for _ in range(width - 1):
+        out = out | np.logical_or.reduce([_shifted(out.view(np.int8), step, 0).astype(bool) for step in FACES])
+    return out
 
 
-def foreground_gate(voxels: DataFrame) -> DataFrame:
-    """Voxels with foreground: labelled and not on a boundary between labels or to the background's side."""
-    return outer_boundary(voxels).withColumn("foreground", (F.col("label") > 0) & ~F.col("boundary"))
+def outer_boundary(voxels: DataFrame, width: int = 1, size: int = 4) -> DataFrame:
+    """Voxels with boundary, dilated to a width. Slabs of `size` slices see `width` slices on either side, so a task holds a slab."""
+
+    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, at = _block(pdf)
+        own = (pdf["z"] // size == pdf["_slab"]).to_numpy()
+        return pdf.loc[own, ["t", "z", "y", "x"]].assign(boundary=boundaries(a, width)[at][own])
+
+    found = slabs(voxels, size, width, width, "label").groupBy("t", "_slab").applyInPandas(mark, "t int, z int, y int, x int, boundary boolean")
+    return voxels.join(found, ["t", "z", "y", "x"])
+
+
+def foreground_gate(voxels: DataFrame, width: int = 1) -> DataFrame:
+    """Voxels with foreground: labelled and not on a boundary of a width."""
+    return outer_boundary(voxels, width).withColumn("foreground", (F.col("label") > 0) & ~F.col("boundary"))
+
+
+def label_contours(voxels: DataFrame, nz: int, sigma: float = 2.0, size: int = 16) -> DataFrame:
+    """(t, z, y, x, foreground, contour): labelled or not as 1 or 0, and the boundaries smoothed by a Gaussian on all axes, ends mirrored."""
+    kernel = gaussian_kernel(sigma)
+    r = len(kernel) // 2
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        first, slab = int(pdf["z"].min()), int(pdf["_slab"].iat[0])
+        if slab * size >= nz:  # beyond the last slice: seen as a halo only
+            return pdf.loc[[], ["t", "z", "y", "x"]].assign(foreground=0.0, contour=0.0)
+        a, at = _block(pdf)
+        edge = boundaries(a).astype(float)
+        # The halo's own outermost slice lacks a neighbour, so it is seen one slice farther than the kernel reaches.
+        own = np.arange(slab * size, min((slab + 1) * size, nz))
+        z = (own[:, None] + np.arange(-r, r + 1)) % (2 * nz)
+        z = np.where(z < nz, z, 2 * nz - 1 - z) - first
+        out = np.stack([np.tensordot(kernel, edge[k], axes=(0, 0)) for k in z])
+        out = np.stack([smooth_plane(p, sigma) for p in out])
+        rows = (pdf["z"] // size == slab).to_numpy()
+        zz = pdf["z"].to_numpy()[rows] - slab * size
+        return pdf.loc[rows, ["t", "z", "y", "x"]].assign(foreground=(pdf["label"][rows] > 0).astype(float), contour=out[zz, at[1][rows], at[2][rows]])
+
+    return slabs(voxels, size, r + 1, r + 1, "label").groupBy("t", "_slab").applyInPandas(smooth, "t int, z int, y int, x int, foreground double, contour double")
 
 
 def nearest_labels(voxels: DataFrame, factor: float, ny: int, nx: int) -> DataFrame:
@@ -184,19 +265,41 @@ def components6(mask: np.ndarray) -> np.ndarray:
     return out.reshape(mask.shape)
 
 
-def without_small_components(voxels: DataFrame, least: int) -> DataFrame:
-    """Voxels with component (6-connected, of label > 0, within a t) and keep: whether it has `least` voxels. A t is one array."""
+def joined_ids(edges: DataFrame) -> DataFrame:
+    """(id, root): the smallest id reachable by edges (a, b), edges of a node to itself included. Stored after every round."""
+    both, _ = kept_table(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    roots, _ = kept_table(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), F.least("a", "root").alias("root")), "roots")
+    while True:
+        near = both.join(roots.select(F.col("id").alias("b"), F.col("root").alias("_r")), "b").groupBy("a").agg(F.min("_r").alias("_r")).select(F.col("a").alias("id"), "_r")
+        low = roots.join(near, "id").select("id", F.col("root").alias("_old"), F.least("root", "_r").alias("_new"))
+        up = roots.select(F.col("id").alias("_new"), F.col("root").alias("_up"))
+        new, _ = kept_table(low.join(up, "_new").select("id", F.least("_new", "_up").alias("root"), (F.least("_new", "_up") != F.col("_old")).alias("_moved")), "roots")
+        roots = new.select("id", "root")
+        if not new.where("_moved").take(1):
+            return roots
 
-    def find(pdf: pd.DataFrame) -> pd.DataFrame:
-        shape = tuple(int(pdf[a].max()) + 1 for a in "zyx")
-        where = tuple(pdf[a].to_numpy() for a in "zyx")
-        mask = np.zeros(shape, bool)
-        mask[where] = pdf["label"].to_numpy() > 0
-        c = components6(mask)
-        size = np.bincount(c.ravel())
-        own = c[where]
-        return pdf[["t", "z", "y", "x"]].assign(component=own, keep=(own > 0) & (size[own] >= least))
 
-    return voxels.select("t", "z", "y", "x", "label").groupBy("t").applyInPandas(find, "t int, z int, y int, x int, component long, keep boolean")
+def without_small_components(voxels: DataFrame, least: int, size: int = 8) -> DataFrame:
+    """Voxels with component (6-connected, of label > 0, numbered within a t) and keep: whether it has `least` voxels.
 
+    Slabs of `size` slices find their own components and share one slice with the next slab, whose voxels tie the components of both
+    together; a task holds a slab.
+    """
 
+    def find(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, at = _block(pdf)
+        own = components6(a > 0)[at]
+        return pdf[["t", "z", "y", "x", "_slab"]].assign(c=own)
+
+    rows = slabs(voxels, size, 0, 1, "label").groupBy("t", "_slab").applyInPandas(find, "t int, z int, y int, x int, _slab int, c long").where("c > 0")
+    rows, _ = kept_table(rows.withColumn("id", F.col("t").cast("long") * (1 << 48) + F.col("_slab").cast("long") * (1 << 32) + F.col("c")), "parts")
+    own = rows.where(F.floor(F.col("z") / size) == F.col("_slab"))
+    seen = rows.where(F.floor(F.col("z") / size) != F.col("_slab")).select("t", "z", "y", "x", F.col("id").alias("b"))
+    edges = own.join(seen, ["t", "z", "y", "x"]).select(F.col("id").alias("a"), "b").unionByName(own.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    roots = joined_ids(edges.distinct())
+    parts = own.join(roots, "id").select("t", "z", "y", "x", "root")
+    sizes = parts.groupBy("t", "root").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("component", F.row_number().over(Window.partitionBy("t").orderBy("root")).cast("long"))  # a row a component
+    found = parts.join(sizes, ["t", "root"]).select("t", "z", "y", "x", "component", (F.col("_n") >= least).alias("keep"))
+    out = voxels.select("t", "z", "y", "x").join(found, ["t", "z", "y", "x"], "left")
+    return out.select("t", "z", "y", "x", F.coalesce("component", F.lit(0)).cast("long").alias("component"), F.coalesce("keep", F.lit(False)).alias("keep"))

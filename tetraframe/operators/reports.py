@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tetraframe.functions.quantiles import exact_quantiles
 from tetraframe.functions.scalars import clean
 from tetraframe.operators.filters import track_limits
 from tetraframe.operators.kinematics import step_speed
@@ -47,8 +48,8 @@ def dataset_track_stats(df: DataFrame) -> DataFrame:
     rows = track_limits(df).withColumn("max_speed", F.coalesce("max_speed", F.lit(0.0)))
     q = rows.agg(
         F.count(F.lit(1)).alias("n_tracks"), F.min("length").alias("len_min"), F.percentile("length", F.lit([0.5, 0.95])).alias("l"), F.max("length").alias("len_max"),
-        F.percentile("max_speed", F.lit([0.5, 0.95, 0.99])).alias("s"), F.max("max_speed").alias("speed_max"),
-    )
+        F.max("max_speed").alias("speed_max"),
+    ).crossJoin(exact_quantiles(rows, "max_speed", [0.5, 0.95, 0.99]).select(F.col("q").alias("s")))  # one row each
     return q.select(
         "n_tracks", "len_min", F.col("l")[0].cast("long").alias("len_p50"), F.col("l")[1].cast("long").alias("len_p95"), "len_max",
         F.col("s")[0].alias("speed_p50"), F.col("s")[1].alias("speed_p95"), F.col("s")[2].alias("speed_p99"), "speed_max",
@@ -83,7 +84,7 @@ def travel(df: DataFrame, column: str) -> DataFrame:
 
 def quantiles(df: DataFrame, column: str) -> DataFrame:
     """Median, 10th and 90th percentile."""
-    q = df.agg(F.percentile(column, F.lit([0.5, 0.1, 0.9])).alias("q"))
+    q = exact_quantiles(df, column, [0.5, 0.1, 0.9])
     return q.select(F.col("q")[0].alias("median"), F.col("q")[1].alias("p10"), F.col("q")[2].alias("p90"))
 
 

@@ -12,6 +12,19 @@ from tetraframe.plans import fixtures as fx
 from tetraframe.plans.book import Book, r, rounded
 
 SHAPE = (fx.NZ, fx.NY, fx.NX)
+
+
+def gauss(sigma: float) -> str:
+    """Weights of a truncated Gaussian as SQL."""
+    top = int(4 * sigma + 0.5)
+    return f"(SELECT d, exp(-0.5 * d * d / {sigma * sigma}) / (SELECT sum(exp(-0.5 * d * d / {sigma * sigma})) FROM range({-top}, {top + 1}) n(d)) AS w FROM range({-top}, {top + 1}) n(d))"
+
+
+def folded(i: str, n: int) -> str:
+    """An index mirrored at the edges, the edge doubled, as SQL."""
+    return f"(CASE WHEN (({i}) % {2 * n} + {2 * n}) % {2 * n} < {n} THEN (({i}) % {2 * n} + {2 * n}) % {2 * n} ELSE {2 * n - 1} - (({i}) % {2 * n} + {2 * n}) % {2 * n} END)"
+
+
 BOOK = Book(
     voxels=fx.VOXELS,
     labels="labels AS (SELECT t, label, count(*) AS volume, max(z) - min(z) + 1 AS zext, max(y) - min(y) + 1 AS yext, max(x) - min(x) + 1 AS xext, avg(z) AS cz, avg(value) AS mean_value FROM voxels WHERE label > 0 GROUP BY 1, 2)",
@@ -83,12 +96,24 @@ a("agg33_slice_contrast", on(lambda v: im.slice_contrast(v.groupBy("y", "x").agg
   "SELECT coalesce(floor(l), 0)::INTEGER AS lo, coalesce(greatest(floor(h), floor(l) + 1), 255)::INTEGER AS hi FROM (SELECT quantile_cont(value, 0.01) AS l, quantile_cont(value, 0.995) AS h FROM (SELECT y, x, max(value) AS value FROM voxels GROUP BY 1, 2) WHERE value > 0)", "voxels")
 a("jn7_label_lut", on(lambda v: jn.label_lut(v, v.where("label % 2 = 1").select("label").distinct().withColumn("lut", F.col("label") % 251)).select("t", "z", "y", "x", "lut")), "SELECT t, z, y, x, CASE WHEN label % 2 = 1 THEN label % 251 ELSE 0 END AS lut FROM voxels", "voxels")
 a("vol17_relabel_contiguous", on(lambda v: lb.relabelled(v).select("t", "z", "y", "x", "dense")), "SELECT t, z, y, x, coalesce(d, 0)::INTEGER AS dense FROM voxels LEFT JOIN (SELECT t, label, dense_rank() OVER (PARTITION BY t ORDER BY label) AS d FROM labels) USING (t, label)", "voxels", "labels")
-BOUND = """near AS (SELECT t, z, y, x, min(o) AS lo, max(o) AS hi FROM (SELECT t, z + d.a AS z, y + d.b AS y, x + d.c AS x, label AS o FROM voxels, (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(a, b, c) WHERE label > 0) GROUP BY 1, 2, 3, 4),
-bound AS (SELECT v.*, coalesce(n.lo <> v.label OR n.hi <> v.label, false) AS boundary FROM voxels v LEFT JOIN near n USING (t, z, y, x))"""
+BOUND = """six AS (SELECT v.t, v.z, v.y, v.x, min(w.label) AS lo, max(w.label) AS hi FROM voxels v, (VALUES (0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(a, b, c) JOIN voxels w ON w.t = v.t AND w.z = v.z + d.a AND w.y = v.y + d.b AND w.x = v.x + d.c GROUP BY 1, 2, 3, 4),
+around AS (SELECT v.t, v.z, v.y, v.x, count(DISTINCT w.label) FILTER (WHERE w.label > 0) AS k FROM voxels v, range(-1, 2) p(a), range(-1, 2) q(b), range(-1, 2) u(c) JOIN voxels w ON w.t = v.t AND w.z = v.z + a AND w.y = v.y + b AND w.x = v.x + c GROUP BY 1, 2, 3, 4),
+bound AS (SELECT v.*, lo <> hi AND (label = 0 OR k > 1) AS boundary FROM voxels v JOIN six USING (t, z, y, x) JOIN around USING (t, z, y, x))"""
 BOOK.views["bound"] = BOUND
 a("vol14_foreground_gate", on(lambda v: lb.foreground_gate(v).select("t", "z", "y", "x", "foreground")), "SELECT t, z, y, x, label > 0 AND NOT boundary AS foreground FROM bound", "voxels", "bound")
-a("vol22_label_contours", on(lambda v: lb.outer_boundary(v).groupBy("t", "z").agg(F.count_if("boundary").alias("n_boundary"), F.count_if(F.col("label") > 0).alias("n_fg"))), "SELECT t, z, count(*) FILTER (WHERE boundary) AS n_boundary, count(*) FILTER (WHERE label > 0) AS n_fg FROM bound GROUP BY 1, 2", "voxels", "bound")
-a("vol15_remove_small_components", on(lambda v: lb.without_small_components(v, 20)))
+a("vol14_boundary_width", on(lambda v: lb.foreground_gate(v, 2).select("t", "z", "y", "x", "foreground")), "SELECT v.t, v.z, v.y, v.x, v.label > 0 AND NOT bool_or(w.boundary) AS foreground FROM bound v, (VALUES (0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(a, b, c) JOIN bound w ON w.t = v.t AND w.z = v.z + d.a AND w.y = v.y + d.b AND w.x = v.x + d.c GROUP BY v.t, v.z, v.y, v.x, v.label", "voxels", "bound")
+BOOK.views["smoothed"] = f"""gk AS {gauss(2.0)}, cz AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.boundary::INTEGER) AS v FROM (SELECT t, z, y, x, w, {folded('z + d', fx.NZ)} AS s FROM bound, gk) a JOIN bound b ON a.t = b.t AND a.s = b.z AND a.y = b.y AND a.x = b.x GROUP BY 1, 2, 3, 4),
+cy AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded('y + d', fx.NY)} AS s FROM cz, gk) a JOIN cz b ON a.t = b.t AND a.z = b.z AND a.s = b.y AND a.x = b.x GROUP BY 1, 2, 3, 4),
+cx AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded('x + d', fx.NX)} AS s FROM cy, gk) a JOIN cy b ON a.t = b.t AND a.z = b.z AND a.y = b.y AND a.s = b.x GROUP BY 1, 2, 3, 4)"""
+a("vol22_label_contours", on(lambda v: rounded(lb.label_contours(v, fx.NZ))), f"SELECT t, z, y, x, (label > 0)::INTEGER::DOUBLE AS foreground, {r('v AS contour')} FROM bound JOIN cx USING (t, z, y, x)", "voxels", "bound", "smoothed")
+# Each voxel's least voxel reachable by faces, by a recursive walk.
+COMPONENTS = """SELECT t, coalesce(sum(n) FILTER (WHERE n >= 20), 0)::BIGINT AS kept, sum(n)::BIGINT AS labelled, count(*) AS components, count(*) FILTER (WHERE n >= 20) AS large FROM (
+  WITH RECURSIVE fg AS (SELECT t, z, y, x, (z * 24 + y) * 24 + x AS i FROM voxels WHERE label > 0),
+  e AS (SELECT a.t, a.i AS a, b.i AS b FROM fg a, (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(p, q, u) JOIN fg b ON b.t = a.t AND b.z = a.z + p AND b.y = a.y + q AND b.x = a.x + u),
+  walk AS (SELECT t, i AS root, i FROM fg UNION SELECT w.t, w.root, e.b FROM walk w JOIN e ON e.t = w.t AND e.a = w.i AND e.b > w.root),
+  roots AS (SELECT t, i, min(root) AS root FROM walk GROUP BY 1, 2) SELECT t, root, count(*) AS n FROM roots GROUP BY 1, 2) GROUP BY 1"""
+a("vol15_remove_small_components", on(lambda v: lb.without_small_components(v, 20, 5).groupBy("t").agg(F.count_if("keep").alias("kept"), F.count_if(F.col("component") > 0).alias("labelled"), F.max("component").alias("components"), F.count_distinct(F.when(F.col("keep"), F.col("component"))).alias("large"))),
+  COMPONENTS, "voxels")
 a("vol7_downscale_labels", on(lambda v: lb.nearest_labels(v, 0.5, fx.NY, fx.NX)), "SELECT t, z, y2::INTEGER AS y, x2::INTEGER AS x, label FROM voxels JOIN (SELECT i AS y2, floor((i + 0.5) * 2)::INTEGER AS y FROM range(12) q(i)) USING (y) JOIN (SELECT i AS x2, floor((i + 0.5) * 2)::INTEGER AS x FROM range(12) q(i)) USING (x)", "voxels")
 a("vol18_mask_axis_fix", on(lambda v: lb.axis_fixed(v.where("y < 6")).select("t", "z", "y", "x", "label")), "SELECT t, y AS z, z AS y, x, label FROM voxels WHERE y < 6", "voxels")
 a("flt19_crop_roi", on(lambda v: fl.crop_roi(v, 4, 6, 10, 8, fx.NY, fx.NX)), "SELECT t, z, y - 4 AS y, x - 6 AS x, value, label FROM voxels WHERE y >= 4 AND y < 14 AND x >= 6 AND x < 14", "voxels")

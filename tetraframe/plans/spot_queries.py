@@ -192,7 +192,8 @@ def shifted(tracks: DataFrame) -> DataFrame:
 a("jn2_assign_nearest", lambda s, f: jn.assign_nearest(fx.spots(s, f).withColumn("track_id", F.lit(None).cast("long")), shifted(fx.all_tracks(s, f)), 60.0).select("frame", "id", "track_id"), "SELECT s.frame, s.id, w.track_id FROM spots s LEFT JOIN won w ON s.frame = w.frame AND s.id = w.id", "spots", "all_tracks", "near")
 NN = """nn AS (SELECT a.id, min(sqrt((a.position_x - b.position_x) * (a.position_x - b.position_x) + (a.position_y - b.position_y) * (a.position_y - b.position_y) + (a.position_z - b.position_z) * (a.position_z - b.position_z))) AS d FROM cloud a JOIN cloud b ON a.id <> b.id GROUP BY 1)"""
 BOOK.views["nn"] = NN
-a("jn3_nn_tolerance", lambda s, f: rounded(jn.nn_tolerance(fx.cloud(s, f))), f"SELECT {r('greatest(1.5 * median(d), 1e-6) AS tolerance')} FROM nn", "cloud", "nn")
+a("jn3_nn_tolerance", lambda s, f: rounded(jn.nn_tolerance(fx.cloud(s, f))), f"WITH picked AS (SELECT * FROM cloud ORDER BY {key(0)} LIMIT 5000), own AS (SELECT a.id, min(sqrt(pow(a.position_x - b.position_x, 2) + pow(a.position_y - b.position_y, 2) + pow(a.position_z - b.position_z, 2))) AS d FROM picked a JOIN picked b ON a.id <> b.id GROUP BY 1) SELECT {r('greatest(1.5 * median(d), 1e-6) AS tolerance')} FROM own", "cloud")
+a("jn3_nn_tolerance_all", lambda s, f: rounded(jn.nn_tolerance(fx.cloud(s, f), None)), f"SELECT {r('greatest(1.5 * median(d), 1e-6) AS tolerance')} FROM nn", "cloud", "nn")
 a("jn3_nn_distance", lambda s, f: rounded(jn.nearest_distance(fx.cloud(s, f))), f"SELECT id, {r('d AS distance')} FROM nn", "cloud", "nn")
 a("jn4_map_track_stats", on(lambda d: rounded(jn.map_track_stats(d, fl.track_limits(d)).select("id", "length", "max_speed"))), f"SELECT id, length, {r('max_speed')} FROM spots LEFT JOIN limits USING (track_id)", "spots", "speeds", "limits")
 a("jn6_semi", lambda s, f: fx.spots(s, f).join(fx.tracks(s, f).select("track_id").distinct(), "track_id", "left_semi").groupBy("frame").agg(F.count(F.lit(1)).alias("n")), "SELECT frame, count(*) AS n FROM spots WHERE track_id IN (SELECT track_id FROM tracks) GROUP BY 1", "spots", "tracks")

@@ -11,7 +11,7 @@ from tetraframe.operators import volumes as vo
 from tetraframe.operators.geometry import rotation_matrix
 from tetraframe.plans import fixtures as fx
 from tetraframe.plans.book import Book, r, rounded
-from tetraframe.plans.image_queries import WINDOW
+from tetraframe.plans.image_queries import WINDOW, folded, gauss
 
 SHAPE = (fx.NZ, fx.NY, fx.NX)
 LEVELS = """levels AS (SELECT t, z, greatest({level}, 1e-6) AS level FROM voxels GROUP BY 1, 2),
@@ -32,17 +32,6 @@ a("vol1_depth_scale_mean", on(lambda v: rounded(vo.depth_correction(v, None, 8).
 BOOK.views["mid"] = LEVELS.replace("1e-6", "1e-8").format(level="quantile_cont(value, 0.5)", p=5, q=6)
 a("vol10_z_corr_diag", on(lambda v: rounded(vo.depth_correction_damped(v))), f"SELECT t, z, {r('least(CASE WHEN level < 0.25 * m THEN 1 + (m / level - 1) * level / (0.25 * m + 1e-8) ELSE m / level END, 2.0) AS scale')} FROM smooth JOIN target USING (t)", "voxels", "mid")
 a("win21_z_level_smooth", on(lambda v: rounded(vo.z_level_smooth(v.groupBy("t", "z").agg(F.avg("value").alias("level")), 8))), f"SELECT t, z, {r('level')} FROM smooth", "voxels", "mean")
-def gauss(sigma: float) -> str:
-    """Weights of a truncated Gaussian as SQL."""
-    top = int(4 * sigma + 0.5)
-    return f"(SELECT d, exp(-0.5 * d * d / {sigma * sigma}) / (SELECT sum(exp(-0.5 * d * d / {sigma * sigma})) FROM range({-top}, {top + 1}) n(d)) AS w FROM range({-top}, {top + 1}) n(d))"
-
-
-def folded(i: str, n: int) -> str:
-    """An index mirrored at the edges, the edge doubled, as SQL."""
-    return f"(CASE WHEN (({i}) % {2 * n} + {2 * n}) % {2 * n} < {n} THEN (({i}) % {2 * n} + {2 * n}) % {2 * n} ELSE {2 * n - 1} - (({i}) % {2 * n} + {2 * n}) % {2 * n} END)"
-
-
 # The separable Gaussian as two weighted self joins.
 BOOK.views["shade"] = f"""proj AS (SELECT t, y, x, avg(value) AS v FROM voxels GROUP BY 1, 2, 3), gk AS {gauss(4.0)},
 rowed AS (SELECT a.t, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, y, x, w, {folded('y + d', fx.NY)} AS s FROM proj, gk) a JOIN proj b ON a.t = b.t AND a.s = b.y AND a.x = b.x GROUP BY 1, 2, 3),
