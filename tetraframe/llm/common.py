@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 #: Rows that a Python worker takes at a time of the batches that Spark hands it: documents are long.
 BATCH_ROWS = 1_000
-#: Spark removes a query's shuffle files at its end; without it they stay until the driver happens to collect garbage.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is stored: Spark removes a query's shuffle files at its end, which otherwise stay until the driver happens to
+#: collect garbage, and hands Python batches of few rows, since documents are long.
+WHILE_STORED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,17 +50,19 @@ def _path(spark: SparkSession, place: str):
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
     """Write df as a table in the shared folder and read it again, which cuts its lineage. Removed when the application ends.
 
-    The shuffle files of the write go with its end: what follows reads the table.
+    The session has its own settings again when the write is over.
     """
     spark = df.sparkSession
     place = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in WHILE_STORED}
+    for k, v in WHILE_STORED.items():
+        spark.conf.set(k, v)
     try:
         writer = df.write.option("compression", "zstd")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(place)
     finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     path = _path(spark, place)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(place), place

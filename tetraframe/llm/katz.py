@@ -5,12 +5,17 @@ the corpus's counts of counts (Katz's formula, larger counts undiscounted), the
 mass of words seen once, and alpha(h) is exact: what the seen followers of h leave of the probability, over what they leave of the
 unigram distribution. The context of a text's first word is the end token of the text before it.
 
-Counts are exchanged as packed tables rather than rows of words. Documents form blocks of a few MB; a block holds its distinct words
-as 64-bit hashes and its texts as numbers of them. For each bucket of following words a block writes its distinct pairs once, with
-its own training counts; the bucket adds them up and answers each block with corpus counts. A word whose pairs would overfill a
-bucket is spread over several by the hash of its context; its own count is put together afterwards. The sums over the followers of
-each context are partial by bucket of the following word and meet in buckets of contexts. Every text of a block is then evaluated
-from the answers, word by word, backing off where a pair was not seen in training.
+Counts are exchanged as packed tables rather than rows of words. Documents form blocks of a few MB, which are stored once: a block
+holds its distinct words as 64-bit hashes and its texts as numbers of them, and has its number in the table, so every later step
+reads the same blocks whatever its tasks, and a lost executor changes nothing. For each bucket of following words a block writes its
+distinct pairs once, with its own training counts; the bucket adds them up and answers each block with corpus counts. A word whose
+pairs would overfill a bucket is spread over several by the hash of its context; its own count is put together afterwards. The sums
+over the followers of each context are partial by bucket of the following word and meet in buckets of contexts. Every text of a
+block is then evaluated from the answers, word by word, backing off where a pair was not seen in training.
+
+Rows are one a block and bucket that share a word, so their number is that of blocks times buckets until a row holds few pairs;
+buckets and blocks are large for that reason. Exchanges run in PASSES, each over a share of the buckets or blocks, so that one
+pass's shuffle is on disk at a time.
 
 Rows held out teach nothing and are scored like all others. Words are equal if their 64-bit hashes are.
 
@@ -21,6 +26,7 @@ V + 1 = 1; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -31,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, crc_mod, discard, mix, stored, table, words
+from tetraframe.llm.common import chunks, crc_mod, discard, from_planes, mix, planes, slices, stored, table, words
 
-#: Bytes of a block's texts, pairs of a bucket, largest count that is discounted.
-BLOCK, PAIRS, MOST = 4 << 20, 1 << 18, 5
+#: Bytes of a block's texts, pairs of a bucket, fewest buckets, passes of an exchange, largest count that is discounted.
+BLOCK, PAIRS, FEWEST, PASSES, MOST = 8 << 20, 2 << 20, 64, 2, 5
 END = np.uint64(0x51ED270B35AE1F1D)
 
 
@@ -71,11 +77,8 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 19) -> tuple
 
 
 def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Blocks of a scan of (doc_id, text, held_out): number, tokens of each document, distinct words, texts as numbers of words."""
-    from pyspark import TaskContext
-
-    part, number = TaskContext.get().partitionId(), 0
-    for batch in batches:
+    """Blocks of a scan of (doc_id, text, held_out): tokens of each document, distinct words, texts as numbers of words."""
+    for batch in gathered(batches, BLOCK):
         for lo, hi, data, offsets in chunks(batch.column("text").to_pylist(), BLOCK):
             h, n = _hashed(data, offsets)
             # An end after each document's words.
@@ -87,21 +90,42 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             vocab, codes = np.unique(tokens, return_inverse=True)
             own = batch.slice(lo, hi - lo)
             held = own.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            yield {"block": (part << 32) + number, "sizes": n + 1, "vocab": vocab, "codes": codes.astype(np.uint32), "held": held, "ids": own.column("doc_id")}
-            number += 1
+            yield {"sizes": n + 1, "vocab": vocab, "codes": codes.astype(np.uint32), "held": held, "ids": own.column("doc_id")}
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together until their buffers hold `size` bytes."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in slices(batches):
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """A row a block, packed: ids and held-out flags of documents, tokens of each, distinct words, texts as numbers of words."""
+    """A row a block, packed: ids and held-out flags of documents, tokens of each, distinct words, texts as numbers of words. Numbered when written."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in _built(batches):
             size = pa.array([0, len(x["ids"])], pa.int32())
             ids, held = pa.ListArray.from_arrays(size, x["ids"]), pa.ListArray.from_arrays(size, pa.array(x["held"]))
-            yield pa.RecordBatch.from_arrays([pa.array([x["block"]], pa.int64()), *(pa.array([_pack(x[k])], pa.binary()) for k in ("sizes", "vocab", "codes")), ids, held], ["block", "sizes", "vocab", "codes", "ids", "held"])
+            yield pa.RecordBatch.from_arrays([*(pa.array([v], pa.binary()) for v in (_pack(x["sizes"]), _pack(x["vocab"]), planes(x["codes"]))), ids, held], ["sizes", "vocab", "codes", "ids", "held"])
+
+    rows = docs.select("doc_id", "text", "held_out").mapInArrow(build, f"sizes binary, vocab binary, codes binary, ids array<{kind}>, held array<boolean>")
+    return rows.withColumn("block", F.monotonically_increasing_id())
+
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(build, f"block long, sizes binary, vocab binary, codes binary, ids array<{kind}>, held array<boolean>")
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(number, words, codes, sizes, held) of stored blocks."""
+    for batch in slices(batches, 1):
+        row = {c: batch.column(c)[0].as_py() for c in batch.schema.names}
+        yield row["block"], *_load(row)
 
 
 def block_pairs(vocab: np.ndarray, codes: np.ndarray, sizes: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -148,41 +172,44 @@ class Exchange:
 
 
 def _load(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return _unpack(row["vocab"], np.uint64), _unpack(row["codes"], np.uint32), _unpack(row["sizes"], np.int64), np.array(row["held"], bool)
+    return _unpack(row["vocab"], np.uint64), from_planes(row["codes"]).astype(np.uint32), _unpack(row["sizes"], np.int64), np.array(row["held"], bool)
 
 
-def crowded(docs: DataFrame, share: float) -> DataFrame:
+_COLUMNS = ("block", "sizes", "vocab", "codes", "held")
+
+
+def crowded(kept: DataFrame, share: float) -> DataFrame:
     """(word, pairs): words that hold at least `share` of some block's distinct pairs, with their pairs over these blocks."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _built(batches):
-            vocab, codes, sizes, held = row["vocab"], row["codes"], row["sizes"], row["held"]
+        for _, vocab, codes, sizes, held in _rows(batches):
             _, word, _, _ = block_pairs(vocab, codes, sizes, held)
             n = np.bincount(word, minlength=len(vocab))
             big = np.flatnonzero(n >= max(64, share * len(word)))
             yield pa.RecordBatch.from_arrays([pa.array(np.append(vocab[big], np.uint64(0)).view(np.int64)), pa.array(np.append(n[big], len(word)))], ["word", "pairs"])
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(find, "word long, pairs long").groupBy("word").agg(F.sum("pairs").alias("pairs"))
+    return kept.select(*_COLUMNS).mapInArrow(find, "word long, pairs long").groupBy("word").agg(F.sum("pairs").alias("pairs"))
 
 
-def requests(docs: DataFrame, x: Exchange) -> DataFrame:
-    """(bucket, block, payload...): a block's distinct pairs for each bucket: words, contexts of each, training counts."""
+def requests(kept: DataFrame, x: Exchange, part: int = 0, parts: int = 1) -> DataFrame:
+    """(bucket, block, payload...): a block's distinct pairs for each bucket of a share: words, contexts of each, training counts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _built(batches):
-            vocab, codes, sizes, held = row["vocab"], row["codes"], row["sizes"], row["held"]
+        for block, vocab, codes, sizes, held in _rows(batches):
             context, word, count, _ = block_pairs(vocab, codes, sizes, held)
             order, cuts = x.layout(vocab, context, word)
             context, word, count = context[order], word[order], count[order]
             out = [[], [], [], [], [], []]
             for b in np.flatnonzero(np.diff(cuts)):
+                if b % parts != part:
+                    continue
                 lo, hi = cuts[b], cuts[b + 1]
                 first = np.flatnonzero(np.concatenate([[True], word[lo + 1 : hi] != word[lo : hi - 1]]))
-                for k, v in enumerate((int(b), row["block"], vocab[word[lo:hi][first]].tobytes(), _counts(np.diff(np.append(first, hi - lo))), vocab[context[lo:hi]].tobytes(), _counts(count[lo:hi]))):
+                for k, v in enumerate((int(b), block, vocab[word[lo:hi][first]].tobytes(), _counts(np.diff(np.append(first, hi - lo))), vocab[context[lo:hi]].tobytes(), _counts(count[lo:hi]))):
                     out[k].append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "block", "words", "runs", "contexts", "counts"])
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(ask, "bucket long, block long, words binary, runs binary, contexts binary, counts binary")
+    return kept.select(*_COLUMNS).mapInArrow(ask, "bucket long, block long, words binary, runs binary, contexts binary, counts binary")
 
 
 def _answer(pdf: pd.DataFrame, x: Exchange) -> pd.DataFrame:
@@ -333,17 +360,16 @@ def _alphas(sums: pd.DataFrame, asked: pd.DataFrame, model: Model) -> pd.DataFra
     return pd.DataFrame(rows, columns=["block", "bucket", "x", "y"])
 
 
-def context_requests(docs: DataFrame, x: Exchange) -> DataFrame:
+def context_requests(kept: DataFrame, x: Exchange) -> DataFrame:
     """(bucket, block, words): a block's distinct words as contexts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _built(batches):
-            vocab = row["vocab"]
+        for block, vocab, *_ in _rows(batches):
             order, cuts = x.context_layout(vocab)
             full = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([row["block"]] * len(full), pa.int64()), pa.array([vocab[order[cuts[b] : cuts[b + 1]]].tobytes() for b in full], pa.binary())], ["bucket", "block", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([block] * len(full), pa.int64()), pa.array([vocab[order[cuts[b] : cuts[b + 1]]].tobytes() for b in full], pa.binary())], ["bucket", "block", "words"])
 
-    return docs.select("doc_id", "text", "held_out").mapInArrow(ask, "bucket long, block long, words binary")
+    return kept.select(*_COLUMNS).mapInArrow(ask, "bucket long, block long, words binary")
 
 
 def _evaluate(row, answers: dict[int, tuple[bytes, bytes]], contexts: dict[int, tuple[bytes, bytes]], x: Exchange, model: Model) -> list[np.ndarray]:
@@ -381,22 +407,22 @@ def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); docs: doc_id, text, held_out."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # Blocks are formed anew in each scan rather than stored: a stored copy would be as large as the texts. They are the same each
-    # time, since a scan's partitions and their order are.
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    if not docs.take(1):
-        return spark.createDataFrame([], schema)
+    kept, kept_at = stored(blocks(docs), "blocks")
     # Crowded words: at most 1 / share words a block, and few of them are hot in the corpus.
-    heavy = crowded(docs, 1 / 512).orderBy(F.desc("pairs"))
-    total = heavy.where("word = 0").first()["pairs"]
-    buckets = max(8, math.ceil(total / PAIRS))
+    heavy, heavy_at = stored(crowded(kept, 1 / 512), "crowded")
+    total = heavy.where("word = 0").agg(F.sum("pairs")).first()[0]
+    if not total:
+        return spark.createDataFrame([], schema)
+    buckets = max(FEWEST, math.ceil(total / PAIRS))
     limit = total / buckets / 4
     rows = heavy.where((F.col("word") != 0) & (F.col("pairs") > limit)).collect()  # at most 4 words a bucket
     hot = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(hot)
     x = Exchange(buckets, hot[order], np.array([math.ceil(r["pairs"] / limit) * 2 for r in rows], np.int64)[order] if rows else np.zeros(0, np.int64))
-    answers, answers_at = stored(requests(docs, x).groupBy("bucket").applyInPandas(lambda pdf: _answer(pdf, x), "kind string, block long, bucket long, x binary, y binary, z binary"), "counts", ["kind"])
-    discard(spark)
+    kinds = "kind string, block long, bucket long, x binary, y binary, z binary"
+    parts = [stored(requests(kept, x, k, PASSES).groupBy("bucket").applyInPandas(lambda pdf: _answer(pdf, x), kinds), "counts", ["kind"]) for k in range(PASSES)]
+    answers = functools.reduce(DataFrame.unionByName, [p for p, _ in parts])
     totals = np.zeros(2 * MOST + 4, np.int64)
     for r in answers.where("kind = 't'").select("x").collect():  # a row a bucket
         totals += np.frombuffer(r["x"], np.int64)
@@ -405,27 +431,27 @@ def scored(docs: DataFrame) -> DataFrame:
         for w, n in zip(np.frombuffer(r["x"], np.uint64).tolist(), np.frombuffer(r["y"], np.int64).tolist()):
             sums[w] = sums.get(w, 0) + n
     model = Model(totals, np.array(sorted(sums), np.uint64), np.array([sums[w] for w in sorted(sums)], np.int64))
-    parts = answers.where("kind = 'c'").select("bucket", "x", "y", "z")
-    asked = context_requests(docs, x)
-    alphas = parts.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(lambda a, b: _alphas(a, b, model), "block long, bucket long, x binary, y binary")
+    sides = answers.where("kind = 'c'").select("bucket", "x", "y", "z")
+    alphas = sides.groupBy("bucket").cogroup(context_requests(kept, x).groupBy("bucket")).applyInPandas(lambda a, b: _alphas(a, b, model), "block long, bucket long, x binary, y binary")
     alphas, alphas_at = stored(alphas, "contexts")
-    discard(spark)
     replies = answers.where("kind = 'a'").select("block", "bucket", "x", "y", F.lit(0).alias("k")).unionByName(alphas.withColumn("k", F.lit(1)))
 
     def evaluate(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
-            return pd.DataFrame({"ids": [], "held": [], "n": [], "known": [], "base": [], "score": []})
-        row = left.iloc[0]
+        row = left.iloc[0]  # every block has a row here, also one that no bucket answers
         got: list[dict] = [{}, {}]
         for r in right.itertuples(index=False):
             got[r.k][r.bucket] = r.x, r.y
         n, known, base, score = _evaluate(row, got[0], got[1], x, model)
         return pd.DataFrame({"ids": list(row["ids"]), "held": list(row["held"]), "n": n, "known": known, "base": base, "score": score})
 
-    out = blocks(docs).groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(evaluate, f"ids {kind}, held boolean, n long, known long, base double, score double")
-    out, _ = stored(out.select(F.col("ids").alias("doc_id"), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score"), "scores")
-    discard(spark, answers_at, alphas_at)
-    return out
+    done = []
+    for k in range(PASSES):
+        own = F.pmod("block", F.lit(PASSES)) == k
+        out = kept.where(own).groupBy("block").cogroup(replies.where(own).groupBy("block")).applyInPandas(evaluate, f"ids {kind}, held boolean, n long, known long, base double, score double")
+        done.append(stored(out, "scores")[0])
+    discard(spark, kept_at, heavy_at, alphas_at, *(at for _, at in parts))
+    out = functools.reduce(DataFrame.unionByName, done)
+    return out.select(F.col("ids").alias("doc_id"), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
