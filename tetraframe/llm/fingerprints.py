@@ -5,13 +5,14 @@ ends trimmed) and digested by two xxhash64 of different seeds, 128 bits. Equal d
 canonical bytes are compared with the bucket's first text, and what differs forms classes by its bytes. The digest is
 exact, so two fingerprints are alike (1) or not (0).
 
-Defined cases: null text is the empty text; null doc_id sorts below all others; repeated rows keep one row each;
-an empty table gives an empty result; only the named columns are read, so extra ones don't matter.
+The normaliser is called through java_method, which Catalyst takes for nondeterministic: filters are not pushed through it.
+
+Defined cases: null text is the empty text; null doc_id sorts below all others; rows of one doc_id come in the order of their text;
+repeated rows keep one row each; an empty table gives an empty result; only the named columns are read, so extra ones don't matter.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,8 +20,6 @@ from pyspark.sql import functions as F
 
 from tetraframe.llm.common import stored, table
 
-#: Rows of a block of the doc_id order, and the most blocks.
-BLOCK_ROWS, MOST_BLOCKS = 500, 65_536
 _LEAST = -(1 << 63)
 
 
@@ -37,17 +36,17 @@ def digest(form: Column) -> Column:
     return F.lower(F.concat(part(1), part(2)))
 
 
-def exact_classes(docs: DataFrame, fingerprints: DataFrame) -> DataFrame:
+def exact_classes(docs: DataFrame, fingerprints: DataFrame, derive: Callable[[Column], Column] = digest) -> DataFrame:
     """(doc_id, fingerprint, class_id): rows of equal canonical bytes share the smallest doc_id of them.
 
-    fingerprints: (doc_id, fingerprint) of docs. Only buckets of two or more rows fetch texts; every row is compared with its
-    bucket's first text, never with all others, so a bucket of many copies stays a join that Spark can split.
+    fingerprints: (doc_id, fingerprint) of docs, made by `derive`. Only buckets of two or more rows fetch texts; every row is compared
+    with its bucket's first text, never with all others, so a bucket of many copies stays a join that Spark can split.
     """
     fp = fingerprints.select("doc_id", "fingerprint")
     buckets = fp.groupBy("fingerprint").agg(F.min("doc_id").alias("_rep"), F.count(F.lit(1)).alias("_n"))
-    shared = buckets.where("_n > 1").select("fingerprint", "_rep")
-    members = docs.select("doc_id", "text").join(fp.join(shared, "fingerprint").select("doc_id").distinct(), "doc_id", "left_semi")
-    forms = members.select("doc_id", canonical(F.col("text")).alias("_form")).withColumn("fingerprint", digest(F.col("_form")))
+    shared, _ = stored(buckets.where("_n > 1").select("fingerprint", "_rep"), "buckets")
+    members = docs.select("doc_id", "text").join(fp.join(shared, "fingerprint", "left_semi").select("doc_id").distinct(), "doc_id", "left_semi")
+    forms = members.select("doc_id", canonical(F.col("text")).alias("_form")).withColumn("fingerprint", derive(F.col("_form")))
     reps = shared.join(forms.withColumnRenamed("doc_id", "_rep"), ["fingerprint", "_rep"]).groupBy("fingerprint", "_rep").agg(F.min("_form").alias("_rep_form"))
     compared = forms.join(reps, "fingerprint").select("doc_id", "fingerprint", "_rep", F.when(F.col("_form") != F.col("_rep_form"), F.col("_form")).alias("_other"))
     same = compared.where("_other IS NULL").select("doc_id", "fingerprint", F.col("_rep").alias("class_id"))
@@ -59,28 +58,23 @@ def exact_classes(docs: DataFrame, fingerprints: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Add next_<column> for each named column: that of the next row in descending doc_id order, after the last the first's.
 
-    derive adds columns to rows once they stand in their blocks, so that what it computes is computed once a row.
+    derive adds columns to rows once they stand in order, so that what it computes is computed once a row.
 
-    The order is cut into blocks at quantiles of doc_id; each block also gets the first row of the block after it, so the
-    window needs one exchange and no task holds more than a block.
+    Rows are sorted by ranges and stored, part by part. Inside a part the next row is the window's; the last row of a part takes the
+    first row of the next part that has one, from a table with a row a part. No part's bounds pass through the driver.
     """
     rows = docs.withColumn("_key", F.coalesce(F.col("doc_id"), F.lit(_LEAST)))
-    total = rows.count()
-    n = max(1, min(MOST_BLOCKS, math.ceil(total / BLOCK_ROWS)))
-    bounds = rows.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 and total else []
-    bounds = sorted(set(bounds or []))
-    array, steps = F.lit([_LEAST, *bounds]), [1 << k for k in reversed(range(len(bounds).bit_length()))]
-    place = lambda key: F.aggregate(F.lit(steps), F.lit(1), lambda at, step: F.when((at + step <= len(bounds) + 1) & (F.try_element_at(array, at + step) <= key), at + step).otherwise(at)) if bounds else F.lit(1)
-    rows = rows.withColumn("_block", place(F.col("_key")))
-    tops = rows.groupBy("_block").agg(F.max("_key").alias("_key"))
-    order = Window.orderBy(F.desc("_block"))
-    # One row a block, at most MOST_BLOCKS of them.
-    tops = tops.select("_key", F.coalesce(F.lag("_block").over(order), F.min("_block").over(Window.partitionBy())).alias("_for"))
-    border = rows.join(F.broadcast(tops), "_key").withColumn("_block", F.col("_for")).drop("_for")
-    both = derive(rows.withColumn("_border", F.lit(0)).unionByName(border.withColumn("_border", F.lit(1))))
-    window = Window.partitionBy("_block").orderBy("_border", F.desc("_key"), *columns)
-    out = both.select("*", *(F.lead(c).over(window).alias(f"next_{c}") for c in columns))
-    return out.where("_border = 0").drop("_key", "_block", "_border")
+    # Ends of equal keys must meet in one part, which the range does: it goes by the key alone.
+    ordered = derive(rows.repartitionByRange(F.desc("_key"))).withColumn("_part", F.spark_partition_id())
+    kept, _ = stored(ordered, "ordered")
+    order = [F.desc("_key"), *(F.col(c) for c in columns)]
+    inside = Window.partitionBy("_part").orderBy(*order)
+    first = kept.groupBy("_part").agg(F.min_by(F.struct(*columns), F.struct(F.negative(F.col("_key").cast("decimal(20,0)")), *columns)).alias("_first"))
+    across = Window.orderBy("_part")  # a row a part
+    first = first.select("_part", F.coalesce(F.lead("_first").over(across), F.first("_first").over(across)).alias("_border"))
+    numbered = kept.select("*", F.struct(*(F.lead(c).over(inside).alias(c) for c in columns)).alias("_next"), F.lead(F.lit(True)).over(inside).alias("_more"))
+    out = numbered.join(first, "_part").withColumn("_next", F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_border")))
+    return out.select(*(c for c in kept.columns if c not in ("_key", "_part")), *(F.col(f"_next.{c}").alias(f"next_{c}") for c in columns))
 
 
 def edited(text: Column, following: Column) -> Column:
