@@ -49,12 +49,21 @@ def test_fingerprints(spark, folder, rows):
 
 
 def test_equal_digests_are_compared_by_bytes(spark):
-    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "A"), (4, "b"), (5, "c")], "doc_id long, text string")
-    forged = docs.select("doc_id", F.lit("same").alias("fingerprint"))
-    # All in one bucket by a forged digest: the true digests must be joined, so classes come from the real ones only.
+    """A digest that is the same for all texts: classes come from the bytes alone."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "A"), (4, "b"), (5, "c"), (6, None), (7, "")], "doc_id long, text string")
+    forged = lambda form: F.lit("same")
+    got = fingerprints.exact_classes(docs, docs.select("doc_id", F.lit("same").alias("fingerprint")), forged).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {1: 1, 3: 1, 2: 2, 4: 2, 5: 5, 6: 6, 7: 6}
     real = fingerprints.with_fingerprint(docs, "text", "fingerprint").select("doc_id", "fingerprint")
-    got = {r["doc_id"]: r["class_id"] for r in fingerprints.exact_classes(docs, real).collect()}
-    assert got == {1: 1, 3: 1, 2: 2, 4: 2} and forged.count() == 5
+    assert {r["doc_id"]: r["class_id"] for r in fingerprints.exact_classes(docs, real).collect()} == {1: 1, 3: 1, 2: 2, 4: 2, 6: 6, 7: 6}
+
+
+def test_next_rows_go_around_over_parts(spark):
+    rows = [(i * 7 % 101, f"t{i}") for i in range(100)] + [(None, "none"), (50, "a"), (50, "b")]
+    got = fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), ["text"]).collect()
+    order = [t for _, t in sorted(rows, key=lambda r: (-(r[0] if r[0] is not None else -1), r[1]))]
+    want = dict(zip(order, order[1:] + order[:1]))
+    assert len(got) == len(rows) and {r["text"]: r["next_text"] for r in got} == want
 
 
 def test_token_counts(spark, folder, rows):
@@ -152,7 +161,7 @@ def test_pigeonhole_lists_meet():
     assert (x == y).any(axis=1).all()
 
 
-@pytest.mark.parametrize("hot", [4000, 1])
+@pytest.mark.parametrize("hot", [4000, 1, 0])
 def test_long_matches(spark, folder, rows, hot):
     n = 60
     docs = [(t or "").encode() for _, t, *_ in rows]
@@ -380,3 +389,177 @@ def test_mixing_meets_its_targets(spark, folder, rows):
 def test_mixing_is_native(spark, folder):
     plan = mixing.op8_mixing(spark, folder)._jdf.queryExecution().toString() + fingerprints.op1_fingerprints(spark, folder)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def plain_features(stems, text):
+    """The grammar's tags clause by clause, word by word, without automata."""
+    g, out = toxicity.Grammar(stems), np.zeros(toxicity.FEATURES)
+    anchors = sorted({*(s.rstrip("$") for s in stems), *toxicity.THREATS})
+    for clause in re.split(r"[.!?;:\n]", (text or "").lower()):
+        if not any(re.search(rf"(?<![^\W\d_]){re.escape(a)}", clause) for a in anchors):
+            continue
+        negated, reported, targeted, events = 0, False, False, 0.0
+        for word in toxicity._WORD.findall(clause):
+            kind, weight = g.symbol(word)
+            targeted |= kind == toxicity.TARGET
+            if kind in (toxicity.INSULT, toxicity.THREAT):
+                out[(kind == toxicity.THREAT) * 4 + (negated > 0) * 2 + reported] += 1
+                own = weight * (0.4 if negated else 1) * (0.5 if reported else 1)
+                events, out[10] = events + own, max(out[10], own)
+            negated = 3 if kind == toxicity.NEGATION else max(negated - 1, 0)
+            reported |= kind == toxicity.REPORT
+        if events:
+            out[8] += targeted
+            out[9] += events
+    out[:10] = np.log1p(out[:10])
+    return out
+
+
+def test_scores_against_plain_clauses(spark, folder, rows):
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    stems, w = toxicity.train(docs, labels)
+    got = by_id(toxicity.op2_toxicity(spark, folder))
+    for i, t, *_ in rows:
+        want = 1 / (1 + math.exp(-max(-30, min(30, float(plain_features(stems, t) @ w[:-1] + w[-1])))))
+        assert abs(got[i]["score"] - want) < 1e-9 and got[i]["predicted"] == (want >= 0.3)
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
+@pytest.mark.parametrize("text", ["You idiot. He said he will kill you, never destroy loweibung", "not not not a b idiot; said idiot idiot", "idiot\nidiot you!", "IDIOT idiotic lowei loweiba", "I said no idiot, no one will kill them"])
+def test_grammar_against_plain_clauses(text):
+    stems = {"idiot$": 5.0, "loweib": 3.0}
+    assert np.allclose(toxicity.Grammar(stems).features(text), plain_features(stems, text))
+
+
+def test_each_transducer_changes_the_features():
+    g = toxicity.Grammar({"idiot$": 5.0})
+    texts = {"insult": ("idiot here", "nothing here"), "threat": ("I kill", "I sing"), "target": ("you idiot", "an idiot"), "negation": ("not idiot", "an idiot"), "report": ("said idiot", "an idiot")}
+    for name, (a, b) in texts.items():
+        assert not np.allclose(g.features(a), g.features(b)), name
+    w = toxicity.UNTRAINED
+    score = lambda t: float(g.features(t) @ w[:-1])
+    assert score("you idiot") > score("an idiot") > score("said idiot") > score("not idiot") - 1 and score("I kill you") > score("I sing to you")
+
+
+def test_null_ids_are_not_held_out(spark, tmp_path):
+    spark.createDataFrame([(None, "some words here", "en"), (1, "some words here", "en"), (None, None, None)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for query in (toxicity.op2_toxicity, langid.op6_language_id, katz.op3_katz):
+        got = query(spark, str(tmp_path)).collect()
+        assert len(got) == 3 and [r["held_out"] for r in got if r["doc_id"] is None] == [False, False]
+    got = fingerprints.op1_fingerprints(spark, str(tmp_path)).collect()
+    assert len(got) == 3 and sorted(r["n_chars"] for r in got) == [0, 15, 15]
+
+
+def test_languages_against_a_plain_forward_pass(spark, folder, rows):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    net = langid.train(docs)
+    got = by_id(langid.predicted(docs, net))
+    for i, t, *_ in rows:
+        if not re.search(r"[^\W\d_]", t or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        raw = re.sub(rb"[A-Z]", lambda m: m.group().lower(), t.encode())
+        logs = []
+        for at in range(0, len(raw), langid.WINDOW):
+            e = net.p["embed"][np.frombuffer(raw[at : at + langid.WINDOW].ljust(langid.WINDOW), np.uint8)].astype(float)
+            pooled = []
+            for w in langid.WIDTHS:
+                r = np.stack([sum(e[k + j] @ net.p[f"filter{w}"][j] for j in range(w)) for k in range(langid.WINDOW - w + 1)])
+                pooled.append(np.maximum(r.max(0) + net.p[f"bias{w}"], 0))
+            z = np.concatenate(pooled) @ net.p["out"] + net.p["out_bias"]
+            logs.append(z - np.log(np.exp(z).sum()))
+            if len(logs) > 6:
+                break
+        if len(raw) > 6 * langid.WINDOW:
+            continue
+        p = np.exp(np.mean(logs, 0))
+        p /= p.sum()
+        assert got[i]["lang_pred"] == net.labels[int(p.argmax())] and abs(got[i]["score"] - p.max()) < 1e-4
+
+
+def test_mixing_against_a_plain_budget(spark, folder, rows):
+    """Exponent by bisection, weights by definition; every source fills its budget to within its last document."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    n = {i: 1 + len(re.findall(r"[ \n\t\r]", t or "")) for i, t, *_ in rows}
+    own, big = collections.Counter(), collections.Counter()
+    for i, t, _, s in rows:
+        own[s] += n[i]
+        big[s] = max(big[s], n[i])
+    total = sum(own.values())
+    share = {s: v / total for s, v in own.items()}
+    spread = lambda a: max(v ** (a - 1) for v in share.values()) / min(v ** (a - 1) for v in share.values())
+    lo, hi = 0.0, 1.0
+    for _ in range(80):
+        mid = (lo + hi) / 2
+        lo, hi = (lo, mid) if spread(mid) <= 2.0 else (mid, hi)
+    z = sum(v**hi for v in share.values())
+    passes = {s: v ** (hi - 1) / min(x ** (hi - 1) for x in share.values()) for s, v in share.items()}
+    shown, seen = collections.Counter(), collections.Counter()
+    for r in mixing.mixed(docs, repetition=2.0).collect():
+        assert abs(r["mix_exponent"] - hi) < 1e-6 and abs(r["mix_weight"] - share[r["source"]] ** hi / z) < 1e-6
+        shown[r["source"]] += n[r["doc_id"]]
+        seen[r["doc_id"]] += 1
+    for s in own:
+        assert passes[s] * own[s] - 1e-3 <= shown[s] <= passes[s] * own[s] + big[s] + 1e-3
+    for i, _, _, s in rows:
+        if i != 500:  # two rows of one doc_id
+            assert math.floor(passes[s] + 1e-6) <= seen[i] <= math.ceil(passes[s] - 1e-6)
+
+
+def test_blocks_are_the_same_whatever_the_scan(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(katz, "BLOCK", 3000)
+    spark.read.parquet(f"{folder}/documents.parquet").repartition(9).write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    real = katz.stored
+
+    def between(df, name, *rest):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k" if name == "counts" else before)  # other tasks than the scan before
+        return real(df, name, *rest)
+
+    monkeypatch.setattr(katz, "stored", between)
+    try:
+        for f in (folder, str(tmp_path)):
+            seen.append({(r["doc_id"], r["n_tokens"]): round(r["score"], 9) for r in katz.op3_katz(spark, f).collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0] == seen[1]
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (1, "z y x w v u t"), (2, "a b c d e f g"), (3, "z y x w v u t")], "doc_id long, text string")
+    got = near_dedup.deduplicated(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, "a b c d e f g"), (1, "z y x w v u t")]
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == 4 and {(r["doc_id"], r["component_id"]) for r in found} == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_recall_of_near_pairs_on_thousands(spark):
+    """Edited copies at all degrees of likeness: every brute-force link is inside a component."""
+    import random
+
+    rng, texts = random.Random(8), []
+    for f in range(40):
+        base = [f"v{rng.randrange(5000)}" for _ in range(60)]
+        for _ in range(50):
+            w = list(base)
+            for _ in range(rng.randrange(0, 5)):
+                w[rng.randrange(60)] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    sets = [set(zip(*(t.split()[k:] for k in range(3)))) for t in texts]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85).collect()}
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for f in range(40):
+        for i in range(f * 50, f * 50 + 50):
+            for j in range(f * 50, i):
+                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    a, b = sorted((top(i), top(j)))
+                    root[b] = a
+    assert {i: top(i) for i in range(len(texts))} == got

@@ -30,3 +30,85 @@ def test_nulls_and_repeated_rows_survive_dedup(spark, folder):
     docs = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     got = near_dedup.deduplicated(docs).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["1", "2", "None", "None"]
+
+
+def test_stages_against_brute_force(spark, folder, rows):
+    """Every stage against a plain version of it, on what the stage before kept."""
+    import re
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from tests.llm.test_operators import plain_features, split
+    from tetraframe.llm import toxicity
+    from tetraframe.llm.token_counts import vocabulary
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    stems, w = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    kept = corpus_pipeline.toxicity(spark, docs, folder)
+    now = [r for r in docs.collect() if 1 / (1 + np.exp(-(plain_features(stems, r["text"]) @ w[:-1] + w[-1]))) < 0.3]
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, now))
+
+    kept, sets, root = corpus_pipeline.near_dedup(spark, kept, folder), {}, {}
+    for r in now:
+        words = split(r["text"])
+        sets[r["doc_id"]] = set(zip(*(words[k:] for k in range(5)))) if len(words) >= 5 else ({tuple(words)} if words else set())
+        root[r["doc_id"]] = r["doc_id"]
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if j < i and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    now = list({r["doc_id"]: r for r in now if top(r["doc_id"]) == r["doc_id"]}.values())
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, now))
+
+    kept = corpus_pipeline.suffix_dedup(spark, kept, folder)
+    raw, count = {r["doc_id"]: (r["text"] or "").encode() for r in now}, {}
+    for d in raw.values():
+        for a in range(len(d) - 199):
+            count[d[a : a + 200]] = count.get(d[a : a + 200], 0) + 1
+    texts = {}
+    for i, d in raw.items():
+        gone = np.zeros(len(d), bool)
+        for a in range(len(d) - 199):
+            if count[d[a : a + 200]] > 1:
+                gone[a : a + 200] = True
+        left = bytes(c for c, g in zip(d, gone) if not g).decode("utf-8", "ignore")
+        if left or not gone.any():
+            texts[i] = left
+    found = {r["doc_id"]: r for r in kept.collect()}
+    assert {i: r["text"] or "" for i, r in found.items()} == texts and all(r["n_chars"] == len(texts[i]) for i, r in found.items() if r["text"] is not None)
+
+    mixed = corpus_pipeline.mixing(spark, kept, folder)
+    shown = mixed.collect()
+    assert {r["doc_id"] for r in shown} == set(texts) and all(r == found[r["doc_id"]] for r in shown)
+
+    t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want, bins = [], {}
+    for r in shown:
+        ids = np.array([*t.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
+        want += [(r["doc_id"], k, a, len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes())) for k, a in enumerate(range(0, len(ids), 2048))]
+    parts = corpus_pipeline.packing(spark, mixed, folder).collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in parts) == sorted(want)
+    for r in parts:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in bins.values():
+        assert sorted(b) == [(sum(n for _, n in sorted(b)[:k]), n) for k, (_, n) in enumerate(sorted(b))] and sum(n for _, n in b) <= 2048
+    assert re.match("toxicity", corpus_pipeline.STAGES[0][0])
+
+
+def test_stages_on_empty_and_clashing_tables(spark, empty_folder):
+    empty = spark.read.parquet(f"{empty_folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, empty_folder).count() == 0, name
+    odd = spark.createDataFrame([(1, "a b c d e f", "en", "s", 11, 0.5, 3, 7), (1, "a b c d e f", "en", "s", 11, 0.5, 3, 7), (2, None, None, None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long, score double, component long, n int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, odd, empty_folder)
+        assert got.columns == odd.columns and {r["doc_id"] for r in got.collect()} == {1, 2}, name

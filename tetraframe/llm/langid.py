@@ -6,11 +6,14 @@ cut into windows, all of them are classified in batches, and its probabilities a
 For prediction the embedding and filters are folded into tables by byte and by byte pair, so a window needs lookups and
 additions only.
 
-Training reads about `rows` texts of each language (those with the smallest hashes of doc_id; a documented bound), never rows
-held out. Languages with very few texts are learned from those they have.
+Training reads about `rows` texts of each of the `most` most frequent languages (rows with the smallest hashes of doc_id), and of
+each text at most PER_TEXT windows, drawn at random: documented bounds. Rows held out never teach. Languages with very few texts are
+learned from those they have.
 
 Defined cases: null text or a text without a letter is `und` with score 0; texts of any length are read whole; null languages
-teach nothing; with no labelled row every text is `und`; repeated rows are predicted each; an empty table gives an empty result.
+teach nothing; with no labelled row every text is `und`; of equally frequent languages at the bound the first by name is learned, of
+equally likely ones the first by name is predicted; repeated rows are predicted each, with a null doc_id too, which is not held out;
+other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ from tetraframe.llm.common import _LOWER, crc_mod, table
 
 #: Bytes of a window, embedding size, filters of each width, widths.
 WINDOW, EMBED, FILTERS, WIDTHS = 192, 8, 16, (2, 3, 4)
-#: Training texts of a language, windows of a text, passes over them.
-ROWS, PER_TEXT, EPOCHS = 400, 8, 6
+#: Training texts of a language, languages, windows of a text, passes over them.
+ROWS, MOST, PER_TEXT, EPOCHS = 400, 200, 8, 6
 
 
 def windows(texts: list[str | None], length: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -129,10 +132,10 @@ class ByteNetwork:
         self.pairs = None
 
 
-def train(docs: DataFrame, rows: int = ROWS) -> ByteNetwork | None:
-    """A network from about `rows` texts of each language."""
+def train(docs: DataFrame, rows: int = ROWS, most: int = MOST) -> ByteNetwork | None:
+    """A network from about `rows` texts of each of the `most` most frequent languages."""
     own = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod("doc_id", 4) != 2)).select("doc_id", "lang", "text")
-    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language
+    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()}
     if not counts:
         return None
     share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, rows / n))))
@@ -194,4 +197,4 @@ def predicted(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return predicted(docs, train(docs)).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    return predicted(docs, train(docs)).select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -12,11 +12,13 @@ Goal: all bytes covered by a string of `length` bytes that also starts elsewhere
 3. Matching statistics stream over the text: inside a run the common prefix of position i is that of i - 1 less one, so every
    value follows from the last sample. Positions whose longest match with another suffix reaches `length`, and those of segments
    of multiplicity two or more, start repeated windows.
-4. A choice with more than HOT distinct segments is cut to its single windows, which are counted by their hash; no bucket grows
-   with it.
+4. A choice with more than HOT distinct segments would overfill a bucket. Its segments are dealt again as texts of their own, each
+   with its multiplicity, by longer strings (ANCHORS), which split it; the last are as long as the windows, so that a choice is one
+   string. Each level builds its own index, and no bucket grows with a choice.
 Marks go back to all occurrences of their segments, and to documents as runs of bytes.
 
-Hashes are 64 bits wide (a document's key 128); matches inside a bucket compare by sorted order and prefix hashes of the bucket.
+Segments are equal if two 64-bit hashes are, that of the string that dealt them and that of their bytes, under 400 of them; a
+document's key has 128 bits. Inside a bucket the bytes themselves are sorted.
 
 Defined cases: null text is the empty text; texts shorter than `length` keep all; repeated rows are documents of their own and so
 repeat each other; an empty table gives an empty result; other columns are carried along.
@@ -33,10 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, discard, prefix_hash, span_hash, stored, table
+from tetraframe.llm.common import chunks, discard, prefix_hash, slices, span_hash, stored, table
 
-#: Bytes of the strings that deal windows out, distinct segments of a bucket, and of a choice that is cut to windows.
-K, BUCKET, HOT = 80, 3_000, 4_000
+#: Distinct segments of a bucket, and of a choice that is dealt again.
+BUCKET, HOT = 3_000, 4_000
+#: Lengths of the strings that deal windows out, level by level, as shares of the window.
+ANCHORS = (0.4, 0.7, 0.9, 1.0)
 _PLACE = np.uint64((1 << 28) - 1)
 
 
@@ -188,81 +192,88 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_k1": F.xxhash64(F.lit(1), F.col("doc_id"), F.col("text")), "_k2": F.xxhash64(F.lit(2), F.col("text"), F.col("doc_id"))})
 
 
-def occurrences(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(_k1, _k2, s, n, h, g): all segments of all documents."""
+def occurrences(texts: DataFrame, length: int, k: int) -> DataFrame:
+    """(_k1, _k2, w, s, n, h, g): all segments of all texts. texts: keys, text, and w, how many there are of it."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
-            for batch in batches:
+            for batch in slices(batches):
                 for first, _, data, offsets in chunks(batch.column("text").to_pylist(), 1 << 19):
                     doc, s, n, h, g = segments(data, offsets, length, k)
                     rows = pa.array(doc + first)
-                    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in _KEYS), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64))], [*_KEYS, "s", "n", "h", "g"])
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in (*_KEYS, "w")), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(g.view(np.int64))], [*_KEYS, "w", "s", "n", "h", "g"])
 
-    return _keyed(docs.select("doc_id", "text")).select(*_KEYS, "text").mapInArrow(find, "_k1 long, _k2 long, s int, n int, h long, g long")
+    return texts.select(*_KEYS, "w", "text").mapInArrow(find, "_k1 long, _k2 long, w long, s int, n int, h long, g long")
 
 
-def repeated_windows(docs: DataFrame, length: int = 200, hot: int = HOT) -> DataFrame:
-    """(_k1, _k2, _marks): for each document key the runs [lo, hi) of starts of repeated windows, as an array."""
-    spark = docs.sparkSession
-    found, found_at = stored(occurrences(docs, length, min(K, 2 * length // 5)), "segments")
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("h")
-    same, same_at = stored(found.join(twice, "h", "left_semi"), "repeated")
-    discard(spark, found_at)
-    kinds = same.groupBy("h", "g").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("_k1", "_k2", "s", "n")).alias("_at"))
-    kinds, kinds_at = stored(kinds.select("h", "g", "c", "_at.*"), "kinds")
-    several = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
-    wanted = kinds.join(several, "h").withColumn("_hot", F.col("_kinds") > hot)
-    total = wanted.where("NOT _hot").count()
-    buckets = max(1, math.ceil(total / BUCKET))
-    per_doc = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("h", "g", "c", "s", "n", "_hot")).alias("_w"))
+def cut_segments(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(h, g, c, again, bytes) of wanted segments. wanted: keys, h, g, c, s, n, again."""
+    per_text = wanted.groupBy(*_KEYS).agg(F.collect_list(F.struct("h", "g", "c", "s", "n", "again")).alias("_w"))  # at most a text's segments
+    kinds = {"h": pa.int64(), "g": pa.int64(), "c": pa.int64(), "again": pa.bool_(), "bytes": pa.binary()}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of wanted segments; of hot ones the hashes of their windows instead."""
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                out: dict[str, list] = {x: [] for x in ("h", "g", "c", "o", "wh", "bytes")}
-                size = 0
-                for text, wants in zip(batch.column("text"), batch.column("_w")):
-                    raw, prefix = (text.as_py() or "").encode("utf-8", "surrogatepass"), None
-                    for x in wants.as_py():
-                        part = raw[x["s"] : x["s"] + x["n"] + length - 1]
-                        if not x["_hot"]:
-                            for k, v in (("h", x["h"]), ("g", x["g"]), ("c", x["c"]), ("o", -1), ("wh", None), ("bytes", part)):
-                                out[k].append(v)
-                            size += len(part)
-                            continue
-                        prefix = prefix_hash(np.frombuffer(part, np.uint8))
-                        o = np.arange(x["n"])
-                        out["wh"] += span_hash(prefix, o, o + length).view(np.int64).tolist()
-                        out["o"] += o.tolist()
-                        for k in ("h", "g", "c"):
-                            out[k] += [x[k]] * x["n"]
-                        out["bytes"] += [None] * x["n"]
-                    if size > 1 << 22 or len(out["h"]) > 20_000:
-                        yield _batch(out)
-                        out, size = {k: [] for k in out}, 0
-                yield _batch(out)
-
-    texts = _keyed(docs.select("doc_id", "text")).select(*_KEYS, "text").join(per_doc, list(_KEYS))
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in kinds}
+            size = 0
+            for text, wants in zip(batch.column("text"), batch.column("_w")):
+                raw = _bytes(text.as_py())
+                for x in wants.as_py():
+                    part = raw[x["s"] : x["s"] + x["n"] + length - 1]
+                    for k in ("h", "g", "c", "again"):
+                        out[k].append(x[k])
+                    out["bytes"].append(part)
+                    size += len(part)
+                if size > 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in kinds.items()], list(kinds))
+                    out, size = {k: [] for k in kinds}, 0
+            yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in kinds.items()], list(kinds))
+
     # Repeated rows have the same key and the same bytes: one of them speaks for all, their number is in c.
-    parts = texts.select("text", "_w").mapInArrow(cut, "h long, g long, c long, o int, wh long, bytes binary")
-    parts, parts_at = stored(parts, "parts")
-    plain = parts.where("bytes IS NOT NULL").select("h", "g", "bytes").dropDuplicates(["h", "g"]).withColumn("_bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
+    found = texts.select(*_KEYS, "text").join(per_text, list(_KEYS)).select("text", "_w").mapInArrow(cut, "h long, g long, c long, again boolean, bytes binary")
+    return found.dropDuplicates(["h", "g"])
+
+
+def _repeated(texts: DataFrame, length: int, hot: int, level: int = 0) -> tuple[DataFrame, str]:
+    """(_k1, _k2, _marks), stored: runs of starts of repeated windows in texts that are there w times. Tables are stored where a key's
+    rows are to be joined, so that Spark can split a hot key."""
+    spark = texts.sparkSession
+    k = min(length, max(1, round(ANCHORS[level] * length)))
+    found, found_at = stored(occurrences(texts, length, k), "segments")
+    twice, twice_at = stored(found.groupBy("h").agg(F.sum("w").alias("_n")).where("_n > 1").select("h"), "twice")
+    same, same_at = stored(found.join(twice, "h", "left_semi"), "repeated")
+    discard(spark, found_at, twice_at)
+    kinds = same.groupBy("h", "g").agg(F.sum("w").alias("c"), F.min(F.struct(*_KEYS, "s", "n")).alias("_at"))
+    kinds, kinds_at = stored(kinds.select("h", "g", "c", "_at.*"), "kinds")
+    several, several_at = stored(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1"), "several")
+    last = level == len(ANCHORS) - 1
+    wanted = kinds.join(several, "h").withColumn("again", (F.col("_kinds") > hot) & F.lit(not last))
+    parts, parts_at = stored(cut_segments(texts, wanted, length), "parts")
+    plain = parts.where("NOT again")
+    buckets = max(1, math.ceil(plain.count() / BUCKET))
+    plain = plain.select("h", "g", "bytes").withColumn("_bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     marks = plain.groupBy("_bucket").applyInPandas(lambda pdf: _match(pdf, length), "h long, g long, lo int, hi int")
-    windows = parts.where("wh IS NOT NULL").select("wh", "h", "g", "c", "o").dropDuplicates(["wh", "h", "g", "o"])
-    more = windows.join(windows.groupBy("wh").agg(F.sum("c").alias("_n")).where("_n > 1").select("wh"), "wh", "left_semi").select("h", "g", F.col("o").alias("lo"), (F.col("o") + 1).alias("hi"))
     whole = kinds.where("c > 1").select("h", "g", F.lit(0).alias("lo"), F.col("n").alias("hi"))
-    all_marks = whole.unionByName(marks).unionByName(more).groupBy("h", "g").agg(F.collect_set(F.struct("lo", "hi")).alias("_m"))  # at most a segment's windows
+    marks, places = whole.unionByName(marks), [same_at, kinds_at, several_at, parts_at]
+    again = parts.where("again")
+    if not last and again.take(1):
+        # Segments of hot choices are the next level's texts; what repeats in several of them, or in one that is there c times, is repeated.
+        deeper, deeper_at = _repeated(again.select(F.col("h").alias("_k1"), F.col("g").alias("_k2"), F.col("c").alias("w"), F.col("bytes").alias("text")), length, hot, level + 1)
+        marks = marks.unionByName(deeper.select(F.col("_k1").alias("h"), F.col("_k2").alias("g"), F.explode("_marks").alias("_m")).select("h", "g", "_m.lo", "_m.hi"))
+        places.append(deeper_at)
+    all_marks, marks_at = stored(marks.groupBy("h", "g").agg(F.collect_set(F.struct("lo", "hi")).alias("_m")), "marks")  # at most a segment's windows
     back = same.join(all_marks, ["h", "g"]).select(*_KEYS, F.transform("_m", lambda x: F.struct((F.col("s") + x["lo"]).alias("lo"), (F.col("s") + x["hi"]).alias("hi"))).alias("_m"))
-    out, _ = stored(back.groupBy(*_KEYS).agg(F.flatten(F.collect_set("_m")).alias("_marks")), "marks")
-    discard(spark, same_at, kinds_at, parts_at)
+    out = stored(back.groupBy(*_KEYS).agg(F.flatten(F.collect_set("_m")).alias("_marks")), "marks")  # at most a text's windows
+    discard(spark, marks_at, *places)
     return out
 
 
-def _batch(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = {"h": pa.int64(), "g": pa.int64(), "c": pa.int64(), "o": pa.int32(), "wh": pa.int64(), "bytes": pa.binary()}
-    return pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in kinds.items()], list(kinds))
+def repeated_windows(docs: DataFrame, length: int = 200, hot: int = HOT) -> DataFrame:
+    """(_k1, _k2, _marks): for each document key the runs [lo, hi) of starts of repeated windows, as an array."""
+    return _repeated(_keyed(docs.select("doc_id", "text")).select(*_KEYS, F.lit(1).cast("long").alias("w"), "text"), length, hot)[0]
+
+
+def _bytes(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
 
 
 def covered(marks: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -295,11 +306,11 @@ def removed(docs: DataFrame, length: int = 200) -> DataFrame:
     """docs with _kept (bytes), _kept_text without characters that a cut went through, _n_bytes, _n_removed and _n_spans."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.get_field_index("_marks")
             kept, size, gone, spans = [], [], [], []
             for text, marks in zip(batch.column("text"), batch.column("_marks")):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                raw = _bytes(text.as_py())
                 own = covered([(m["lo"], m["hi"]) for m in marks.as_py() or ()], length)
                 kept.append(cut_out(raw, own))
                 size.append(len(raw))

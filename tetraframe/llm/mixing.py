@@ -10,8 +10,9 @@ slots hold the sources in proportion to their weights.
 
 Without a budget it is the smallest that shows every document at least once. Tokens of a text are its blanks plus one.
 
-Defined cases: null source is a source of its own; null and empty texts count one token; repeated rows are drawn each;
-an empty table gives an empty result; other columns are carried along.
+Defined cases: null source is a source of its own; null and empty texts count one token; repeated rows are drawn each, and where
+their order in the last pass is tied, which of the equal rows is shown first is open; an empty table gives an empty result; other
+columns are carried along under their own names.
 """
 
 from __future__ import annotations
@@ -88,13 +89,16 @@ def running_before(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("_own", F.sum("_sum").over(inside) - F.col("_sum")).join(groups, ["_source", "_group"]).select("_source", "_block", (F.col("_own") + F.col("_gbefore")).alias("_before"))
 
 
-def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | None = 2.0, budget: float | None = None, slots: int = 1000, seed: int = 17, by: str = "source") -> DataFrame:
-    """Rows of docs as often as the mixture shows them, with mix_pass (from 0), mix_slot of the sequence, mix_order inside the slot, mix_weight, mix_exponent."""
+def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | None = 2.0, budget: float | None = None, slots: int = 1000, seed: int = 17, by: str = "source", tokens: str | None = None) -> DataFrame:
+    """Rows of docs as often as the mixture shows them, with mix_pass (from 0), mix_slot of the sequence, mix_order inside the slot, mix_weight, mix_exponent.
+
+    tokens: a column that holds each row's tokens; without it they are counted from text in each of the passes over docs.
+    """
     names = docs.columns
     kept = [n for n in names]
     rows = docs.select(*(F.col(n).alias(f"_c{i}") for i, n in enumerate(kept)))
     c = {n: F.col(f"_c{i}") for i, n in enumerate(kept)}
-    rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), c[by].cast("string")), F.lit(""))).withColumn("_tokens", text_tokens(c["text"]))
+    rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), c[by].cast("string")), F.lit(""))).withColumn("_tokens", c[tokens].cast("long") if tokens else text_tokens(c["text"]))
     weights, _ = stored(source_weights(rows.select("_source", "_tokens"), entropy, repetition, budget), "weights")
     key = F.xxhash64(F.lit(seed), c["doc_id"], F.col("_source"))
     weights = weights.withColumns({"_full": F.floor("passes").cast("int"), "_blocks": F.ceil(F.col("documents") / BLOCK)})
@@ -114,5 +118,6 @@ def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | Non
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' sources mixed so that the smallest is shown at most twice for one showing of the largest."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixed(docs, repetition=2.0).select("doc_id", "source", *(F.col(f"mix_{c}").alias(c) for c in ("pass", "slot", "order", "weight", "exponent")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", text_tokens(F.col("text")).alias("n_tokens"))
+    docs, _ = stored(docs, "tokens")  # texts are read once
+    return mixed(docs, repetition=2.0, tokens="n_tokens").select("doc_id", "source", *(F.col(f"mix_{c}").alias(c) for c in ("pass", "slot", "order", "weight", "exponent")))

@@ -39,7 +39,7 @@ from tetraframe.llm.common import chunks, discard, mix, slices, stored, table, w
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
 #: Nodes of a piece of a long list where signatures meet; nodes and bytes where sets meet.
-PIECE, SET_PIECE, SET_BYTES = 4_096, 1_024, 32 << 20
+PIECE, SET_PIECE, SET_BYTES = 4_096, 512, 16 << 20
 #: Most nodes whose ids are sent to all executors (40 bytes each); more are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -364,7 +364,7 @@ def forest(sets: list[np.ndarray], ids: np.ndarray, comp: np.ndarray, side: np.n
     pick = shared[column]
     row, column = owner[pick], place[column[pick]]
     both = np.zeros((len(sets), len(sets)))
-    width = 4096
+    width = 2048
     cuts = np.searchsorted(column, np.arange(0, int(shared.sum()) + width, width))
     for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
         m = np.zeros((len(sets), width), np.float32)

@@ -32,8 +32,8 @@ from tetraframe.llm.token_counts import vocabulary
 
 #: Pieces of a shard on average.
 SHARD = 40_000
-#: Distinct strings whose ids a worker keeps between batches and tasks.
-KEPT = 600_000
+#: Distinct strings whose ids a worker keeps between the batches of a task.
+KEPT = 400_000
 
 _PLAIN = regex.compile(r"[!-~À-ÖØ-öø-įı-ɏ]+")
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -54,7 +54,7 @@ _MARKS = frozenset(b'.,;:!?()"-')
 
 @functools.lru_cache(maxsize=2)
 def word_ids(file: str) -> WordIds:
-    """One encoder a worker process: its tables and known words serve all tasks of the worker."""
+    """One encoder a worker process: its tables serve all tasks of the worker."""
     return WordIds(file)
 
 
@@ -124,6 +124,10 @@ class WordIds:
             out.append(have)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Let go of the words known so far: a worker lives on beyond a task."""
+        self.chunks, self.others = {}, {}
+
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
         known = self.chunks
@@ -167,6 +171,7 @@ def pieces(docs: DataFrame, file: str, capacity: int, end_id: int = 0) -> DataFr
                 [batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        words.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

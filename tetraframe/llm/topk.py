@@ -8,7 +8,8 @@ and queries to blocks of queries; a task holds one of each, and the best k of ev
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part; a shorter vector counts as
 zeros beyond its end; repeated vec_id: each row is a candidate of other queries, and the smallest of the vectors is the
-query; fewer than k candidates give all; an empty table gives an empty result.
+query; a null vec_id takes no part; fewer than k candidates give all; other columns are not read; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ whether the bounds bind or not. Scores see the text only.
 
 Defined cases: null and empty text have no clause and get the model's base score; texts of any length are read whole;
 labels without a document, or with a null label, are ignored; with no training row of one kind no stem is learned and the
-score comes from the fixed lists; repeated rows are scored each; an empty table gives an empty result.
+score comes from the fixed lists; of rows with one doc_id the smallest text teaches; copies of a text teach once; repeated rows are
+scored each, with a null doc_id too, which is not held out; equal scores stay equal; other columns are carried along; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -264,4 +266,4 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), F.col("_toxic_score").alias("score"), F.col("_toxic").alias("predicted"))
+    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), F.col("_toxic_score").alias("score"), F.col("_toxic").alias("predicted"))
