@@ -3,8 +3,12 @@
 Vectors become integers. Ranges of vec_id form blocks; a block keeps its vectors (a forward index) and, for each term
 (component), its largest and smallest value. The sum over terms of the larger of query * maximum and query * minimum
 bounds every score in the block. Each query takes the blocks in falling order of that bound and stops where the bound is
-below its k-th score; a bound equal to it is still scored, since ties go to the smaller vec_id. Blocks are dealt to shards
-and queries to blocks of queries; a task holds one of each, and the best k of every shard are merged.
+below its k-th score; a bound equal to it is still scored, since ties go to the smaller vec_id.
+
+Bounds come before data. Blocks are stored; what travels first are their largest and smallest values, a hundredth of the vectors.
+Queries form groups. A group looks at all bounds, and each of its queries is scored on its most promising block alone, which gives a
+first k-th score. Only blocks whose bound reaches it for some query of a group are then sent to that group, in shards of bounded
+size; a task holds a shard and a group, and the best k of all shards are merged.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part; a shorter vector counts as
 zeros beyond its end; repeated vec_id: each row is a candidate of other queries, and the smallest of the vectors is the
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import table
+from tetraframe.llm.common import stored, table
 
 #: Vectors of a block, of a shard and queries of a block of queries.
 BLOCK, SHARD, QUERIES = 256, 16_384, 2_048
@@ -116,27 +120,94 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[
     return *top, scored
 
 
+def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks to their largest and smallest values by component, as bytes."""
+    for batch in batches:
+        high, low = [], []
+        for x in zip(*(batch.column(c).to_pylist() for c in ("ids", "widths", "data"))):
+            _, m = _block_rows(*x)
+            high.append(m.max(axis=0).tobytes())
+            low.append(m.min(axis=0).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(high, pa.binary()), pa.array(low, pa.binary())], ["block", "high", "low"])
+
+
+def _bounds(pdf: pd.DataFrame, queries: np.ndarray) -> np.ndarray:
+    """The bound of each query (row) in each block (column)."""
+    high, low = _matrix(pdf["high"].tolist()), _matrix(pdf["low"].tolist())
+    width = max(high.shape[1], queries.shape[1])
+    high, low, queries = _fit(high, width).astype(float), _fit(low, width).astype(float), _fit(queries, width).astype(float)
+    # Sums of doubles may fall a little short beyond 2**53; a bound must not.
+    exact = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+    return exact + np.abs(exact) * 1e-12
+
+
+def _queries(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return pdf["vec_id"].to_numpy(np.int64), _matrix([np.asarray(v, np.int64).tobytes() for v in pdf["v"]])
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHARD, per_block: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k largest inner products; vectors and queries: (vec_id, v)."""
-    shards = max(1, math.ceil(vectors.count() / shard))
-    groups = max(1, math.ceil(queries.count() / per_block))
     kept = vectors.repartitionByRange("vec_id").sortWithinPartitions("vec_id").mapInArrow(_blocks, "first long, ids binary, widths binary, data binary")
-    kept = kept.withColumn("_shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int")).withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asked.withColumn("_group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")).withColumn("_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    kept, _ = stored(kept.withColumn("block", F.monotonically_increasing_id()), "vectors")
+    summary, _ = stored(kept.mapInArrow(_summary, "block long, high binary, low binary"), "bounds")
+    asked, _ = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+    shards, groups = max(1, math.ceil(summary.count() * BLOCK / shard)), max(1, math.ceil(asked.count() / per_block))
+    group = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")
+    asked = asked.withColumn("_group", group)
+    # Bounds, not vectors, go to every group; each group meets a part of them at a time.
+    some = max(1, math.ceil(shards / 64))
+    parts = summary.withColumn("_part", F.pmod(F.xxhash64("block"), F.lit(some)).cast("int")).withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    everywhere = asked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(some - 1))))
+
+    def promising(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"vec_id": [], "block": [], "bound": []})
+        ids, q = _queries(right)
+        b = _bounds(left, q)
+        at = b.argmax(axis=1)
+        return pd.DataFrame({"vec_id": ids, "block": left["block"].to_numpy()[at], "bound": b[np.arange(len(ids)), at]})
+
+    best = parts.groupBy("_group", "_part").cogroup(everywhere.groupBy("_group", "_part")).applyInPandas(promising, "vec_id long, block long, bound double")
+    best = best.groupBy("vec_id").agg(F.max_by("block", "bound").alias("block")).join(asked, "vec_id")
+
+    def first_scores(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"vec_id": [], "floor": []})
+        ids, q = _queries(right)
+        r = left.iloc[0]
+        who, _, s, _ = search_block(q, ids, [_block_rows(r["ids"], r["widths"], r["data"])], k)
+        n = np.bincount(who, minlength=len(ids))
+        last = np.cumsum(n) - 1
+        return pd.DataFrame({"vec_id": ids[n == k], "floor": s[last[n == k]].astype(float)})
+
+    floors = kept.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(first_scores, "vec_id long, floor double")
+    asked, _ = stored(asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), "floors")
+    everywhere = asked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(some - 1))))
+
+    def reached(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"block": [], "_group": []})
+        _, q = _queries(right)
+        hit = (_bounds(left, q) >= right["floor"].to_numpy()[:, None]).any(axis=0)
+        return pd.DataFrame({"block": left["block"].to_numpy()[hit], "_group": int(right["_group"].iat[0])})
+
+    wanted = parts.groupBy("_group", "_part").cogroup(everywhere.groupBy("_group", "_part")).applyInPandas(reached, "block long, _group int")
+    placed, _ = stored(wanted.withColumn("_shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int")), "placed")
+    sent = kept.join(placed, "block")
+    # A group's queries go to the shards that hold something for it.
+    everywhere = asked.join(placed.select("_group", "_shard").distinct(), "_group")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = right["vec_id"].to_numpy(np.int64)
-        q = _matrix([np.asarray(v, np.int64).tobytes() for v in right["v"]])
+        ids, q = _queries(right)
         left = left.sort_values("first", kind="stable")
         who, found, s, _ = search_block(q, ids, [_block_rows(*x) for x in zip(left["ids"], left["widths"], left["data"])], k)
         return pd.DataFrame({"query_id": ids[who], "vec_id": found, "score": s})
 
-    found = kept.groupBy("_group", "_shard").cogroup(asked.groupBy("_group", "_shard")).applyInPandas(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = sent.groupBy("_group", "_shard").cogroup(everywhere.groupBy("_group", "_shard")).applyInPandas(search, "query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
