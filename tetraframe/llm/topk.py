@@ -195,7 +195,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
     placed, _ = stored(wanted.withColumn("_shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int")), "placed")
     sent = kept.join(placed, "block")
     # A group's queries go to the shards that hold something for it.
-    everywhere = asked.join(placed.select("_group", "_shard").distinct(), "_group")
+    places = placed.select(F.col("_group").alias("_g"), F.col("_shard").alias("_s")).distinct()
+    everywhere = asked.join(places, asked["_group"] == places["_g"])
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -205,7 +206,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
         who, found, s, _ = search_block(q, ids, [_block_rows(*x) for x in zip(left["ids"], left["widths"], left["data"])], k)
         return pd.DataFrame({"query_id": ids[who], "vec_id": found, "score": s})
 
-    found = sent.groupBy("_group", "_shard").cogroup(everywhere.groupBy("_group", "_shard")).applyInPandas(search, "query_id long, vec_id long, score long")
+    found = sent.groupBy("_group", "_shard").cogroup(everywhere.groupBy("_g", "_s")).applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
