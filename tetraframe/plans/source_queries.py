@@ -15,12 +15,13 @@ from tetraframe.operators import filters as fl
 from tetraframe.operators import joins as jn
 from tetraframe.plans import fixtures as fx
 from tetraframe.plans.book import Book, r, rounded
+from tetraframe.plans.spot_queries import STEP
 from tetraframe.sources import images as im
 from tetraframe.sources import readers as rd
 from tetraframe.sources import writers as wr
 from tetraframe.streaming.speeds import streamed_speeds
 
-BOOK = Book(spots=fx.SPOTS, voxels=fx.VOXELS, names=fx.NAMES_SQL, metrics=fx.METRICS)
+BOOK = Book(spots=fx.SPOTS, voxels=fx.VOXELS, names=fx.NAMES_SQL, metrics=fx.METRICS, speeds=STEP)
 a = BOOK.add
 
 
@@ -238,4 +239,4 @@ a("snk3_write_volume", lambda s, f: written_volumes(s, f).select("t", "z", "y",
 a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics", "metrics")
 a("snk11_zarr_sink", lambda s, f: written_volumes(s, f).where("label > 0").groupBy("t", "label").agg(F.count(F.lit(1)).alias("n")), "SELECT t, label, count(*) AS n FROM voxels WHERE label > 0 GROUP BY 1, 2", "voxels")
 a("json_round_trip", lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"), "SELECT id, frame FROM spots", "spots")
-a("stream_step_speed", lambda s, f: streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")))
+a("stream_step_speed", lambda s, f: rounded(streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")).select("track_id", "frame", "id", "step_speed")), f"SELECT track_id, frame, id, {r('step_speed')} FROM speeds WHERE track_id IS NOT NULL", "spots", "speeds")
