@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import difference, oracle
-from tetraframe.llm import fingerprints, katz, langid, long_matches, mixing, near_dedup, packing, registry, token_counts, topk, toxicity
+from tetraframe.llm import fingerprints, katz, langid, long_matches, mixing, near_dedup, ngram_tables, packing, registry, token_counts, topk, toxicity
 from tetraframe.llm.common import words
 
 
@@ -563,3 +563,33 @@ def test_recall_of_near_pairs_on_thousands(spark):
                     a, b = sorted((top(i), top(j)))
                     root[b] = a
     assert {i: top(i) for i in range(len(texts))} == got
+
+
+def test_ngram_tables_agree_with_the_packed_model(spark, folder, rows, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    taught = docs.where("pmod(crc32(cast(cast(doc_id AS string) AS binary)), 5) <> 1")
+    ngram_tables.save(ngram_tables.train(taught, 2), str(tmp_path / "model"))
+    got = {(r["doc_id"], r["text"]): r for r in ngram_tables.scored(docs, ngram_tables.load(spark, str(tmp_path / "model"), 2)).collect()}
+    for r in katz.op3_katz(spark, folder).collect():
+        own = next(v for (i, _), v in got.items() if i == r["doc_id"])
+        assert own["n_tokens"] == r["n_tokens"] and abs(own["score"] - r["score"]) < 1e-6 * max(1, abs(r["score"]))
+
+
+def test_longer_contexts_are_normalised(spark):
+    """Order 3: after every context the probabilities of all words and one unknown word sum to one."""
+    docs = spark.createDataFrame([("a b c a b d",), ("a b c",), ("b c a",), (None,), ("c a b c",)], "text string")
+    model = ngram_tables.train(docs, 3)
+    grams, alphas, facts = ([{(r["context"], r["word"]): r["p"] for r in t.collect()} for t in model[0]], [{r["context"]: r["alpha"] for r in t.collect()} for t in model[1]], model[2])
+
+    def p(context, word):
+        if not context:
+            return grams[0].get(("", word), facts["unseen"])
+        h = " ".join(context)
+        return grams[len(context)].get((h, word)) or alphas[len(context) - 1].get(h, 1.0) * p(context[1:], word)
+
+    every = ["a", "b", "c", "d", "", "unknown"]
+    for context in [(), ("a",), ("b",), ("a", "b"), ("b", "c"), ("", ""), ("", "a"), ("z", "a")]:
+        assert abs(sum(p(context, w) for w in every) - 1) < 1e-9
+    got = ngram_tables.scored(spark.createDataFrame([("a b zz",)], "text string"), model).first()
+    want = [p(("", ""), "a"), p(("", "a"), "b"), p(("a", "b"), "zz"), p(("b", "zz"), "")]
+    assert got["n_tokens"] == 4 and abs(got["score"] - sum(map(math.log10, want))) < 1e-9
