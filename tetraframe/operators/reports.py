@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tetraframe.functions.quantiles import exact_quantiles
-from tetraframe.functions.scalars import clean
+from tetraframe.functions.scalars import clean, lut_diverging, lut_flag, lut_value
 from tetraframe.operators.filters import track_limits
 from tetraframe.operators.kinematics import step_speed
 
@@ -213,3 +213,28 @@ def report_lines(stages: DataFrame) -> DataFrame:
     head = d.select(F.lit("table").alias("section"), "stage_name", F.format_string("%s %d %+d %s%% %s %s%%", "stage_name", "total_nuclei", F.coalesce("delta", F.lit(0)), shown(F.coalesce("delta_pct", F.lit(0.0))), shown(F.col("median_volume")), shown(F.col("z_coverage") * 100)).alias("line"))
     alerts = stage_alerts(stages).select(F.lit("alerts").alias("section"), "stage_name", F.concat_ws(" ", "alert", "stage_name").alias("line"))
     return head.unionByName(alerts)
+
+
+#: Value of a track by colour mode: the column that is averaged over its rows; fixed values.
+MEAN_MODES = {"frame": "frame", "depth": "spherical_depth", "theta": "theta_deg", "phi": "phi_deg", "speed": "step_speed", "radial_vel": "radial_velocity_smooth"}
+
+
+def track_lut(df: DataFrame, mode: str) -> DataFrame:
+    """(track_id, lut): brightness 5..255 of each track's label by a colour mode.
+
+    Means of a column over the range of all tracks; "depth_travel" the range of depth along the track; "radial_vel" diverges about
+    zero, its ends at the greater of the 2nd and 98th percentile; "ingressing" and "roi" are bright if any row has the flag. A track
+    without a value is dim, and counts as 0 in the range.
+    """
+    rows = (step_speed(df) if mode == "speed" and "step_speed" not in df.columns else df).where("track_id IS NOT NULL")
+    flags = {"ingressing": "ingressing", "roi": "in_roi"}
+    if mode in flags:
+        return rows.groupBy("track_id").agg(F.bool_or(flags[mode]).alias("_v")).select("track_id", lut_flag(F.col("_v")).alias("lut"))
+    value = F.max("spherical_depth") - F.min("spherical_depth") if mode == "depth_travel" else F.avg(MEAN_MODES[mode])
+    tracks = rows.groupBy("track_id").agg(value.cast("double").alias("_v"))
+    if mode == "radial_vel":
+        q = exact_quantiles(tracks, "_v", [0.02, 0.98]).select(F.greatest(F.abs(F.col("q")[0]), F.abs(F.col("q")[1])).alias("_most"))  # one row
+        return tracks.crossJoin(F.broadcast(q)).select("track_id", lut_diverging(F.col("_v"), F.col("_most")).alias("lut"))
+    known = F.coalesce("_v", F.lit(0.0))
+    ends = tracks.agg(F.min(known).alias("_lo"), F.max(known).alias("_hi"))  # one row
+    return tracks.crossJoin(F.broadcast(ends)).select("track_id", lut_value(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("lut"))

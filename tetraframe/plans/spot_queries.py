@@ -227,5 +227,9 @@ a("agg8_ingression_counts", lambda s, f: rounded(rep.ingression_counts(flagged(s
   f"SELECT count(*) FILTER (WHERE ingressing) AS flagged_spots, count(DISTINCT CASE WHEN ingressing THEN track_id END) AS flagged_tracks, {r('100.0 * count(DISTINCT CASE WHEN ingressing THEN track_id END) / count(DISTINCT track_id) AS flagged_pct')} FROM spots LEFT JOIN flags USING (track_id)", *KIN)
 a("agg26_depth_travel", lambda s, f: rounded(rep.travel(motion(s, f), "radial_dist_to_center")), f"SELECT track_id, {r('max(radial_dist_to_center) - min(radial_dist_to_center) AS travel')} FROM radial WHERE track_id IS NOT NULL GROUP BY 1", "spots", "radial")
 a("agg29_rv_quantiles", lambda s, f: rounded(rep.quantiles(motion(s, f), "radial_velocity_smooth")), f"SELECT {r('quantile_cont(v, 0.5) AS median', 'quantile_cont(v, 0.1) AS p10', 'quantile_cont(v, 0.9) AS p90')} FROM smooth", "spots", "radial", "smooth")
+a("sc11_track_lut_frame", on(lambda d: rep.track_lut(d, "frame")), "SELECT track_id, trunc((v - lo) / greatest(hi - lo, 1e-10) * 250 + 5)::INTEGER AS lut FROM (SELECT track_id, avg(frame) AS v FROM spots WHERE track_id IS NOT NULL GROUP BY 1), (SELECT min(v) AS lo, max(v) AS hi FROM (SELECT avg(frame) AS v FROM spots WHERE track_id IS NOT NULL GROUP BY track_id))", "spots")
+a("sc11_track_lut_speed", on(lambda d: rep.track_lut(d, "speed")), "WITH m AS (SELECT track_id, avg(step_speed) AS v FROM speeds WHERE track_id IS NOT NULL GROUP BY 1) SELECT track_id, CASE WHEN v IS NULL THEN 20 ELSE trunc((v - lo) / greatest(hi - lo, 1e-10) * 250 + 5) END::INTEGER AS lut FROM m, (SELECT min(coalesce(v, 0)) AS lo, max(coalesce(v, 0)) AS hi FROM m)", "spots", "speeds")
+a("sc11_track_lut_radial", lambda s, f: rep.track_lut(motion(s, f), "radial_vel"), "WITH m AS (SELECT track_id, avg(v) AS v FROM smooth WHERE track_id IS NOT NULL GROUP BY 1) SELECT track_id, trunc((least(greatest(coalesce(v, 0.0) / greatest(q, 1e-6), -1.0), 1.0) + 1) / 2 * 250 + 5)::INTEGER AS lut FROM m, (SELECT greatest(abs(quantile_cont(v, 0.02)), abs(quantile_cont(v, 0.98))) AS q FROM m)", "spots", "radial", "smooth")
+a("sc11_track_lut_flags", lambda s, f: rep.track_lut(fl.flag_roi(fx.spots(s, f), *BOX), "roi"), f"SELECT track_id, CASE WHEN bool_or({IN_BOX}) THEN 240 ELSE 20 END AS lut FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
 a("agg30_axis_ranges", on(rep.axis_ranges), "SELECT min(position_x) AS x_min, max(position_x) AS x_max, min(position_y) AS y_min, max(position_y) AS y_max, min(position_z) AS z_min, max(position_z) AS z_max, min(frame) AS frame_min, max(frame) AS frame_max FROM spots", "spots")
 a("jn5_summary_join", lambda s, f: rounded(rep.summary_join(fl.flag_roi(fx.spots(s, f), *BOX))), f"SELECT track_id, {SUMMARY}, arg_min({IN_BOX}, frame) AS first_in_roi FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
