@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and returns the columns of documents; the last
 returns packed pieces. Stage by stage:
 
+Of tied rows and of rows repeated whole each stage keeps what its operator's docstring says; an empty table gives an empty one at
+every stage; columns beyond those of documents are carried along up to packing, whatever their names.
+
 - toxicity: documents that the grammar, learned from the labels table, predicts as toxic go.
 - near_dedup: one document, that of the smallest doc_id, stays of each component alike to 0.8 on five-word shingles.
 - suffix_dedup: bytes covered by repeated strings of 200 bytes go from the texts, n_chars follows; a document of which nothing is
@@ -17,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import stored, table
+from tetraframe.llm.common import discard, stored, table
 from tetraframe.llm.long_matches import removed
 from tetraframe.llm.mixing import mixed
 from tetraframe.llm.near_dedup import deduplicated
@@ -63,7 +66,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = stored(stage(spark, docs, sf_dir), name)
+        docs, place = stored(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            discard(spark, last)  # nothing reads it any more
+        last = place
     return STAGES[-1][1](spark, docs, sf_dir)
