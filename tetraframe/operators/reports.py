@@ -170,6 +170,19 @@ def stage_table(stats: DataFrame, intensity: DataFrame, key: str = "t") -> DataF
     return own.join(means, key).select(*STAGE_COLUMNS)
 
 
+#: Series of the report's panels, by panel; fixed values.
+PANELS = {
+    "counts": ("n_nuclei_3d",), "volumes": ("median_volume_px", "mean_volume_px", "std_volume_px"), "heterogeneity": ("volume_cv", "small_fraction", "large_fraction"),
+    "coverage": ("z_coverage", "cells_per_z_mean", "cells_per_z_std"),
+}
+
+
+def panels(stages: DataFrame) -> DataFrame:
+    """(panel, stage_name, series, value): the tables behind the report's plots. stages: stage_table."""
+    rows = [F.struct(F.lit(p).alias("panel"), F.lit(c).alias("series"), F.col(c).cast("double").alias("value")) for p, cs in PANELS.items() for c in cs]
+    return stages.select("stage_name", F.explode(F.array(*rows)).alias("_p")).select("_p.panel", "stage_name", "_p.series", "_p.value")
+
+
 def diagnostic_table(ranges: DataFrame, noise: DataFrame, key: str = "t") -> DataFrame:
     """A row a stage with the 13 columns of the diagnosis: dynamic_range_info by key, and the slices' SNR and noise. noise: (key, z, snr, noise_std)."""
     per = noise.groupBy(key).agg(F.median("snr").alias("snr_median"), F.min("snr").alias("snr_min"), F.median("noise_std").alias("noise_std_median"))

@@ -43,9 +43,6 @@ a("win20_stage_alerts", stages(rep.stage_alerts),
   f"""SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages {W}),
   LATERAL (SELECT unnest([CASE WHEN (n - pn) * 100.0 / pn < -5 THEN 'LOSS' END, CASE WHEN (n - pn) * 100.0 / pn > 15 THEN 'GAIN' END, CASE WHEN (median_volume - pv) / pv > 0.2 THEN 'GROWING' WHEN (median_volume - pv) / pv < -0.2 THEN 'SHRINKING' END,
   CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL""", "stages")
-a("rpt3_count_bars", stages(lambda d: d.select("stage_name", "total_nuclei")), "SELECT stage_name, total_nuclei FROM stages", "stages")
-a("rpt4_volume_summaries", stages(lambda d: rounded(d.select("stage_name", "median_volume", "mean_volume"))), f"SELECT stage_name, {r('median_volume', 'mean_volume')} FROM stages", "stages")
-a("rpt5_z_coverage", stages(lambda d: rounded(d.select("stage_name", "z_coverage"))), f"SELECT stage_name, {r('z_coverage')} FROM stages", "stages")
 ALERT_SQL = """SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages WINDOW w AS (ORDER BY stage_name)),
   LATERAL (SELECT unnest([CASE WHEN (n - pn) * 100.0 / pn < -5 THEN 'LOSS' END, CASE WHEN (n - pn) * 100.0 / pn > 15 THEN 'GAIN' END, CASE WHEN (median_volume - pv) / pv > 0.2 THEN 'GROWING' WHEN (median_volume - pv) / pv < -0.2 THEN 'SHRINKING' END,
   CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL"""
@@ -93,6 +90,13 @@ def stage_csv(s, sf):
 a("snk9_stage_csv", stage_csv,
   f"""SELECT t::VARCHAR AS stage_name, n::DOUBLE AS n_nuclei_3d, {r('med AS median_volume_px', 'mean AS mean_volume_px', 'std AS std_volume_px', 'std / mean AS volume_cv', 'zext AS mean_z_extent', 'xyext AS mean_xy_extent', 'small AS small_fraction', 'large AS large_fraction', 'zc AS z_coverage', 'cm AS cells_per_z_mean', 'cs AS cells_per_z_std', 'snr AS snr_in_nuclei', 'mi AS mean_intensity', 'si AS std_intensity')}
   FROM sizes JOIN shares USING (t) JOIN cover USING (t) JOIN inside USING (t)""", "voxels", "stagestats")
+PANEL_SQL = {
+    "counts": "unnest(['n_nuclei_3d']) AS series, unnest([n::DOUBLE]) AS value", "volumes": "unnest(['median_volume_px', 'mean_volume_px', 'std_volume_px']) AS series, unnest([med, mean, std]) AS value",
+    "heterogeneity": "unnest(['volume_cv', 'small_fraction', 'large_fraction']) AS series, unnest([std / mean, small, large]) AS value", "coverage": "unnest(['z_coverage', 'cells_per_z_mean', 'cells_per_z_std']) AS series, unnest([zc, cm, cs]) AS value",
+}
+for _n, _p in (("rpt3_count_bars", "counts"), ("rpt4_volume_summaries", "volumes"), ("rpt4_heterogeneity", "heterogeneity"), ("rpt5_z_coverage", "coverage")):
+    a(_n, lambda s, sf, p=_p: rounded(rep.panels(rep.stage_table(lb.label_stats(v := fx.voxels(s, sf)), lb.intensity_in_labels(v))).where(F.col("panel") == p)),
+      f"SELECT '{_p}' AS panel, stage_name, series, {r('value')} FROM (SELECT t::VARCHAR AS stage_name, {PANEL_SQL[_p]} FROM sizes JOIN shares USING (t) JOIN cover USING (t))", "voxels", "stagestats")
 PER = """v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels), cuts AS (SELECT t, z, quantile_cont(value, 0.1) AS q, quantile_cont(value, 0.95) AS p FROM v2 GROUP BY 1, 2),
 noise AS (SELECT t, z, CASE WHEN s > 1e-10 THEN p / s ELSE 0.0 END AS snr, s FROM (SELECT t, z, any_value(p) AS p, CASE WHEN count(*) FILTER (WHERE value <= q) > 50 THEN stddev_pop(value) FILTER (WHERE value <= q) ELSE 0.0 END AS s FROM v2 JOIN cuts USING (t, z) GROUP BY 1, 2)),
 per AS (SELECT t, median(snr) AS snr_median, min(snr) AS snr_min, median(s) AS noise_std_median FROM noise GROUP BY 1)"""
