@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tetraframe.llm.common import chunks, crc_mod, discard, from_planes, mix, planes, slices, stored, table, words
 
 #: Bytes of a block's texts, pairs of a bucket, fewest buckets, passes of an exchange, largest count that is discounted.
-BLOCK, PAIRS, FEWEST, PASSES, MOST = 6 << 20, 3 << 19, 64, 2, 5
+BLOCK, PAIRS, FEWEST, PASSES, MOST = 6 << 20, 3 << 19, 64, 3, 5
 END = np.uint64(0x51ED270B35AE1F1D)
 
 
