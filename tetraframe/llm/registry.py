@@ -7,9 +7,12 @@ from tetraframe.llm.fingerprints import op1_fingerprints
 from tetraframe.llm.katz import op3_katz
 from tetraframe.llm.langid import op6_language_id
 from tetraframe.llm.long_matches import op4_suffix_dedup
+from tetraframe.llm.merkle import OP13_SQL, op13_merkle
 from tetraframe.llm.mixing import op8_mixing
 from tetraframe.llm.near_dedup import op7_near_dedup
 from tetraframe.llm.packing import op10_packing
+from tetraframe.llm.periodic import op12_periodic_runs
+from tetraframe.llm.sharding import op11_sharding
 from tetraframe.llm.token_counts import op9_token_counts
 from tetraframe.llm.topk import OP5_SQL, op5_topk_search
 from tetraframe.llm.toxicity import op2_toxicity
@@ -25,8 +28,11 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_sharding": op11_sharding,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle": op13_merkle,
     "pipeline": run,
 }
-ORACLES: dict[str, str] = {"op5_topk_search": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_topk_search": OP5_SQL, "op13_merkle": OP13_SQL}
 if ORACLE_SQL is not None:
     ORACLES["pipeline"] = ORACLE_SQL
