@@ -69,9 +69,10 @@ def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame],
     kept, _ = stored(ordered, "ordered")
     order = [F.desc("_key"), *(F.col(c) for c in columns)]
     inside = Window.partitionBy("_part").orderBy(*order)
-    first = kept.groupBy("_part").agg(F.min_by(F.struct(*columns), F.struct(F.negative(F.col("_key").cast("decimal(20,0)")), *columns)).alias("_first"))
-    across = Window.orderBy("_part")  # a row a part
-    first = first.select("_part", F.coalesce(F.lead("_first").over(across), F.first("_first").over(across)).alias("_border"))
+    first = kept.groupBy(F.col("_part").alias("_after")).agg(F.min_by(F.struct(*columns), F.struct(F.negative(F.col("_key").cast("decimal(20,0)")), *columns)).alias("_border"))
+    across = Window.orderBy("_part")  # a number a part; the parts' first rows are joined to it
+    parts = kept.select("_part").distinct()
+    first = parts.select("_part", F.coalesce(F.lead("_part").over(across), F.first("_part").over(across)).alias("_after")).join(first, "_after").drop("_after")
     numbered = kept.select("*", F.struct(*(F.lead(c).over(inside).alias(c) for c in columns)).alias("_next"), F.lead(F.lit(True)).over(inside).alias("_more"))
     out = numbered.join(first, "_part").withColumn("_next", F.when(F.col("_more"), F.col("_next")).otherwise(F.col("_border")))
     return out.select(*(c for c in kept.columns if c not in ("_key", "_part")), *(F.col(f"_next.{c}").alias(f"next_{c}") for c in columns))
