@@ -18,6 +18,7 @@ other columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import _LOWER, crc_mod, table
+from tetraframe.llm.common import _LOWER, crc_mod, slices, table
 
 #: Bytes of a window, embedding size, filters of each width, widths.
 WINDOW, EMBED, FILTERS, WIDTHS = 192, 8, 16, (2, 3, 4)
@@ -132,6 +133,16 @@ class ByteNetwork:
         self.pairs = None
 
 
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text at most PER_TEXT windows, drawn by a seed that the text gives: all that leaves the executors for training."""
+    for batch in slices(batches):
+        out = []
+        for text in batch.column("text"):
+            w, _ = windows([text.as_py()])
+            out.append(w[np.random.default_rng(zlib.crc32(w.tobytes())).permutation(len(w))[:PER_TEXT]].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(out, pa.binary())], ["doc_id", "lang", "windows"])
+
+
 def train(docs: DataFrame, rows: int = ROWS, most: int = MOST) -> ByteNetwork | None:
     """A network from about `rows` texts of each of the `most` most frequent languages."""
     own = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (crc_mod("doc_id", 4) != 2)).select("doc_id", "lang", "text")
@@ -139,19 +150,15 @@ def train(docs: DataFrame, rows: int = ROWS, most: int = MOST) -> ByteNetwork |
     if not counts:
         return None
     share = F.create_map(*(F.lit(v) for k, n in counts.items() for v in (k, min(1.0, rows / n))))
-    picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
-    got = picked.select("doc_id", "lang", "text").toPandas().sort_values(["lang", "doc_id", "text"], ignore_index=True)
+    # The draw goes by the text as well, and equal rows count once: no id and no text brings more than its share.
+    picked = own.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).dropDuplicates()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    got = picked.mapInArrow(_drawn, f"doc_id {kind}, lang string, windows binary").toPandas().sort_values(["lang", "doc_id", "windows"], ignore_index=True)
     labels, rng = sorted(counts), np.random.default_rng(3)
     x, y = [], []
     for k, label in enumerate(labels):
-        w, of = windows(got.loc[got["lang"] == label, "text"].head(2 * rows).tolist())
-        order = rng.permutation(len(w))
-        of = of[order]
-        nth = np.zeros(len(of), np.int64)
-        seen: dict[int, int] = {}
-        for i, d in enumerate(of.tolist()):
-            nth[i] = seen[d] = seen.get(d, -1) + 1
-        w = w[order][nth < PER_TEXT]
+        w = np.frombuffer(b"".join(got.loc[got["lang"] == label, "windows"]), np.uint8).reshape(-1, WINDOW)
+        w = w[rng.permutation(len(w))]
         if not len(w):
             continue
         w = w[rng.integers(0, len(w), rows * PER_TEXT // 2)] if len(w) < rows * PER_TEXT // 2 else w[: rows * PER_TEXT // 2]
@@ -172,7 +179,7 @@ def predicted(docs: DataFrame, network: ByteNetwork | None) -> DataFrame:
     network.pairs = None
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             best, score = [], []
             for at in range(0, len(texts), 256):
