@@ -593,3 +593,41 @@ def test_longer_contexts_are_normalised(spark):
     got = ngram_tables.scored(spark.createDataFrame([("a b zz",)], "text string"), model).first()
     want = [p(("", ""), "a"), p(("", "a"), "b"), p(("a", "b"), "zz"), p(("b", "zz"), "")]
     assert got["n_tokens"] == 4 and abs(got["score"] - sum(map(math.log10, want))) < 1e-9
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark):
+    """4,000 equal pieces: no shard gets much more than its share."""
+    parts = spark.range(4000, numPartitions=6).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("length"), F.lit(0).cast("long").alias("ids_crc32"))
+    got = packing.pack(parts, 100, 8).collect()
+    assert len(got) == 4000 and len({r["sequence_id"] for r in got}) <= 40 + 8
+    assert collections.Counter(r["sequence_id"] % 8 for r in got).keys() == set(range(8))
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 4000
+
+
+def test_packing_opens_a_sequence_only_where_none_has_room():
+    lengths = np.sort(np.random.default_rng(4).integers(1, 1000, 3000))[::-1]
+    where, offset = packing.sum_of_squares(lengths, 1000)
+    load = {}
+    for w, a, n in zip(where.tolist(), offset.tolist(), lengths.tolist()):
+        if w not in load:
+            assert all(x + n > 1000 for x in load.values())
+        assert load.get(w, 0) == a
+        load[w] = a + n
+    assert max(load.values()) <= 1000 and len(load) <= 1.02 * lengths.sum() / 1000
+
+
+def test_many_null_ids_are_mixed_like_others(spark):
+    """4,000 rows without an id: their slots are spread, every row is shown once or twice."""
+    docs = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("text"), F.lit("s").alias("source"))
+    got = mixing.mixed(docs, repetition=2.0).groupBy("mix_slot").count().collect()
+    assert sum(r["count"] for r in got) == 4000 and len(got) == 8 and max(r["count"] for r in got) < 600  # a slot for each of eight blocks
+
+
+def test_a_long_text_is_cut_into_segments_in_stretches():
+    """The windows and their choices are those of the whole text, whatever the stretch."""
+    data = np.frombuffer(np.random.default_rng(2).integers(97, 100, 5000, np.uint8).tobytes(), np.uint8)
+    expand = lambda parts: {(int(a) + i): int(h) for _, a, c, h, _ in zip(*parts) for i in range(int(c))}
+    whole = expand(long_matches.segments(data, np.array([0, len(data)]), 200, 80))
+    assert len(whole) == 4801
+    for most in (200, 777, 4999):
+        assert expand(long_matches.segments(data, np.array([0, len(data)]), 200, 80, most)) == whole

@@ -108,6 +108,12 @@ def test_stages_on_empty_and_clashing_tables(spark, empty_folder):
     empty = spark.read.parquet(f"{empty_folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, empty_folder).count() == 0, name
+    names = ["_t1", "_t2", "_toxic", "_toxic_score", "_id", "_k1", "_marks", "_kept", "_n_removed", "_key", "_copy", "TEXT", "component"]
+    clash = spark.createDataFrame([(1, "a b c d e f", "en", "s", 11, *range(13)), (2, "g h i j k l", "en", "s", 11, *range(20, 33))], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, clash, empty_folder)
+        assert got.columns == clash.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, clash.collect())), name
+    assert corpus_pipeline.packing(spark, clash, empty_folder).count() == 2
     odd = spark.createDataFrame([(1, "a b c d e f", "en", "s", 11, 0.5, 3, 7), (1, "a b c d e f", "en", "s", 11, 0.5, 3, 7), (2, None, None, None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long, score double, component long, n int")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, odd, empty_folder)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 #: Rows that a Python worker takes at a time of the batches that Spark hands it: documents are long.
 BATCH_ROWS = 1_000
@@ -75,6 +75,40 @@ def discard(spark: SparkSession, *places: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def set_apart(docs: DataFrame, *keep: str) -> tuple[DataFrame, Callable[..., list[Column]]]:
+    """docs with every column but those in `keep` under a name of its own, and what gives docs' columns back under their names.
+
+    Columns are taken by place, so names that clash with an operator's own, or differ in case alone, do no harm. The second
+    result is called with names to leave out, columns that the operator gives anew.
+    """
+    names = docs.columns
+    inner = [n if n in keep and n not in names[:i] else f"carried_{i}" for i, n in enumerate(names)]
+    return docs.toDF(*inner), lambda *out: [F.col(i).alias(n) for i, n in zip(inner, names) if n not in out]
+
+
+def copies_apart(rows: DataFrame, key: str, weight: Column, most: float) -> tuple[DataFrame, str]:
+    """rows with _copy, and a stored place: 0, or the row's place in the input where rows of its key weigh more than `most` together.
+
+    A hash of (key, _copy) then spreads a key's mass of rows while all others go by content alone. rows should be read, not
+    computed: places hold as long as its files are read in the same way.
+    """
+    sums = rows.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_w"))
+    hot, place = stored(sums.where((F.col("_n") > 1) & (F.col("_w") > most)).select("_hot"), "hot")
+    placed = rows.withColumn("_place", F.monotonically_increasing_id()).join(hot, F.col(key) == F.col("_hot"), "left")
+    return placed.withColumn("_copy", F.when(F.col("_hot").isNotNull(), F.col("_place")).otherwise(F.lit(0).cast("long"))).drop("_hot", "_place"), place
+
+
+def content_key(df: DataFrame, seed: int) -> Column:
+    """A seeded hash of all of a row's columns that can be hashed."""
+    return F.xxhash64(F.lit(seed), *(F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return _holds_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of a column's text, modulo n."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))

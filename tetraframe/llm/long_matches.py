@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, discard, prefix_hash, slices, span_hash, stored, table
+from tetraframe.llm.common import chunks, discard, prefix_hash, set_apart, slices, span_hash, stored, table
 
 #: Distinct segments of a bucket, and of a choice that is dealt again.
 BUCKET, HOT = 3_000, 4_000
@@ -44,9 +44,17 @@ ANCHORS = (0.4, 0.7, 0.9, 1.0)
 _PLACE = np.uint64((1 << 28) - 1)
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """Segments of joined texts: document, first window (inside the document), number of windows, hash of choice, hash of content."""
+def segments(data: np.ndarray, offsets: np.ndarray, length: int, k: int, most: int = 1 << 27) -> tuple[np.ndarray, ...]:
+    """Segments of joined texts: document, first window (inside the document), number of windows, hash of choice, hash of content.
+
+    A text of more than `most` bytes, which comes alone, is taken in stretches that overlap by a window less a byte: every window is in
+    one of them, and its choice depends on its own bytes only.
+    """
     n, w = len(data), length - k + 1
+    if n > max(most, length) and len(offsets) == 2:
+        step = max(most - length, 0) + 1
+        parts = [(a, segments(data[a : a + step + length - 1], np.array([0, min(step + length - 1, n - a)]), length, k, n)) for a in range(0, n - length + 1, step)]
+        return tuple(np.concatenate([p[i] + a if i == 1 else p[i] for a, p in parts]) for i in range(5))
     if n < length:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     prefix = prefix_hash(data)
@@ -303,7 +311,8 @@ def cut_out(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def removed(docs: DataFrame, length: int = 200) -> DataFrame:
-    """docs with _kept (bytes), _kept_text without characters that a cut went through, _n_bytes, _n_removed and _n_spans."""
+    """docs with _kept (bytes), _kept_text without characters that a cut went through, _n_bytes, _n_removed and _n_spans; columns of docs under these names give way."""
+    docs, back = set_apart(docs, "doc_id", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -319,7 +328,9 @@ def removed(docs: DataFrame, length: int = 200) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), pa.array(kept, pa.binary()), pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()), *(pa.array(x, pa.int64()) for x in (size, gone, spans))], [*(n for n in batch.schema.names if n != "_marks"), "_kept", "_kept_text", "_n_bytes", "_n_removed", "_n_spans"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return with_repeats(docs, length).select(*docs.columns, "_marks").mapInArrow(cut, f"{schema}, _kept binary, _kept_text string, _n_bytes long, _n_removed long, _n_spans long")
+    rows = with_repeats(docs, length).select(*docs.columns, "_marks").mapInArrow(cut, f"{schema}, _kept binary, _kept_text string, _n_bytes long, _n_removed long, _n_spans long")
+    added = ("_kept", "_kept_text", "_n_bytes", "_n_removed", "_n_spans")
+    return rows.select(*back(*added), *added)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ slots hold the sources in proportion to their weights.
 
 Without a budget it is the smallest that shows every document at least once. Tokens of a text are its blanks plus one.
 
-Defined cases: null source is a source of its own; null and empty texts count one token; repeated rows are drawn each, and where
-their order in the last pass is tied, which of the equal rows is shown first is open; an empty table gives an empty result; other
+Defined cases: null source is a source of its own; null and empty texts count one token; repeated rows are drawn each; rows of one
+doc_id or of null ids are permuted like others, by their place in the input where there are many of them, and in the last pass
+their content decides between a few; an empty table gives an empty result; other
 columns are carried along under their own names.
 """
 
@@ -22,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import stored, table
+from tetraframe.llm.common import content_key, copies_apart, stored, table
 
 #: Documents of a block and blocks of a group on average; cells of a search round and rounds.
 BLOCK, GROUP, GRID, ROUNDS = 512, 1024, 32, 6
@@ -97,17 +98,20 @@ def mixed(docs: DataFrame, entropy: float | None = None, repetition: float | Non
     names = docs.columns
     kept = [n for n in names]
     rows = docs.select(*(F.col(n).alias(f"_c{i}") for i, n in enumerate(kept)))
+    content = content_key(rows, seed)
     c = {n: F.col(f"_c{i}") for i, n in enumerate(kept)}
     rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), c[by].cast("string")), F.lit(""))).withColumn("_tokens", c[tokens].cast("long") if tokens else text_tokens(c["text"]))
     weights, _ = stored(source_weights(rows.select("_source", "_tokens"), entropy, repetition, budget), "weights")
-    key = F.xxhash64(F.lit(seed), c["doc_id"], F.col("_source"))
     weights = weights.withColumns({"_full": F.floor("passes").cast("int"), "_blocks": F.ceil(F.col("documents") / BLOCK)})
     block = lambda number: F.pmod(F.xxhash64(F.col("_key"), number), F.col("_blocks"))
-    rows = rows.join(weights, "_source").withColumn("_key", key).withColumn("_block", block(F.col("_full")))
+    # Rows of one doc_id, null ids among them, would all be of one block: many of them are told apart by their places.
+    rows, _ = copies_apart(rows.withColumn("_key", F.xxhash64(F.lit(seed), c["doc_id"], F.col("_source"))), "_key", F.lit(1), BLOCK // 4)
+    rows = rows.withColumn("_key", F.when(F.col("_copy") == 0, F.col("_key")).otherwise(F.xxhash64("_key", "_copy"))).drop("_copy")
+    rows = rows.join(weights, "_source").withColumn("_block", block(F.col("_full")))
     # The last pass: whole blocks while they fit, and in the block where the budget ends, documents while it isn't used up.
     slim = rows.select("_source", "_block", "_tokens").groupBy("_source", "_block").agg(F.sum("_tokens").alias("_sum"))
     rows = rows.join(running_before(slim), ["_source", "_block"])
-    inside = Window.partitionBy("_source", "_block").orderBy(F.xxhash64(F.col("_key"), F.col("_full"), F.lit(1)), c["doc_id"]).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_block").orderBy(F.xxhash64(F.col("_key"), F.col("_full"), F.lit(1)), c["doc_id"], content).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_used", F.col("_before") + F.coalesce(F.sum("_tokens").over(inside), F.lit(0)))
     shown = F.col("_full") + (F.col("_used") < (F.col("passes") - F.col("_full")) * F.col("tokens") - 1e-6).cast("int")
     rows = rows.withColumn("_n", shown).where("_n > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))

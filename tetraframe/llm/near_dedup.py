@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, discard, mix, slices, stored, table, words
+from tetraframe.llm.common import chunks, discard, mix, set_apart, slices, stored, table, words
 
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
@@ -453,6 +453,7 @@ def deduplicated(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100)
 
     Rows linked with nothing stay, one for each doc_id and text; so do all rows with a null doc_id.
     """
+    docs, back = set_apart(docs, "doc_id", "text")
     rows, _ = _members(docs, width, num, den)
     rows = rows.where("doc_id IS NOT NULL").select("doc_id", "t1", "t2", "component")
     best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("_b")).select("_b.*")
@@ -461,7 +462,7 @@ def deduplicated(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100)
     own = docs.where("doc_id IS NOT NULL").withColumns({"_t1": t1, "_t2": t2})
     kept = kept.select(F.col("doc_id").alias("_id"), F.col("t1").alias("_k1"), F.col("t2").alias("_k2"))
     own = own.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_t1") == F.col("_k1")) & (F.col("_t2") == F.col("_k2")), "left_semi")
-    return own.dropDuplicates(["doc_id", "_t1", "_t2"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return own.dropDuplicates(["doc_id", "_t1", "_t2"]).select(*docs.columns).unionByName(docs.where("doc_id IS NULL")).select(*back())
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

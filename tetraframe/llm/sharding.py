@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tetraframe.llm.common import discard, stored, table
+from tetraframe.llm.common import content_key, copies_apart, discard, stored, table
 
 #: Bytes of text in a bucket: a task holds a bucket three times over (as read, joined, shuffled).
 BUCKET_BYTES = 8 << 20
@@ -40,17 +40,6 @@ def size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
 
-def content_key(df: DataFrame, seed: int) -> Column:
-    """A seeded hash of all of a row's columns that can be hashed."""
-    return F.xxhash64(F.lit(seed), *(F.col(f"`{f.name}`") for f in df.schema.fields if not _holds_map(f.dataType)))
-
-
-def _holds_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.StructType):
-        return any(_holds_map(f.dataType) for f in kind.fields)
-    return _holds_map(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
-
-
 def fisher_yates(n: int, seed: int, bucket: int) -> np.ndarray:
     """A uniform permutation of n rows; numpy's is the swap of each place with one not yet settled."""
     return np.random.Generator(np.random.PCG64([seed, bucket])).permutation(n)
@@ -80,14 +69,11 @@ def shuffled(docs: DataFrame, seed: int = 17, text: str = "text", bucket_bytes:
     rows = docs.select(*(F.col(f"`{n}`").alias(f"_c{i}") for i, n in enumerate(docs.columns)))
     body = F.col(f"_c{docs.columns.index(text)}")
     rows = rows.withColumn("_key", content_key(rows, seed))
-    keys, place = stored(rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.sum(size(body)).alias("_bytes")), "keys")
-    total = keys.agg(F.sum("_bytes")).first()[0] or 0
+    total = rows.agg(F.sum(size(body))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    hot, hot_place = stored(keys.where((F.col("_n") > 1) & (F.col("_bytes") > bucket_bytes // HOT_PART)).select(F.col("_key").alias("_hot")), "hot")
+    rows, hot_at = copies_apart(rows, "_key", size(body), bucket_bytes // HOT_PART)
     tasks = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.withColumn("_copy", F.monotonically_increasing_id()).join(hot, F.col("_key") == F.col("_hot"), "left")
-    copy = F.when(F.col("_hot").isNotNull(), F.col("_copy")).otherwise(F.lit(0))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "_key", copy), F.lit(buckets))).drop("_hot", "_copy")
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "_key", "_copy"), F.lit(buckets))).drop("_copy")
     task = F.expr(f"int(_bucket * {tasks} div {buckets})")
     rows = rows.repartitionById(tasks, task).sortWithinPartitions("_bucket", "_key")
     kept = [f for f in rows.schema.fields if f.name not in ("_bucket", "_key")]
@@ -107,7 +93,7 @@ def shuffled(docs: DataFrame, seed: int = 17, text: str = "text", bucket_bytes:
                     yield batch
 
     out, written = stored(rows.mapInArrow(shuffle, T.StructType([*kept, T.StructField("_task", T.IntegerType()), T.StructField("_rank", T.LongType())])), "shuffled")
-    discard(spark, place, hot_place)
+    discard(spark, hot_at)
     return out, written
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import crc_mod, table
+from tetraframe.llm.common import crc_mod, set_apart, slices, table
 
 #: Most labelled rows of each kind that training reads.
 TOXIC_ROWS, CLEAN_ROWS = 1_500, 3_000
@@ -246,13 +246,14 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """docs with _toxic_score and _toxic (1 from the threshold on), learned from labels."""
+    """docs with _toxic_score and _toxic (1 from the threshold on), learned from labels; columns of docs under these names give way."""
+    docs, back = set_apart(docs, "doc_id", "text")
     model = train(docs, labels)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar, w = Grammar(model[0]), model[1]
         base = float(1 / (1 + np.exp(-w[-1])))
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for x in batch.column("text"):
                 f = grammar.features(x.as_py())
@@ -260,7 +261,8 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "_toxic_score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(score, f"{schema}, _toxic_score double").withColumn("_toxic", (F.col("_toxic_score") >= threshold).cast("int"))
+    rows = docs.mapInArrow(score, f"{schema}, _toxic_score double")
+    return rows.select(*back("_toxic_score", "_toxic"), "_toxic_score", (F.col("_toxic_score") >= threshold).cast("int").alias("_toxic"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
