@@ -17,10 +17,13 @@ every stage; columns beyond those of documents are carried along up to packing,
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import discard, stored, table
+from tetraframe.llm.common import discard, set_apart, stored, table
 from tetraframe.llm.long_matches import removed
 from tetraframe.llm.mixing import mixed
 from tetraframe.llm.near_dedup import deduplicated
@@ -32,22 +35,42 @@ from tetraframe.llm.toxicity import scored
 REPETITION = 1.5
 
 
+#: The columns of documents; whatever else a table has is carried along.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def carried(stage: Stage) -> Stage:
+    """The stage over documents whose other columns are renamed before and named back after, so that no name can clash with its own."""
+
+    @functools.wraps(stage)
+    def named_apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        docs, back = set_apart(docs, *DOCUMENT)
+        return stage(spark, docs, sf_dir).select(*back())
+
+    return named_apart
+
+
+@carried
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     return scored(docs, table(spark, sf_dir, "labels")).where("_toxic = 0").select(*docs.columns)
 
 
+@carried
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component."""
     return deduplicated(docs)
 
 
+@carried
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated passages; what was empty before stays."""
     rows = removed(docs).where("_kept_text <> '' OR _n_removed = 0").withColumn("text", F.when(F.col("_n_removed") > 0, F.col("_kept_text")).otherwise(F.col("text")))
     return rows.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@carried
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the tempered mixture shows them."""
     return mixed(docs, repetition=REPETITION).select(*docs.columns)
@@ -55,7 +78,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids, packed into sequences."""
-    return packed(docs, vocabulary("word_bpe_49k.json"), 2048)
+    return packed(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), 2048)
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("mixing", mixing), ("packing", packing)]
