@@ -375,25 +375,6 @@ def test_nearest_in_a_dense_cluster_and_a_wide_cloud(spark):
     assert len(got) == len(p) and np.allclose([got[i] for i in range(len(p))], d.min(1))
 
 
-def test_tiff_pages_round_trip():
-    import struct
-
-    from tetraframe.sources import images as im
-
-    a = np.random.default_rng(2).integers(0, 65535, (3, 5, 7)).astype("<u2")
-    for deflate in (False, True):
-        raw = im.tiff_bytes(a, "images=3\nspacing=2.0\n", (26738, 1), 3, deflate)
-        assert (im.tiff_volume(raw) == a).all() and [p[im.WIDTH][0] for p in im.tiff_pages(raw)] == [7, 7, 7]
-        assert im.described(next(im.tiff_pages(raw))[im.DESCRIPTION]) == {"images": "3", "spacing": "2.0"}
-    # One page that names three images, followed by them, big-endian.
-    data, text = a.astype(">u2").tobytes(), b"images=3\n\0"
-    tags = [(256, 3, 1, 7 << 16), (257, 3, 1, 5 << 16), (258, 3, 1, 16 << 16), (259, 3, 1, 1 << 16), (270, 2, len(text), 8 + len(data)), (273, 4, 1, 8), (279, 4, 1, 70)]
-    raw = b"MM\0*" + struct.pack(">I", 8 + len(data) + len(text)) + data + text + struct.pack(">H", len(tags)) + b"".join(struct.pack(">HHII", *t) for t in tags) + b"\0\0\0\0"
-    assert (im.tiff_volume(raw) == a).all()
-    with pytest.raises(ValueError):
-        im.tiff_volume(raw.replace(struct.pack(">HHII", 259, 3, 1, 1 << 16), struct.pack(">HHII", 259, 3, 1, 5 << 16)))
-
-
 def test_boundaries_by_hand():
     a = np.zeros((1, 3, 6), np.int32)
     a[0, :, 0:2], a[0, :, 4:6] = 1, 2

@@ -5,20 +5,32 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """df as a stored table and its place under spark.checkpoint.dir; a local session without one gets a folder of its own. Removed when the application ends."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a local session without one gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tetraframe-"))
         base = spark.sparkContext.getCheckpointDir()
-    place = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def kept_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df as a stored table and its place in the shared folder. Removed when the application ends."""
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(place)
     path = spark._jvm.org.apache.hadoop.fs.Path(place)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(place), place
+
+
+def dropped(spark: SparkSession, *places: str) -> None:
+    """Remove tables that kept_table() wrote, once nothing reads them any more."""
+    for place in places:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

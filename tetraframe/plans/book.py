@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clean
+from tetraframe.operators.tables import shared_folder
 
 
 class Book:
@@ -38,3 +40,8 @@ def r(*columns: str, digits: int = 6) -> str:
         e, _, n = c.rpartition(" AS ")
         out.append(f"round({e or n} + 1.7e-9, {digits}) + 0.0 AS {n}")
     return ", ".join(out)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """The address of a new folder that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +11,8 @@ from tetraframe.functions import scalars as sc
 from tetraframe.operators import filters as fl
 from tetraframe.operators import joins as jn
 from tetraframe.plans import fixtures as fx
-from tetraframe.plans.book import Book, r, rounded
+from tetraframe.plans.book import Book, folder, r, rounded
 from tetraframe.plans.spot_queries import STEP
-from tetraframe.sources import images as im
 from tetraframe.sources import readers as rd
 from tetraframe.sources import writers as wr
 from tetraframe.streaming.speeds import streamed_speeds
@@ -25,16 +21,6 @@ BOOK = Book(spots=fx.SPOTS, voxels=fx.VOXELS, names=fx.NAMES_SQL, metrics=fx.MET
 a = BOOK.add
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or, in local sessions without it, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="tetraframe-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def texts(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
 
@@ -66,89 +52,13 @@ a("src3_sniff_format", lambda s, f: s.createDataFrame([("a", rd.sniff_format(s,
 a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f))), LOADED, "spots")
 
 
-def put(s: SparkSession, path: str, data: bytes) -> None:
-    """A small file of a fixture, through the file system that Spark uses."""
-    place = s._jvm.org.apache.hadoop.fs.Path(path)
-    out = place.getFileSystem(s._jsc.hadoopConfiguration()).create(place, True)
-    out.write(data)
-    out.close()
-
-
-def tiff_files(s: SparkSession, f: str) -> str:
-    """Every volume of the view as a file of its own, named by its time point; every second one deflated."""
-    path = folder(s, "tiff")
-    rows = fx.voxels(s, f).groupBy("t").agg(F.array_sort(F.collect_list(F.struct("z", "y", "x", "value"))).alias("v")).select("t", F.transform("v", lambda x: x["value"]).alias("v"))
-    for r in rows.collect():  # a row a time point, 9,216 voxels each
-        text = f"ImageJ=1.11a\nimages={fx.NZ}\nslices={fx.NZ}\nspacing={0.5 + r['t']}\nunit=um\n" + (f"x_resolution_um=0.374\ny_resolution_um=0.{r['t']}\n" if r["t"] % 2 else "")
-        put(s, f"{path}/t{r['t']:04d}_Channel 1.tif", im.tiff_bytes(np.array(r["v"], "<u2").reshape(fx.NZ, fx.NY, fx.NX), text, (26738, 1), 2 if r["t"] == 2 else 3, r["t"] % 2 == 0))
-    return path
-
-
-a("src5_scan_tiff_volume", lambda s, f: im.scan_tiff_volumes(s, tiff_files(s, f)).withColumn("value", F.col("value").cast("int")), "SELECT t, z, y, x, value FROM voxels", "voxels")
-a("src5_tiff_voxel_size", lambda s, f: rounded(im.tiff_voxel_size(im.scan_tiff_tags(s, tiff_files(s, f))).select("pages", "vox_x", "vox_y", "vox_z", "recovered")),
-  f"SELECT {fx.NZ}::INTEGER AS pages, {r('CASE WHEN t % 2 = 1 THEN 0.374 WHEN t = 2 THEN 25400.0 / 26738 ELSE 10000.0 / 26738 END AS vox_x', 'CASE WHEN t % 2 = 1 THEN t / 10.0 WHEN t = 2 THEN 25400.0 / 26738 ELSE 10000.0 / 26738 END AS vox_y', '0.5::DOUBLE + t AS vox_z')}, true AS recovered FROM range(1, 8) q(t)")
-
-
-def hyperstack(s: SparkSession, f: str, frames: int) -> DataFrame:
-    """A stack of 12 pages, page k filled with 10 k + column, described as 4 slices and some frames."""
-    path = folder(s, "stack")
-    put(s, f"{path}/stack.tif", im.tiff_bytes(10 * np.arange(12)[:, None, None] + np.arange(3)[None, None, :] + np.zeros((12, 2, 3)), f"ImageJ=1.11a\nslices=4\nframes={frames}\n"))
-    return im.scan_hyperstack(s, path).select("t", "z", "y", "x", F.col("value").cast("int").alias("value"))
-
-
-a("src6_scan_hyperstack", lambda s, f: hyperstack(s, f, 3), "SELECT (p // 4)::INTEGER AS t, (p % 4)::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (10 * p + x)::INTEGER AS value FROM range(12) a(p), range(2) b(y), range(3) c(x)")
-a("src6_hyperstack_inconsistent", lambda s, f: hyperstack(s, f, 5), "SELECT 0 AS t, p::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (10 * p + x)::INTEGER AS value FROM range(12) a(p), range(2) b(y), range(3) c(x)")
-DATASETS = [("a.ims", f"DataSet/ResolutionLevel {k}/TimePoint {t}/Channel {c}/Data", [1, 1, 8, 16, 16]) for k in (0, 1) for t in (0, 2, 10) for c in (0, 1)]
-DATASETS += [("b.h5", "Data", [2, 8, 16, 16]), ("c.h5", "image", [40, 2, 8, 16, 16]), ("d.h5", "/data", [3, 2, 8, 16, 16]), ("d.h5", "image", [1, 2, 3, 4]), ("e.h5", "other", [2, 2, 2, 2])]
-
-
-def datasets(s: SparkSession) -> DataFrame:
-    """The datasets of some container files."""
-    return s.createDataFrame(DATASETS, "file string, dataset string, shape array<int>")
-
-
-a("src7_container_layout", lambda s, f: im.container_layout(datasets(s)), "SELECT * FROM (VALUES ('a.ims', 'imaris', 3::BIGINT, 2::BIGINT, 8, 16, 16), ('b.h5', 'flat', 1, 2, 8, 16, 16), ('d.h5', 'flat', 3, 2, 8, 16, 16)) v(file, mode, n_t, n_c, n_z, n_y, n_x)")
-a("src7_container_slices", lambda s, f: im.container_slices(datasets(s)), "SELECT 'a.ims' AS file, t::INTEGER AS t, c::INTEGER AS c, 'DataSet/ResolutionLevel 0/TimePoint ' || [0, 2, 10][t + 1] || '/Channel ' || c || '/Data' AS dataset FROM range(3) a(t), range(2) b(c)")
-a("src7_image_layout", lambda s, f: s.createDataFrame([(len(x), rd.image_layout(x, False)) for x in ((4, 5, 6), (2, 4, 5, 6), (1, 2, 4, 5, 6))], "axes int, layout string"), "SELECT * FROM (VALUES (3, 'ZYX'), (4, 'CZYX'), (5, 'TCZYX')) v(axes, layout)")
-a("src19_legacy_voxel_size", lambda s, f: rounded(im.legacy_voxel_size(s.createDataFrame([("tif", 2.0, 4.0, 0.5, None), ("tif", None, 0.0, None, None), ("nd2", None, None, None, 0.3)], "kind string, x_resolution double, y_resolution double, spacing double, pixel_microns double")).select("kind", "vox_x", "vox_y", "vox_z")),
-  "SELECT * FROM (VALUES ('tif', 0.5::DOUBLE, 0.25::DOUBLE, 0.5::DOUBLE), ('tif', 1.0, 1.0, 1.0), ('nd2', 0.3, 0.3, 3.0)) v(kind, vox_x, vox_y, vox_z)")
-META = [(1, '<Pixels PhysicalSizeX="374" PhysicalSizeXUnit="nm" PhysicalSizeY="374" PhysicalSizeZ="748"/>'), (2, '{"x_um": 0.4, "y_um": 0.4, "z_um": 2.0}'), (3, "none")]
-a("src8_voxel_metadata", lambda s, f: rounded(rd.voxel_metadata(s.createDataFrame(META, "id int, meta string"))), "SELECT id, x::DOUBLE AS x_um, x::DOUBLE AS y_um, z::DOUBLE AS z_um FROM (VALUES (1, 0.374, 0.748), (2, 0.4, 2.0), (3, NULL, NULL)) v(id, x, z)")
 a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
-a("src10_split_timepoints", lambda s, f: written_volumes(s, f).where("t = 3").select("z", "y", "x", "value"), "SELECT z, y, x, value FROM voxels WHERE t = 3", "voxels")
-
-
 def written_volumes(s: SparkSession, f: str) -> DataFrame:
     path = folder(s, "volumes")
     wr.write_volumes(fx.voxels(s, f), path)
     return rd.scan_volumes(s, path)
 
 
-def array_store(s: SparkSession, f: str, layout: str) -> DataFrame:
-    """Small arrays in one of three layouts: value 1000 t + 100 z + 10 y + x; time points 2 and 10 where they have names."""
-    path = folder(s, layout)
-    v = (np.array([2, 10])[:, None, None, None] * 1000 + np.arange(3)[:, None, None] * 100 + np.arange(4)[:, None] * 10 + np.arange(5)).astype("<u2")
-
-    def write(at: str, a: np.ndarray, chunk: tuple[int, ...]) -> None:
-        put(s, f"{at}/zarr.json", im.array_metadata(a.shape, chunk).encode())
-        for k in np.ndindex(*(-(-n // c) for n, c in zip(a.shape, chunk))):
-            block = np.zeros(chunk, "<u2")
-            part = a[tuple(slice(i * c, (i + 1) * c) for i, c in zip(k, chunk))]
-            block[tuple(map(slice, part.shape))] = part
-            put(s, f"{at}/c/{'/'.join(map(str, k))}", block.tobytes())
-
-    if layout == "array":
-        write(path, v, (1, 2, 4, 5))
-    else:
-        if layout == "group":
-            put(s, f"{path}/zarr.json", b'{"zarr_format": 3, "node_type": "group"}')
-        for name, a in zip(("2", "10"), v):
-            write(f"{path}/{name}", a, (2, 3, 5))
-    return im.scan_array_store(s, path)
-
-
-for _layout in ("array", "group", "folder"):
-    a(f"src11_scan_zarr_{_layout}", lambda s, f, k=_layout: array_store(s, f, k), "SELECT t::INTEGER AS t, z::INTEGER AS z, y::INTEGER AS y, x::INTEGER AS x, (CASE t WHEN 0 THEN 2000 ELSE 10000 END + 100 * z + 10 * y + x)::BIGINT AS value FROM range(2) a(t), range(3) b(z), range(4) c(y), range(5) d(x)")
 a("src11_scan_volumes", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
 STEM = "regexp_extract(regexp_replace(name, '(.)[.][^.]*$', '\\1'), '([0-9]+)[^0-9]*$', 1)"
 ORDERED = f"row_number() OVER (ORDER BY CASE WHEN {STEM} <> '' THEN 0 ELSE 1 END, nullif({STEM}, '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
@@ -235,8 +145,6 @@ a("snk2_export_filtered", lambda s, f: exported(s, f).select(F.col("ID").cast("l
   """WITH steps AS (SELECT *, CASE WHEN track_id IS NOT NULL AND frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS v FROM spots WINDOW w AS (PARTITION BY track_id ORDER BY frame, id)),
   lim AS (SELECT track_id, count(*) < 60 AS short, NOT coalesce(max(v) <= 200.0, false) AS fast FROM steps WHERE track_id IS NOT NULL GROUP BY 1)
   SELECT id, track_id, coalesce(short OR fast, false) AS filtered_out, CASE WHEN short AND fast THEN 'min_length+max_speed' WHEN fast THEN 'max_speed' WHEN short THEN 'min_length' ELSE '' END AS filter_reason FROM spots LEFT JOIN lim USING (track_id)""", "spots")
-a("snk3_write_volume", lambda s, f: written_volumes(s, f).select("t", "z", "y", "x", "value"), "SELECT t, z, y, x, value FROM voxels", "voxels")
 a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics", "metrics")
-a("snk11_zarr_sink", lambda s, f: written_volumes(s, f).where("label > 0").groupBy("t", "label").agg(F.count(F.lit(1)).alias("n")), "SELECT t, label, count(*) AS n FROM voxels WHERE label > 0 GROUP BY 1, 2", "voxels")
 a("json_round_trip", lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"), "SELECT id, frame FROM spots", "spots")
 a("stream_step_speed", lambda s, f: rounded(streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")).select("track_id", "frame", "id", "step_speed")), f"SELECT track_id, frame, id, {r('step_speed')} FROM speeds WHERE track_id IS NOT NULL", "spots", "speeds")

@@ -98,8 +98,6 @@ BOOK.views["contrast"] = WINDOW
 a("vol19_convert_uint8", on(lambda v: vo.as_uint8(v).select("t", "z", "y", "x", "byte")), "SELECT t, z, y, x, trunc(least(greatest((value - lo) * (255.0 / greatest(hi - lo, 1e-10)), 0), 255))::INTEGER AS byte FROM voxels, contrast", "voxels", "contrast")
 a("vol2_planar_correction", on(lambda v: vo.planar_correction(v, 4.0).select("t", "z", "y", "x", "corrected")), "SELECT t, z, y, x, " + CUT.format(x="value * least(gain, 2.0)") + " AS corrected FROM voxels JOIN gains USING (t, y, x)", "voxels", "shade")
 a("vol21_normalise_p999", on(lambda v: rounded(vo.normalised(v).select("t", "z", "y", "x", "norm"))), f"SELECT t, z, y, x, {r('least(greatest(value / q, 0.0), 1.0) AS norm')} FROM voxels JOIN (SELECT t, quantile_cont(value, 0.999) FILTER (WHERE value > 0) AS q FROM voxels GROUP BY 1) USING (t)", "voxels")
-a("snk4_write_hyperstack", on(lambda v: vo.padded_hyperstack(v.where("z < 16 - t"), True)), "SELECT s.t, s.z, 23 - s.y AS y, s.x, CASE WHEN s.z < 16 - s.t THEN s.value ELSE 0 END AS value FROM voxels s WHERE s.z < 15", "voxels")
-a("snk5_write_bdv", on(vo.pyramid), " UNION ALL ".join(f"SELECT {k} AS level, t, z // {f} AS z, y // {f} AS y, x // {f} AS x, value FROM voxels WHERE z % {f} = 0 AND y % {f} = 0 AND x % {f} = 0" for k, f in enumerate((1, 2, 4))), "voxels")
 a("win22_cells_along_z", on(lambda v: rounded(lb.depth_thirds(lb.per_slice_labels(v), fx.NZ))),
   f"""WITH centers AS (SELECT v.t, v.z, count(DISTINCT v.label) FILTER (WHERE v.label > 0 AND abs(c.cz - v.z) < 0.5) AS n FROM voxels v LEFT JOIN (SELECT t, label, avg(z) AS cz FROM voxels WHERE label > 0 GROUP BY 1, 2) c USING (t, label) GROUP BY 1, 2),
   parts AS (SELECT t, coalesce(sum(n) FILTER (WHERE z < 4), 0)::BIGINT AS shallow, coalesce(sum(n) FILTER (WHERE z BETWEEN 4 AND 11), 0)::BIGINT AS mid, coalesce(sum(n) FILTER (WHERE z >= 12), 0)::BIGINT AS deep FROM centers GROUP BY 1)

@@ -1,136 +1,14 @@
 """Image scans: TIFF volumes and hyperstacks, voxel sizes from their tags, chunked array stores, layouts of container files.
 
-Files are read as binary rows and decoded page by page or chunk by chunk in Arrow batches, so a task holds one file. Decoders cover
-what needs no further library: uncompressed and deflated TIFF strips, classic or large files, and raw chunks of arrays. Sizes and
-layouts are column expressions over the metadata.
+Pages, chunks and datasets come from the data sources beside this module; sizes and layouts are column expressions over the metadata.
 """
 
 from __future__ import annotations
 
-import json
-import struct
-import zlib
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Sizes of the TIFF field types that are read, with their struct letters; fixed values.
-FIELDS = {1: "B", 2: "s", 3: "H", 4: "I", 5: "II", 11: "f", 12: "d", 16: "Q"}
-WIDTH, HEIGHT, BITS, COMPRESSION, DESCRIPTION, STRIPS, STRIP_BYTES, X_RES, Y_RES, UNIT, FORMAT = 256, 257, 258, 259, 270, 273, 279, 282, 283, 296, 339
-
-
-def tiff_pages(raw: bytes) -> Iterator[dict]:
-    """The tags of each page by number; rationals as pairs."""
-    end = {b"II": "<", b"MM": ">"}[raw[:2]]
-    big = struct.unpack(end + "H", raw[2:4])[0] == 43
-    count, entry, offset = ("Q", 20, "Q") if big else ("H", 12, "I")
-    at = struct.unpack(end + offset, raw[8:16] if big else raw[4:8])[0]
-    while at:
-        n = struct.unpack_from(end + count, raw, at)[0]
-        at += struct.calcsize(count)
-        tags: dict = {"order": end}
-        for k in range(n):
-            tag, kind, many = struct.unpack_from(end + "HH" + offset, raw, at + k * entry)
-            letters = FIELDS.get(kind)
-            if letters is None:
-                continue
-            size = struct.calcsize(end + letters) * many
-            place = at + k * entry + (12 if big else 8)
-            if size > (8 if big else 4):
-                place = struct.unpack_from(end + offset, raw, place)[0]
-            v = struct.unpack_from(f"{end}{many}s" if letters == "s" else end + letters * many, raw, place)
-            tags[tag] = v[0].split(b"\0")[0].decode("latin-1") if letters == "s" else v
-        yield tags
-        at = struct.unpack_from(end + offset, raw, at + n * entry)[0]
-
-
-def described(text: str | None) -> dict[str, str]:
-    """key=value lines of an image description."""
-    return dict(line.strip().split("=", 1) for line in (text or "").splitlines() if "=" in line)
-
-
-def tiff_volume(raw: bytes) -> np.ndarray:
-    """All pages as one array (page, y, x); a single page that names more images is followed by them."""
-    pages = list(tiff_pages(raw))
-    out = []
-    for p in pages:
-        kind = np.dtype(f"{p['order']}{'f' if p.get(FORMAT, (1,))[0] == 3 else 'i' if p.get(FORMAT, (1,))[0] == 2 else 'u'}{p[BITS][0] // 8}")
-        shape = (p[HEIGHT][0], p[WIDTH][0])
-        more = int(described(p.get(DESCRIPTION)).get("images", 1)) if len(pages) == 1 else 1
-        packing = p.get(COMPRESSION, (1,))[0]
-        if packing == 1 and more > 1:
-            return np.frombuffer(raw, kind, more * shape[0] * shape[1], p[STRIPS][0]).reshape(more, *shape)
-        if packing not in (1, 8, 32946):
-            raise ValueError(f"TIFF compression {packing} needs a codec that is not here")
-        strips = [raw[a : a + n] for a, n in zip(p[STRIPS], p[STRIP_BYTES])]
-        data = b"".join(s if packing == 1 else zlib.decompress(s) for s in strips)
-        out.append(np.frombuffer(data, kind)[: shape[0] * shape[1]].reshape(shape))
-    return np.stack(out)
-
-
-def tiff_bytes(pages: np.ndarray, description: str = "", per_unit: tuple[int, int] | None = None, unit: int = 3, deflate: bool = False) -> bytes:
-    """A classic little-endian file of uint16 pages; per_unit: pixels a unit as a rational, the same for x and y."""
-    out, links = bytearray(b"II*\0\0\0\0\0"), 4
-    for k, page in enumerate(pages):
-        data = np.ascontiguousarray(page, "<u2").tobytes()
-        data = zlib.compress(data) if deflate else data
-        at = len(out)
-        out += data
-        text = description.encode("latin-1") + b"\0"
-        tags = [(WIDTH, 3, 1, page.shape[1]), (HEIGHT, 3, 1, page.shape[0]), (BITS, 3, 1, 16), (COMPRESSION, 3, 1, 8 if deflate else 1), (STRIPS, 4, 1, at), (278, 4, 1, page.shape[0]), (STRIP_BYTES, 4, 1, len(data))]
-        if k == 0 and description:
-            tags.append((DESCRIPTION, 2, len(text), len(out)))
-            out += text
-        if per_unit is not None:
-            out += b"\0" * (len(out) % 2)
-            tags += [(X_RES, 5, 1, len(out)), (Y_RES, 5, 1, len(out)), (UNIT, 3, 1, unit)]
-            out += struct.pack("<II", *per_unit)
-        out += b"\0" * (len(out) % 2)
-        struct.pack_into("<I", out, links, len(out))
-        out += struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", *t) for t in sorted(tags))
-        links = len(out)
-        out += b"\0\0\0\0"
-    return bytes(out)
-
-
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
-
-
-def scan_tiff(spark: SparkSession, path: str) -> DataFrame:
-    """(path, page, y, x, value): all pixels of all pages of the files at a path or pattern."""
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, raw in zip(batch.column("path").to_pylist(), batch.column("content")):
-                for k, page in enumerate(tiff_volume(raw.as_py())):
-                    y, x = np.mgrid[: page.shape[0], : page.shape[1]]
-                    columns = [pa.array([name] * page.size), pa.array(np.full(page.size, k, np.int32)), *(pa.array(v.ravel().astype(t)) for v, t in ((y, np.int32), (x, np.int32), (page, np.float64)))]
-                    yield pa.RecordBatch.from_arrays(columns, ["path", "page", "y", "x", "value"])
-
-    return _files(spark, path).mapInArrow(decode, "path string, page int, y int, x int, value double")
-
-
-def scan_tiff_tags(spark: SparkSession, path: str) -> DataFrame:
-    """(path, pages, description, x_resolution, y_resolution, resolution_unit) of each file: pixels a unit, and the unit's code."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for name, raw in zip(batch.column("path").to_pylist(), batch.column("content")):
-                pages = list(tiff_pages(raw.as_py()))
-                first = pages[0]
-                ratio = lambda t: first[t][0] / first[t][1] if t in first and first[t][1] else None  # noqa: B023, E731
-                n = len(pages) if len(pages) > 1 else int(described(first.get(DESCRIPTION)).get("images", 1))
-                for column, v in zip(out, (name, n, first.get(DESCRIPTION), ratio(X_RES), ratio(Y_RES), first.get(UNIT, (None,))[0])):
-                    column.append(v)
-            kinds = (pa.string(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], ["path", "pages", "description", "x_resolution", "y_resolution", "resolution_unit"])
-
-    return _files(spark, path).mapInArrow(read, "path string, pages int, description string, x_resolution double, y_resolution double, resolution_unit int")
+from tetraframe.sources.tiff_source import scan_tiff
 
 
 def described_value(key: str, description: Column | None = None) -> Column:
@@ -157,18 +35,14 @@ def tiff_voxel_size(tags: DataFrame) -> DataFrame:
 
 def scan_hyperstack(spark: SparkSession, path: str) -> DataFrame:
     """(path, t, z, y, x, value): pages as time points and slices by the description; one time point where its numbers don't fit the pages."""
-    tags = scan_tiff_tags(spark, path)
-    z, t = F.coalesce(described_value("slices"), F.col("pages")), F.coalesce(described_value("frames"), F.lit(1))
-    depth = tags.select("path", F.when(z * t == F.col("pages"), z).otherwise(F.col("pages")).cast("int").alias("_z"))  # a row a file
-    rows = scan_tiff(spark, path).join(depth, "path")
-    return rows.select("path", F.floor(F.col("page") / F.col("_z")).cast("int").alias("t"), (F.col("page") % F.col("_z")).alias("z"), "y", "x", "value")
+    return scan_tiff(spark, path, ("path", "t", "z", "y", "x", "value"))
 
 
 def scan_tiff_volumes(spark: SparkSession, path: str) -> DataFrame:
     """(t, z, y, x, value): one volume a file, its time point from the file's name."""
     from tetraframe.sources.readers import extract_timepoints
 
-    rows = scan_tiff(spark, path).withColumn("name", F.element_at(F.split("path", "/"), -1))
+    rows = scan_tiff(spark, path, ("path", "page", "y", "x", "value")).withColumn("name", F.element_at(F.split("path", "/"), -1))
     names = extract_timepoints(spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name")))  # a row a file
     return rows.join(names, "name").select(F.col("timepoint").alias("t"), F.col("page").alias("z"), "y", "x", "value")
 
@@ -215,41 +89,3 @@ def container_slices(listing: DataFrame) -> DataFrame:
     number = lambda c: F.coalesce(F.nullif(F.regexp_replace(c, r"\D", ""), F.lit("")).cast("long"), F.lit(0))
     rank = lambda c: (F.dense_rank().over(Window.partitionBy("file").orderBy(number(c), c)) - 1).alias(c[1:])
     return rows.select("file", rank("_t"), rank("_c"), "dataset")
-
-
-def scan_array_store(spark: SparkSession, path: str) -> DataFrame:
-    """(t, z, y, x, value) of a chunked array store (format 3, raw little-endian chunks).
-
-    Three layouts: one array of 4 axes at the root; a group, or a folder without a group's metadata, whose children with whole
-    numbers for names are arrays of 3 axes, one a time point, in the order of those numbers.
-    """
-    base = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    parent = lambda c: F.regexp_replace(c, "/[^/]*$", "")
-    meta = base.option("pathGlobFilter", "zarr.json").load(path).select(parent(F.col("path")).alias("_array"), F.col("content").cast("string").alias("_meta"))
-    info = F.from_json("_meta", "node_type string, shape array<long>, data_type string, chunk_grid struct<configuration: struct<chunk_shape: array<long>>>, codecs array<struct<name: string>>")
-    arrays = meta.withColumn("_i", info).where("_i.node_type = 'array'").select("_array", "_i.shape", "_i.data_type", F.col("_i.chunk_grid.configuration.chunk_shape").alias("chunk"))
-    name = F.element_at(F.split("_array", "/"), -1).try_cast("long")
-    arrays = arrays.withColumn("_k", F.when(F.size("shape") == 4, F.lit(-1)).otherwise(name)).where("_k IS NOT NULL")
-    arrays = arrays.withColumn("_t", F.dense_rank().over(Window.orderBy("_k")) - 1)  # a row a time point
-    chunks = base.option("pathGlobFilter", "*").load(path).where("path NOT LIKE '%/zarr.json'").select(F.regexp_extract("path", r"^(.*)/c/[0-9/]+$", 1).alias("_array"), F.regexp_extract("path", r"/c/([0-9/]+)$", 1).alias("_at"), "content")
-    rows = chunks.join(arrays, "_array").select("_at", "content", "shape", "data_type", "chunk", F.col("_t").cast("int").alias("_t"))
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                block = np.frombuffer(r["content"], np.dtype(r["data_type"]).newbyteorder("<")).reshape(r["chunk"])
-                first = np.array([int(v) for v in r["_at"].split("/")]) * block.shape
-                block = block[tuple(slice(0, n - a) for a, n in zip(first.tolist(), r["shape"]))]
-                at = [i.ravel() + a for i, a in zip(np.indices(block.shape), first.tolist())]
-                at = at if len(at) == 4 else [np.full(block.size, r["_t"]), *at]
-                yield pa.RecordBatch.from_arrays([*(pa.array(a.astype(np.int32)) for a in at), pa.array(block.ravel().astype(np.int64))], ["t", "z", "y", "x", "value"])
-
-    return rows.mapInArrow(decode, "t int, z int, y int, x int, value long")
-
-
-def array_metadata(shape: tuple[int, ...], chunk: tuple[int, ...], kind: str = "uint16") -> str:
-    """The metadata text of one array of raw little-endian chunks."""
-    return json.dumps({
-        "zarr_format": 3, "node_type": "array", "shape": shape, "data_type": kind, "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": chunk}},
-        "chunk_key_encoding": {"name": "default", "configuration": {"separator": "/"}}, "fill_value": 0, "codecs": [{"name": "bytes", "configuration": {"endian": "little"}}],
-    })

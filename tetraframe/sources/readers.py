@@ -127,9 +127,11 @@ def discover_results(listing: DataFrame, kinds: tuple[str, ...] = ("preprocessed
 
 
 def voxel_metadata(raw: DataFrame) -> DataFrame:
-    """(id, x_um, y_um, z_um) from an attribute text: XML sizes, else JSON attributes; units become micrometres."""
-    xml = {a: F.regexp_extract("meta", rf'PhysicalSize{a.upper()}="([0-9.eE+-]+)"', 1).try_cast("double") for a in "xyz"}
-    unit = F.regexp_extract("meta", r'PhysicalSizeXUnit="(\w+)"', 1)
+    """(id, x_um, y_um, z_um) from an attribute text: XML sizes, as attributes or as elements, else JSON attributes; units become micrometres."""
+    forms = [r'PhysicalSize{0}="([0-9.eE+-]+)"', r'PhysicalSize{0}\b[^>]*?(?:value=|>)" ?([0-9.eE+-]+) ?"', r"<PhysicalSize{0}>([^<]+)</PhysicalSize{0}>"]
+    first = lambda *patterns: F.coalesce(*(F.nullif(F.regexp_extract("meta", p, 1), F.lit("")) for p in patterns))
+    xml = {a: first(*(f.format(a.upper()) for f in forms)).try_cast("double") for a in "xyz"}
+    unit = F.lower(first(r'PhysicalSizeXUnit="(\w+)"', r"<PhysicalSizeUnit>(\w+)</PhysicalSizeUnit>", r'PhysicalSizeUnit="(\w+)"'))
     factor = F.when(unit == "nm", 1e-3).when(unit == "mm", 1e3).when(unit == "pm", 1e-6).otherwise(1.0)
     js = F.from_json("meta", "x_um double, y_um double, z_um double")
     return raw.select("id", *(F.coalesce(xml[a] * factor, js[f"{a}_um"]).alias(f"{a}_um") for a in "xyz"))
