@@ -26,10 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """The batches cut into smaller ones, empty ones left out."""
+    """The batches cut into smaller ones, empty ones left out. After the last one the worker, which outlives its task, hands free memory back."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -174,8 +175,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def chunks(texts: list[str | bytes | None], most: int = 1 << 22):
-    """Cut a batch into runs of documents of about `most` bytes: (first, after last, bytes of all, offsets)."""
+def chunks(texts: list[str | bytes | None], most: int = 1 << 20):
+    """Cut a batch into runs of documents of about `most` bytes: (first, after last, bytes of all, offsets). Hashing a run takes some 60 times its bytes."""
     raw = [t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass") for t in texts]
     first = size = 0
     for i, x in enumerate(raw):
