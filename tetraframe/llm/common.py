@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -30,7 +31,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    hand_back()
+
+
+def hand_back() -> None:
+    """Free memory of this process goes back to the machine."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import chunks, discard, mix, set_apart, slices, stored, table, words
+from tetraframe.llm.common import chunks, discard, hand_back, mix, set_apart, slices, stored, table, words
 
 #: Symbols of a signature (16 bits each), and the largest chance to miss a pair at the least similarity.
 K, MISS = 80, 1e-7
@@ -266,6 +266,8 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
             held.append(part)
     if held:
         yield pa.concat_tables(held)
+    held.clear()
+    hand_back()
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
