@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tetraframe.operators import labels as lb
+from tetraframe.operators import local_contrast as lc
 from tetraframe.operators import volumes as vo
 from tetraframe.operators.geometry import rotation_matrix
 from tetraframe.plans import fixtures as fx
@@ -102,3 +103,33 @@ a("win22_cells_along_z", on(lambda v: rounded(lb.depth_thirds(lb.per_slice_label
   f"""WITH centers AS (SELECT v.t, v.z, count(DISTINCT v.label) FILTER (WHERE v.label > 0 AND abs(c.cz - v.z) < 0.5) AS n FROM voxels v LEFT JOIN (SELECT t, label, avg(z) AS cz FROM voxels WHERE label > 0 GROUP BY 1, 2) c USING (t, label) GROUP BY 1, 2),
   parts AS (SELECT t, coalesce(sum(n) FILTER (WHERE z < 4), 0)::BIGINT AS shallow, coalesce(sum(n) FILTER (WHERE z BETWEEN 4 AND 11), 0)::BIGINT AS mid, coalesce(sum(n) FILTER (WHERE z >= 12), 0)::BIGINT AS deep FROM centers GROUP BY 1)
   SELECT *, shallow + mid + deep AS total, {r('CASE WHEN shallow > 0 THEN deep / shallow ELSE 0.0 END AS deep_over_shallow')} FROM parts""", "voxels")
+a("vol20_local_equalisation", on(lambda v: lc.local_equalisation(v.select("t", "z", "y", "x", "value"), (fx.NY, fx.NX), 0.05, (7, 5))))
+SIDES = "max(CASE WHEN y % 2 = {0} AND x % 2 = {1} THEN {2} END)"
+FOUR = "SELECT t, z, y // 2 AS y, x // 2 AS x, " + ", ".join(f"{SIDES.format(i, j, '{v}')}::DOUBLE AS {n}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("c", 1, 0), ("d", 1, 1))) + " FROM {src} GROUP BY 1, 2, 3, 4"
+DETAILS = " UNION ALL ".join(f"SELECT {{level}} AS level, '{b}' AS band, t, z, y, x, {e} / 2 AS value FROM {{src}}" for b, e in (("lh", "(a - b + c - d)"), ("hl", "(a + b - c - d)"), ("hh", "(a - b - c + d)")))
+a(
+    "vol20_haar_split",
+    on(lambda v: rounded(lc.haar_split(v, 3))),
+    f"""
+    WITH h1 AS ({FOUR.format(v="value", src="voxels")}),
+    h2 AS ({FOUR.format(v="v", src="(SELECT t, z, y, x, (a + b + c + d) / 2 AS v FROM h1)")}),
+    h3 AS ({FOUR.format(v="v", src="(SELECT t, z, y, x, (a + b + c + d) / 2 AS v FROM h2)")})
+    {" UNION ALL ".join(DETAILS.format(level=k, src=f"h{k}") for k in (1, 2, 3))} UNION ALL SELECT 3, 'll', t, z, y, x, (a + b + c + d) / 2 FROM h3
+    """,
+    "voxels",
+)
+a("vol20_haar_round_trip", on(lambda v: lc.haar_join(lc.haar_split(v, 3), 3, (fx.NY, fx.NX)).withColumn("value", F.rint("value").cast("int"))), "SELECT t, z, y, x, value FROM voxels", "voxels")
+a(
+    "vol20_wavelet_background",
+    on(lambda v: rounded(lc.wavelet_background(v, 4.0).select("t", "z", "y", "x", "background", "corrected"), 4)),
+    f"""
+    WITH low AS (SELECT t, z, y, x, avg(value) OVER (PARTITION BY t, z, y // 2, x // 2) AS v, value FROM voxels),
+    gk AS {gauss(4.0)},
+    rowed AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded("y + d", fx.NY)} AS s FROM low, gk) a
+      JOIN low b ON a.t = b.t AND a.z = b.z AND a.s = b.y AND a.x = b.x GROUP BY 1, 2, 3, 4),
+    back AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded("x + d", fx.NX)} AS s FROM rowed, gk) a
+      JOIN rowed b ON a.t = b.t AND a.z = b.z AND a.y = b.y AND a.s = b.x GROUP BY 1, 2, 3, 4)
+    SELECT t, z, y, x, {r("back.v AS background", "greatest(value - back.v, 0) AS corrected", digits=4)} FROM low JOIN back USING (t, z, y, x)
+    """,
+    "voxels",
+)
