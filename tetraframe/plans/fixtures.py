@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,13 +109,29 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 METRICS = """metrics AS (SELECT o_orderstatus AS experiment, strftime(o_orderdate, '%Y%m')::INTEGER AS timepoint, avg(o_totalprice) AS preproc_snr,
   stddev_pop(o_totalprice) AS preproc_sharpness, count(*)::DOUBLE AS seg_n_cells, max(o_totalprice) / min(o_totalprice) AS seg_mean_elongation FROM orders GROUP BY 1, 2)"""
 
-#: File names to parse.
-NAMES = ["t0001_Channel 2.tif", "T012_decon.tif", "tp001.tif", "run--C00--T00003.h5", "embryo_001.tif", "no_digits.tif", "t0002_Channel 1.tif", "run--C01--T00003.h5", "frame12.zarr", "frame2.zarr"]
+#: Patterns of file names, by customer; the sixth has no digits.
+PATTERNS = ["t%04d_Channel {c}.tif", "T%03d_decon.tif", "tp%03d.tif", "run--C0{b}--T%05d.h5", "embryo_%03d.tif", "no_digits_{w}.tif", "frame%d.zarr", "scan-%d.hdf5"]
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' keys as k, with balance and name."""
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("k"), "c_name", "c_acctbal", "c_mktsegment")
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of file names: one a customer, in turn by each pattern."""
+    k = F.col("k")
+    parts = {"c": k % 3 + 1, "b": k % 2, "w": F.translate(k.cast("string"), "0123456789", "abcdefghij")}
+    name = lambda p: F.concat(*(F.format_string(x, k) if "%" in x else parts[x[1]].cast("string") if x[0] == "{" else F.lit(x) for x in re.split(r"(\{\w\})", p) if x))
+    which = F.lit(None).cast("string")
+    for i, p in enumerate(PATTERNS):
+        which = F.when(k % len(PATTERNS) == i, name(p)).otherwise(which)
+    return customers(spark, sf_dir).select(which.alias("name"))
 
 
-def names(spark: SparkSession) -> DataFrame:
-    """A listing of file names."""
-    return spark.createDataFrame([(n,) for n in NAMES], "name string")
+def _name_sql(p: str) -> str:
+    parts = {"c": "(c_custkey % 3 + 1)", "b": "(c_custkey % 2)", "w": "translate(c_custkey::VARCHAR, '0123456789', 'abcdefghij')"}
+    return " || ".join(f"printf('{x}', c_custkey)" if "%" in x else parts[x[1]] if x[0] == "{" else f"'{x}'" for x in re.split(r"(\{\w\})", p) if x)
 
 
-NAMES_SQL = "names AS (SELECT unnest([" + ", ".join(f"'{n}'" for n in NAMES) + "]) AS name)"
+NAMES_SQL = "names AS (SELECT CASE c_custkey % 8 " + " ".join(f"WHEN {i} THEN {_name_sql(p)}" for i, p in enumerate(PATTERNS)) + " END AS name FROM customer)"

@@ -52,7 +52,7 @@ a("src3_sniff_format", lambda s, f: s.createDataFrame([("a", rd.sniff_format(s,
 a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f))), LOADED, "spots")
 
 
-a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
+a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s, f), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
 def written_volumes(s: SparkSession, f: str) -> DataFrame:
     path = folder(s, "volumes")
     wr.write_volumes(fx.voxels(s, f), path)
@@ -62,8 +62,8 @@ def written_volumes(s: SparkSession, f: str) -> DataFrame:
 a("src11_scan_volumes", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
 STEM = "regexp_extract(regexp_replace(name, '(.)[.][^.]*$', '\\1'), '([0-9]+)[^0-9]*$', 1)"
 ORDERED = f"row_number() OVER (ORDER BY CASE WHEN {STEM} <> '' THEN 0 ELSE 1 END, nullif({STEM}, '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
-a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
-a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s)), f"SELECT name, {ORDERED} FROM names", "names")
+a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s, f).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
+a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s, f)), f"SELECT name, {ORDERED} FROM names", "names")
 
 
 def stacked(s: SparkSession, f: str) -> DataFrame:
@@ -75,33 +75,129 @@ a("src13_stack_timepoints", stacked, "SELECT t - 1 AS t, z // 2 AS z, y // 2 AS
 
 
 def stage_files(s: SparkSession, f: str) -> DataFrame:
+    """A file a stage: each order priority with its orders by status as counts by slice."""
     path = folder(s, "stages")
-    rows = [(json.dumps({"stage_name": f"s{k}", "per_slice_stats": {"n_labels": [k, k + 1, 2 * k]}}),) for k in range(3)]
-    s.createDataFrame(rows, "value string").repartition(3).write.text(path)
+    o = fx.read(s, f, "orders").groupBy(F.col("o_orderpriority").alias("stage_name"))
+    counts = F.array(*(F.count_if(F.col("o_orderstatus") == k) for k in "FOP"))
+    o.agg(F.struct(counts.alias("n_labels")).alias("per_slice_stats")).select(F.to_json(F.struct("stage_name", "per_slice_stats")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return rd.load_stage_results(s, path)
 
 
-a("src14_load_stage_json", lambda s, f: rd.stage_slices(stage_files(s, f)), "SELECT 's' || k AS stage_name, z::INTEGER AS z, CASE z WHEN 0 THEN k WHEN 1 THEN k + 1 ELSE 2 * k END AS n_labels FROM range(3) a(k), range(3) b(z)")
-LISTING = [(1, "preprocessed", "a1"), (1, "segmented", "b1"), (2, "segmented", "b2"), (3, "cropped", "c3"), (3, "preprocessed", "a3")]
-a("src15_discover_results", lambda s, f: rd.discover_results(s.createDataFrame(LISTING, "timepoint int, kind string, name string")), "SELECT * FROM (VALUES (1, 'a1', 'b1', NULL), (2, NULL, 'b2', NULL), (3, 'a3', NULL, 'c3')) v(timepoint, preprocessed, segmented, cropped)")
+def listing(s: SparkSession, f: str) -> DataFrame:
+    """Result files by time point and kind; a fifth is missing."""
+    kind = F.element_at(F.array(F.lit("preprocessed"), F.lit("segmented"), F.lit("cropped")), (F.col("k") % 3 + 1).cast("int"))
+    return fx.customers(s, f).where("k % 5 <> 0").select((F.col("k") / 3).cast("int").alias("timepoint"), kind.alias("kind"), F.concat(F.lit("n"), "k").alias("name"))
+
+
+a(
+    "src14_load_stage_json",
+    lambda s, f: rd.stage_slices(stage_files(s, f)),
+    """
+    SELECT o_orderpriority AS stage_name, z::INTEGER AS z, count(*) FILTER (WHERE o_orderstatus = ['F', 'O', 'P'][z + 1]) AS n_labels
+    FROM orders, range(3) b(z) GROUP BY 1, 2
+    """,
+)
+a(
+    "src15_discover_results",
+    lambda s, f: rd.discover_results(listing(s, f)),
+    """
+    SELECT (c_custkey // 3)::INTEGER AS timepoint, max(CASE c_custkey % 3 WHEN 0 THEN 'n' || c_custkey END) AS preprocessed,
+      max(CASE c_custkey % 3 WHEN 1 THEN 'n' || c_custkey END) AS segmented, max(CASE c_custkey % 3 WHEN 2 THEN 'n' || c_custkey END) AS cropped
+    FROM customer WHERE c_custkey % 5 <> 0 GROUP BY 1
+    """,
+)
 TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p in (r"(?i)t([0-9]+)_channel", r"(?i)(?:^|[^a-z])t([0-9]+)", r"(?i)tp([0-9]+)", r"(?i)--[a-z]*t([0-9]+)", r"(?i)[_ -]([0-9]+)\.(?:tiff?|h5|hdf5)$", r"([0-9]+)")) + ")::INTEGER"
-a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
-a("src17_load_config", lambda s, f: s.createDataFrame([(c.input_dir, c.max_timepoints, c.channel) for c in [rd.load_config('﻿{"input_dir": "a\\ b", "max_timepoints": 5, "other": 1}')]], "input_dir string, max_timepoints int, channel int"), "SELECT 'a b' AS input_dir, 5 AS max_timepoints, 0 AS channel")
-a("src18_resolve_channel", lambda s, f: s.createDataFrame([(w, n, rd.resolve_channel(w, n)) for w, n in ((0, 1), (1, 3), (3, 3))], "wanted int, channels int, found int"), "SELECT * FROM (VALUES (0, 1, 0), (1, 3, 0), (3, 3, 2)) v(wanted, channels, found)")
-SIZES = [(1, 0.374, 0.374, 0.748, "h5", 2.0, 2.0, 3, 1.0), (2, None, 0.4, 0.8, None, 25000.0, 20000.0, 3, 3.0), (3, None, None, None, None, 0.0, None, None, None), (4, None, None, None, None, 50800.0, 25400.0, 2, 2.0)]
-SIZE_COLUMNS = "id int, x_um double, y_um double, z_um double, source string, x_resolution double, y_resolution double, resolution_unit int, spacing double"
-a("src20_resolve_voxel_size", lambda s, f: rounded(rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source")), "SELECT id, x::DOUBLE AS vox_x, y::DOUBLE AS vox_y, z::DOUBLE AS vox_z, s AS voxel_size_source FROM (VALUES (1, 0.374, 0.374, 0.748, 'sidecar_imaris (h5)'), (2, 0.4, 0.5, 3.0, 'auto_detected'), (3, 1.0, 1.0, 1.0, 'auto_detected'), (4, 0.5, 1.0, 2.0, 'auto_detected')) v(id, x, y, z, s)")
-a("src20_manual_voxel_size", lambda s, f: rd.resolved_voxel_size(s.createDataFrame(SIZES, SIZE_COLUMNS), (0.3, 0.3, 2.0)).select("id", "vox_x", "vox_y", "vox_z", "voxel_size_source"), "SELECT id::INTEGER AS id, 0.3::DOUBLE AS vox_x, 0.3::DOUBLE AS vox_y, 2.0::DOUBLE AS vox_z, 'manual_override' AS voxel_size_source FROM range(1, 5) q(id)")
-MERGED = [(1, 0.374, 0.5, 2.0, 100, 187), (2, 0.374, 1.0, 2.0, 100, 100)]
-MERGED_SQL = f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> nz0 THEN spacing * nz0 / nz ELSE spacing END AS vox_z')} FROM (VALUES {', '.join(f'({i}, {x}::DOUBLE, {c}::DOUBLE, {p}::DOUBLE, {n0}, {n})' for i, x, c, p, n0, n in MERGED)}) v(id, res, scaling, spacing, nz0, nz)"
-a("snk7_merged_voxel_size", lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", "vox_xy", "vox_z")), MERGED_SQL)
-a("src21_original_z_spacing", lambda s, f: rounded(wr.merged_voxel_size(s.createDataFrame(MERGED, "id int, res double, scaling double, spacing double, nz0 int, nz int")).select("id", (F.col("vox_z") * F.col("nz") / F.col("nz0")).alias("original"))), "SELECT id, 2.0::DOUBLE AS original FROM (VALUES (1), (2)) v(id)")
-a("sc13_channel_from_name", lambda s, f: fx.names(s).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
-a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
-a("jn8_combine_metadata", lambda s, f: jn.combine_metadata(fx.names(s), s.createDataFrame([("um", 0.374)], "unit string, spacing double")), "SELECT name, 'um' AS unit, 0.374::DOUBLE AS spacing FROM names", "names")
-FORMATS = ["tif", " XML ", "all", "hdf5,tiff", "odd", ["bdv", "odd"], ["odd"], ["xml", "tif"], []]
-a("snk6_parse_formats", lambda s, f: s.createDataFrame([(str(x), ",".join(wr.parse_formats(x))) for x in FORMATS], "given string, formats string"),
-  """SELECT * FROM (VALUES ('tif', 'tiff'), (' XML ', 'bdv'), ('all', 'bdv,tiff'), ('hdf5,tiff', 'tiff'), ('odd', 'tiff'), ('[''bdv'', ''odd'']', 'bdv'), ('[''odd'']', 'tiff'), ('[''xml'', ''tif'']', 'bdv,tiff'), ('[]', 'tiff')) v(given, formats)""")
+a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s, f)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
+
+
+def configs(s: SparkSession, f: str) -> DataFrame:
+    """A configuration a region, as its text is loaded."""
+    rows = fx.read(s, f, "region").select("r_name", "r_regionkey").collect()  # five regions
+    loaded = [rd.load_config('\ufeff{"input_dir": "%s\\ b", "max_timepoints": %d, "other": 1}' % (r["r_name"], 5 * r["r_regionkey"])) for r in rows]
+    return s.createDataFrame([(c.input_dir, c.max_timepoints, c.channel) for c in loaded], "input_dir string, max_timepoints int, channel int")
+
+
+def resolved_channels(s: SparkSession, f: str) -> DataFrame:
+    """The channel that each nation's configuration leads to."""
+    rows = fx.read(s, f, "nation").select("n_nationkey", "n_regionkey").collect()  # 25 nations
+    pairs = [(r["n_nationkey"] % (r["n_regionkey"] + 1) + 1, r["n_regionkey"] + 1) for r in rows]
+    return s.createDataFrame([(w, n, rd.resolve_channel(w, n)) for w, n in pairs], "wanted int, channels int, found int")
+
+
+a("src17_load_config", configs, "SELECT r_name || ' b' AS input_dir, (5 * r_regionkey)::INTEGER AS max_timepoints, 0 AS channel FROM region")
+a(
+    "src18_resolve_channel",
+    resolved_channels,
+    "SELECT (n_nationkey % (n_regionkey + 1) + 1)::INTEGER AS wanted, (n_regionkey + 1)::INTEGER AS channels, (n_nationkey % (n_regionkey + 1))::INTEGER AS found FROM nation",
+)
+
+
+def sizes(s: SparkSession, f: str) -> DataFrame:
+    """What is known of a file's voxels, in turn: a sidecar, part of one and tags, nothing, tags by the inch."""
+    k = F.col("k")
+    of = lambda **c: F.coalesce(*(F.when(k % 4 == int(i[1:]), F.lit(v) if not hasattr(v, "cast") else v) for i, v in c.items()))
+    return fx.customers(s, f).select(
+        k.cast("int").alias("id"), of(k1=k / 1000).alias("x_um"), of(k1=0.374, k2=0.4).alias("y_um"), of(k1=0.748, k2=0.8).alias("z_um"), of(k1="h5").alias("source"),
+        of(k1=2.0, k2=25000.0, k3=0.0, k0=50800.0 + k).alias("x_resolution"), of(k1=2.0, k2=20000.0, k0=25400.0).alias("y_resolution"), of(k1=3, k2=3, k0=2).alias("resolution_unit"), of(k1=1.0, k2=3.0, k0=2.0).alias("spacing"),
+    )
+
+
+SIZED = ["id", "vox_x", "vox_y", "vox_z", "voxel_size_source"]
+a(
+    "src20_resolve_voxel_size",
+    lambda s, f: rounded(rd.resolved_voxel_size(sizes(s, f)).select(*SIZED)),
+    f"""
+    SELECT c_custkey::INTEGER AS id, {r("CASE c_custkey % 4 WHEN 1 THEN c_custkey / 1000.0 WHEN 2 THEN 0.4 WHEN 3 THEN 1.0 ELSE 25400.0 / (50800.0 + c_custkey) END::DOUBLE AS vox_x")},
+      [1.0, 0.374, 0.5, 1.0][c_custkey % 4 + 1]::DOUBLE AS vox_y, [2.0, 0.748, 3.0, 1.0][c_custkey % 4 + 1]::DOUBLE AS vox_z,
+      CASE WHEN c_custkey % 4 = 1 THEN 'sidecar_imaris (h5)' ELSE 'auto_detected' END AS voxel_size_source
+    FROM customer
+    """,
+)
+a(
+    "src20_manual_voxel_size",
+    lambda s, f: rd.resolved_voxel_size(sizes(s, f), (0.3, 0.3, 2.0)).select(*SIZED),
+    "SELECT c_custkey::INTEGER AS id, 0.3::DOUBLE AS vox_x, 0.3::DOUBLE AS vox_y, 2.0::DOUBLE AS vox_z, 'manual_override' AS voxel_size_source FROM customer",
+)
+
+
+def merges(s: SparkSession, f: str) -> DataFrame:
+    """Merged volumes: resolution, scaling and slices before and after, by customer."""
+    k = F.col("k")
+    return wr.merged_voxel_size(fx.customers(s, f).select(k.alias("id"), (0.3 + k / 1000).alias("res"), F.when(k % 2 == 0, 0.5).otherwise(1.0).alias("scaling"), F.lit(2.0).alias("spacing"), F.lit(100).alias("nz0"), (100 + k % 3 * 87).alias("nz")))
+
+
+MERGED = "merged AS (SELECT c_custkey AS id, 0.3 + c_custkey / 1000.0::DOUBLE AS res, CASE WHEN c_custkey % 2 = 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS scaling, 100 + c_custkey % 3 * 87 AS nz FROM customer)"
+BOOK.views["merged"] = MERGED
+a("snk7_merged_voxel_size", lambda s, f: rounded(merges(s, f).select("id", "vox_xy", "vox_z")), f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> 100 THEN 200.0::DOUBLE / nz ELSE 2.0 END AS vox_z')} FROM merged", "merged")
+a("src21_original_z_spacing", lambda s, f: rounded(merges(s, f).select("id", (F.col("vox_z") * F.col("nz") / F.col("nz0")).alias("original"))), "SELECT id, 2.0::DOUBLE AS original FROM merged", "merged")
+a("sc13_channel_from_name", lambda s, f: fx.names(s, f).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
+a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s, f).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
+a(
+    "jn8_combine_metadata",
+    lambda s, f: jn.combine_metadata(fx.names(s, f), fx.customers(s, f).agg(F.lit("um").alias("unit"), F.round(F.max("c_acctbal"), 2).alias("spacing"))),
+    "SELECT name, 'um' AS unit, (SELECT round(max(c_acctbal), 2) FROM customer) AS spacing FROM names",
+    "names",
+)
+
+
+def formats(s: SparkSession, f: str) -> DataFrame:
+    """Output formats from words that customers' segments and keys give, alone and as lists."""
+    words = F.element_at(F.array(*map(F.lit, ("tif", " XML ", "all", "hdf5,tiff", "bdv", "both", "HDF5"))), (F.col("k") % 7 + 1).cast("int"))
+    given = fx.customers(s, f).select(F.when(F.col("k") % 3 == 0, F.lower("c_mktsegment")).otherwise(words).alias("w")).distinct().orderBy("w").collect()  # a dozen words
+    rows = [(r["w"], ",".join(wr.parse_formats(r["w"])), ",".join(wr.parse_formats([r["w"], "bdv"]))) for r in given]
+    return s.createDataFrame(rows, "given string, alone string, listed string")
+
+
+a(
+    "snk6_parse_formats",
+    formats,
+    """
+    WITH w AS (SELECT DISTINCT CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) ELSE ['tif', ' XML ', 'all', 'hdf5,tiff', 'bdv', 'both', 'HDF5'][c_custkey % 7 + 1] END AS given FROM customer)
+    SELECT given, CASE WHEN given IN ('all', 'both') THEN 'bdv,tiff' WHEN lower(trim(given)) IN ('bdv', 'hdf5', 'xml') THEN 'bdv' ELSE 'tiff' END AS alone,
+      CASE WHEN lower(trim(given)) IN ('tif', 'tiff') THEN 'bdv,tiff' ELSE 'bdv' END AS listed
+    FROM w
+    """,
+)
 
 
 def bundle(s: SparkSession, f: str, name: str) -> DataFrame:

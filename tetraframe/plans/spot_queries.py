@@ -36,7 +36,7 @@ FLAGS = """flags AS (SELECT s.track_id, s.n, s.med, s.inward, o.sustained, o.dis
   0.30 * least(greatest((-0.5 - s.med) / 0.5, 0.0), 2.0) / 2 + 0.20 * least(greatest(s.inward, 0.0), 1.0) + 0.25 * least(greatest(o.sustained::DOUBLE / greatest(s.n, 1), 0.0), 1.0) + 0.25 * least(greatest(coalesce(-o.disp, 0.0) / greatest(s.n, 1), 0.0), 1.0) AS score
   FROM vstats s JOIN onsets o USING (track_id))"""
 
-BOOK = Book(spots=fx.SPOTS, tracks=fx.TRACKS, speeds=STEP, limits=LIMITS, radial=RADIAL, smooth=SMOOTH, vstats=VSTATS, runs=RUNS, flags=FLAGS, cloud=fx.CLOUD)
+BOOK = Book(voxels=fx.VOXELS, spots=fx.SPOTS, tracks=fx.TRACKS, speeds=STEP, limits=LIMITS, radial=RADIAL, smooth=SMOOTH, vstats=VSTATS, runs=RUNS, flags=FLAGS, cloud=fx.CLOUD)
 KIN = ("spots", "radial", "smooth", "vstats", "runs", "flags")
 
 
@@ -111,7 +111,15 @@ a("flt22_selected_tracks", lambda s, f: fl.selected_tracks(fx.spots(s, f), fx.tr
 a("srt1_sort_track_frame", on(lambda d: fl.sort_track_frame(fl.tracked_only(d))), f"SELECT {COLS} FROM spots WHERE track_id IS NOT NULL ORDER BY track_id, frame, id", "spots")
 a("srt2_lexsort", on(lambda d: d.orderBy("frame", F.desc("position_x"), "id")), f"SELECT {COLS} FROM spots ORDER BY frame, position_x DESC, id", "spots")
 a("srt4_latest_points", on(fl.latest_points), f"SELECT {COLS} FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame DESC, id DESC) AS rn FROM spots WHERE track_id IS NOT NULL) WHERE rn = 1", "spots")
-a("srt6_linspace_slices", lambda s, f: s.range(1).select(F.posexplode(fl.linspace_slices(458, 5))).select(F.col("pos").alias("k"), F.col("col").alias("z")), "SELECT k::INTEGER AS k, floor(k * 457.0 / 4)::INTEGER AS z FROM range(5) r(k)")
+
+
+def spread_slices(s, f):
+    """Five slices, evenly spread over the view's depth."""
+    depth = fx.voxels(s, f).agg(F.max("z")).first()[0] + 1
+    return s.range(1).select(F.posexplode(fl.linspace_slices(depth, 5))).select(F.col("pos").alias("k"), F.col("col").alias("z"))
+
+
+a("srt6_linspace_slices", spread_slices, "SELECT k::INTEGER AS k, floor(k * max(z) / 4.0)::INTEGER AS z FROM voxels, range(5) r(k) GROUP BY k", "voxels")
 a("smp1_subsample_tracks", on(lambda d: fl.subsample_tracks(d, 20)), f"SELECT {COLS} FROM spots WHERE track_id IN (SELECT track_id FROM (SELECT DISTINCT track_id FROM spots WHERE track_id IS NOT NULL) ORDER BY {key(42, 'track_id')} LIMIT 20)", "spots")
 a("smp2_subsample_points", on(lambda d: fl.subsample_points(d, 5.0, 100)), f"SELECT {COLS} FROM (SELECT *, row_number() OVER (ORDER BY {key(0)}) AS rn, count(*) OVER () AS n FROM spots) WHERE rn <= greatest(100, floor(n * 5 / 100))", "spots")
 a("smp3_sample_spots", on(lambda d: fl.subsample_points(d, 0.0, 500, 42)), f"SELECT {COLS} FROM spots ORDER BY {key(42)} LIMIT 500", "spots")

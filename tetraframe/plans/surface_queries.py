@@ -30,17 +30,23 @@ def polar(s, f):
 
 a("sc1_spherical_coords", lambda s, f: rounded(polar(s, f).select("id", "radial_dist", "spherical_depth", "spherical_depth_norm", "theta_deg", "phi_deg")),
   f"SELECT id, {r('radial_dist', f'{RADIUS} - radial_dist AS spherical_depth', f'({RADIUS} - radial_dist) / {RADIUS} AS spherical_depth_norm', 'theta_deg', 'phi_deg')} FROM polar", "cloud", "polar")
-LAND = "landmarks AS (SELECT * FROM (VALUES ('animal_pole', 0.0, -3.0, 0.5), ('dorsal', 2.0, 0.0, 0.0), ('margin', 1.0, 0.2, -2.0)) v(landmark, x, y, z))"
-BOOK.views["landmarks"] = LAND
 
 
 def landmarks(s, f):
-    """Angles of a few landmarks about the origin."""
-    rows = s.createDataFrame([("animal_pole", 0.0, -3.0, 0.5), ("dorsal", 2.0, 0.0, 0.0), ("margin", 1.0, 0.2, -2.0)], "landmark string, x double, y double, z double")
+    """Angles of every point of the cloud, as a landmark, about the origin."""
+    rows = fx.cloud(s, f).select(F.concat(F.lit("p"), "id").alias("landmark"), *(F.col(f"position_{c}").alias(c) for c in "xyz"))
     return rounded(rows.withColumns({k: v for k, v in sc.spherical(F.col("x"), F.col("y"), F.col("z"), F.lit(1.0)).items() if k.endswith("deg")}))
 
 
-a("sc2_landmark_angles", landmarks, f"SELECT landmark, x::DOUBLE AS x, y::DOUBLE AS y, z::DOUBLE AS z, {r('degrees(acos(-y / sqrt(x * x + y * y + z * z))) AS theta_deg', 'degrees(atan2(z, x)) AS phi_deg')} FROM landmarks", "landmarks")
+a(
+    "sc2_landmark_angles",
+    landmarks,
+    f"""
+    SELECT 'p' || id AS landmark, {r("x", "y", "z", "degrees(acos(least(greatest(-y / greatest(sqrt(x * x + y * y + z * z), 1e-10), -1.0), 1.0))) AS theta_deg", "degrees(atan2(z, x)) AS phi_deg")}
+    FROM (SELECT id, position_x AS x, position_y AS y, position_z AS z FROM cloud)
+    """,
+    "cloud",
+)
 _R1, _R2 = geo.orientation((0.0, 0.0, 0.0), POLE, DORSAL)
 _R = _R2 @ _R1
 
@@ -53,21 +59,32 @@ def turned(s, f):
 
 a("sc4_orient", turned, "SELECT id, frame, " + r(*(f"{' + '.join(f'({float(_R[i, k])!r}) * (position_{c} - m{c})' for k, c in enumerate('xyz'))} AS position_{n}" for i, n in enumerate("xyz")), digits=5) + " FROM cloud, (SELECT avg(position_x) AS mx, avg(position_y) AS my, avg(position_z) AS mz FROM cloud)", "cloud")
 # Rodrigues' formula for the turn of u to v: R = cos I + [w] + w w' / (1 + cos), w = u x v.
-ROTATION = f"""WITH raw AS (SELECT {POLE[0]}::DOUBLE AS a, {POLE[1]}::DOUBLE AS b, {POLE[2]}::DOUBLE AS c), u AS (SELECT a / n AS a, b / n AS b, c / n AS c FROM raw, LATERAL (SELECT sqrt(a * a + b * b + c * c) AS n)),
-  w AS (SELECT -b AS k, [c, 0.0, -a] AS w FROM u), cell AS (SELECT i, j, k, w, CASE WHEN i = j THEN 0.0 WHEN (j - i + 3) % 3 = 1 THEN -w[(i + 2) % 3 + 1] ELSE w[(i + 1) % 3 + 1] END AS skew FROM w, range(3) x(i), range(3) y(j))
-  SELECT i::INTEGER AS i, j::INTEGER AS j, {r('k * (i = j)::INTEGER + skew + w[i + 1] * w[j + 1] / (1 + k) AS value')} FROM cell"""
+TURN = """raw AS (SELECT avg(position_x) AS a, avg(position_y) AS b, avg(position_z) AS c FROM cloud),
+u AS (SELECT a / n AS a, b / n AS b, c / n AS c FROM raw, LATERAL (SELECT sqrt(a * a + b * b + c * c) AS n)),
+w AS (SELECT -b AS k, [c, 0.0, -a] AS w FROM u),
+cell AS (SELECT i, j, k, w, CASE WHEN i = j THEN 0.0 WHEN (j - i + 3) % 3 = 1 THEN -w[(i + 2) % 3 + 1] ELSE w[(i + 1) % 3 + 1] END AS skew FROM w, range(3) x(i), range(3) y(j)),
+turn AS (SELECT i, j, k * (i = j)::INTEGER + skew + w[i + 1] * w[j + 1] / (1 + k) AS value FROM cell)"""
+BOOK.views["turn"] = TURN
+
+
+def matrix(s, f, make):
+    """The cells of a matrix made of the rotation that takes the cloud's mean direction to -Y."""
+    m = make(geo.rotation_matrix(geo.mean_position(fx.cloud(s, f)), (0, -1, 0)))
+    return rounded(s.createDataFrame([(i, j, float(m[i, j])) for i in range(len(m)) for j in range(len(m))], "i int, j int, value double"))
+
+
+a("sc3_rotation_matrix", lambda s, f: matrix(s, f, lambda m: m), f"SELECT i::INTEGER AS i, j::INTEGER AS j, {r('value')} FROM turn", "cloud", "turn")
 # The rotation of XYZ with both axes reversed, for ZYX, in a 4 x 4 frame.
-AFFINE = f"WITH m AS (SELECT * FROM (VALUES {', '.join(f'({i}, {j}, {float(_R[i, j])!r}::DOUBLE)' for i in range(3) for j in range(3))}) v(i, j, x)) SELECT i::INTEGER AS i, j::INTEGER AS j, {r('CASE WHEN i < 3 AND j < 3 THEN (SELECT x FROM m WHERE m.i = 2 - p.i AND m.j = 2 - q.j) WHEN i = j THEN 1.0 ELSE 0.0 END AS value')} FROM range(4) p(i), range(4) q(j)"
-a("sc3_rotation_matrix", lambda s, f: s.createDataFrame([(i, j, float(geo.rotation_matrix(POLE, (0, -1, 0))[i, j])) for i in range(3) for j in range(3)], "i int, j int, value double").transform(rounded), ROTATION)
-a("sc5_orient_affine_zyx", lambda s, f: s.createDataFrame([(i, j, float(geo.oriented_affine(_R)[i, j])) for i in range(4) for j in range(4)], "i int, j int, value double").transform(rounded), AFFINE)
-SURF = """box AS (SELECT min(u) AS lou, max(u) AS hiu, min(v) AS lov, max(v) AS hiv FROM uvw),
-cells AS (SELECT u, v, w, least(floor((u - lou) / ((hiu - lou) / 6)), 5)::INTEGER AS i, least(floor((v - lov) / ((hiv - lov) / 6)), 5)::INTEGER AS j FROM uvw, box),
-cuts AS (SELECT i, j, quantile_cont(w, 0.75) AS up, quantile_cont(w, 0.25) AS down FROM cells GROUP BY ALL HAVING count(*) >= 3),
-surf AS (SELECT 'upper' AS side, i, j, avg(u) AS u, avg(v) AS v, avg(w) AS w FROM cells JOIN cuts USING (i, j) WHERE w >= up GROUP BY i, j UNION ALL SELECT 'lower', i, j, avg(u), avg(v), avg(w) FROM cells JOIN cuts USING (i, j) WHERE w <= down GROUP BY i, j)"""
-BOOK.views["surface"] = "uvw AS (SELECT position_x AS u, position_y AS v, position_z AS w FROM cloud), " + SURF
-a("fit1_extract_surface", lambda s, f: rounded(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), f"SELECT side, i, j, {r('u', 'v', 'w')} FROM surf", "cloud", "surface")
-a("fit2_cap_guess", lambda s, f: rounded(geo.cap_guess(geo.extract_surface(fx.cloud(s, f), 0.75, 6, axis=2)), 4),
-  f"SELECT side, {r('r AS radius', 'mu AS center_u', 'mv AS center_v', chr(39).join(['CASE WHEN side = ', 'upper', ' THEN hi - r ELSE lo + r END AS center_w']), 'h AS cap_height', 'a AS cap_base_radius', digits=4)} FROM (SELECT *, (a * a + h * h) / (2 * h) AS r FROM (SELECT side, max(w) AS hi, min(w) AS lo, greatest(max(w) - min(w), 1.0) AS h, max(sqrt(pow(u - mu, 2) + pow(v - mv, 2))) AS a, any_value(mu) AS mu, any_value(mv) AS mv FROM surf JOIN (SELECT side, avg(u) AS mu, avg(v) AS mv FROM surf GROUP BY side) USING (side) GROUP BY side))", "cloud", "surface")
+a(
+    "sc5_orient_affine_zyx",
+    lambda s, f: matrix(s, f, geo.oriented_affine),
+    f"""
+    SELECT p.i::INTEGER AS i, q.j::INTEGER AS j, {r("coalesce(m.value, CASE WHEN p.i = q.j THEN 1.0 ELSE 0.0 END) AS value")}
+    FROM range(4) p(i) CROSS JOIN range(4) q(j) LEFT JOIN turn m ON m.i = 2 - p.i AND m.j = 2 - q.j
+    """,
+    "cloud",
+    "turn",
+)
 
 
 def ball(s, f):
@@ -82,8 +99,21 @@ def sphere_points(s, f):
     return d.select(*((m + 40.0 * F.col(c) / F.col("_r")).alias(c) for c, m in zip(geo.XYZ, (3.0, -7.0, 11.0))))
 
 
-a("fit4_fit_sphere", lambda s, f: geo.fit_sphere(ball(s, f), 0.9125).select(F.round("center_x", 0).alias("center_x"), F.round("center_y", 0).alias("center_y"), (F.abs(F.col("center_z") - 30) < 15).alias("center_near"), (F.abs(F.col("radius") - 50) < 15).alias("radius_near"), (F.col("rmse") < 5).alias("close")),
-  "SELECT 10.0::DOUBLE AS center_x, 20.0::DOUBLE AS center_y, true AS center_near, true AS radius_near, true AS close")
+
+
+def cap(s, f):
+    """Points of a lattice of 20 x 20, by id, on the upper cap of a sphere of radius 50 about (19.5, 29.5, 7), three at each place: a cell of the surface holds one place."""
+    u, v = F.col("id") % 20, F.floor(F.col("id") / 20) % 20
+    w = F.sqrt(F.lit(2500.0) - F.pow(u - 9.5, F.lit(2)) - F.pow(v - 9.5, F.lit(2)))
+    points = fx.cloud(s, f).select("id", (u + 10.0).alias("position_x"), (v + 20.0).alias("position_y"), (w + 7.0).alias("position_z"))
+    return points.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("_copy")
+
+
+a(
+    "fit4_fit_sphere",
+    lambda s, f: rounded(geo.fit_sphere(cap(s, f), 0.9125).select("center_x", "center_y", "center_z", "radius", "rmse"), 4),
+    "SELECT 19.5::DOUBLE AS center_x, 29.5::DOUBLE AS center_y, 7.0::DOUBLE AS center_z, 50.0::DOUBLE AS radius, 0.0::DOUBLE AS rmse",
+)
 a("fit3_sphere_nls", lambda s, f: rounded(geo.nls_sphere(sphere_points(s, f)), 4), "SELECT 3.0::DOUBLE AS center_x, -7.0::DOUBLE AS center_y, 11.0::DOUBLE AS center_z, 40.0::DOUBLE AS radius, 0.0::DOUBLE AS rmse")
 a("agg27_sphere_coverage", lambda s, f: rounded(geo.sphere_coverage(fx.cloud(s, f), CENTER, RADIUS)),
   f"SELECT {r('CASE WHEN count(*) > 10 THEN count(DISTINCT (floor(theta_deg / 15), floor((phi_deg + 180.0) / 15))) / 288.0::DOUBLE ELSE 0.0 END AS coverage')} FROM polar WHERE radial_dist > {0.5 * RADIUS} AND radial_dist < {1.5 * RADIUS}", "cloud", "polar")
@@ -109,27 +139,62 @@ a("sc11_lut_scale", lambda s, f: fx.spots(s, f).select("id", sc.lut_value(F.when
 a("sc12_slider_bounds", lambda s, f: rounded(fx.spots(s, f).select("id", *(c.alias(n) for n, c in zip(("top", "step"), sc.slider_bounds(F.col("position_x") / 4))))),
   f"SELECT id, {r('CASE WHEN v <= 5 THEN ceil(v * 10) / 10 WHEN v <= 50 THEN ceil(v) ELSE ceil(v / 10) * 10 END AS top', 'CASE WHEN v <= 5 THEN 0.1 WHEN v <= 50 THEN 0.5 ELSE 1.0 END AS step')} FROM (SELECT id, greatest(position_x / 4, 1.0) * 1.1::DOUBLE AS v FROM spots)", "spots")
 a("sc14_format_tp", lambda s, f: fx.spots(s, f).select("frame").distinct().select("frame", sc.timepoint_name(F.col("frame")).alias("name")), "SELECT DISTINCT frame, printf('t%04d', frame) AS name FROM spots", "spots")
-a("sc15_sanitize_path", lambda s, f: s.createDataFrame([("a\\b/c//",), ("/x/y",), ("z/",)], "path string").select("path", sc.sanitize_path(F.col("path")).alias("clean")), "SELECT path, regexp_replace(replace(path, chr(92), ''), '/+$', '') AS clean FROM (VALUES ('a' || chr(92) || 'b/c//'), ('/x/y'), ('z/')) v(path)")
-UNITS = [(748.0, "nm"), (0.002, "mm"), (3.0, "um"), (400000.0, "pm")]
-a("sc16_unit_convert", lambda s, f: rounded(s.createDataFrame(UNITS, "size double, unit string").select("size", "unit", sc.micrometres(F.col("size"), F.col("unit")).alias("um"))),
-  f"SELECT size::DOUBLE AS size, unit, {r(chr(39).join(['CASE unit WHEN ', 'nm', ' THEN size * 1e-3 WHEN ', 'mm', ' THEN size * 1e3 WHEN ', 'pm', ' THEN size * 1e-6 ELSE size END AS um']))} FROM (VALUES {', '.join(f'({x}::DOUBLE, {chr(39)}{u}{chr(39)})' for x, u in UNITS)}) v(size, unit)")
-a("sc16_resolution_convert", lambda s, f: rounded(s.createDataFrame([(67933.6, "inch"), (26737.9, "cm"), (0.0, "cm")], "res double, unit string").select("res", "unit", sc.resolution_to_micrometres(F.col("res"), F.col("unit")).alias("um"))),
-  f"SELECT res::DOUBLE AS res, unit, {r(chr(39).join(['CASE WHEN res > 0 THEN CASE WHEN unit = ', 'inch', ' THEN 25400.0 ELSE 10000.0 END / res END AS um']))} FROM (VALUES (67933.6::DOUBLE, 'inch'), (26737.9, 'cm'), (0.0, 'cm')) v(res, unit)")
+a(
+    "sc15_sanitize_path",
+    lambda s, f: fx.customers(s, f).select(F.concat("c_mktsegment", F.lit("\\"), "c_name", F.expr("repeat('/', int(k % 3))")).alias("path")).select("path", sc.sanitize_path(F.col("path")).alias("clean")),
+    "SELECT path, regexp_replace(replace(path, chr(92), ''), '/+$', '') AS clean FROM (SELECT c_mktsegment || chr(92) || c_name || repeat('/', (c_custkey % 3)::INTEGER) AS path FROM customer)",
+)
+
+
+def unit(*names):
+    """One of the units, by customer."""
+    return F.element_at(F.array(*map(F.lit, names)), (F.col("k") % len(names) + 1).cast("int"))
+
+
+a(
+    "sc16_unit_convert",
+    lambda s, f: rounded(fx.customers(s, f).select("k", F.col("c_acctbal").alias("size"), unit("nm", "mm", "um", "pm").alias("unit")).withColumn("um", sc.micrometres(F.col("size"), F.col("unit")))),
+    f"SELECT c_custkey AS k, {r('c_acctbal AS size')}, ['nm', 'mm', 'um', 'pm'][c_custkey % 4 + 1] AS unit, {r('c_acctbal * [1e-3, 1e3, 1.0, 1e-6][c_custkey % 4 + 1] AS um')} FROM customer",
+)
+a(
+    "sc16_resolution_convert",
+    lambda s, f: rounded(fx.customers(s, f).select("k", F.col("c_acctbal").alias("res"), unit("inch", "cm").alias("unit")).withColumn("um", sc.resolution_to_micrometres(F.col("res"), F.col("unit")))),
+    f"SELECT c_custkey AS k, {r('c_acctbal AS res')}, ['inch', 'cm'][c_custkey % 2 + 1] AS unit, {r('CASE WHEN c_acctbal > 0 THEN [25400.0, 10000.0][c_custkey % 2 + 1] / c_acctbal END AS um')} FROM customer",
+)
 a("sc17_safe_ratio", lambda s, f: rounded(fx.spots(s, f).select("id", sc.safe_ratio(F.col("position_x"), F.col("position_z")).alias("ratio"))), f"SELECT id, {r('CASE WHEN position_z <> 0 THEN position_x / position_z ELSE 0.0 END AS ratio')} FROM spots", "spots")
 a("sc18_voxel_scale", lambda s, f: rounded(fx.spots(s, f).where("position_z > 0").select("id", sc.scaled_voxel(F.lit(0.374), F.col("position_z")).alias("size"))), f"SELECT id, {r('0.374::DOUBLE / position_z AS size')} FROM spots WHERE position_z > 0", "spots")
 a("sc19_frame_to_index", lambda s, f: fx.spots(s, f).select("id", sc.frame_to_index(F.col("frame"), 100, 300).alias("i")), "SELECT id, least(greatest(frame - 100, 0), 299)::INTEGER AS i FROM spots", "spots")
 
 
 def section(s, f):
-    """Circles that planes cut from a sphere of radius 10."""
-    rows = s.createDataFrame([(0.0,), (6.0,), (10.0,)], "d double").withColumn("rad", sc.section_radius(10.0, F.col("d"))).where("rad IS NOT NULL").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(199))))
+    """Circles that planes at customers' distances, 0 to 12, cut from a sphere of radius 10."""
+    rows = fx.customers(s, f).select((F.col("k") % 13).cast("double").alias("d")).distinct().withColumn("rad", sc.section_radius(10.0, F.col("d"))).where("rad IS NOT NULL").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(199))))
     x, y = sc.section_point(F.col("rad"), F.col("k"))
     return rounded(rows.select("d", "k", x.alias("x"), y.alias("y")))
 
 
-a("sc20_sphere_section", section, f"SELECT d::DOUBLE AS d, k::INTEGER AS k, {r(f'sqrt(100 - d * d) * cos(k * {2 * math.pi / 199!r}) AS x', f'sqrt(100 - d * d) * sin(k * {2 * math.pi / 199!r}) AS y')} FROM (VALUES (0.0), (6.0), (10.0)) v(d), range(200) r(k) WHERE abs(d) < 10")
+a("sc20_sphere_section", section, f"SELECT d::DOUBLE AS d, k::INTEGER AS k, {r(f'sqrt(100 - d * d) * cos(k * {2 * math.pi / 199!r}) AS x', f'sqrt(100 - d * d) * sin(k * {2 * math.pi / 199!r}) AS y')} FROM (SELECT DISTINCT c_custkey % 13 AS d FROM customer), range(200) r(k) WHERE abs(d) < 10")
 a("sc21_cap_mesh", lambda s, f: rounded(geo.cap_mesh(polar(s, f), CENTER, RADIUS, 5, 8)),
   f"SELECT i, j, {r(f'{CENTER[0]} + {RADIUS} * sin(a) * cos(b) AS x', f'({CENTER[1]}) - {RADIUS} * cos(a) AS y', f'{CENTER[2]} + {RADIUS} * sin(a) * sin(b) AS z')} FROM (SELECT i::INTEGER AS i, j::INTEGER AS j, radians(t0 + (t1 - t0) * i / 4.0) AS a, radians(p0 + (p1 - p0) * j / 7.0) AS b FROM (SELECT greatest(quantile_cont(theta_deg, 0.02) - 10, 0.0) AS t0, least(quantile_cont(theta_deg, 0.98) + 10, 180.0) AS t1, quantile_cont(phi_deg, 0.02) - 10 AS p0, quantile_cont(phi_deg, 0.98) + 10 AS p1 FROM polar), range(5) u(i), range(8) v(j))", "cloud", "polar")
-a("sc21_cap_triangles", lambda s, f: geo.cap_triangles(s, 3, 4), "SELECT i * 4 + j AS a, i * 4 + j + 1 AS b, (i + 1) * 4 + j + 1 AS c FROM range(2) x(i), range(3) y(j) UNION ALL SELECT i * 4 + j, (i + 1) * 4 + j + 1, (i + 1) * 4 + j FROM range(2) x(i), range(3) y(j)")
+
+
+def triangles(s, f):
+    """The triangles of the cap's mesh, with the place of their first vertex."""
+    mesh = geo.cap_mesh(polar(s, f), CENTER, RADIUS, 5, 8).select((F.col("i") * 8 + F.col("j")).alias("a"), "x", "y", "z")
+    return rounded(geo.cap_triangles(s, 5, 8).join(mesh, "a").select("a", "b", "c", "x", "y", "z"))
+
+
+a(
+    "sc21_cap_triangles",
+    triangles,
+    f"""
+    WITH ends AS (SELECT greatest(quantile_cont(theta_deg, 0.02) - 10, 0.0) AS t0, least(quantile_cont(theta_deg, 0.98) + 10, 180.0) AS t1, quantile_cont(phi_deg, 0.02) - 10 AS p0, quantile_cont(phi_deg, 0.98) + 10 AS p1 FROM polar),
+    tri AS (SELECT i, j, i * 8 + j + 1 AS b, (i + 1) * 8 + j + 1 AS c FROM range(4) x(i), range(7) y(j) UNION ALL SELECT i, j, (i + 1) * 8 + j + 1, (i + 1) * 8 + j FROM range(4) x(i), range(7) y(j)),
+    spot AS (SELECT *, radians(t0 + (t1 - t0) * i / 4.0) AS u, radians(p0 + (p1 - p0) * j / 7.0) AS v FROM tri, ends)
+    SELECT i * 8 + j AS a, b, c, {r(f"{CENTER[0]} + {RADIUS} * sin(u) * cos(v) AS x", f"({CENTER[1]}) - {RADIUS} * cos(u) AS y", f"{CENTER[2]} + {RADIUS} * sin(u) * sin(v) AS z")} FROM spot
+    """,
+    "cloud",
+    "polar",
+)
 a("flt18_sane_voxel", lambda s, f: rounded(fx.spots(s, f).select("id", sc.sane_voxel(F.col("position_x") / 3, 0.374).alias("v"))), f"SELECT id, {r('CASE WHEN position_x / 3 > 0.05 AND position_x / 3 < 100 THEN position_x / 3 ELSE 0.374 END AS v')} FROM spots", "spots")
 a("jn7_label_lut_colors", lambda s, f: kin.first_point(fx.spots(s, f)).select("track_id", sc.hash_color(F.col("track_id")).alias("color")), "SELECT DISTINCT track_id, (track_id::HUGEINT * 2654435761 % 251 + 5)::INTEGER AS color FROM spots WHERE track_id IS NOT NULL", "spots")
