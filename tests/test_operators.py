@@ -382,3 +382,36 @@ def test_boundaries_by_hand():
     a[0, :, 2:4] = 1
     assert lb.boundaries(a)[0, 1].tolist() == [False, False, False, True, True, False]  # both sides of two labels
     assert lb.boundaries(a, 2)[0, 1].tolist() == [False, False, True, True, True, True]
+
+
+def test_nearest_by_a_tree_of_leaves(spark):
+    """A dense cluster, a tenth of outliers, equal places and points without one, in leaves of 40 points."""
+    from tetraframe.operators import nearest
+
+    rng = np.random.default_rng(12)
+    p = np.vstack([rng.normal(0, 1e-3, (900, 3)), rng.uniform(-1e3, 1e3, (100, 3)), np.full((5, 3), 7.0)])
+    rows = [(i, *map(float, x)) for i, x in enumerate(p)] + [(2000, None, 0.0, 0.0), (2001, float("nan"), 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double")
+    d = np.linalg.norm(p[:, None] - p[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    got = {r["id"]: r["distance"] for r in nearest.nearest_distance(df, ["a", "b", "c"], leaf=40).collect()}
+    assert len(got) == len(p) and np.allclose([got[i] for i in range(len(p))], d.min(1), rtol=1e-12)
+    assert nearest.nearest_distance(df.limit(1), ["a", "b", "c"]).count() == 0 and nearest.nearest_distance(df.limit(0), ["a", "b", "c"]).count() == 0
+    # Few of the leaves are reached, and none that comes nearer than the radius is missed.
+    tree = nearest.Tree(p, 5)
+    first = tree.leaf(p)
+    assert np.bincount(first, minlength=32).min() > 10
+    who, leaf = tree.reached(p, d.min(1))
+    want = {(i, first[j]) for i in range(len(p)) for j in np.flatnonzero(d[i] <= d[i].min())}
+    assert want <= set(zip(who.tolist(), leaf.tolist())) | {(i, f) for i, f in enumerate(first)} and len(who) < 4 * len(p)
+
+
+def test_least_keys_without_a_sort_of_all(spark):
+    """The same rows as an ordered limit; the limit in the plan is that of one range of keys."""
+    df = spark.range(5000).withColumn("k", (F.col("id") * 7919) % 2147483647)
+    for n in (0, 1, 999, 5000, 6000):
+        got = fl.lowest(df, F.col("k") * 400_000 % 2147483647, n, "id")
+        want = df.orderBy(F.col("k") * 400_000 % 2147483647, "id").limit(n)
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
+    plan = fl.lowest(df, F.col("k") * 400_000 % 2147483647, 2500, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "limit=2500" not in plan

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import itertools
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tetraframe.functions.quantiles import exact_quantiles
 from tetraframe.functions.scalars import norm
+from tetraframe.operators import nearest
 from tetraframe.operators.filters import shuffle_key
-from tetraframe.operators.tables import kept_table
 
 AXES = ("x", "y", "z")
 
@@ -64,39 +63,9 @@ def assign_nearest(spots: DataFrame, tracks: DataFrame, tolerance: float) -> Dat
     return spots.join(won, ["frame", "id"], "left").withColumn("track_id", F.coalesce("track_id", "_won")).drop("_won")
 
 
-def nearest_distance(points: DataFrame, cell: float | None = None, crowded: int = 32) -> DataFrame:
-    """(id, distance): distance of each point to its nearest other one.
-
-    Points meet in cells. The first cells are those of an even cloud of the same extent; where a cell holds
-    more than `crowded` points, it is halved until none does (its points' nearest are near), so a dense cluster in a wide cloud does
-    not meet in one cell. Points whose nearest may lie beyond the cells around them go on to cells twice as wide. Every round is
-    stored, so plans don't grow; a round's width comes from the cloud, and the number of rounds from its range of densities.
-    """
-    names = [f"position_{a}" for a in AXES]
-    p, _ = kept_table(points.select("id", *names), "points")
-    e = p.agg(F.count(F.lit(1)).alias("n"), *(F.max(n).alias(f"hi{n}") for n in names), *(F.min(n).alias(f"lo{n}") for n in names)).first()
-    extent = max([(e[f"hi{n}"] or 0) - (e[f"lo{n}"] or 0) for n in names] + [1e-9])
-    if cell is None:
-        cell = extent / max(1.0, (e["n"] / 2) ** (1 / 3))
-        for _ in range(40):
-            # A cell is crowded by different places; points of one place are nearest to each other at any width.
-            places = _cells(p.select(*names).distinct(), names, cell)
-            if (places.groupBy("_cx", "_cy", "_cz").count().agg(F.max("count")).first()[0] or 0) <= crowded:
-                break
-            cell /= 2
-    done, todo = [], p
-    while True:
-        own = _cells(todo, names, cell)
-        shifts = F.array(*(F.struct(*(F.lit(d).alias(f"_d{a}") for a, d in zip(AXES, t))) for t in itertools.product((-1, 0, 1), repeat=3)))
-        near = own.withColumn("_s", F.explode(shifts)).select("id", *(F.col(n).alias(f"_{n}") for n in names), *((F.col(f"_c{a}") + F.col(f"_s._d{a}")).alias(f"_c{a}") for a in AXES))
-        other = _cells(p.withColumnRenamed("id", "_o"), names, cell)
-        d = near.join(other, ["_cx", "_cy", "_cz"]).where("id <> _o").groupBy("id").agg(F.min(norm(*(F.col(n) - F.col(f"_{n}") for n in names))).alias("distance"))
-        sure, _ = kept_table(d.where(F.col("distance") <= cell), "near")
-        done.append(sure)
-        todo, _ = kept_table(todo.join(sure.select("id"), "id", "left_anti"), "rest")
-        cell *= 2
-        if cell > 4 * extent or not todo.take(1):
-            return functools.reduce(DataFrame.unionByName, done)
+def nearest_distance(points: DataFrame) -> DataFrame:
+    """(id, distance): distance of each point to its nearest other one, by a k-d partition of the cloud."""
+    return nearest.nearest_distance(points, [f"position_{a}" for a in AXES])
 
 
 def nn_tolerance(points: DataFrame, most: int | None = 5_000, seed: int = 0) -> DataFrame:
