@@ -415,3 +415,29 @@ def test_least_keys_without_a_sort_of_all(spark):
         assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
     plan = fl.lowest(df, F.col("k") * 400_000 % 2147483647, 2500, "id")._jdf.queryExecution().executedPlan().toString()
     assert "limit=2500" not in plan
+
+
+@pytest.mark.parametrize("size", [(16, 128, 128), (4, 7, 5), (3, 24, 6)])
+def test_tiles_give_what_a_whole_volume_gives(spark, size):
+    """Boundaries and contours of any tiling equal those of the volume in one piece."""
+    shape = (7, 15, 11)
+    a = (np.random.default_rng(3).integers(0, 4, shape) * (np.random.default_rng(4).random(shape) < 0.7)).astype(np.int32)
+    a = np.repeat(np.repeat(a[:4, :8, :6], 2, 0), 2, 1).repeat(2, 2)[: shape[0], : shape[1], : shape[2]]
+    at = np.argwhere(np.ones(shape, bool))
+    df = spark.createDataFrame([(1, *map(int, p), int(a[tuple(p)])) for p in at], "t int, z int, y int, x int, label int")
+
+    def dense(rows, column):
+        p = rows.toPandas()
+        out = np.full(shape, np.nan)
+        out[p["z"], p["y"], p["x"]] = p[column]
+        assert len(p) == out.size
+        return out
+
+    for width in (1, 2):
+        assert (dense(lb.outer_boundary(df, width, size), "boundary") == lb.boundaries(a, width)).all()
+    k = vo.gaussian_kernel(1.0)
+    want = lb.boundaries(a).astype(float)
+    for axis in range(3):
+        mirrored = np.pad(want, [(4, 4) if i == axis else (0, 0) for i in range(3)], mode="symmetric")
+        want = sum(w * np.take(mirrored, np.arange(shape[axis]) + j, axis) for j, w in enumerate(k))
+    assert np.allclose(dense(lb.label_contours(df, shape, 1.0, size), "contour"), want)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clip
 from tetraframe.operators.tables import kept_table
-from tetraframe.operators.volumes import gaussian_kernel, smooth_plane
+from tetraframe.operators.volumes import gaussian_kernel
 
 
 def per_label(voxels: DataFrame) -> DataFrame:
@@ -170,15 +170,37 @@ def boundaries(labels: np.ndarray, width: int = 1) -> np.ndarray:
     return out
 
 
-def outer_boundary(voxels: DataFrame, width: int = 1, size: int = 4) -> DataFrame:
-    """Voxels with boundary, dilated to a width. Slabs of `size` slices see `width` slices on either side, so a task holds a slab."""
+#: Slices, rows and columns of a tile.
+TILE = (16, 128, 128)
+
+
+def tiles(voxels: DataFrame, size: tuple[int, int, int], halo: int, *columns: str) -> DataFrame:
+    """(t, z, y, x, columns, _z, _y, _x): each voxel in the tile that owns it and in those that see it as a halo, numbered along each axis."""
+    rows = voxels.select("t", "z", "y", "x", *columns)
+    for axis, n in zip("zyx", size):
+        lo, hi = F.floor((F.col(axis) - halo) / n), F.floor((F.col(axis) + halo) / n)
+        rows = rows.withColumn(f"_{axis}", F.explode(F.sequence(F.greatest(lo, F.lit(0)).cast("int"), hi.cast("int"))))
+    return rows
+
+
+def _tile(pdf: pd.DataFrame, size: tuple[int, int, int], column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A tile's column with its halo as an array, where the array begins, the places of the rows in it, and which rows the tile owns."""
+    places = pdf[["z", "y", "x"]].to_numpy()
+    first = places.min(0)
+    out = np.zeros(places.max(0) - first + 1, pdf[column].dtype)
+    at = places - first
+    out[tuple(at.T)] = pdf[column]
+    return out, first, at, (places // np.array(size) == pdf[["_z", "_y", "_x"]].to_numpy()).all(1)
+
+
+def outer_boundary(voxels: DataFrame, width: int = 1, size: tuple[int, int, int] = TILE) -> DataFrame:
+    """Voxels with boundary, dilated to a width. Tiles see `width` places on every side, so a task holds a tile."""
 
     def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, at = _block(pdf)
-        own = (pdf["z"] // size == pdf["_slab"]).to_numpy()
-        return pdf.loc[own, ["t", "z", "y", "x"]].assign(boundary=boundaries(a, width)[at][own])
+        a, _, at, own = _tile(pdf, size, "label")
+        return pdf.loc[own, ["t", "z", "y", "x"]].assign(boundary=boundaries(a, width)[tuple(at[own].T)])
 
-    found = slabs(voxels, size, width, width, "label").groupBy("t", "_slab").applyInPandas(mark, "t int, z int, y int, x int, boundary boolean")
+    found = tiles(voxels, size, width, "label").groupBy("t", "_z", "_y", "_x").applyInPandas(mark, "t int, z int, y int, x int, boundary boolean")
     return voxels.join(found, ["t", "z", "y", "x"])
 
 
@@ -187,28 +209,30 @@ def foreground_gate(voxels: DataFrame, width: int = 1) -> DataFrame:
     return outer_boundary(voxels, width).withColumn("foreground", (F.col("label") > 0) & ~F.col("boundary"))
 
 
-def label_contours(voxels: DataFrame, nz: int, sigma: float = 2.0, size: int = 16) -> DataFrame:
-    """(t, z, y, x, foreground, contour): labelled or not as 1 or 0, and the boundaries smoothed by a Gaussian on all axes, ends mirrored."""
+def label_contours(voxels: DataFrame, shape: tuple[int, int, int], sigma: float = 2.0, size: tuple[int, int, int] = TILE) -> DataFrame:
+    """(t, z, y, x, foreground, contour): labelled or not as 1 or 0, and the boundaries smoothed by a Gaussian on all axes, ends mirrored.
+
+    shape: z, y, x of a volume. Tiles see as far as the kernel reaches and a place more, whose own neighbours a halo's boundaries need.
+    """
     kernel = gaussian_kernel(sigma)
     r = len(kernel) // 2
 
     def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        first, slab = int(pdf["z"].min()), int(pdf["_slab"].iat[0])
-        if slab * size >= nz:  # beyond the last slice: seen as a halo only
+        a, first, at, own = _tile(pdf, size, "label")
+        if not own.any():  # beyond the volume: seen as a halo only
             return pdf.loc[[], ["t", "z", "y", "x"]].assign(foreground=0.0, contour=0.0)
-        a, at = _block(pdf)
-        edge = boundaries(a).astype(float)
-        # The halo's own outermost slice lacks a neighbour, so it is seen one slice farther than the kernel reaches.
-        own = np.arange(slab * size, min((slab + 1) * size, nz))
-        z = (own[:, None] + np.arange(-r, r + 1)) % (2 * nz)
-        z = np.where(z < nz, z, 2 * nz - 1 - z) - first
-        out = np.stack([np.tensordot(kernel, edge[k], axes=(0, 0)) for k in z])
-        out = np.stack([smooth_plane(p, sigma) for p in out])
-        rows = (pdf["z"] // size == slab).to_numpy()
-        zz = pdf["z"].to_numpy()[rows] - slab * size
-        return pdf.loc[rows, ["t", "z", "y", "x"]].assign(foreground=(pdf["label"][rows] > 0).astype(float), contour=out[zz, at[1][rows], at[2][rows]])
-
-    return slabs(voxels, size, r + 1, r + 1, "label").groupBy("t", "_slab").applyInPandas(smooth, "t int, z int, y int, x int, foreground double, contour double")
+        edge, begin = boundaries(a).astype(float), (at[own] + first).min(0)
+        for axis, n in enumerate(shape):
+            end = min(int(begin[axis]) + size[axis], n)
+            near = (np.arange(int(begin[axis]), end)[:, None] + np.arange(-r, r + 1)) % (2 * n)
+            near = np.where(near < n, near, 2 * n - 1 - near) - first[axis]
+            edge = np.moveaxis(edge, axis, 0)
+            edge = np.moveaxis(np.stack([np.tensordot(kernel, edge[k], axes=(0, 0)) for k in near]), 0, axis)
+        rows = pdf.loc[own, ["t", "z", "y", "x"]]
+        return rows.assign(foreground=(pdf["label"][own] > 0).astype(float), contour=edge[tuple((at[own] + first - begin).T)])
+
+    found = tiles(voxels, size, r + 1, "label").groupBy("t", "_z", "_y", "_x")
+    return found.applyInPandas(smooth, "t int, z int, y int, x int, foreground double, contour double")
 
 
 def nearest_labels(voxels: DataFrame, factor: float, ny: int, nx: int) -> DataFrame:

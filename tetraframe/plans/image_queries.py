@@ -105,7 +105,7 @@ a("vol14_boundary_width", on(lambda v: lb.foreground_gate(v, 2).select("t", "z",
 BOOK.views["smoothed"] = f"""gk AS {gauss(2.0)}, cz AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.boundary::INTEGER) AS v FROM (SELECT t, z, y, x, w, {folded('z + d', fx.NZ)} AS s FROM bound, gk) a JOIN bound b ON a.t = b.t AND a.s = b.z AND a.y = b.y AND a.x = b.x GROUP BY 1, 2, 3, 4),
 cy AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded('y + d', fx.NY)} AS s FROM cz, gk) a JOIN cz b ON a.t = b.t AND a.z = b.z AND a.s = b.y AND a.x = b.x GROUP BY 1, 2, 3, 4),
 cx AS (SELECT a.t, a.z, a.y, a.x, sum(w * b.v) AS v FROM (SELECT t, z, y, x, w, {folded('x + d', fx.NX)} AS s FROM cy, gk) a JOIN cy b ON a.t = b.t AND a.z = b.z AND a.y = b.y AND a.s = b.x GROUP BY 1, 2, 3, 4)"""
-a("vol22_label_contours", on(lambda v: rounded(lb.label_contours(v, fx.NZ))), f"SELECT t, z, y, x, (label > 0)::INTEGER::DOUBLE AS foreground, {r('v AS contour')} FROM bound JOIN cx USING (t, z, y, x)", "voxels", "bound", "smoothed")
+a("vol22_label_contours", on(lambda v: rounded(lb.label_contours(v, SHAPE))), f"SELECT t, z, y, x, (label > 0)::INTEGER::DOUBLE AS foreground, {r('v AS contour')} FROM bound JOIN cx USING (t, z, y, x)", "voxels", "bound", "smoothed")
 # Each voxel's least voxel reachable by faces, by a recursive walk.
 COMPONENTS = """SELECT t, coalesce(sum(n) FILTER (WHERE n >= 20), 0)::BIGINT AS kept, sum(n)::BIGINT AS labelled, count(*) AS components, count(*) FILTER (WHERE n >= 20) AS large FROM (
   WITH RECURSIVE fg AS (SELECT t, z, y, x, (z * 24 + y) * 24 + x AS i FROM voxels WHERE label > 0),
