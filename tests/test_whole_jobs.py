@@ -125,7 +125,33 @@ def test_all_tracks_are_assigned(spark):
 
 
 def test_streamed_speeds_over_triggers(spark, tmp_path):
-    found = rounded(streamed_speeds(spark, fx.spots(spark, SF).where("track_id IS NOT NULL"), str(tmp_path))).collect()
+    found = rounded(streamed_speeds(spark, fx.spots(spark, SF).where("track_id IS NOT NULL"), str(tmp_path))).drop("late").collect()
     assert len([x for x in (tmp_path / "state" / "commits").iterdir() if x.name.isdigit()]) == 3
     want = registry.QUERIES["win1_step_speed"](spark, SF).where("track_id IS NOT NULL").collect()
     assert len(found) == len(want) and {tuple(r) for r in found} == {tuple(r) for r in want}
+
+
+def test_rows_that_come_too_late_are_marked():
+    """A track's earlier frame after a later one: handed on without a speed, and the state stays."""
+    import pandas as pd
+
+    from tetraframe.streaming.speeds import _speeds
+
+    class State:
+        exists, kept = False, None
+
+        @property
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.exists, self.kept = True, value
+
+    rows = lambda *r: iter([pd.DataFrame(list(r), columns=["track_id", "frame", "position_x", "position_y", "position_z", "id"])])
+    state = State()
+    first = pd.concat(_speeds((1,), rows((1, 5, 0.0, 0.0, 0.0, 10), (1, 3, 4.0, 0.0, 0.0, 11)), state))
+    assert first[["frame", "late"]].values.tolist() == [[3, False], [5, False]] and first["step_speed"].tolist()[1] == 2.0
+    then = pd.concat(_speeds((1,), rows((1, 4, 9.0, 0.0, 0.0, 12), (1, 6, 3.0, 0.0, 0.0, 13)), state))
+    assert then[["frame", "late"]].values.tolist() == [[4, True], [6, False]] and then["step_speed"].isna().tolist() == [True, False]
+    assert then["step_speed"].tolist()[1] == 3.0 and state.kept[0] == 6
+    assert pd.concat(_speeds((1,), rows((1, 2, 0.0, 0.0, 0.0, 14)), state))["late"].tolist() == [True] and state.kept[0] == 6

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tetraframe.functions.quantiles import exact_quantiles
 from tetraframe.functions.scalars import clip
 from tetraframe.operators.kinematics import along_track, by_track, whole_track
+from tetraframe.operators.tables import kept_table
 
 
 def net_radial_displacement(df: DataFrame) -> DataFrame:
@@ -68,9 +69,10 @@ def otsu_threshold(df: DataFrame, bins: int = 200, fewest: int = 20, highest: fl
 
     df: one row a track with v. Only the histogram of `bins` rows meets in one task.
     """
-    ends = df.where("v IS NOT NULL").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).crossJoin(exact_quantiles(df, "v", [0.5]).select(F.col("q")[0].alias("mid")))  # one row each
+    df, _ = kept_table(df.select("v").where("v IS NOT NULL"), "velocities")  # what df stands for is computed once, not by each use
+    ends = df.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).crossJoin(exact_quantiles(df, "v", [0.5]).select(F.col("q")[0].alias("mid")))  # one row each
     width = (F.col("hi") - F.col("lo")) / bins
-    rows = df.where("v IS NOT NULL").crossJoin(F.broadcast(ends))
+    rows = df.crossJoin(F.broadcast(ends))
     b = F.when(width > 0, F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
     hist = rows.withColumn("bin", b).groupBy("bin").agg(F.count("v").alias("c"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     center = F.col("lo") + (F.col("bin") + 0.5) * (F.col("hi") - F.col("lo")) / bins

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tetraframe.functions.scalars import clip
-from tetraframe.operators.tables import kept_table
+from tetraframe.operators.tables import dropped, kept_table
 from tetraframe.operators.volumes import gaussian_kernel
 
 
@@ -291,15 +291,17 @@ def components6(mask: np.ndarray) -> np.ndarray:
 
 def joined_ids(edges: DataFrame) -> DataFrame:
     """(id, root): the smallest id reachable by edges (a, b), edges of a node to itself included. Stored after every round."""
-    both, _ = kept_table(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    roots, _ = kept_table(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), F.least("a", "root").alias("root")), "roots")
+    both, both_at = kept_table(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    roots, roots_at = kept_table(both.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), F.least("a", "root").alias("root")), "roots")
     while True:
         near = both.join(roots.select(F.col("id").alias("b"), F.col("root").alias("_r")), "b").groupBy("a").agg(F.min("_r").alias("_r")).select(F.col("a").alias("id"), "_r")
         low = roots.join(near, "id").select("id", F.col("root").alias("_old"), F.least("root", "_r").alias("_new"))
         up = roots.select(F.col("id").alias("_new"), F.col("root").alias("_up"))
-        new, _ = kept_table(low.join(up, "_new").select("id", F.least("_new", "_up").alias("root"), (F.least("_new", "_up") != F.col("_old")).alias("_moved")), "roots")
-        roots = new.select("id", "root")
+        new, new_at = kept_table(low.join(up, "_new").select("id", F.least("_new", "_up").alias("root"), (F.least("_new", "_up") != F.col("_old")).alias("_moved")), "roots")
+        dropped(edges.sparkSession, roots_at)
+        roots, roots_at = new.select("id", "root"), new_at
         if not new.where("_moved").take(1):
+            dropped(edges.sparkSession, both_at)
             return roots
 
 
