@@ -595,6 +595,33 @@ def test_longer_contexts_are_normalised(spark):
     assert got["n_tokens"] == 4 and abs(got["score"] - sum(map(math.log10, want))) < 1e-9
 
 
+def test_large_components_are_exact(spark):
+    """Products of large components, whose sums pass 2**53 and whose bounds pass 2**62."""
+    rng = np.random.default_rng(6)
+    v = rng.integers(-300_000, 300_000, (600, 8)).astype(float)
+    v[7] *= 10
+    rows = topk.integer_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"))
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(rows, rows.where("vec_id % 200 = 7"), 5, shard=256).collect()}
+    exact = [[int(c) * 1024 for c in x] for x in v]
+    for q in (7, 207, 407):
+        want = sorted((-sum(a * b for a, b in zip(exact[q], exact[i])), i) for i in range(600) if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in want]
+
+
+def test_a_block_that_all_queries_prefer(spark):
+    """One block of long vectors is most promising to every query; its queries meet it in slices."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(0, 1, (900, 6))
+    v[:250] *= 50
+    rows = topk.integer_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"))
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in topk.top_k(rows, rows.where("vec_id % 3 = 0"), 3, shard=256, per_block=40).collect()}
+    whole = np.floor(v * 1024).astype(np.int64)
+    for q in range(0, 900, 3):
+        s = whole @ whole[q]
+        s[q] = -(1 << 62)
+        assert [got[q, k + 1] for k in range(3)] == sorted(range(900), key=lambda i: (-s[i], i))[:3]
+
+
 def test_equal_rows_are_dealt_to_all_shards(spark):
     """4,000 equal pieces: no shard gets much more than its share."""
     parts = spark.range(4000, numPartitions=6).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("length"), F.lit(0).cast("long").alias("ids_crc32"))

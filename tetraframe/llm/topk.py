@@ -5,14 +5,16 @@ Vectors become integers. Ranges of vec_id form blocks; a block keeps its vectors
 bounds every score in the block. Each query takes the blocks in falling order of that bound and stops where the bound is
 below its k-th score; a bound equal to it is still scored, since ties go to the smaller vec_id.
 
-Bounds come before data. Blocks are stored; what travels first are their largest and smallest values, a hundredth of the vectors.
-Queries form groups. A group looks at all bounds, and each of its queries is scored on its most promising block alone, which gives a
-first k-th score. Only blocks whose bound reaches it for some query of a group are then sent to that group, in shards of bounded
+Bounds come before data. Blocks are stored; what travels first are their largest and smallest values and largest norms, a
+hundredth of the vectors; the bound is the lesser of the sum over terms and of the product of norms. Queries form groups. A group
+looks at all bounds, and each of its queries is scored on its most promising block alone, which gives a first k-th score; only blocks
+that are most promising to some query move for that. Only blocks whose bound reaches it for some query of a group are then sent to that group, in shards of bounded
 size; a task holds a shard and a group, and the best k of all shards are merged.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part; a shorter vector counts as
 zeros beyond its end; repeated vec_id: each row is a candidate of other queries, and the smallest of the vectors is the
-query; a null vec_id takes no part; fewer than k candidates give all; other columns are not read; an empty table gives an empty
+query; a null vec_id takes no part; integers of any size up to 63 bits are multiplied exactly, and a score that needs more fails with
+an error; fewer than k candidates give all; other columns are not read; an empty table gives an empty
 result.
 """
 
@@ -78,9 +80,10 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[
     width = max([queries.shape[1], *(m.shape[1] for _, m in blocks)])
     queries, blocks = _fit(queries, width), [(ids, _fit(m, width)) for ids, m in blocks]
     high, low = (np.stack([f(m, axis=0) for _, m in blocks]) for f in (np.max, np.min))
-    # Below 2**53 every sum is exact in double precision; beyond it, integers.
+    # Below 2**53 every sum is exact in double precision, below 2**63 in integers of 64 bits, and beyond that in unbounded ones.
     most = float(np.abs(queries).max(initial=0)) * float(max(np.abs(high).max(initial=0), np.abs(low).max(initial=0))) * max(width, 1)
-    kind = np.float64 if most < 2**53 else np.int64
+    kind = np.float64 if most < 2**53 else np.int64 if most < 2**62 else object
+    least = {np.float64: -np.inf, np.int64: np.iinfo(np.int64).min, object: -(1 << 200)}[kind]
     q = queries.astype(kind)
     forward = [m.astype(kind).T for _, m in blocks]
     bounds = np.maximum(q, 0) @ high.astype(kind).T + np.minimum(q, 0) @ low.astype(kind).T
@@ -101,7 +104,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[
             ids = blocks[b][0]
             s = q[who] @ forward[b]
             own = query_ids[who][:, None] == ids[None, :]
-            s = np.where(own, -np.inf if kind is np.float64 else np.iinfo(np.int64).min, s)
+            s = np.where(own, least, s)
             floor = kth[who]
             if s.shape[1] > k:
                 floor = np.maximum(floor, np.partition(s, -k, axis=1)[:, -k])
@@ -123,12 +126,13 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks to their largest and smallest values by component, as bytes."""
     for batch in batches:
-        high, low = [], []
+        high, low, norm = [], [], []
         for x in zip(*(batch.column(c).to_pylist() for c in ("ids", "widths", "data"))):
             _, m = _block_rows(*x)
             high.append(m.max(axis=0).tobytes())
             low.append(m.min(axis=0).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(high, pa.binary()), pa.array(low, pa.binary())], ["block", "high", "low"])
+            norm.append(float(np.sqrt((m.astype(float) ** 2).sum(axis=1)).max(initial=0)))
+        yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(high, pa.binary()), pa.array(low, pa.binary()), pa.array(norm, pa.float64())], ["block", "high", "low", "norm"])
 
 
 def _bounds(pdf: pd.DataFrame, queries: np.ndarray) -> np.ndarray:
@@ -137,8 +141,10 @@ def _bounds(pdf: pd.DataFrame, queries: np.ndarray) -> np.ndarray:
     width = max(high.shape[1], queries.shape[1])
     high, low, queries = _fit(high, width).astype(float), _fit(low, width).astype(float), _fit(queries, width).astype(float)
     # Sums of doubles may fall a little short beyond 2**53; a bound must not.
-    exact = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
-    return exact + np.abs(exact) * 1e-12
+    terms = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
+    norms = np.sqrt((queries**2).sum(axis=1))[:, None] * pdf["norm"].to_numpy()[None, :]
+    bound = np.minimum(terms, norms)
+    return bound + np.abs(bound) * 1e-12 + norms * 1e-14
 
 
 def _queries(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +155,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
     """(query_id, rank, vec_id, score) of the k largest inner products; vectors and queries: (vec_id, v)."""
     kept = vectors.repartitionByRange("vec_id").sortWithinPartitions("vec_id").mapInArrow(_blocks, "first long, ids binary, widths binary, data binary")
     kept, _ = stored(kept.withColumn("block", F.monotonically_increasing_id()), "vectors")
-    summary, _ = stored(kept.mapInArrow(_summary, "block long, high binary, low binary"), "bounds")
+    summary, _ = stored(kept.mapInArrow(_summary, "block long, high binary, low binary, norm double"), "bounds")
     asked, _ = stored(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     shards, groups = max(1, math.ceil(summary.count() * BLOCK / shard)), max(1, math.ceil(asked.count() / per_block))
     group = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")
@@ -169,6 +175,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
 
     best = parts.groupBy("_group", "_part").cogroup(everywhere.groupBy("_group", "_part")).applyInPandas(promising, "vec_id long, block long, bound double")
     best = best.groupBy("vec_id").agg(F.max_by("block", "bound").alias("block")).join(asked, "vec_id")
+    # Only blocks that some query finds most promising move, and one that many do is met by a slice of them at a time.
+    chosen = best.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias("_slices"))
+    best = best.join(chosen, "block").withColumn("_slice", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("_slices")).cast("int")).drop("_slices")
+    moved = kept.join(chosen, "block").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
 
     def first_scores(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -180,7 +190,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHAR
         last = np.cumsum(n) - 1
         return pd.DataFrame({"vec_id": ids[n == k], "floor": s[last[n == k]].astype(float)})
 
-    floors = kept.groupBy("block").cogroup(best.groupBy("block")).applyInPandas(first_scores, "vec_id long, floor double")
+    floors = moved.groupBy("block", "_slice").cogroup(best.groupBy("block", "_slice")).applyInPandas(first_scores, "vec_id long, floor double")
     asked, _ = stored(asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), "floors")
     everywhere = asked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(some - 1))))
 
