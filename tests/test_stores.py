@@ -325,3 +325,14 @@ def test_a_failed_container_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="have come"):
         rows.write.format("container").mode("append").option("chunks", 2).option("datasets", "{}").option("attributes", "{}").save(str(tmp_path / "a.h5"))
     assert os.listdir(tmp_path) == []
+
+
+def test_shapes_before_a_merge(spark, tmp_path):
+    from tetraframe.sources.images import file_shapes
+
+    for name, shape in (("a", (3, 4, 5)), ("b", (2, 4, 5)), ("c", (3, 4, 5))):
+        (tmp_path / f"{name}.tif").write_bytes(tiff.file_of_pages(np.zeros(shape, "<u2")))
+    assert sorted(map(tuple, file_shapes(ts.scan_tiff_tags(spark, str(tmp_path))).collect())) == [(2, 4, 5, 1), (3, 4, 5, 2)]
+    (tmp_path / "d.tif").write_bytes(tiff.file_of_pages(np.zeros((3, 4, 6), "<u2")))
+    with pytest.raises(Exception, match="differ in y or x"):
+        file_shapes(ts.scan_tiff_tags(spark, str(tmp_path))).collect()

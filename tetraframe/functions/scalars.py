@@ -60,9 +60,9 @@ def lut_value(x: Column, low: Column, high: Column) -> Column:
 
 
 def lut_diverging(x: Column, most: Column) -> Column:
-    """Scaled from -most..most to 5..255, truncated, beyond it held; null counts as 0."""
+    """Scaled from -most..most to 5..255, truncated, beyond it held; null counts as 0. Without any value, most null, all are 128."""
     v = clip(F.coalesce(x, F.lit(0.0)) / F.greatest(most, F.lit(1e-6)), -1.0, 1.0)
-    return ((v + 1) / 2 * 250 + 5).cast("int")
+    return F.when(most.isNull(), 128).otherwise(((v + 1) / 2 * 250 + 5).cast("int"))
 
 
 def lut_flag(x: Column) -> Column:

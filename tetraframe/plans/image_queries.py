@@ -87,7 +87,6 @@ heights AS (SELECT CASE WHEN hi > lo THEN least(floor((value - lo) / ((hi - lo)
 contrast AS (SELECT lo + coalesce(a, 0) * (hi - lo) / 256 AS lo, lo + coalesce(b, 0) * (hi - lo) / 256 AS hi FROM span, (SELECT min(bin) FILTER (WHERE up >= n * 0.005) AS a, min(bin) FILTER (WHERE up >= n * 0.995) AS b FROM (SELECT *, sum(c) OVER (ORDER BY bin) AS up, sum(c) OVER () AS n FROM heights)))"""
 BOOK.views["contrast"] = WINDOW
 a("agg25_contrast_percentiles", on(lambda v: rounded(im.contrast_percentiles(v))), f"SELECT {r('lo', 'hi')} FROM contrast", "voxels", "contrast")
-a("agg31_shape_histogram", on(lambda v: v.groupBy("t").agg((F.max(F.when(F.col("label") > 0, F.col("z"))) + 1).alias("nz")).groupBy("nz").agg(F.count(F.lit(1)).alias("n"))), "SELECT nz, count(*) AS n FROM (SELECT t, max(z) FILTER (WHERE label > 0) + 1 AS nz FROM voxels GROUP BY 1) GROUP BY 1", "voxels")
 a("agg32_camera_noise_table", on(lambda v: rounded(im.camera_noise_table(v.withColumn("value", F.col("value") + F.col("x"))))),
   f"""WITH v2 AS (SELECT t, z, y, x, value + x AS value FROM voxels), c AS (SELECT t, quantile_cont(value, 0.3) AS c FROM v2 GROUP BY 1), b AS (SELECT t, avg(value) + 3 * stddev_pop(value) AS b FROM v2 JOIN c USING (t) WHERE value < c GROUP BY 1),
   q AS (SELECT t, z, quantile_cont(value, 0.02) AS p2, quantile_cont(value, 0.05) AS p5, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.995) - quantile_cont(value, 0.005) AS contrast, quantile_cont(value, 0.9) AS p90 FROM v2 GROUP BY 1, 2)

@@ -120,6 +120,23 @@ a(
     "voxels",
 )
 
+
+
+def short_files(s: SparkSession, f: str) -> DataFrame:
+    """Shapes of a file a time point; every third has two slices less."""
+    path, v = folder(s, "shapes"), fx.voxels(s, f)
+    ts.write_tiff(v.where("t % 3 <> 0"), path)
+    ts.write_tiff(v.where("t % 3 = 0 AND z < 14"), path)
+    return im.file_shapes(ts.scan_tiff_tags(s, path))
+
+
+a(
+    "agg31_shape_histogram",
+    short_files,
+    f"SELECT z, {fx.NY} AS y, {fx.NX} AS x, count(*) AS n FROM (SELECT t, CASE WHEN t % 3 = 0 THEN 14 ELSE (max(z) + 1)::INTEGER END AS z FROM voxels GROUP BY t) GROUP BY z",
+    "voxels",
+)
+
 # --- containers --------------------------------------------------------------------------------------------------
 
 

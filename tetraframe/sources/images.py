@@ -33,6 +33,13 @@ def tiff_voxel_size(tags: DataFrame) -> DataFrame:
     return tags.withColumns({"recovered": x.isNotNull() & y.isNotNull() & z.isNotNull(), **{f"vox_{a}": F.coalesce(v, F.lit(1.0)) for a, v in zip("xyz", (x, y, z))}})
 
 
+def file_shapes(tags: DataFrame) -> DataFrame:
+    """(z, y, x, n): how many files have each shape, before they are merged: z may differ and is filled up. Files that differ in y or x raise an error."""
+    shapes = tags.groupBy(F.col("pages").alias("z"), F.col("height").alias("y"), F.col("width").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    every = F.size(F.collect_set(F.struct("y", "x")).over(Window.partitionBy()))  # a row a shape
+    return shapes.withColumn("_k", every).select("z", "y", "x", F.when(F.col("_k") > 1, F.raise_error("files differ in y or x")).otherwise(F.col("n")).cast("long").alias("n"))
+
+
 def scan_hyperstack(spark: SparkSession, path: str) -> DataFrame:
     """(path, t, z, y, x, value): pages as time points and slices by the description; one time point where its numbers don't fit the pages."""
     return scan_tiff(spark, path, ("path", "t", "z", "y", "x", "value"))

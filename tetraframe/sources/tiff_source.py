@@ -26,12 +26,12 @@ from pyspark.sql.types import StructType
 
 from tetraframe.operators.tables import dropped, kept_table
 from tetraframe.sources.stores import Bounds, listed, located, opened
-from tetraframe.sources.tiff import DESCRIPTION, HEADER, UNIT, X_RES, Y_RES, Pages, directory, packed_page
+from tetraframe.sources.tiff import DESCRIPTION, HEADER, HEIGHT, UNIT, WIDTH, X_RES, Y_RES, Pages, directory, packed_page
 
 #: Bytes of a file a partition takes; pixels handed over at a time.
 PART_BYTES, BATCH = 64 << 20, 1 << 17
 COLUMNS = {"path": ("string", pa.string()), "t": ("int", pa.int32()), "z": ("int", pa.int32()), "page": ("int", pa.int32()), "y": ("int", pa.int32()), "x": ("int", pa.int32()), "value": ("double", pa.float64())}
-TAGS = "path string, pages int, description string, x_resolution double, y_resolution double, resolution_unit int"
+TAGS = "path string, pages int, description string, x_resolution double, y_resolution double, resolution_unit int, height int, width int"
 
 
 @dataclass
@@ -91,7 +91,7 @@ class TagReader(TiffReader):
         with opened(partition.path) as f:
             pages = Pages(f)
             ratio = lambda t: pages.head[t][0] / pages.head[t][1] if t in pages.head and pages.head[t][1] else None
-            yield partition.path, pages.count, pages.head.get(DESCRIPTION), ratio(X_RES), ratio(Y_RES), pages.head.get(UNIT, (None,))[0]
+            yield partition.path, pages.count, pages.head.get(DESCRIPTION), ratio(X_RES), ratio(Y_RES), pages.head.get(UNIT, (None,))[0], pages.head[HEIGHT][0], pages.head[WIDTH][0]
 
 
 @dataclass
@@ -192,7 +192,7 @@ def scan_tiff(spark: SparkSession, path: str, columns: tuple[str, ...] = ("path"
 
 
 def scan_tiff_tags(spark: SparkSession, path: str) -> DataFrame:
-    """(path, pages, description, x_resolution, y_resolution, resolution_unit) of each file: pixels a unit, and the unit's code."""
+    """(path, pages, description, x_resolution, y_resolution, resolution_unit, height, width) of each file: pixels a unit, and the unit's code."""
     register(spark)
     return spark.read.format("tiff").option("what", "tags").load(path)
 
