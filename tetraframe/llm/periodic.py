@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tetraframe.llm.common import slices, table
+from tetraframe.llm.common import slices, stored, table
 
 #: A run has at least so many words and at least so many periods.
 LEAST, PERIODS = 24, 3
@@ -138,9 +138,14 @@ def strongest(runs: list[Run]) -> Run | None:
 RUN = T.StructType([T.StructField(c, T.LongType()) for c in ("start", "length", "period")])
 
 
-def detected(docs: DataFrame, text: str = "text", prefix: str = "_") -> DataFrame:
-    """docs with <prefix>runs, an array of (start, length, period), <prefix>best, the run of most periods or null, and <prefix>collapsed, the text without repetitions."""
-    names, at = docs.columns, docs.columns.index(text)
+def detected(docs: DataFrame, text: str = "text", prefix: str = "_", keep: list[str] | None = None) -> DataFrame:
+    """docs with <prefix>runs, an array of (start, length, period), <prefix>best, the run of most periods or null, and <prefix>collapsed, the text without repetitions.
+
+    keep: the columns of docs to give back, all unless named.
+    """
+    keep = docs.columns if keep is None else keep
+    docs = docs.select(*(F.col(f"`{n}`") for n in keep), F.col(f"`{text}`").alias("the text"))
+    names, at = keep, len(keep)
     added = [T.StructField(f"{prefix}runs", T.ArrayType(RUN)), T.StructField(f"{prefix}best", RUN), T.StructField(f"{prefix}collapsed", T.StringType())]
     if set(names) & {f.name for f in added}:
         raise ValueError(f"choose a prefix that keeps {[f.name for f in added]} apart from the columns {names}")
@@ -156,9 +161,9 @@ def detected(docs: DataFrame, text: str = "text", prefix: str = "_") -> DataFram
                 best.append(as_run(strongest(runs[-1])))
                 rest.append(b" ".join(collapsed(words, runs[-1])).decode())
             columns = [pa.array([[as_run(r) for r in x] for x in runs], kinds[0]), pa.array(best, kinds[1]), pa.array(rest, kinds[2])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, *(f.name for f in added)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *columns], [*names, *(f.name for f in added)])
 
-    return docs.mapInArrow(found, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(found, T.StructType([*docs.schema.fields[:at], *added]))
 
 
 def repeating(text: Column, h: Column) -> Column:
@@ -176,11 +181,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     docs = docs.withColumn("text", F.when(F.pmod(h, F.lit(10)) == 0, repeating(F.col("text"), h)).otherwise(F.col("text")))
-    rows = detected(docs)
+    rows = detected(docs, keep=["doc_id"])
     lines = F.concat_ws("", F.transform("_runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
     best = F.col("_best")
-    return rows.select(
+    rows = rows.select(
         "doc_id", F.size("_runs").cast("long").alias("n_runs"), *(best[c].alias(c) for c in RUN.names),
         F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("_collapsed", 256).alias("collapsed_sha256"),
     )
+    return stored(rows, "runs")[0]  # while a table is stored, workers get small batches of texts
