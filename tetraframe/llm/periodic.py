@@ -186,7 +186,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = F.col("_best")
     rows = rows.select(
         "doc_id", F.size("_runs").cast("long").alias("n_runs"), *(best[c].alias(c) for c in RUN.names),
-        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("_collapsed", 256).alias("collapsed_sha256"),
     )
     return stored(rows, "runs")[0]  # while a table is stored, workers get small batches of texts
