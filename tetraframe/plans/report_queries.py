@@ -38,31 +38,73 @@ def voxels(f):
 DELTA = f"SELECT stage_name, total_nuclei, total_nuclei - lag(total_nuclei) OVER w AS delta, {r('100.0::DOUBLE * (total_nuclei - lag(total_nuclei) OVER w) / lag(total_nuclei) OVER w AS delta_pct')}, total_nuclei - first_value(total_nuclei) OVER w AS cumulative FROM stages {W}"
 a("win19_stage_delta", stages(lambda d: rounded(rep.stage_delta(d))), DELTA, "stages")
 a("rpt6_gain_loss", stages(lambda d: rounded(rep.stage_delta(d)).select("stage_name", "delta", "delta_pct")), f"SELECT stage_name, delta, delta_pct FROM ({DELTA})", "stages")
-a("win20_stage_alerts", stages(rep.stage_alerts),
-  f"""SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages {W}),
+a(
+    "win20_stage_alerts",
+    stages(rep.stage_alerts),
+    f"""SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages {W}),
   LATERAL (SELECT unnest([CASE WHEN (n - pn) * 100.0 / pn < -5 THEN 'LOSS' END, CASE WHEN (n - pn) * 100.0 / pn > 15 THEN 'GAIN' END, CASE WHEN (median_volume - pv) / pv > 0.2 THEN 'GROWING' WHEN (median_volume - pv) / pv < -0.2 THEN 'SHRINKING' END,
-  CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL""", "stages")
+  CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL""",
+    "stages",
+)
 ALERT_SQL = """SELECT stage_name, alert FROM (SELECT *, total_nuclei AS n, lag(total_nuclei) OVER w AS pn, lag(median_volume) OVER w AS pv, lag(small_fraction) OVER w AS ps, lag(large_fraction) OVER w AS pl, lag(z_coverage) OVER w AS pz FROM stages WINDOW w AS (ORDER BY stage_name)),
   LATERAL (SELECT unnest([CASE WHEN (n - pn) * 100.0 / pn < -5 THEN 'LOSS' END, CASE WHEN (n - pn) * 100.0 / pn > 15 THEN 'GAIN' END, CASE WHEN (median_volume - pv) / pv > 0.2 THEN 'GROWING' WHEN (median_volume - pv) / pv < -0.2 THEN 'SHRINKING' END,
   CASE WHEN small_fraction - ps > 0.1 THEN 'SMALL' END, CASE WHEN large_fraction - pl > 0.05 THEN 'LARGE' END, CASE WHEN (z_coverage - pz) / pz < -0.05 THEN 'Z_COVERAGE' END]) AS alert) WHERE pn > 0 AND alert IS NOT NULL"""
-a("rpt8_text_report", stages(rep.report_lines),
-  f"""SELECT 'table' AS section, stage_name, printf('%s %d %+d %s%% %s %s%%', stage_name, total_nuclei, coalesce(delta, 0), p::VARCHAR, m::VARCHAR, z::VARCHAR) AS line FROM (SELECT *, {r('coalesce(pct, 0.0) AS p', 'median_volume AS m', 'z_coverage * 100 AS z', digits=1)} FROM
+a(
+    "rpt8_text_report",
+    stages(rep.report_lines),
+    f"""SELECT 'table' AS section, stage_name, printf('%s %d %+d %s%% %s %s%%', stage_name, total_nuclei, coalesce(delta, 0), p::VARCHAR, m::VARCHAR, z::VARCHAR) AS line FROM (SELECT *, {r('coalesce(pct, 0.0) AS p', 'median_volume AS m', 'z_coverage * 100 AS z', digits=1)} FROM
   (SELECT *, total_nuclei - lag(total_nuclei) OVER w AS delta, 100.0::DOUBLE * (total_nuclei - lag(total_nuclei) OVER w) / lag(total_nuclei) OVER w AS pct FROM stages {W}))
-  UNION ALL SELECT 'alerts', stage_name, alert || ' ' || stage_name FROM ({ALERT_SQL})""", "stages")
+  UNION ALL SELECT 'alerts', stage_name, alert || ' ' || stage_name FROM ({ALERT_SQL})""",
+    "stages",
+)
 a("agg23_benchmark_summary", metrics(lambda d: rounded(rep.benchmark_summary(d, METRICS))), f"SELECT experiment, {r(*(f'avg({m}) AS {m}' for m in METRICS))} FROM metrics GROUP BY 1", "metrics")
 PIVOT = r(*(f'avg(value) FILTER (WHERE experiment = \'{e}\') AS "{e}"' for e in "FOP"))
-a("agg23_benchmark_pivot", metrics(lambda d: rounded(rep.benchmark_pivot(d, METRICS, list("FOP")))), f"SELECT metric, {PIVOT} FROM ({' UNION ALL '.join(f'SELECT experiment, {chr(39)}{m}{chr(39)} AS metric, {m} AS value FROM metrics' for m in METRICS)}) GROUP BY 1", "metrics")
-a("agg24_elongation_by_tp", metrics(lambda d: rounded(rep.elongation_by_timepoint(d, list("FOP")))), f"SELECT timepoint, {PIVOT.replace('value', 'seg_mean_elongation')} FROM metrics GROUP BY 1", "metrics")
-a("rpt10_interpretation", metrics(lambda d: rep.interpretation(d.withColumn("preproc_edge_ratio", F.col("preproc_sharpness") / 50000)).select("experiment", "timepoint", "elongation_verdict", "edge_verdict")), "SELECT experiment, timepoint, CASE WHEN seg_mean_elongation < 0.7 THEN 'flattened' WHEN seg_mean_elongation > 1.5 THEN 'stretched' ELSE 'ok' END AS elongation_verdict, CASE WHEN preproc_sharpness / 50000 > 1.5 THEN 'bright' ELSE 'ok' END AS edge_verdict FROM metrics", "metrics")
-a("jn9_raw_vs_processed", metrics(lambda d: rounded(jn.raw_vs_processed(d.where("experiment = 'F'").drop("experiment"), d.where("experiment = 'O' AND timepoint % 2 = 0"), d.where("experiment = 'P'")).select("timepoint", "raw_snr", "snr_improvement", "sharpness_improvement"))),
-  f"SELECT timepoint, {r('o.preproc_snr AS raw_snr', 'f.preproc_snr / o.preproc_snr AS snr_improvement', 'CASE WHEN o.preproc_sharpness IS NOT NULL THEN CASE WHEN o.preproc_sharpness > 0 THEN f.preproc_sharpness / o.preproc_sharpness ELSE 0 END END AS sharpness_improvement')} FROM (SELECT * FROM metrics WHERE experiment = 'F') f LEFT JOIN (SELECT * FROM metrics WHERE (experiment = 'O' AND timepoint % 2 = 0) OR (experiment = 'P' AND timepoint NOT IN (SELECT timepoint FROM metrics WHERE experiment = 'O' AND timepoint % 2 = 0))) o USING (timepoint)", "metrics")
+a(
+    "agg23_benchmark_pivot",
+    metrics(lambda d: rounded(rep.benchmark_pivot(d, METRICS, list("FOP")))),
+    f"""
+    SELECT metric, {PIVOT}
+    FROM ({' UNION ALL '.join(f'SELECT experiment, {chr(39)}{m}{chr(39)} AS metric, {m} AS value FROM metrics' for m in METRICS)})
+    GROUP BY 1
+    """,
+    "metrics",
+)
+a(
+    "agg24_elongation_by_tp",
+    metrics(lambda d: rounded(rep.elongation_by_timepoint(d, list("FOP")))),
+    f"SELECT timepoint, {PIVOT.replace('value', 'seg_mean_elongation')} FROM metrics GROUP BY 1",
+    "metrics",
+)
+a(
+    "rpt10_interpretation",
+    metrics(lambda d: rep.interpretation(d.withColumn("preproc_edge_ratio", F.col("preproc_sharpness") / 50000)).select("experiment", "timepoint", "elongation_verdict", "edge_verdict")),
+    "SELECT experiment, timepoint, CASE WHEN seg_mean_elongation < 0.7 THEN 'flattened' WHEN seg_mean_elongation > 1.5 THEN 'stretched' ELSE 'ok' END AS elongation_verdict, CASE WHEN preproc_sharpness / 50000 > 1.5 THEN 'bright' ELSE 'ok' END AS edge_verdict FROM metrics",
+    "metrics",
+)
+a(
+    "jn9_raw_vs_processed",
+    metrics(lambda d: rounded(jn.raw_vs_processed(d.where("experiment = 'F'").drop("experiment"), d.where("experiment = 'O' AND timepoint % 2 = 0"), d.where("experiment = 'P'")).select("timepoint", "raw_snr", "snr_improvement", "sharpness_improvement"))),
+    f"SELECT timepoint, {r('o.preproc_snr AS raw_snr', 'f.preproc_snr / o.preproc_snr AS snr_improvement', 'CASE WHEN o.preproc_sharpness IS NOT NULL THEN CASE WHEN o.preproc_sharpness > 0 THEN f.preproc_sharpness / o.preproc_sharpness ELSE 0 END END AS sharpness_improvement')} FROM (SELECT * FROM metrics WHERE experiment = 'F') f LEFT JOIN (SELECT * FROM metrics WHERE (experiment = 'O' AND timepoint % 2 = 0) OR (experiment = 'P' AND timepoint NOT IN (SELECT timepoint FROM metrics WHERE experiment = 'O' AND timepoint % 2 = 0))) o USING (timepoint)",
+    "metrics",
+)
 SLICE = "FROM voxels GROUP BY 1, 2"
 a("rpt2_nuclei_per_slice", voxels(lb.cells_per_slice), f"SELECT t, z, count(DISTINCT CASE WHEN label > 0 THEN label END) AS cells {SLICE}", "voxels")
 CENTERS = "centers AS (SELECT v.t, v.z, count(DISTINCT v.label) FILTER (WHERE v.label > 0 AND abs(c.cz - v.z) < 0.5) AS n FROM voxels v LEFT JOIN (SELECT t, label, avg(z) AS cz FROM voxels WHERE label > 0 GROUP BY 1, 2) c USING (t, label) GROUP BY 1, 2)"
 BOOK.views["centers"] = CENTERS
 DEEP = "coalesce(sum(n) FILTER (WHERE z < 4), 0)::BIGINT AS shallow, coalesce(sum(n) FILTER (WHERE z BETWEEN 4 AND 11), 0)::BIGINT AS mid, coalesce(sum(n) FILTER (WHERE z >= 12), 0)::BIGINT AS deep"
 a("rpt7_shallow_mid_deep", voxels(lambda v: lb.depth_thirds(lb.per_slice_labels(v), fx.NZ).select("t", "shallow", "mid", "deep")), f"SELECT t, {DEEP} FROM centers GROUP BY 1", "voxels", "centers")
-a("rpt8_depth_analysis", voxels(lambda v: rounded(lb.depth_thirds(lb.per_slice_labels(v), fx.NZ).select("t", "total", "deep_over_shallow"))), f"SELECT t, (shallow + mid + deep)::BIGINT AS total, {r('CASE WHEN shallow > 0 THEN deep / shallow ELSE 0.0 END AS deep_over_shallow')} FROM (SELECT t, {DEEP} FROM centers GROUP BY 1)", "voxels", "centers")
+a(
+    "rpt8_depth_analysis",
+    voxels(lambda v: rounded(lb.depth_thirds(lb.per_slice_labels(v), fx.NZ).select("t", "total", "deep_over_shallow"))),
+    f"""
+    SELECT t, (shallow + mid + deep)::BIGINT AS total, {r('CASE WHEN shallow > 0 THEN deep / shallow ELSE 0.0 END AS deep_over_shallow')}
+    FROM (SELECT t, {DEEP}
+    FROM centers
+    GROUP BY 1)
+    """,
+    "voxels",
+    "centers",
+)
 LABELS = """labels AS (SELECT t, label, count(*) AS volume, max(z) - min(z) + 1 AS zext, (max(y) - min(y) + max(x) - min(x) + 2) / 2 AS xyext, avg(value) AS mean_value FROM voxels WHERE label > 0 GROUP BY 1, 2),
 sizes AS (SELECT t, count(*) AS n, median(volume) AS med, avg(volume) AS mean, stddev_pop(volume) AS std, avg(zext) AS zext, avg(xyext) AS xyext FROM labels GROUP BY 1),
 shares AS (SELECT t, avg((volume < 0.25 * med)::INTEGER) AS small, avg((volume > 4 * med)::INTEGER) AS large, avg(mean_value) AS mi, stddev_pop(mean_value) AS si FROM labels JOIN sizes USING (t) GROUP BY 1),
@@ -86,9 +128,14 @@ def stage_csv(s, sf):
     return through_csv(s, sf, "stages", rep.stage_table(lb.label_stats(v), lb.intensity_in_labels(v)))
 
 
-a("snk9_stage_csv", stage_csv,
-  f"""SELECT t::VARCHAR AS stage_name, n::DOUBLE AS n_nuclei_3d, {r('med AS median_volume_px', 'mean AS mean_volume_px', 'std AS std_volume_px', 'std / mean AS volume_cv', 'zext AS mean_z_extent', 'xyext AS mean_xy_extent', 'small AS small_fraction', 'large AS large_fraction', 'zc AS z_coverage', 'cm AS cells_per_z_mean', 'cs AS cells_per_z_std', 'snr AS snr_in_nuclei', 'mi AS mean_intensity', 'si AS std_intensity')}
-  FROM sizes JOIN shares USING (t) JOIN cover USING (t) JOIN inside USING (t)""", "voxels", "stagestats")
+a(
+    "snk9_stage_csv",
+    stage_csv,
+    f"""SELECT t::VARCHAR AS stage_name, n::DOUBLE AS n_nuclei_3d, {r('med AS median_volume_px', 'mean AS mean_volume_px', 'std AS std_volume_px', 'std / mean AS volume_cv', 'zext AS mean_z_extent', 'xyext AS mean_xy_extent', 'small AS small_fraction', 'large AS large_fraction', 'zc AS z_coverage', 'cm AS cells_per_z_mean', 'cs AS cells_per_z_std', 'snr AS snr_in_nuclei', 'mi AS mean_intensity', 'si AS std_intensity')}
+  FROM sizes JOIN shares USING (t) JOIN cover USING (t) JOIN inside USING (t)""",
+    "voxels",
+    "stagestats",
+)
 PANEL_SQL = {
     "counts": "unnest(['n_nuclei_3d']) AS series, unnest([n::DOUBLE]) AS value", "volumes": "unnest(['median_volume_px', 'mean_volume_px', 'std_volume_px']) AS series, unnest([med, mean, std]) AS value",
     "heterogeneity": "unnest(['volume_cv', 'small_fraction', 'large_fraction']) AS series, unnest([std / mean, small, large]) AS value", "coverage": "unnest(['z_coverage', 'cells_per_z_mean', 'cells_per_z_std']) AS series, unnest([zc, cm, cs]) AS value",
@@ -112,19 +159,35 @@ def diagnosis(v):
     return rep.diagnostic_table(im.dynamic_range_info(v), im.noise_per_slice(v))
 
 
-a("snk10_stage_metrics_csv", lambda s, sf: through_csv(s, sf, "diagnosis", diagnosis(shifted(s, sf))),
-  f"""SELECT t::VARCHAR AS name, min(value)::DOUBLE AS min, max(value)::DOUBLE AS max, {r('quantile_cont(value, 0.01) AS p01', 'quantile_cont(value, 0.99) AS p99', 'quantile_cont(value, 0.999) AS p999', 'avg(value) AS mean', 'stddev_pop(value) AS std', 'avg((value = 0)::INTEGER) AS frac_zero', 'avg((value >= 65535)::INTEGER) AS frac_saturated', 'any_value(snr_median) AS snr_median', 'any_value(snr_min) AS snr_min', 'any_value(noise_std_median) AS noise_std_median')}
-  FROM v2 JOIN per USING (t) GROUP BY t""", "voxels", "noise")
-a("rpt9_diagnostic_report", lambda s, sf: rounded(rep.diagnostic_findings(v := shifted(s, sf), vo.depth_correction_damped(v), diagnosis(v))),
-  f"""WITH levels AS (SELECT t, z, greatest(quantile_cont(value, 0.5), 1e-8) AS level FROM v2 GROUP BY 1, 2),
+a(
+    "snk10_stage_metrics_csv",
+    lambda s, sf: through_csv(s, sf, "diagnosis", diagnosis(shifted(s, sf))),
+    f"""SELECT t::VARCHAR AS name, min(value)::DOUBLE AS min, max(value)::DOUBLE AS max, {r('quantile_cont(value, 0.01) AS p01', 'quantile_cont(value, 0.99) AS p99', 'quantile_cont(value, 0.999) AS p999', 'avg(value) AS mean', 'stddev_pop(value) AS std', 'avg((value = 0)::INTEGER) AS frac_zero', 'avg((value >= 65535)::INTEGER) AS frac_saturated', 'any_value(snr_median) AS snr_median', 'any_value(snr_min) AS snr_min', 'any_value(noise_std_median) AS noise_std_median')}
+  FROM v2 JOIN per USING (t) GROUP BY t""",
+    "voxels",
+    "noise",
+)
+a(
+    "rpt9_diagnostic_report",
+    lambda s, sf: rounded(rep.diagnostic_findings(v := shifted(s, sf), vo.depth_correction_damped(v), diagnosis(v))),
+    f"""WITH levels AS (SELECT t, z, greatest(quantile_cont(value, 0.5), 1e-8) AS level FROM v2 GROUP BY 1, 2),
   smooth AS (SELECT a.t, a.z, avg(b.level) AS level FROM (SELECT t, z, least(greatest(z + d, 0), 15) AS s FROM levels, range(-5, 6) w(d)) a JOIN levels b ON a.t = b.t AND a.s = b.z GROUP BY 1, 2),
   scales AS (SELECT t, max(s) AS max_scale, count(*) FILTER (WHERE s > 1.5) AS high FROM (SELECT t, least(CASE WHEN level < 0.25 * m THEN 1 + (m / level - 1) * level / (0.25 * m + 1e-8) ELSE m / level END, 2.0) AS s FROM smooth JOIN (SELECT t, median(level) AS m FROM smooth GROUP BY 1) USING (t)) GROUP BY 1),
   q AS (SELECT t, quantile_cont(value, 0.3) AS q30, quantile_cont(value, 0.02) AS q2, quantile_cont(value, 0.01) AS p1, quantile_cont(value, 0.99) AS p99, quantile_cont(value, 0.01) FILTER (WHERE value > 0) AS t1, quantile_cont(value, 0.99) FILTER (WHERE value > 0) AS t99, avg((value = 0)::INTEGER) AS zeros FROM v2 GROUP BY 1),
   dark AS (SELECT t, avg(value) AS m, stddev_pop(value) AS s FROM v2 JOIN q USING (t) WHERE value < q30 GROUP BY 1),
   row AS (SELECT * FROM q LEFT JOIN dark USING (t) JOIN scales USING (t) JOIN per USING (t))
   SELECT t, finding, {r('value')} FROM row, LATERAL (SELECT unnest(['background_mean', 'background_std', 'camera_level', 'residual', 'residual_problem', 'max_scale', 'n_high_scale', 'noise_std', 'snr', 'zero_share', 'p1', 'p1_tissue', 'p99', 'p99_tissue']) AS finding,
-  unnest([m, s, q2, m - q2, (m - q2 > s)::INTEGER::DOUBLE, max_scale, high::DOUBLE, noise_std_median, snr_median, zeros, p1, t1, p99, t99]) AS value)""", "voxels", "noise")
-a("rpt9_noise_amplification", lambda s, sf: rounded(rep.noise_amplification(diagnosis(v := shifted(s, sf)), diagnosis(v.withColumn("value", F.col("value") * 3)))), f"SELECT t::VARCHAR AS name, {r('3 * noise_std_median / greatest(noise_std_median, 0.01) AS amplification')} FROM per", "voxels", "noise")
+  unnest([m, s, q2, m - q2, (m - q2 > s)::INTEGER::DOUBLE, max_scale, high::DOUBLE, noise_std_median, snr_median, zeros, p1, t1, p99, t99]) AS value)""",
+    "voxels",
+    "noise",
+)
+a(
+    "rpt9_noise_amplification",
+    lambda s, sf: rounded(rep.noise_amplification(diagnosis(v := shifted(s, sf)), diagnosis(v.withColumn("value", F.col("value") * 3)))),
+    f"SELECT t::VARCHAR AS name, {r('3 * noise_std_median / greatest(noise_std_median, 0.01) AS amplification')} FROM per",
+    "voxels",
+    "noise",
+)
 HIST = f"""SELECT k::INTEGER AS bin, {r('lo + k * (hi - lo) / b AS "left"', 'lo + (k + 1) * (hi - lo) / b AS "right"')}, coalesce(c, 0)::BIGINT AS n FROM (SELECT *, unnest(range(b)) AS k FROM ends) LEFT JOIN (SELECT least(floor((v - lo) / ((hi - lo) / b)), b - 1)::INTEGER AS k, count(*) AS c FROM vs, ends WHERE v BETWEEN lo AND hi GROUP BY 1) USING (k)"""
 
 
@@ -132,10 +195,29 @@ def selection(s, sf):
     return kin.selection_metrics(fx.spots(s, sf), 4, 5, 0.5)
 
 
-a("rpt1_selection_histograms", lambda s, sf: rounded(rep.histogram(selection(s, sf), "straightness", 20, 3, 0.0, 1.0)),
-  "WITH vs AS (SELECT straightness AS v FROM straight WHERE straightness IS NOT NULL), ends AS (SELECT 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, least(20, greatest(3, floor(sqrt(count(*)))))::INTEGER AS b FROM vs) " + HIST, "spots", "straight")
+a(
+    "rpt1_selection_histograms",
+    lambda s, sf: rounded(rep.histogram(selection(s, sf), "straightness", 20, 3, 0.0, 1.0)),
+    "WITH vs AS (SELECT straightness AS v FROM straight WHERE straightness IS NOT NULL), ends AS (SELECT 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi, least(20, greatest(3, floor(sqrt(count(*)))))::INTEGER AS b FROM vs) " + HIST,
+    "spots",
+    "straight",
+)
 ENDS = "ends AS (SELECT min(v) AS lo, max(v) AS hi, least({}, greatest({}, floor(sqrt(count(*)))))::INTEGER AS b FROM vs) "
 a("rpt1_length_histogram", lambda s, sf: rounded(rep.histogram(selection(s, sf), "minutes", 20, 3)),
   "WITH vs AS (SELECT (count(*) * 0.5)::DOUBLE AS v FROM spots WHERE track_id IS NOT NULL GROUP BY track_id), " + ENDS.format(20, 3) + HIST, "spots")
-a("rpt1_speed_histogram", lambda s, sf: rounded(rep.histogram(kin.step_speeds(fx.spots(s, sf), 1, 5, 0.5), "speed", 40, 5)), "WITH vs AS (SELECT v FROM vals WHERE v IS NOT NULL), " + ENDS.format(40, 5) + HIST, "spots", "lagged1", "smoothed")
-a("rpt1_mean_speed_histogram", lambda s, sf: rounded(rep.histogram(kin.selection_metrics(fx.spots(s, sf), 1, 5, 0.5), "mean_speed", 20, 3)), "WITH vs AS (SELECT avg(v) AS v FROM vals GROUP BY track_id HAVING avg(v) IS NOT NULL), " + ENDS.format(20, 3) + HIST, "spots", "lagged1", "smoothed")
+a(
+    "rpt1_speed_histogram",
+    lambda s, sf: rounded(rep.histogram(kin.step_speeds(fx.spots(s, sf), 1, 5, 0.5), "speed", 40, 5)),
+    "WITH vs AS (SELECT v FROM vals WHERE v IS NOT NULL), " + ENDS.format(40, 5) + HIST,
+    "spots",
+    "lagged1",
+    "smoothed",
+)
+a(
+    "rpt1_mean_speed_histogram",
+    lambda s, sf: rounded(rep.histogram(kin.selection_metrics(fx.spots(s, sf), 1, 5, 0.5), "mean_speed", 20, 3)),
+    "WITH vs AS (SELECT avg(v) AS v FROM vals GROUP BY track_id HAVING avg(v) IS NOT NULL), " + ENDS.format(20, 3) + HIST,
+    "spots",
+    "lagged1",
+    "smoothed",
+)

@@ -46,13 +46,36 @@ def ultrack_csv(spark: SparkSession, sf: str) -> str:
 
 
 LOADED = "SELECT 'ID' || id AS label, id, track_id, position_x, position_y, position_z, frame FROM spots WHERE id % 50 <> 0"
-a("src1_scan_trackmate", lambda s, f: rounded(rd.scan_trackmate(s, trackmate_csv(s, f))), f"SELECT 'ID' || id AS label, id, track_id, {r('CASE WHEN id % 50 <> 0 THEN position_x END AS position_x', 'position_y', 'position_z')}, frame FROM spots", "spots")
-a("src2_scan_ultrack", lambda s, f: rounded(rd.scan_ultrack(s, ultrack_csv(s, f))), f"SELECT track_id, frame, {r('position_z', 'position_y', 'position_x')}, id, CASE WHEN track_id > 100 THEN track_id - 100 END AS parent_track_id FROM spots WHERE track_id IS NOT NULL", "spots")
-a("src3_sniff_format", lambda s, f: s.createDataFrame([("a", rd.sniff_format(s, trackmate_csv(s, f))), ("b", rd.sniff_format(s, ultrack_csv(s, f)))], "file string, format string"), "SELECT * FROM (VALUES ('a', 'trackmate'), ('b', 'ultrack')) v(file, format)")
+a(
+    "src1_scan_trackmate",
+    lambda s, f: rounded(rd.scan_trackmate(s, trackmate_csv(s, f))),
+    f"SELECT 'ID' || id AS label, id, track_id, {r('CASE WHEN id % 50 <> 0 THEN position_x END AS position_x', 'position_y', 'position_z')}, frame FROM spots",
+    "spots",
+)
+a(
+    "src2_scan_ultrack",
+    lambda s, f: rounded(rd.scan_ultrack(s, ultrack_csv(s, f))),
+    f"""
+    SELECT track_id, frame, {r('position_z', 'position_y', 'position_x')}, id, CASE WHEN track_id > 100 THEN track_id - 100 END AS parent_track_id
+    FROM spots
+    WHERE track_id IS NOT NULL
+    """,
+    "spots",
+)
+a(
+    "src3_sniff_format",
+    lambda s, f: s.createDataFrame([("a", rd.sniff_format(s, trackmate_csv(s, f))), ("b", rd.sniff_format(s, ultrack_csv(s, f)))], "file string, format string"),
+    "SELECT * FROM (VALUES ('a', 'trackmate'), ('b', 'ultrack')) v(file, format)",
+)
 a("src4_load_spots", lambda s, f: rounded(rd.load_spots(s, trackmate_csv(s, f))), LOADED, "spots")
 
 
-a("src9_channel_files", lambda s, f: rd.channel_files(fx.names(s, f), 1), "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')", "names")
+a(
+    "src9_channel_files",
+    lambda s, f: rd.channel_files(fx.names(s, f), 1),
+    "SELECT regexp_extract(name, '--T([0-9]{4,5})', 1)::INTEGER AS timepoint, name FROM names WHERE regexp_matches(name, '--C01--T[0-9]{4,5}[.]h5$')",
+    "names",
+)
 def written_volumes(s: SparkSession, f: str) -> DataFrame:
     path = folder(s, "volumes")
     wr.write_volumes(fx.voxels(s, f), path)
@@ -62,7 +85,12 @@ def written_volumes(s: SparkSession, f: str) -> DataFrame:
 a("src11_scan_volumes", lambda s, f: written_volumes(s, f).groupBy("t").agg(F.sum("value").alias("total")), "SELECT t, sum(value)::BIGINT AS total FROM voxels GROUP BY 1", "voxels")
 STEM = "regexp_extract(regexp_replace(name, '(.)[.][^.]*$', '\\1'), '([0-9]+)[^0-9]*$', 1)"
 ORDERED = f"row_number() OVER (ORDER BY CASE WHEN {STEM} <> '' THEN 0 ELSE 1 END, nullif({STEM}, '')::BIGINT NULLS FIRST, name)::INTEGER AS place"
-a("src12_scan_tp_folder", lambda s, f: fl.natural_sort_files(fx.names(s, f).where("name LIKE '%.tif' OR name LIKE '%.zarr'")), f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'", "names")
+a(
+    "src12_scan_tp_folder",
+    lambda s, f: fl.natural_sort_files(fx.names(s, f).where("name LIKE '%.tif' OR name LIKE '%.zarr'")),
+    f"SELECT name, {ORDERED} FROM names WHERE name LIKE '%.tif' OR name LIKE '%.zarr'",
+    "names",
+)
 a("srt3_natural_sort_files", lambda s, f: fl.natural_sort_files(fx.names(s, f)), f"SELECT name, {ORDERED} FROM names", "names")
 
 
@@ -107,7 +135,17 @@ a(
     """,
 )
 TP = "coalesce(" + ", ".join(f"nullif(regexp_extract(name, '{p}', 1), '')" for p in (r"(?i)t([0-9]+)_channel", r"(?i)(?:^|[^a-z])t([0-9]+)", r"(?i)tp([0-9]+)", r"(?i)--[a-z]*t([0-9]+)", r"(?i)[_ -]([0-9]+)\.(?:tiff?|h5|hdf5)$", r"([0-9]+)")) + ")::INTEGER"
-a("src16_extract_timepoint", lambda s, f: rd.extract_timepoints(fx.names(s, f)), f"SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL ORDER BY name))::INTEGER AS timepoint FROM (SELECT name, {TP} AS t FROM names)", "names")
+a(
+    "src16_extract_timepoint",
+    lambda s, f: rd.extract_timepoints(fx.names(s, f)),
+    f"""
+    SELECT name, coalesce(t, (max(t) OVER ()) + row_number() OVER (PARTITION BY t IS NULL
+    ORDER BY name))::INTEGER AS timepoint
+    FROM (SELECT name, {TP} AS t
+    FROM names)
+    """,
+    "names",
+)
 
 
 def configs(s: SparkSession, f: str) -> DataFrame:
@@ -128,7 +166,10 @@ a("src17_load_config", configs, "SELECT r_name || ' b' AS input_dir, (5 * r_regi
 a(
     "src18_resolve_channel",
     resolved_channels,
-    "SELECT (n_nationkey % (n_regionkey + 1) + 1)::INTEGER AS wanted, (n_regionkey + 1)::INTEGER AS channels, (n_nationkey % (n_regionkey + 1))::INTEGER AS found FROM nation",
+    """
+    SELECT (n_nationkey % (n_regionkey + 1) + 1)::INTEGER AS wanted, (n_regionkey + 1)::INTEGER AS channels, (n_nationkey % (n_regionkey + 1))::INTEGER AS found
+    FROM nation
+    """,
 )
 
 
@@ -168,10 +209,30 @@ def merges(s: SparkSession, f: str) -> DataFrame:
 
 MERGED = "merged AS (SELECT c_custkey AS id, 0.3 + c_custkey / 1000.0::DOUBLE AS res, CASE WHEN c_custkey % 2 = 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS scaling, 100 + c_custkey % 3 * 87 AS nz FROM customer)"
 BOOK.views["merged"] = MERGED
-a("snk7_merged_voxel_size", lambda s, f: rounded(merges(s, f).select("id", "vox_xy", "vox_z")), f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> 100 THEN 200.0::DOUBLE / nz ELSE 2.0 END AS vox_z')} FROM merged", "merged")
-a("src21_original_z_spacing", lambda s, f: rounded(merges(s, f).select("id", (F.col("vox_z") * F.col("nz") / F.col("nz0")).alias("original"))), "SELECT id, 2.0::DOUBLE AS original FROM merged", "merged")
-a("sc13_channel_from_name", lambda s, f: fx.names(s, f).select("name", sc.channel_of(F.col("name")).alias("channel")), "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names", "names")
-a("set6_dedupe_files", lambda s, f: fl.dedupe_files(*(fx.names(s, f).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))), "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'", "names")
+a(
+    "snk7_merged_voxel_size",
+    lambda s, f: rounded(merges(s, f).select("id", "vox_xy", "vox_z")),
+    f"SELECT id, {r('res / scaling AS vox_xy', 'CASE WHEN nz <> 100 THEN 200.0::DOUBLE / nz ELSE 2.0 END AS vox_z')} FROM merged",
+    "merged",
+)
+a(
+    "src21_original_z_spacing",
+    lambda s, f: rounded(merges(s, f).select("id", (F.col("vox_z") * F.col("nz") / F.col("nz0")).alias("original"))),
+    "SELECT id, 2.0::DOUBLE AS original FROM merged",
+    "merged",
+)
+a(
+    "sc13_channel_from_name",
+    lambda s, f: fx.names(s, f).select("name", sc.channel_of(F.col("name")).alias("channel")),
+    "SELECT name, coalesce(nullif(regexp_extract(name, '_Channel ([0-9]+)', 1), '')::INTEGER, 1) AS channel FROM names",
+    "names",
+)
+a(
+    "set6_dedupe_files",
+    lambda s, f: fl.dedupe_files(*(fx.names(s, f).where(f"name LIKE '{p}'") for p in ("%.tif", "t%", "%.h5"))),
+    "SELECT DISTINCT name FROM names WHERE name LIKE '%.tif' OR name LIKE 't%' OR name LIKE '%.h5'",
+    "names",
+)
 a(
     "jn8_combine_metadata",
     lambda s, f: jn.combine_metadata(fx.names(s, f), fx.customers(s, f).agg(F.lit("um").alias("unit"), F.round(F.max("c_acctbal"), 2).alias("spacing"))),
@@ -233,14 +294,38 @@ def bundle_counts(s: SparkSession, f: str) -> DataFrame:
     return out
 
 
-a("snk1_export_bundle", bundle_counts, """SELECT * FROM (SELECT 'oriented_spots' AS name, count(*) AS n, 6 AS n_columns FROM spots UNION ALL SELECT 'oriented_tracks', count(track_id), 6 FROM spots UNION ALL SELECT 'track_summary', count(DISTINCT track_id), 7 FROM spots
-  UNION ALL SELECT * FROM (VALUES ('sphere_params', 4, 2), ('roi_bounds', 1, 4), ('gastrulation_landmarks', 2, 4), ('ingression_params', 2, 2), ('analysis_metadata', 1, 3)) v(name, n, n_columns))""", "spots")
-a("snk1_exported_summary", lambda s, f: rounded(bundle(s, f, "track_summary.csv").select(F.col("TRACK_ID").cast("long").alias("track_id"), F.col("N_SPOTS").cast("long").alias("n_spots"), F.col("FRAME_START").cast("int").alias("frame_start"), F.col("MEAN_X").cast("double").alias("mean_x"))),
-  f"SELECT track_id, count(*) AS n_spots, min(frame) AS frame_start, {r('avg(position_x) AS mean_x')} FROM spots WHERE track_id IS NOT NULL GROUP BY 1", "spots")
-a("snk2_export_filtered", lambda s, f: exported(s, f).select(F.col("ID").cast("long").alias("id"), F.col("TRACK_ID").cast("long").alias("track_id"), F.col("FILTERED_OUT").cast("boolean").alias("filtered_out"), F.coalesce("FILTER_REASON", F.lit("")).alias("filter_reason")),
-  """WITH steps AS (SELECT *, CASE WHEN track_id IS NOT NULL AND frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS v FROM spots WINDOW w AS (PARTITION BY track_id ORDER BY frame, id)),
+a(
+    "snk1_export_bundle",
+    bundle_counts,
+    """SELECT * FROM (SELECT 'oriented_spots' AS name, count(*) AS n, 6 AS n_columns FROM spots UNION ALL SELECT 'oriented_tracks', count(track_id), 6 FROM spots UNION ALL SELECT 'track_summary', count(DISTINCT track_id), 7 FROM spots
+  UNION ALL SELECT * FROM (VALUES ('sphere_params', 4, 2), ('roi_bounds', 1, 4), ('gastrulation_landmarks', 2, 4), ('ingression_params', 2, 2), ('analysis_metadata', 1, 3)) v(name, n, n_columns))""",
+    "spots",
+)
+a(
+    "snk1_exported_summary",
+    lambda s, f: rounded(bundle(s, f, "track_summary.csv").select(F.col("TRACK_ID").cast("long").alias("track_id"), F.col("N_SPOTS").cast("long").alias("n_spots"), F.col("FRAME_START").cast("int").alias("frame_start"), F.col("MEAN_X").cast("double").alias("mean_x"))),
+    f"SELECT track_id, count(*) AS n_spots, min(frame) AS frame_start, {r('avg(position_x) AS mean_x')} FROM spots WHERE track_id IS NOT NULL GROUP BY 1",
+    "spots",
+)
+a(
+    "snk2_export_filtered",
+    lambda s, f: exported(s, f).select(F.col("ID").cast("long").alias("id"), F.col("TRACK_ID").cast("long").alias("track_id"), F.col("FILTERED_OUT").cast("boolean").alias("filtered_out"), F.coalesce("FILTER_REASON", F.lit("")).alias("filter_reason")),
+    """WITH steps AS (SELECT *, CASE WHEN track_id IS NOT NULL AND frame > lag(frame) OVER w THEN sqrt(pow(position_x - lag(position_x) OVER w, 2) + pow(position_y - lag(position_y) OVER w, 2) + pow(position_z - lag(position_z) OVER w, 2)) / (frame - lag(frame) OVER w) END AS v FROM spots WINDOW w AS (PARTITION BY track_id ORDER BY frame, id)),
   lim AS (SELECT track_id, count(*) < 60 AS short, NOT coalesce(max(v) <= 200.0, false) AS fast FROM steps WHERE track_id IS NOT NULL GROUP BY 1)
-  SELECT id, track_id, coalesce(short OR fast, false) AS filtered_out, CASE WHEN short AND fast THEN 'min_length+max_speed' WHEN fast THEN 'max_speed' WHEN short THEN 'min_length' ELSE '' END AS filter_reason FROM spots LEFT JOIN lim USING (track_id)""", "spots")
+  SELECT id, track_id, coalesce(short OR fast, false) AS filtered_out, CASE WHEN short AND fast THEN 'min_length+max_speed' WHEN fast THEN 'max_speed' WHEN short THEN 'min_length' ELSE '' END AS filter_reason FROM spots LEFT JOIN lim USING (track_id)""",
+    "spots",
+)
 a("snk8_save_metrics", saved, "SELECT experiment, timepoint, CASE WHEN experiment = 'F' THEN seg_n_cells END AS seg_n_cells FROM metrics", "metrics")
-a("json_round_trip", lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"), "SELECT id, frame FROM spots", "spots")
-a("stream_step_speed", lambda s, f: rounded(streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")).select("track_id", "frame", "id", "step_speed")), f"SELECT track_id, frame, id, {r('step_speed')} FROM speeds WHERE track_id IS NOT NULL", "spots", "speeds")
+a(
+    "json_round_trip",
+    lambda s, f: fx.spots(s, f).select("id", F.from_json(F.to_json(F.struct("id", "frame")), "id long, frame int").alias("j")).select("id", "j.frame"),
+    "SELECT id, frame FROM spots",
+    "spots",
+)
+a(
+    "stream_step_speed",
+    lambda s, f: rounded(streamed_speeds(s, fx.spots(s, f).where("track_id IS NOT NULL"), folder(s, "stream")).select("track_id", "frame", "id", "step_speed")),
+    f"SELECT track_id, frame, id, {r('step_speed')} FROM speeds WHERE track_id IS NOT NULL",
+    "spots",
+    "speeds",
+)

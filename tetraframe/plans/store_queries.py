@@ -133,7 +133,13 @@ def short_files(s: SparkSession, f: str) -> DataFrame:
 a(
     "agg31_shape_histogram",
     short_files,
-    f"SELECT z, {fx.NY} AS y, {fx.NX} AS x, count(*) AS n FROM (SELECT t, CASE WHEN t % 3 = 0 THEN 14 ELSE (max(z) + 1)::INTEGER END AS z FROM voxels GROUP BY t) GROUP BY z",
+    f"""
+    SELECT z, {fx.NY} AS y, {fx.NX} AS x, count(*) AS n
+    FROM (SELECT t, CASE WHEN t % 3 = 0 THEN 14 ELSE (max(z) + 1)::INTEGER END AS z
+    FROM voxels
+    GROUP BY t)
+    GROUP BY z
+    """,
     "voxels",
 )
 
