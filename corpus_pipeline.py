@@ -78,7 +78,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids, packed into sequences."""
-    return packed(docs.select("doc_id", "text"), vocabulary("word_bpe_49k.json"), 2048)
+    docs, _ = set_apart(docs, *DOCUMENT)
+    return packed(docs, vocabulary("word_bpe_49k.json"), 2048)
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("suffix_dedup", suffix_dedup), ("mixing", mixing), ("packing", packing)]
