@@ -148,6 +148,40 @@ def test_chains_beyond_the_first_node_are_found(spark, monkeypatch):
     assert {got[k]["component_id"] for k in range(30)} == {0} and all(got[100 + k]["kept"] for k in range(5))
 
 
+@pytest.mark.parametrize("piece", [4096, 40])
+def test_copies_just_below_the_bound_meet_once(spark, monkeypatch, piece):
+    """Rows that go to meetings follow the nodes of a group, not its nodes times the lists that they share; links are those of brute force."""
+    import random
+
+    rng, met, sent = random.Random(4), near_dedup.met, []
+
+    def counted(rows, *size):
+        out = met(rows, *size)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "met", counted)
+    monkeypatch.setattr(near_dedup, "PIECE", piece)
+    base, texts = [f"v{k}" for k in range(140)], []
+    for _ in range(150):
+        w = list(base)
+        for at in rng.sample(range(140), rng.randrange(2, 9)):
+            w[at] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"o{k}x{j}" for j in range(40)) for k in range(5)]
+    sets = [set(zip(*(t.split()[k:] for k in range(3)))) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 3, 85))
+    assert [got[i]["component_id"] for i in range(len(texts))] == root and len(set(root)) > 20
+    # A group over a piece meets in pairs of its pieces: at most one row for each piece.
+    assert len(sent) == 2 and max(sent) <= len(texts) * (1 if piece > len(texts) else 5), sent
+
+
 def test_pigeonhole_lists_meet():
     rng = np.random.default_rng(1)
     t = near_dedup.most_different(85, 100)

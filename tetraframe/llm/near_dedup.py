@@ -9,16 +9,19 @@ sets with integers and closed to components.
 Groups are never expanded into all pairs:
 
 1. In each list the first node is tried with the others, and the components of these links are formed.
-2. A list that still spans several components says which of its nodes have a partner within t in another component. A pair is
-   looked at in the first of the lists that it shares only. Rows out: one a list and node at most.
-3. These nodes bring their full sets to the list, which counts intersections and gives the links of a spanning forest: fewer links
-   than nodes. Components are closed once more.
-
-A long list is cut into pieces that meet pairwise in separate tasks; nodes in the component of the list's first node meet the others
-only, not each other. No pair within t is left out for the size of its list. Where most of a long list is alike to a degree just below
-the bound, comparisons grow with the square of the list, and rows with its square over the size of a piece: 11 rows a node in a
-list of 40,000. Dealing such a list out again by a second chunk would take two errors in each, some 150 keys a node, which is more
-until a list has more than half a million distinct components.
+2. Lists that still span several components and reach one another through components make a cluster. All pairs within t of different
+   components lie in one cluster, so its nodes meet once, as one list, in place of up to 80 times. Only where clusters chain far
+   (more nodes than a piece) and their lists are cheaper do the lists meet by themselves.
+3. A cluster or list says which of its nodes have a partner within t in another component. In lists a pair is looked at in the first
+   that it shares only. Rows out: one a cluster and node, or one a list and node, at most.
+4. These nodes bring their full sets together, where intersections are counted, which gives the links of a spanning forest: fewer
+   links than nodes. Components are closed once more.
+
+A long list or cluster is cut into pieces that meet pairwise in separate tasks; nodes in its own component (a cluster's largest, or
+that of a list's first node) meet the others only, not each other. No pair within t is left out for the size of its list. Where most
+of a group is alike to a degree just below the bound, comparisons grow with the square of the group, and rows with its square over
+the size of a piece. Dealing such a group out again by a second chunk would take two errors in each, some 150 keys a node, which is
+more until a group has more than half a million distinct components.
 
 Defined cases: null or empty text, or text without words, is the empty set and linked with nothing; a text with fewer words than
 a shingle is one shingle; rows of one doc_id are nodes of their own where their texts differ; a null doc_id is linked with nothing
@@ -42,6 +45,8 @@ from tetraframe.llm.common import chunks, discard, hand_back, mix, set_apart, sl
 K, MISS = 80, 1e-7
 #: Nodes of a piece of a long list where signatures meet; nodes and bytes where sets meet.
 PIECE, SET_PIECE, SET_BYTES = 4_096, 512, 16 << 20
+#: In place of the number of a symbol in the low bits of a list's key: a cluster, whose pairs are all looked at there.
+CLUSTER = 127
 #: Most nodes whose ids are sent to all executors (40 bytes each); more are joined by a shuffle.
 SENT_IDS = 500_000
 
@@ -223,21 +228,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable by edges (a, b). Least labels of neighbours and label jumping, until nothing changes."""
-    spark = edges.sparkSession
-    both, place = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
-    labels, last = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
+    """(id, component): the smallest id reachable by edges (a, b).
+
+    In a round each end goes to the least of its neighbours and itself in a seeded order, then as that one goes; edges between
+    the ends' places are what the next round takes, so that rounds shrink. At most one end of an edge stays where it is.
+    """
+    spark, hops, places = edges.sparkSession, [], []
+    both, last = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
     while True:
-        at = labels.select(F.col("id").alias("b"), F.col("component").alias("_l"))
-        near = both.join(at, "b").groupBy("a").agg(F.min("_l").alias("_m")).select(F.col("a").alias("id"), "_m")
-        low = labels.join(near, "id").select("id", F.col("component").alias("_old"), F.least("component", "_m").alias("_new"))
-        up = labels.select(F.col("id").alias("_new"), F.col("component").alias("_up"))
-        new, where = stored(low.join(up, "_new").select("id", F.least("_new", "_up").alias("component"), (F.least("_new", "_up") != F.col("_old")).alias("_moved")), "labels")
+        placed = lambda end: F.struct(F.xxhash64(F.lit(len(hops)), end).alias("_h"), F.col(end).alias("_id"))  # noqa: B023, E731
+        least = both.groupBy("a").agg(F.min(placed("b")).alias("_m")).select("a", F.least(placed("a"), "_m")["_id"].alias("_to"))
+        hop, place = stored(least.join(least.toDF("_to", "_next"), "_to").select("a", F.col("_next").alias("_to")), "hops")
+        hops.append(hop)
+        places.append(place)
+        ends = both.join(hop, "a").select("b", F.col("_to").alias("_a")).join(hop.toDF("b", "_b"), "b")
+        both, where = stored(ends.where("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), "edges")
         discard(spark, last)
-        labels, last = new.select("id", "component"), where
-        if not new.where("_moved").take(1):
-            discard(spark, place)
-            return labels
+        last = where
+        if not both.take(1):
+            break
+    at = hops[0].toDF("id", "_at")
+    for hop in hops[1:]:
+        at = at.join(hop.toDF("_at", "_to"), "_at", "left").select("id", F.coalesce("_to", "_at").alias("_at"))
+    tops = at.groupBy("_at").agg(F.min("id").alias("component"))
+    labels, _ = stored(at.join(tops, "_at").select("id", "component"), "labels")
+    discard(spark, last, *places)
+    return labels
 
 
 def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -280,6 +296,32 @@ def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return at.join(span.where("_lo <> _hi AND _n > 2").select("key", "_first"), "key").select("key", "id", "component", (F.col("component") == F.col("_first")).alias("own"))
 
 
+def gathered(lists: DataFrame) -> tuple[DataFrame, str]:
+    """(key, id, component, own), stored: open lists, with one list in place of those of a cluster where that is cheaper. lists: stored.
+
+    Lists are in a cluster if they reach one another through components. A cluster of more than a piece stays dealt by its lists
+    where these take fewer rows or fewer comparisons.
+    """
+    # A list is named by the component of most of its nodes, which most lists of a group share: few links tie a cluster.
+    parts = lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("_n"))
+    first = parts.groupBy("key").agg(F.max(F.struct("_n", "component"))["component"].alias("a"))
+    reach = parts.select("key", F.col("component").alias("b")).join(first, "key").where("a <> b").select("a", "b")
+    clusters = components(reach).select(F.col("id").alias("a"), F.col("component").alias("cluster"))
+    at, at_place = stored(first.join(clusters, "a").select("key", "cluster"), "clusters")
+    pieces = lambda n: F.ceil(F.col(n) / PIECE) * F.col(n)
+    dealt = lists.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).join(at, "key")
+    dealt = dealt.groupBy("cluster").agg(F.sum(pieces("_n")).alias("_rows"), F.sum(F.col("_n") * F.col("_n")).alias("_pairs"))
+    nodes = lists.join(at, "key").groupBy("id").agg(F.min("component").alias("component"), F.min("cluster").alias("cluster"))
+    sizes = nodes.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.groupBy("cluster").agg(F.sum("_n").alias("_n"), F.max(F.struct("_n", "component"))["component"].alias("_own"))
+    whole = sizes.join(dealt, "cluster").where((pieces("_n") < F.col("_rows")) & ((F.col("_n") <= PIECE) | (F.col("_n") * F.col("_n") <= F.col("_pairs"))))
+    rows = lists.join(at.join(whole.select("cluster", "_own"), "cluster", "left"), "key")
+    one = rows.where("_own IS NOT NULL").select((F.shiftleft("cluster", 7) + CLUSTER).alias("key"), "id", "component", (F.col("component") == F.col("_own")).alias("own")).distinct()
+    out = stored(rows.where("_own IS NULL").select("key", "id", "component", "own").unionByName(one), "gathered")
+    discard(lists.sparkSession, at_place)
+    return out
+
+
 def met(rows: DataFrame, piece: int, size: str | None = None, most: int = 1) -> DataFrame:
     """Pieces of lists that meet: adds _meet (a number a meeting) and _side. rows: stored; key, id, component, own, ...
 
@@ -304,10 +346,10 @@ def met(rows: DataFrame, piece: int, size: str | None = None, most: int = 1) ->
 
 
 def partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, gap: int, t: int) -> np.ndarray:
-    """Which of a meeting's nodes have a partner of another component within t whose first shared list is this one, `gap`."""
+    """Which of a meeting's nodes have a partner of another component within t whose first shared list is this one, `gap`; in a cluster any partner counts."""
     n, bounds = len(sig), chunk_bounds(t)
     starts = np.array([a for a, _ in bounds])
-    own = next(c for c, (a, b) in enumerate(bounds) if a <= gap < b)
+    own = next((c for c, (a, b) in enumerate(bounds) if a <= gap < b), None)
     found = np.zeros(n, bool)
     for at in range(0, n, 32):
         end = min(at + 32, n)
@@ -320,6 +362,9 @@ def partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, gap: int, t: i
             a, b = at + i[lo : lo + (1 << 15)], j[lo : lo + (1 << 15)]
             differ = sig[a] != sig[b]
             near = np.flatnonzero(differ.sum(1) <= t)
+            if gap == CLUSTER:
+                found[a[near]] = found[b[near]] = True
+                continue
             if not len(near):
                 continue
             by = np.add.reduceat(differ[near], starts, axis=1, dtype=np.int64)
@@ -334,7 +379,7 @@ def partners(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, gap: int, t: i
 
 
 def wanted(rows: DataFrame, nodes: DataFrame, t: int) -> DataFrame:
-    """(key, id, component, own) of open lists for which the node's full set is needed. rows: stored."""
+    """(key, id, component, own) of open lists and clusters for which the node's full set is needed. rows: stored."""
     rows = met(rows, PIECE).join(nodes.select("id", "sig"), "id")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,11 +475,13 @@ def _members(docs: DataFrame, width: int, num: int, den: int) -> tuple[DataFrame
     labels = components(confirmed(tried, sets, num, den))
     spanning, spanning_at = stored(open_lists(lists.select("key", "id"), labels), "open")
     discard(spark, lists_at, tried_at)
-    need, need_at = stored(wanted(spanning, nodes, t).join(nodes.select("id", "n_shingles"), "id"), "wanted")
+    meeting, meeting_at = gathered(spanning)
+    discard(spark, spanning_at)
+    need, need_at = stored(wanted(meeting, nodes, t).join(nodes.select("id", "n_shingles"), "id"), "wanted")
     rest, rest_at = stored(need.select("id").distinct().join(ids, "id", "left_anti"), "ids")
     more, more_at = stored(full_sets(docs, nodes, rest, width), "sets")
     links, links_at = stored(linked(need, sets.unionByName(more), num, den).distinct(), "links")
-    discard(spark, sets_at, more_at, need_at, spanning_at, ids_at, rest_at)
+    discard(spark, sets_at, more_at, need_at, meeting_at, ids_at, rest_at)
     labels = relabelled(labels, links)
     own = nodes.select("id", "h1", "h2", F.col("n_shingles").alias("_n"), "rep").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     least = own.groupBy("component").agg(F.min("rep").alias("_least"))
