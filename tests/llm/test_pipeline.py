@@ -118,3 +118,26 @@ def test_stages_on_empty_and_clashing_tables(spark, empty_folder):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, odd, empty_folder)
         assert got.columns == odd.columns and {r["doc_id"] for r in got.collect()} == {1, 2}, name
+
+
+def test_near_dedup_meets_a_group_once(spark, monkeypatch):
+    """Copies just below the bound: rows that go to meetings are no more than the documents."""
+    import random
+
+    rng, met, sent = random.Random(5), near_dedup.met, []
+
+    def counted(rows, *size):
+        out = met(rows, *size)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "met", counted)
+    texts = []
+    for _ in range(100):
+        w = [f"v{k}" for k in range(140)]
+        for at in rng.sample(range(140), rng.randrange(2, 7)):
+            w[at] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, docs, "").count()
+    assert 1 <= kept < len(texts) and len(sent) == 2 and max(sent) <= len(texts), (kept, sent)
