@@ -141,3 +141,37 @@ def test_near_dedup_meets_a_group_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_dedup(spark, docs, "").count()
     assert 1 <= kept < len(texts) and len(sent) == 2 and max(sent) <= len(texts), (kept, sent)
+
+
+def test_components_leave_the_driver_few_queries(spark, monkeypatch):
+    """A chain and pairs: a round over all edges, then one task for a bounded rest; the same as by rounds alone."""
+    import random
+
+    rng, write, wrote = random.Random(6), near_dedup.stored, []
+
+    def counted(df, name, *by):
+        wrote.append(name)
+        return write(df, name, *by)
+
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    ids = rng.sample(range(1, 10**6), 600)
+    chain, pairs = ids[:400], list(zip(ids[400::2], ids[401::2]))
+    edges = spark.createDataFrame([rng.choice([(a, b), (b, a)]) for a, b in [*zip(chain, chain[1:]), *pairs]], "a long, b long").repartition(3)
+    want = {i: min(chain) for i in chain} | {i: min(p) for p in pairs for i in p}
+    assert {r["id"]: r["component"] for r in near_dedup.components(edges).collect()} == want
+    assert wrote == ["edges", "hops", "edges", "hops", "labels"], wrote
+    for rest in (0, 100):  # other sizes of the rest: more rounds
+        monkeypatch.setattr(near_dedup, "REST", rest)
+        assert {r["id"]: r["component"] for r in near_dedup.components(edges).collect()} == want, rest
+    assert near_dedup.components(edges.limit(0)).count() == 0
+
+
+def test_toxicity_leaves_the_driver_its_memory(spark, folder, monkeypatch):
+    """What training took is handed back before documents are scored."""
+    from tetraframe.llm import toxicity
+
+    steps, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *x: (train(*x), steps.append("train"))[0])
+    monkeypatch.setattr(toxicity, "hand_back", lambda: steps.append("hand back"), raising=False)
+    corpus_pipeline.toxicity(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert steps == ["train", "hand back"]

@@ -49,6 +49,8 @@ PIECE, SET_PIECE, SET_BYTES = 4_096, 512, 16 << 20
 CLUSTER = 127
 #: Most nodes whose ids are sent to all executors (40 bytes each); more are joined by a shuffle.
 SENT_IDS = 500_000
+#: Most edges (16 bytes each) that are left for one task after a round over all of them; more take further rounds.
+REST = 1 << 18
 
 _rng = np.random.default_rng(20240517)
 _ODD = _rng.integers(1, 1 << 63, K, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -227,11 +229,40 @@ def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.mapInArrow(check, "a long, b long")
 
 
+def reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of some edges, and the least end that each reaches."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = list(range(len(ids)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x, y in zip(at[: len(a)].tolist(), at[len(a) :].tolist()):
+        x, y = top(x), top(y)
+        root[max(x, y)] = min(x, y)
+    return ids, ids[np.array([top(x) for x in root], np.int64)]
+
+
+def last_hop(edges: DataFrame) -> DataFrame:
+    """(a, _to): where each end of a bounded rest of edges goes, found in one task."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(x.column("a").to_numpy(), x.column("b").to_numpy()) for x in batches]
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in reached(*map(np.concatenate, zip(*held)))], ["a", "_to"])
+
+    return edges.where("a < b").coalesce(1).mapInArrow(find, "a long, _to long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable by edges (a, b).
 
     In a round each end goes to the least of its neighbours and itself in a seeded order, then as that one goes; edges between
-    the ends' places are what the next round takes, so that rounds shrink. At most one end of an edge stays where it is.
+    the ends' places are what the next round takes, so that rounds shrink. At most one end of an edge stays where it is. Once no
+    more than REST edges are left, one task closes them: each round is a dozen jobs for the driver, however few its edges.
     """
     spark, hops, places = edges.sparkSession, [], []
     both, last = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
@@ -245,8 +276,13 @@ def components(edges: DataFrame) -> DataFrame:
         both, where = stored(ends.where("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), "edges")
         discard(spark, last)
         last = where
-        if not both.take(1):
+        left = both.count()
+        if left <= REST:
             break
+    if left:
+        hop, place = stored(last_hop(both), "hops")
+        hops.append(hop)
+        places.append(place)
     at = hops[0].toDF("id", "_at")
     for hop in hops[1:]:
         at = at.join(hop.toDF("_at", "_to"), "_at", "left").select("id", F.coalesce("_to", "_at").alias("_at"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tetraframe.llm.common import crc_mod, set_apart, slices, table
+from tetraframe.llm.common import crc_mod, hand_back, set_apart, slices, table
 
 #: Most labelled rows of each kind that training reads.
 TOXIC_ROWS, CLEAN_ROWS = 1_500, 3_000
@@ -249,6 +249,7 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
     """docs with _toxic_score and _toxic (1 from the threshold on), learned from labels; columns of docs under these names give way."""
     docs, back = set_apart(docs, "doc_id", "text")
     model = train(docs, labels)
+    hand_back()  # the driver's Python process, which learned from the rows, outlives them
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar, w = Grammar(model[0]), model[1]
