@@ -135,12 +135,19 @@ def depth_thirds(slices: DataFrame, nz: int, keys: tuple[str, ...] = ("t",), col
     return out.withColumn("deep_over_shallow", F.coalesce(F.try_divide("deep", "shallow"), F.lit(0.0)))
 
 
-def intensity_in_labels(voxels: DataFrame) -> DataFrame:
-    """A row a t: statistics of the labels' mean values, and mean inside over deviation outside (0 with 100 outside voxels or fewer)."""
+def intensity_in_labels(voxels: DataFrame, plain: bool = False) -> DataFrame:
+    """A row a t: statistics of the labels' mean values, and mean inside over deviation outside (0 with 100 outside voxels or fewer, or where they are flat).
+
+    plain: that ratio as it comes, infinite over a flat background.
+    """
     means = per_label(voxels).groupBy("t").agg(F.avg("mean_value").alias("mean"), F.stddev_pop("mean_value").alias("std"), F.min("mean_value").alias("min"), F.max("mean_value").alias("max"))
     inside, outside = F.when(F.col("label") > 0, F.col("value")), F.when(F.col("label") == 0, F.col("value"))
-    snr = voxels.groupBy("t").agg(F.when((F.count(outside) > 100) & (F.stddev_pop(outside) > 1e-8), F.avg(inside) / F.stddev_pop(outside)).otherwise(0.0).alias("snr"))
-    return snr.join(means, "t", "left").select("t", "mean", "std", "min", "max", _zero(F.col("snr")).alias("snr"))
+    mean, std = F.avg(inside), F.stddev_pop(outside)
+    # A deviation put together from parts may miss 0 by rounding where all values are equal.
+    flat = (F.min(outside) == F.max(outside)) | (std == 0)
+    ratio = F.when(flat, mean * float("inf")).otherwise(mean / std) if plain else F.when((F.count(outside) > 100) & (std > 1e-8), mean / std).otherwise(0.0)
+    snr = voxels.groupBy("t").agg(ratio.alias("snr"))
+    return snr.join(means, "t", "left").select("t", "mean", "std", "min", "max", (F.col("snr") if plain else _zero(F.col("snr"))).alias("snr"))
 
 
 def relabelled(voxels: DataFrame, cap: int = 65535) -> DataFrame:
