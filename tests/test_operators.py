@@ -15,6 +15,7 @@ from tetraframe.operators import ingression as ing
 from tetraframe.operators import joins as jn
 from tetraframe.operators import kinematics as kin
 from tetraframe.operators import labels as lb
+from tetraframe.operators import nearest
 from tetraframe.operators import reports as rep
 from tetraframe.operators import volumes as vo
 from tetraframe.sources import readers as rd
@@ -375,6 +376,61 @@ def test_nearest_in_a_dense_cluster_and_a_wide_cloud(spark):
     assert len(got) == len(p) and np.allclose([got[i] for i in range(len(p))], d.min(1))
 
 
+PLACES = ["position_x", "position_y", "position_z"]
+
+
+def taken_by_hand(queries, points, tolerance):
+    """{(frame, id): track} by all pairs. queries: (track, frame, place), points: (id, frame, place)."""
+    out = {}
+    for track, frame, p in sorted(queries, key=lambda q: q[0]):
+        near = [(float(np.sqrt((p[0] - r[0]) * (p[0] - r[0]) + (p[1] - r[1]) * (p[1] - r[1]) + (p[2] - r[2]) * (p[2] - r[2]))), i) for i, f, r in points if f == frame]
+        if near and min(near)[0] <= tolerance:
+            out.setdefault((frame, min(near)[1]), track)
+    return out
+
+
+@pytest.mark.parametrize("leaf", [20, 100, 20_000])
+def test_assignment_by_leaves(spark, leaf):
+    """Whole numbers for ties, a place with many of both, lone ones, a frame far beyond the others, rows without a frame or place."""
+    g = np.random.default_rng(7)
+    at = lambda n: [tuple(map(float, x)) for x in g.integers(0, 30, (n, 3)) * (1, 1, 3)]
+    points = [(i, int(f), p) for i, (f, p) in enumerate(zip(g.choice([-2, 0, 1, 9_000], 600, p=[0.02, 0.08, 0.6, 0.3]), at(600)))]
+    points += [(i, 1, (5.0, 5.0, 6.0)) for i in range(1_200, 900, -1)] + [(2_000, 1, (500.0, 0.0, 0.0)), (2_001, 5, (0.0, 0.0, 0.0))]
+    queries = [(i, int(f), p) for i, (f, p) in enumerate(zip(g.choice([-2, 0, 1, 2, 9_000], 600), at(600)))]
+    queries += [(i, 1, (5.0, 5.0, 6.0)) for i in range(1_200, 900, -1)] + [(3_000, 1, (500.0, 0.0, 4.0)), (3_001, 1, (500.0, 4.5, 0.0)), (3_002, 2, (0.0, 0.0, 0.0))]
+    odd = [(4_000, None, (5.0, 5.0, 6.0)), (4_001, 1, (None, 5.0, 6.0)), (4_002, 1, (float("nan"), 5.0, 6.0)), (4_003, 1, (float("inf"), 5.0, 6.0))]
+    table = lambda rows, key: spark.createDataFrame([(k, f, *p) for k, f, p in rows], f"{key} long, frame int, " + ", ".join(f"{n} double" for n in PLACES)).repartition(3)
+    for tolerance in (0.0, 3.0, 8.0):
+        found = nearest.taken_within(table(queries + odd, "track_id"), table(points + odd, "id"), PLACES, tolerance, leaf)
+        want = taken_by_hand(queries, points, tolerance)
+        assert {(r["frame"], r["id"]): r["track_id"] for r in found.collect()} == want and found.count() == len(want) > 3
+    none = table(queries, "track_id").limit(0)
+    assert nearest.taken_within(none, table(points, "id"), PLACES, 3.0, leaf).count() == nearest.taken_within(table(queries, "track_id"), table(points, "id").limit(0), PLACES, 3.0, leaf).count() == 0
+
+
+def test_assignment_in_a_crowded_frame_compares_few(spark, monkeypatch):
+    g, n = np.random.default_rng(3), 20_000
+    q, p, pairs = g.random((n, 3)) * 100, g.random((n, 3)) * 100, 0
+    plain = nearest._length
+
+    def counted(parts):
+        nonlocal pairs
+        pairs += parts[0].size
+        return plain(parts)
+
+    monkeypatch.setattr(nearest, "_length", counted)
+    d, at = nearest.first_within(q, p, np.full(n, 60.0))
+    assert pairs < n * n / 5
+    some = slice(0, n, 400)
+    assert (at[some] == ((q[some, None] - p[None]) ** 2).sum(2).argmin(1)).all() and (d < 60).all()
+    monkeypatch.undo()
+    s = spark.createDataFrame([(None, 0, *map(float, x), i) for i, x in enumerate(p[:2_000])], SPOTS)
+    found = jn.assign_nearest(s, s.withColumn("track_id", F.col("id")), 60.0)
+    # No rows for each of a centroid's cells.
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    assert all(r["track_id"] == r["id"] for r in found.collect())
+
+
 def test_boundaries_by_hand():
     a = np.zeros((1, 3, 6), np.int32)
     a[0, :, 0:2], a[0, :, 4:6] = 1, 2

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,33 +31,15 @@ def assign_stats(assigned: DataFrame) -> DataFrame:
     return assigned.agg(F.count(F.lit(1)).alias("n_spots"), F.count("track_id").alias("n_assigned"), F.count_distinct("track_id").alias("n_tracks"))
 
 
-def _cell(x: Column, size: float) -> Column:
-    return F.floor(x / size).cast("long")
-
-
-def _neighbours(df: DataFrame, names: list[str], size: float) -> DataFrame:
-    """Every row at the 27 cells around its own, as _cx, _cy, _cz."""
-    shifts = F.array(*(F.struct(*(F.lit(d).alias(f"_d{a}") for a, d in zip(AXES, t))) for t in itertools.product((-1, 0, 1), repeat=3)))
-    out = df.withColumn("_s", F.explode(shifts))
-    return out.withColumns({f"_c{a}": _cell(F.col(n), size) + F.col(f"_s._d{a}") for a, n in zip(AXES, names)}).drop("_s")
-
-
-def _cells(df: DataFrame, names: list[str], size: float) -> DataFrame:
-    return df.withColumns({f"_c{a}": _cell(F.col(n), size) for a, n in zip(AXES, names)})
-
-
 def assign_nearest(spots: DataFrame, tracks: DataFrame, tolerance: float) -> DataFrame:
     """Spots with track_id filled from the nearest track centroid of the frame.
 
     Each (track, frame) centroid takes its nearest spot within the tolerance (ties: smaller id); a spot taken by several goes to
-    the lowest track, the others get none; spots that have a track keep it. A grid of tolerance-sized cells bounds the pairs.
+    the lowest track, the others get none; spots that have a track keep it. Both meet by leaves of a k-d partition.
     """
-    cent = tracks.where("track_id IS NOT NULL").groupBy("track_id", "frame").agg(*(F.avg(f"position_{a}").alias(f"_t{a}") for a in AXES))
-    left = _neighbours(cent, [f"_t{a}" for a in AXES], tolerance)
-    right = _cells(spots.select("frame", "id", *(f"position_{a}" for a in AXES)), [f"position_{a}" for a in AXES], tolerance)
-    pairs = left.join(right, ["frame", "_cx", "_cy", "_cz"]).withColumn("_d", norm(*(F.col(f"position_{a}") - F.col(f"_t{a}") for a in AXES))).where(F.col("_d") <= tolerance)
-    best = pairs.groupBy("track_id", "frame").agg(F.min(F.struct("_d", "id")).alias("_b"))
-    won = best.groupBy("frame", F.col("_b.id").alias("id")).agg(F.min("track_id").alias("_won"))
+    names = [f"position_{a}" for a in AXES]
+    cent = tracks.where("track_id IS NOT NULL").groupBy("track_id", "frame").agg(*(F.avg(n).alias(n) for n in names))
+    won = nearest.taken_within(cent, spots, names, tolerance).withColumnRenamed("track_id", "_won")
     return spots.join(won, ["frame", "id"], "left").withColumn("track_id", F.coalesce("track_id", "_won")).drop("_won")
 
 

@@ -6,6 +6,8 @@ each point's nearest there. Only a point whose distance reaches over its leaf's
 
 Leaves with more points than a task should hold are split again by what lies in them: points of many equal places, which no split
 parts, are nearest to each other and are counted first.
+
+Queries and points of frames share one such tree, in which the frame is one more axis, whose steps are too long for the tolerance.
 """
 
 from __future__ import annotations
@@ -15,11 +17,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tetraframe.operators.filters import shuffle_key
-from tetraframe.operators.tables import kept_table
+from tetraframe.operators.tables import dropped, kept_table
 
 #: Points the driver reads for the splits, points of a leaf on average and leaves at most, points of a block.
 SAMPLE, LEAF, LEAVES, BLOCK = 50_000, 20_000, 4_096, 128
@@ -147,3 +150,113 @@ def nearest_distance(points: DataFrame, names: list[str], leaf: int = LEAF, seed
     zero = places.join(once.where("_n > 1").select(*xs), xs).select("id", F.lit(0.0).alias("distance"))
     single = best.join(once.where("_n = 1").select("id"), "id").where(F.col("distance") < float("inf"))
     return single.unionByName(zero)
+
+
+def _length(parts: np.ndarray) -> np.ndarray:
+    """Euclidean length of arrays, one a component, summed from the first on."""
+    total = parts[0] * parts[0]
+    for p in parts[1:]:
+        total = total + p * p
+    return np.sqrt(total)
+
+
+def first_within(queries: np.ndarray, points: np.ndarray, bound: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Distance and number of each query's nearest point, of equally near ones the first; the bound and len(points) where none is as near as that."""
+    best, at = bound.copy(), np.full(len(queries), len(points))
+    if not len(queries) or not len(points):
+        return best, at
+    own = [np.sort(b) for b in _blocks(points, block)]
+    low, high = np.stack([points[b].min(0) for b in own]), np.stack([points[b].max(0) for b in own])
+    for q in _blocks(queries, block):
+        a, b = queries[q].min(0), queries[q].max(0)
+        # The sums are those of distances, so rounding lets no gap exceed a distance.
+        gap = _length(np.maximum(np.maximum(low - b, a - high), 0).T)
+        near = np.flatnonzero(gap <= best[q].max())
+        for k in near[np.argsort(gap[near], kind="stable")]:
+            if gap[k] > best[q].max():
+                break
+            d = _length(queries[q].T[:, :, None] - points[own[k]].T[:, None, :])
+            j = d.argmin(1)
+            d, j = d[np.arange(len(q)), j], own[k][j]
+            closer = (d < best[q]) | ((d == best[q]) & (j < at[q]))
+            best[q], at[q] = np.where(closer, d, best[q]), np.where(closer, j, at[q])
+    return best, at
+
+
+def taken_within(queries: DataFrame, points: DataFrame, names: list[str], tolerance: float, leaf: int = LEAF) -> DataFrame:
+    """(frame, id, track_id): points (frame, id) that are nearest, within the tolerance, to a query (frame, track_id) of their frame.
+
+    Of equally near points the smaller id is taken; one that several queries take goes to the lowest track. Queries and points meet by
+    leaves; a query goes on, once, to the other leaves that its distance reaches, or the tolerance where its leaf has no point as near.
+    Frames are numbers. Rows without a frame or place don't count.
+    """
+    spark, xs = points.sparkSession, [f"_x{k}" for k in range(len(names))]
+
+    def known(df: DataFrame, key: str) -> DataFrame:
+        out = df.select("frame", key, *(F.col(n).cast("double").alias(x) for n, x in zip(names, xs)))
+        return out.where(" AND ".join(["frame IS NOT NULL", *(f"abs({x}) < double('infinity')" for x in xs)]))
+
+    points, points_at = kept_table(known(points, "id"), "points")
+    queries, queries_at = kept_table(known(queries, "track_id"), "queries")
+    n = points.count() + queries.count()
+    depth = max(0, int(np.ceil(np.log2(max(1, min(n / leaf, LEAVES))))))
+    step = 8 * tolerance + 1
+
+    def places(t: pa.Table | pa.RecordBatch) -> np.ndarray:
+        return np.stack([t.column("frame").to_numpy() * step, *(t.column(x).to_numpy() for x in xs)], 1)
+
+    picked = [df.where(F.pmod(F.xxhash64("frame", key, *xs), F.lit(max(n, 1))) < SAMPLE).select("frame", *xs) for df, key in ((points, "id"), (queries, "track_id"))]
+    some = places(picked[0].unionByName(picked[1]).limit(2 * SAMPLE if depth else 0).toArrow())
+    tree = Tree(some, depth)
+    # Where splits part no more, rows share few places: of a place's rows only the smallest point and the lowest track count.
+    held = np.bincount(tree.leaf(some), minlength=1 << depth)
+    full = np.flatnonzero(held > 4 * held.mean()).tolist()
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.leaf(places(batch)), pa.int32())], [*batch.schema.names, "leaf"])
+
+    def kinds(df: DataFrame, *columns: str) -> str:
+        return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        out = df.mapInArrow(placed, f"{kinds(df, 'frame', key, *xs)}, leaf int")
+        if not full:
+            return out
+        once = out.where(F.col("leaf").isin(full)).groupBy("leaf", "frame", *xs).agg(F.min(key).alias(key))
+        return out.where(~F.col("leaf").isin(full)).unionByName(once)
+
+    def best(left: pa.Table, right: pa.Table, bound: np.ndarray) -> pa.Table:
+        """The queries with their nearest point's id and distance; null where none is within the bound."""
+        right = right.take(pc.sort_indices(right["id"], null_placement="at_end"))
+        d, at = first_within(places(left), places(right), bound)
+        none = at == right.num_rows
+        return pa.table({"frame": left["frame"], "track_id": left["track_id"], "id": right["id"].take(pa.array(at, mask=none)), "_d": pa.array(d, mask=none)})
+
+    def inside(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The best of each query, once if no other leaf is reached, else a row for each of those, with its place."""
+        found, p = best(left, right, np.full(left.num_rows, float(tolerance))), places(left)
+        # Leaves reach from a frame's step, or the middle between two: a quarter on, only its own come near.
+        p[:, 0] += step / 4
+        who, to = tree.reached(p, found["_d"].fill_null(float(tolerance)).to_numpy() * (1 + 1e-9) + 1e-150)
+        other = to != left["leaf"].to_numpy()[who]
+        who, to = who[other], to[other]
+        stay = np.setdiff1d(np.arange(left.num_rows), who)
+        rows = pa.array(np.concatenate([stay, who]))
+        leaves = pa.array(np.concatenate([np.full(len(stay), -1), to]), pa.int32())
+        return pa.table({**{c: found[c].take(rows) for c in found.column_names}, **{x: left[x].take(rows) for x in xs}, "leaf": leaves})
+
+    def outside(left: pa.Table, right: pa.Table) -> pa.Table:
+        return best(left, right, left["_d"].fill_null(float(tolerance)).to_numpy())
+
+    there, own = dealt(points, "id").groupBy("leaf"), f"{kinds(queries, 'frame', 'track_id')}, {kinds(points, 'id')}, _d double"
+    first = dealt(queries, "track_id").groupBy("leaf").cogroup(there).applyInArrow(inside, f"{own}, {kinds(points, *xs)}, leaf int")
+    first, first_at = kept_table(first, "first")
+    dropped(spark, queries_at)
+    onward = first.where("leaf >= 0")
+    more = onward.select("frame", "track_id", "id", "_d").unionByName(onward.groupBy("leaf").cogroup(there).applyInArrow(outside, own)).where("_d IS NOT NULL")
+    least = more.groupBy("track_id", "frame").agg(F.min(F.struct("_d", F.col("id").isNull().alias("_n"), "id")).alias("_b")).select("frame", F.col("_b.id").alias("id"), "track_id")
+    settled = first.where("leaf < 0 AND _d IS NOT NULL").select("frame", "id", "track_id")
+    taken, _ = kept_table(settled.unionByName(least).groupBy("frame", "id").agg(F.min("track_id").alias("track_id")), "taken")
+    dropped(spark, points_at, first_at)
+    return taken

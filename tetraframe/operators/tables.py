@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: While a table is written, Spark removes the query's shuffle files at its end; else they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a local session without one gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -23,7 +27,12 @@ def kept_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """df as a stored table and its place in the shared folder. Removed when the application ends."""
     spark = df.sparkSession
     place = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(place)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(place)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     path = spark._jvm.org.apache.hadoop.fs.Path(place)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(place), place
